@@ -1,0 +1,6 @@
+"""All registered queries; importing the package fills the registry."""
+
+from paperloom.checks import prompt_checks, sources_checks  # noqa: F401
+from paperloom.checks.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
