@@ -88,8 +88,8 @@ def s6(spark, sf):
 
 @check(
     "s7_read_feedback",
-    f"""WITH {PAIRS_SQL} SELECT md5(question) AS question_md5, CASE WHEN turn % 2 = 0 THEN 'up' END AS rating,
-    turn % 2 <> 0 AS corrupt FROM pairs""",
+    f"""WITH {PAIRS_SQL} SELECT CASE WHEN turn % 2 = 0 THEN md5(question) END AS question_md5,
+    CASE WHEN turn % 2 = 0 THEN 'up' END AS rating, turn % 2 <> 0 AS corrupt FROM pairs""",
 )
 def s7(spark, sf):
     line = F.to_json(F.struct("question", "answer", F.lit("up").alias("rating")))
@@ -288,7 +288,7 @@ def x7(spark, sf):
 
 @check(
     "x8_parse_quality",
-    """SELECT doc_id, (1 + 3 * quality)::DOUBLE AS clarity, CASE WHEN toxic = 0 THEN 2.5 END AS tone,
+    """SELECT doc_id, (1 + 3 * quality)::DOUBLE AS clarity, CASE WHEN toxic = 0 THEN 2.5::DOUBLE END AS tone,
     (doc_id % 6)::DOUBLE AS overall, 'note ' || doc_id AS why FROM labels""",
 )
 def x8(spark, sf):

@@ -153,7 +153,7 @@ def chunk_semantic(
         doc,
         "sent",
         "sentence",
-        ((F.col("distance") > F.percentile("distance", F.lit(percentile / 100)).over(whole)) & (F.count("*").over(whole) >= 3))
+        ((F.col("distance") > F.round(F.percentile("distance", F.lit(percentile / 100)).over(whole), 6)) & (F.count("*").over(whole) >= 3))
         .cast("int")
         .alias("breaks"),
     )

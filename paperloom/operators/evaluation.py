@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.fields import parse_date
 from paperloom.functions.payloads import payload_messages, with_policy
 from paperloom.functions.prompts import ACCURACY_SYSTEM, QUALITY_SYSTEM, accuracy_prompt, quality_prompt
 from paperloom.functions.responses import first_text, parse_accuracy, parse_quality
 from paperloom.functions.text import sentences, tokens
 from paperloom.operators.invoke import invoke
 
-# Numbers, ISO dates and ids with digits: words holding a digit.
+# Facts are words holding a digit: numbers, ISO dates, ids.
 FACT_PATTERN = r"[A-Za-z0-9$#][A-Za-z0-9.,/#-]*"
+WRITTEN_DATE = r"[A-Z][a-z]+ [0-9]{1,2}, [0-9]{4}"
 JUDGE_TEMPERATURE = 0.5
 JUDGE_TOKENS = 512
 
@@ -134,17 +136,24 @@ def judge_quality(
 
 
 def facts(text: Column) -> Column:
-    """The distinct numbers, dates and ids of a text, without end punctuation."""
-    words = F.regexp_extract_all(text, F.lit(FACT_PATTERN), F.lit(0))
-    bare = F.transform(words, lambda w: F.regexp_replace(w, r"[.,/#-]+$", ""))
-    return F.array_distinct(F.filter(bare, lambda w: F.regexp_like(w, F.lit("[0-9]"))))
-
+    """The distinct numbers, dates and ids of a text, in plain form.
 
-def grounding(claim: Column, summary: Column) -> Column:
-    """M7: ``struct<score, inaccuracies>``: facts of the summary the claim has not."""
-    said, wrong = facts(summary), F.array_except(facts(summary), facts(claim))
-    share = F.when(F.size(said) == 0, F.lit(1.0)).otherwise(1 - F.size(wrong) / F.size(said))
-    return F.struct(F.round(share, 6).alias("score"), wrong.alias("inaccuracies"))
+    Currency signs, thousands separators and end punctuation are dropped, and
+    a date written out counts in its ISO form as well.
+    """
+    words = F.regexp_extract_all(text, F.lit(FACT_PATTERN), F.lit(0))
+    bare = F.transform(words, lambda w: F.regexp_replace(w, r"[.,/#-]+$|[$,]", ""))
+    written = F.regexp_extract_all(text, F.lit(WRITTEN_DATE), F.lit(0))
+    dates = F.array_compact(F.transform(written, lambda d: parse_date(d).cast("string")))
+    return F.array_distinct(F.concat(F.filter(bare, lambda w: F.regexp_like(w, F.lit("[0-9]"))), dates))
+
+
+def grounding(df: DataFrame, claim: str = "text", summary: str = "summary") -> DataFrame:
+    """M7: add ``score`` and ``inaccuracies``, the summary's facts the claim has not."""
+    found = df.withColumns({"_said": facts(F.col(summary)), "_known": facts(F.col(claim))})
+    found = found.withColumn("inaccuracies", F.array_except("_said", "_known"))
+    share = F.when(F.size("_said") == 0, F.lit(1.0)).otherwise(1 - F.size("inaccuracies") / F.size("_said"))
+    return found.withColumn("score", F.round(share, 6)).drop("_said", "_known")
 
 
 def quality_scores(source: Column, summary: Column, n_found: Column, n_asked: int) -> Column:
