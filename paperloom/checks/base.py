@@ -69,7 +69,7 @@ CLAIM_FORM = (
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claim forms rendered from orders and their customers: ``(doc_id, text)``."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
     key, day = F.col("o_orderkey"), F.col("o_orderdate")
     form = render(

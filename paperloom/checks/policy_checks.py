@@ -13,6 +13,7 @@ from paperloom.functions.text import terms
 from paperloom.operators import screening
 from paperloom.operators.invoke import make_stub
 from paperloom.operators.retrieval import retrieve_guarded
+from paperloom.staging import once
 
 # The documents hold no social security numbers; card numbers and access
 # tokens stand in for data that blocks a text.
@@ -144,15 +145,15 @@ def k1_recall(spark, sf):
 )
 def k2(spark, sf):
     policy = rules.Policy()
-    read = _prompts(spark, sf).select("conv_id", "turn", rules.sentence_sets(F.col("text")).alias("_sets"))
-    score = lambda i: F.round(rules.topic_score(F.col("_sets"), policy.topics[i][2]), 6)
-    denied = F.transform(rules.denied_topics(F.col("_sets"), policy), lambda t: F.concat(F.lit("topic:"), t))
+    read = _prompts(spark, sf).select("conv_id", "turn", rules.sentence_terms(F.col("text")).alias("_sents"))
+    score = lambda i: F.round(rules.topic_score(rules.sentence_sets(F.col("_sents")), policy.topics[i][2]), 6)
+    denied = F.transform(rules.denied_topics(F.col("_sents"), policy), lambda t: F.concat(F.lit("topic:"), t))
     return read.select("conv_id", "turn", score(0).alias("legal"), score(2).alias("politics"), F.array_join(denied, ",").alias("denied"))
 
 
 @check("k3_mask_pii", f"SELECT doc_id, md5({mask_sql('text')}) AS text_md5, {mask_sql('text')} <> text AS changed FROM documents")
 def k3(spark, sf):
-    masked = documents(spark, sf).withColumn("masked", rules.mask_pii(F.col("text")))
+    masked = once(documents(spark, sf), masked=rules.mask_pii(F.col("text")))
     return masked.select("doc_id", _md5("masked").alias("text_md5"), (F.col("masked") != F.col("text")).alias("changed"))
 
 

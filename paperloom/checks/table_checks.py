@@ -242,7 +242,7 @@ def v2(spark, sf):
 
 _ALTERED = "CASE WHEN doc_id % 3 = 0 THEN replace(summary, 'for $', 'for $9') ELSE summary END"
 _FACTS = """list_distinct(list_concat(
-  list_filter(list_transform(regexp_extract_all({t}, '[A-Za-z0-9$#][A-Za-z0-9.,/#-]*'), lambda w: regexp_replace(w, '[.,/#-]+$|[$,]', '', 'g')),
+  list_filter(list_transform(regexp_extract_all(translate({t}, '$,', ''), '[A-Za-z0-9#][A-Za-z0-9./#-]*'), lambda w: regexp_replace(w, '[./#-]+$', '')),
               lambda w: regexp_matches(w, '[0-9]')),
   list_transform(list_filter(list_transform(regexp_extract_all({t}, '[A-Z][a-z]+ [0-9]{{1,2}}, [0-9]{{4}}'), lambda d: try_strptime(d, '%B %-d, %Y')),
                              lambda d: d IS NOT NULL), lambda d: strftime(d, '%Y-%m-%d'))))"""

@@ -16,13 +16,24 @@ CLAIM_LABELS = {
     "description": "Incident Description",
 }
 MONEY_PATTERN = r"\$?([0-9][0-9,]*(\.[0-9]+)?)"
+ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+WRITTEN_DATE = r"([A-Z][a-z]+) ([0-9]{1,2}),? ([0-9]{4})"
+# Month names of written dates, in order.
+MONTHS = (
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
 SECTION_HEADING = r"(SECTION [0-9]+: [^\n]+|[0-9]+\. [A-Z][A-Z0-9 ,/&–-]+)"
 
 
+def first_match(text: Column, pattern: str, group: int = 1) -> Column:
+    """A group of the first match, or null; evaluates ``text`` once."""
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(1))
+
+
 def labelled(text: Column, label: str) -> Column:
     """The rest of the first line starting with ``label:``, or null."""
-    found = F.regexp_extract(text, rf"(?:^|\n)[ \t]*{label}:[ \t]*([^\n]*)", 1)
-    return F.nullif(F.trim(found, F.lit(" \t\r")), F.lit(""))
+    return first_match(text, rf"(?m)^[ \t]*{label}:[ \t]*([^\n]*\S)")
 
 
 def parse_money(text: Column) -> Column:
@@ -30,14 +41,17 @@ def parse_money(text: Column) -> Column:
     return F.replace(F.regexp_extract(text, MONEY_PATTERN, 1), F.lit(","), F.lit("")).try_cast("decimal(18,2)")
 
 
+def written_date(text: Column) -> Column:
+    """``January 1, 2025`` (comma optional) as a date, or null."""
+    numbers = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS, 1) for x in (m, f"{i:02d}")])
+    month = F.try_element_at(numbers, F.regexp_extract(text, WRITTEN_DATE, 1))
+    day = F.lpad(F.regexp_extract(text, WRITTEN_DATE, 2), 2, "0")
+    return F.concat(F.regexp_extract(text, WRITTEN_DATE, 3), F.lit("-"), month, F.lit("-"), day).try_cast("date")
+
+
 def parse_date(text: Column) -> Column:
     """``2025-12-20`` or ``January 1, 2025`` as a date."""
-    iso = F.nullif(F.regexp_extract(text, r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1), F.lit(""))
-    long = F.nullif(F.regexp_extract(text, r"([A-Z][a-z]+ [0-9]{1,2}, [0-9]{4})", 1), F.lit(""))
-    return F.coalesce(
-        F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"),
-        F.try_to_timestamp(long, F.lit("MMMM d, yyyy")).cast("date"),
-    )
+    return F.coalesce(F.regexp_extract(text, ISO_DATE, 0).try_cast("date"), written_date(text))
 
 
 def phone_digits(text: Column) -> Column:
@@ -87,13 +101,10 @@ def coverage_rows(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     Two layouts: ``- Coverage: value`` bullets, and ``Coverage:`` headings
     followed by indented ``Item: value`` lines.
     """
+    no_item = F.lit(None).cast("string")
     bullets = F.transform(
         F.regexp_extract_all(text, F.lit(r"(?m)^- ([^:\n]+: [^\n]+)"), F.lit(1)),
-        lambda line: F.struct(
-            F.regexp_extract(line, r"^([^:]+):", 1).alias("coverage"),
-            F.lit(None).cast("string").alias("item"),
-            F.regexp_extract(line, r"^[^:]+:[ ]*(.+)$", 1).alias("note"),
-        ),
+        lambda line: F.struct(no_item.alias("head"), line.alias("line")),
     )
     blocks = F.regexp_extract_all(text, F.lit(r"(?m)^([A-Z][^:\n]*:\n(?:[ \t]+[^\n]+\n?)+)"), F.lit(1))
     nested = F.flatten(
@@ -101,25 +112,21 @@ def coverage_rows(df: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
             blocks,
             lambda block: F.transform(
                 F.regexp_extract_all(block, F.lit(r"\n[ \t]+([^:\n]+: [^\n]+)"), F.lit(1)),
-                lambda line: F.struct(
-                    F.regexp_extract(block, r"^([^:]+):", 1).alias("coverage"),
-                    F.regexp_extract(line, r"^([^:]+):", 1).alias("item"),
-                    F.regexp_extract(line, r"^[^:]+:[ ]*(.+)$", 1).alias("note"),
-                ),
+                lambda line: F.struct(F.substring_index(block, ":", 1).alias("head"), line.alias("line")),
             ),
         )
     )
+    label, note = F.substring_index("line", ":", 1), F.regexp_extract("line", r"^[^:]+:[ ]*(.+)$", 1)
     rows = df.select(doc, F.posexplode(F.concat(bullets, nested)).alias("pos", "_c")).select(doc, "pos", "_c.*")
-    whole = F.concat_ws(": ", "item", "note")
     return rows.select(
         doc,
         "pos",
-        "coverage",
-        "item",
-        parse_money(F.regexp_extract(whole, r"Deductible: (\$[0-9][0-9,]*(\.[0-9]+)?)", 1)).alias("deductible"),
-        _money_before(whole, "per person").alias("per_person"),
-        _money_before(whole, "per accident").alias("per_accident"),
-        "note",
+        F.coalesce("head", label).alias("coverage"),
+        F.when(F.col("head").isNotNull(), label).alias("item"),
+        parse_money(F.regexp_extract("line", r"Deductible: (\$[0-9][0-9,]*(\.[0-9]+)?)", 1)).alias("deductible"),
+        _money_before(F.col("line"), "per person").alias("per_person"),
+        _money_before(F.col("line"), "per accident").alias("per_accident"),
+        note.alias("note"),
     )
 
 

@@ -11,7 +11,9 @@ and in street form.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,6 +95,18 @@ MASKS = (
     ("ADDRESS", r"[0-9]+ ([A-Z][a-z]+ )+(Street|Avenue|Road|Lane|Drive)", "{ADDRESS}"),
     ("NAME", r"((^|\n)[A-Za-z ]*Name: )[^\n{]+", "$1{NAME}"),
 )
+# A match of the pattern holds one of these; texts without are left alone.
+MASK_SIGNS = {
+    "EMAIL": ("@",),
+    "PHONE": ("-",),
+    "LICENSE_PLATE": ("Plate: ",),
+    "ADDRESS": (" Street", " Avenue", " Road", " Lane", " Drive"),
+    "NAME": ("Name: ",),
+}
+# The same as a pattern where no fixed text will do.
+MASK_CORES = {"VEHICLE_IDENTIFICATION_NUMBER": "[A-HJ-NPR-Z0-9]{17}"}
+# Fails at the first character of a text without looking further.
+NO_MATCH = r"\A(?!)"
 # Neighbouring matches share a separator, so one pass misses every other one.
 MASKED_TWICE = {"VEHICLE_IDENTIFICATION_NUMBER"}
 BLOCK_PATTERNS = {
@@ -145,6 +159,16 @@ def policy_from_tables(filters: DataFrame, topics: DataFrame, pii: DataFrame, ba
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def sentence_terms(text: Column) -> Column:
+    """The terms of a text, sentence by sentence."""
+    return F.filter(F.transform(sentences(text), terms), lambda s: F.size(s) > 0)
+
+
 def filter_hits(term_list: Column, words: tuple[str, ...]) -> Column:
     return F.size(F.filter(term_list, lambda t: t.isin(*words)))
 
@@ -152,27 +176,29 @@ def filter_hits(term_list: Column, words: tuple[str, ...]) -> Column:
 def blocked_categories(term_list: Column, policy: Policy, side: str) -> Column:
     """K1: categories whose word count reaches the strength of this side."""
     _check_side(side)
-    listed = sorted({w for c, *_ in policy.filters for w in policy.lexicon.get(c, ())})
-    if not listed:
-        return F.array().cast("array<string>")
-    verdicts = []
+    nothing = F.array().cast("array<string>")
+    active = []
     for category, on_input, on_output in policy.filters:
         needed = STRENGTHS.get(on_input if side == "input" else on_output)
-        words = policy.lexicon.get(category, ())
-        if needed is not None and words:
-            verdicts.append(F.when(filter_hits(term_list, words) >= needed, F.lit(category)))
-    return F.array_compact(F.array(*verdicts)) if verdicts else F.array().cast("array<string>")
+        if needed is not None and policy.lexicon.get(category):
+            active.append((category, policy.lexicon[category], needed))
+    if not active:
+        return nothing
+    listed = sorted({word for _, words, _ in active for word in words})
+    # one pass over the text picks the listed words; categories count those
+    return _let(
+        F.filter(term_list, lambda t: t.isin(*listed)),
+        lambda hits: F.array_compact(F.array(*[F.when(filter_hits(hits, words) >= n, F.lit(c)) for c, words, n in active])),
+    )
 
 
-def sentence_sets(text: Column) -> Column:
-    """The term sets of the sentences of a text."""
-    sets = F.transform(sentences(text), lambda s: F.array_distinct(terms(s)))
-    return F.filter(sets, lambda s: F.size(s) > 0)
+def _term_sets(examples: tuple[str, ...]) -> Column:
+    return F.array(*[F.array_distinct(terms(F.lit(e))) for e in examples])
 
 
 def topic_score(sets: Column, examples: tuple[str, ...]) -> Column:
-    """K2: best ``|A & B| / sqrt(|A| * |B|)`` over sentences and examples."""
-    known = F.array(*[F.array_distinct(terms(F.lit(e))) for e in examples])
+    """K2: best ``|A & B| / sqrt(|A| * |B|)`` over sentence term sets and examples."""
+    known = _term_sets(examples)
 
     def against(s: Column) -> Column:
         return F.array_max(
@@ -182,19 +208,56 @@ def topic_score(sets: Column, examples: tuple[str, ...]) -> Column:
     return F.coalesce(F.array_max(F.transform(sets, against)), F.lit(0.0))
 
 
-def denied_topics(sets: Column, policy: Policy) -> Column:
-    verdicts = [F.when(topic_score(sets, examples) >= policy.topic_threshold, F.lit(name)) for name, _, examples in policy.topics]
-    return F.array_compact(F.array(*verdicts)) if verdicts else F.array().cast("array<string>")
+def sentence_sets(sents: Column) -> Column:
+    """``sentence_terms`` as sets."""
+    return F.transform(sents, F.array_distinct)
+
+
+def denied_topics(sents: Column, policy: Policy) -> Column:
+    """K2: the topics scoring at or above the threshold.
+
+    A sentence sharing too few terms with all examples together cannot reach
+    the threshold with one of them, and is dropped before the single scores.
+    """
+    if not policy.topics:
+        return F.array().cast("array<string>")
+    every = _term_sets(tuple(e for _, _, examples in policy.topics for e in examples))
+    union, shortest = F.array_distinct(F.flatten(every)), F.array_min(F.transform(every, F.size))
+
+    def near(s: Column) -> Column:
+        needed = policy.topic_threshold * F.sqrt((F.size(s) * shortest).cast("double"))
+        return F.size(F.array_intersect(s, union)) >= needed - 1e-9
+
+    return _let(
+        F.filter(sentence_sets(sents), near),
+        lambda close: F.array_compact(
+            F.array(*[F.when(topic_score(close, ex) >= policy.topic_threshold, F.lit(name)) for name, _, ex in policy.topics])
+        ),
+    )
+
+
+def may_mask(text: Column, kind: str) -> Column:
+    """A cheap test that rules most texts out before a pattern is tried."""
+    if kind in MASK_CORES:
+        return F.regexp_like(text, F.lit(MASK_CORES[kind]))
+    found = [F.contains(text, F.lit(sign)) for sign in MASK_SIGNS[kind]]
+    return reduce(lambda a, b: a | b, found)
 
 
 def mask_pii(text: Column, policy: Policy | None = None) -> Column:
-    """K3: personal data of the ANONYMIZE types replaced by ``{TYPE}``."""
+    """K3: personal data of the ANONYMIZE types replaced by ``{TYPE}``.
+
+    Texts that cannot match get a pattern that gives up at once; so the chain
+    of replacements names each step a single time.
+    """
     wanted = (policy or Policy()).of_type("ANONYMIZE")
+    masked = text
     for kind, pattern, replacement in MASKS:
         if kind in wanted:
+            tried = F.when(may_mask(text, kind), pattern).otherwise(NO_MATCH)
             for _ in range(2 if kind in MASKED_TWICE else 1):
-                text = F.regexp_replace(text, pattern, replacement)
-    return text
+                masked = F.regexp_replace(masked, tried, F.lit(replacement))
+    return masked
 
 
 def masked_count(masked: Column, original: Column, kind: str) -> Column:

@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.fields import parse_date
+from paperloom.functions.fields import WRITTEN_DATE, written_date
 from paperloom.functions.payloads import payload_messages, with_policy
 from paperloom.functions.prompts import ACCURACY_SYSTEM, QUALITY_SYSTEM, accuracy_prompt, quality_prompt
 from paperloom.functions.responses import first_text, parse_accuracy, parse_quality
 from paperloom.functions.text import sentences, tokens
 from paperloom.operators.invoke import invoke
 
-# Facts are words holding a digit: numbers, ISO dates, ids.
-FACT_PATTERN = r"[A-Za-z0-9$#][A-Za-z0-9.,/#-]*"
-WRITTEN_DATE = r"[A-Z][a-z]+ [0-9]{1,2}, [0-9]{4}"
+# A fact is a word holding a digit, without end punctuation: numbers, ISO
+# dates, ids. Currency signs and thousands separators are dropped before.
+FACT_PATTERN = r"(?=[A-Za-z./#-]*[0-9])[A-Za-z0-9#][A-Za-z0-9./#-]*[A-Za-z0-9]|[0-9]"
+DROPPED = "$,"
 JUDGE_TEMPERATURE = 0.5
 JUDGE_TOKENS = 512
 
@@ -136,16 +137,11 @@ def judge_quality(
 
 
 def facts(text: Column) -> Column:
-    """The distinct numbers, dates and ids of a text, in plain form.
-
-    Currency signs, thousands separators and end punctuation are dropped, and
-    a date written out counts in its ISO form as well.
-    """
-    words = F.regexp_extract_all(text, F.lit(FACT_PATTERN), F.lit(0))
-    bare = F.transform(words, lambda w: F.regexp_replace(w, r"[.,/#-]+$|[$,]", ""))
-    written = F.regexp_extract_all(text, F.lit(WRITTEN_DATE), F.lit(0))
-    dates = F.array_compact(F.transform(written, lambda d: parse_date(d).cast("string")))
-    return F.array_distinct(F.concat(F.filter(bare, lambda w: F.regexp_like(w, F.lit("[0-9]"))), dates))
+    """The distinct facts of a text; a written-out date counts in ISO form too."""
+    plain = F.translate(text, DROPPED, "")
+    written = F.regexp_extract_all(plain, F.lit(WRITTEN_DATE), F.lit(0))
+    dates = F.array_compact(F.transform(written, lambda d: written_date(d).cast("string")))
+    return F.array_distinct(F.concat(F.regexp_extract_all(plain, F.lit(FACT_PATTERN), F.lit(0)), dates))
 
 
 def grounding(df: DataFrame, claim: str = "text", summary: str = "summary") -> DataFrame:

@@ -15,10 +15,10 @@ from paperloom.functions.policy import (
     denied_topics,
     mask_pii,
     masked_count,
-    sentence_sets,
+    sentence_terms,
 )
-from paperloom.functions.text import terms
 from paperloom.operators.invoke import invoke
+from paperloom.staging import once
 
 
 def _labels(kind: str, names: Column) -> Column:
@@ -31,27 +31,16 @@ def apply_policy(df: DataFrame, policy: Policy | None = None, side: str = "input
     Filters, topics and blocking data decide first; only what passes is masked.
     """
     policy = policy or Policy()
-    masked_kinds = policy.of_type("ANONYMIZE")
-    found = (
-        df.withColumn("_terms", terms(text))
-        .withColumn("_sets", sentence_sets(F.col(text)))
-        .withColumn("_masked", mask_pii(F.col(text), policy))
-        .withColumn(
-            "_why",
-            F.concat(
-                _labels("filter", blocked_categories(F.col("_terms"), policy, side)),
-                _labels("topic", denied_topics(F.col("_sets"), policy)),
-                _labels("pii", blocking_types(F.col(text), policy)),
-            ),
-        )
-        .withColumn(
-            "_marks",
-            F.array_compact(
-                F.array(*[F.when(masked_count(F.col("_masked"), F.col(text), k) > 0, F.lit(f"pii:{k}")) for k in masked_kinds])
-                if masked_kinds
-                else F.array().cast("array<string>")
-            ),
-        )
+    parts = once(df, _masked=mask_pii(F.col(text), policy), _sents=sentence_terms(F.col(text)))
+    marks = [F.when(masked_count(F.col("_masked"), F.col(text), k) > 0, F.lit(f"pii:{k}")) for k in policy.of_type("ANONYMIZE")]
+    found = once(
+        parts,
+        _why=F.concat(
+            _labels("filter", blocked_categories(F.flatten("_sents"), policy, side)),
+            _labels("topic", denied_topics(F.col("_sents"), policy)),
+            _labels("pii", blocking_types(F.col(text), policy)),
+        ),
+        _marks=F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>"),
     )
     blocked, masked = F.size("_why") > 0, F.size("_marks") > 0
     kept = [c for c in df.columns if c != text]
@@ -76,8 +65,7 @@ def policy_findings(df: DataFrame, policy: Policy | None = None, key: str = "doc
             continue
         rows.append(F.struct(F.lit(kind).alias("type"), F.lit(action).alias("action"), n.alias("n")))
     return (
-        df.select(key, text)
-        .withColumn("_masked", mask_pii(F.col(text), policy))
+        once(df.select(key, text), _masked=mask_pii(F.col(text), policy))
         .select(key, F.explode(F.array(*rows)).alias("_f"))
         .select(key, "_f.*")
         .filter(F.col("n") > 0)

@@ -12,7 +12,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -54,3 +54,13 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after the row count was checked."""
     return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns that are evaluated once per row, whoever reads them.
+
+    Filters on them and projections over them would otherwise repeat their
+    expressions; the output of a generator is not taken apart again.
+    """
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select("*", made.alias("_once")).select(*df.columns, "_once.*")
