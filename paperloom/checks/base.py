@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.prompts import render
 from paperloom.operators.ingest import Index, ingest
+from paperloom.shipping import ship_package
 from paperloom.staging import stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +21,12 @@ ORACLES: dict[str, str] = {}
 
 def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
