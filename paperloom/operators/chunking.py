@@ -88,16 +88,14 @@ def sentence_distances(
 ) -> DataFrame:
     """V3: cosine distance of each buffered sentence to the next one.
 
-    Documents are spread by id once, before they are taken apart; every later
-    group and window key starts with the id, so this one shuffle serves all.
+    Documents are spread by id once. Sums per sentence are made from the terms,
+    gathered per document (one entry per sentence) and meet the sentences of
+    the document again in its own row, so no later step moves rows.
     """
-    own = (
-        df.select(F.col(doc), F.col(text))
-        .repartition(doc)
-        .select(doc, F.posexplode(sentences(text)).alias("sent", "sentence"))
-    )
+    docs = df.select(F.col(doc), F.col(text)).repartition(doc)
     counts = (
-        own.select(doc, "sent", F.explode(terms("sentence")).alias("term"))
+        docs.select(doc, F.posexplode(sentences(text)).alias("sent", "_sentence"))
+        .select(doc, "sent", F.explode(terms("_sentence")).alias("term"))
         .groupBy(doc, "sent", term_bucket(F.col("term"), dim).alias("bucket"))
         .agg(F.count("*").alias("n"))
     )
@@ -116,25 +114,26 @@ def sentence_distances(
         .otherwise(0)
         .alias("product"),
     )
-    norms = products.groupBy(doc, "sent").agg(F.sum("square").alias("square"), F.sum("product").alias("product"))
-    by_doc = Window.partitionBy(doc).orderBy("sent")
-    scored = own.join(norms, [doc, "sent"], "left").select(
-        doc,
-        "sent",
-        "sentence",
-        F.coalesce("product", F.lit(0)).alias("product"),
-        F.coalesce("square", F.lit(0)).alias("square"),
-        F.lead(F.coalesce("square", F.lit(0))).over(by_doc).alias("next_square"),
+    sums = F.struct(F.sum("square").cast("double").alias("square"), F.sum("product").cast("double").alias("product"))
+    per_doc = (
+        products.groupBy(doc, "sent")
+        .agg(sums.alias("_sums"))
+        .groupBy(doc)
+        .agg(F.map_from_entries(F.collect_list(F.struct("sent", "_sums"))).alias("_by_sent"))
     )
-    similarity = F.when(
-        (F.col("square") > 0) & (F.col("next_square") > 0),
-        F.col("product") / (F.sqrt(F.col("square").cast("double")) * F.sqrt(F.col("next_square").cast("double"))),
-    ).otherwise(F.lit(0.0))
-    return scored.select(
-        doc,
-        "sent",
-        "sentence",
-        F.when(F.col("next_square").isNotNull(), F.round(1 - similarity, 6)).alias("distance"),
+
+    def entry(i: Column) -> Column:
+        mine, following = F.try_element_at("_by_sent", i), F.try_element_at("_by_sent", i + 1)
+        norms = F.sqrt(mine["square"]) * F.sqrt(following["square"])
+        distance = F.when(i < F.size("_sentences") - 1, F.round(1 - F.coalesce(mine["product"] / norms, F.lit(0.0)), 6))
+        return F.struct(i.alias("sent"), F.get("_sentences", i).alias("sentence"), distance.alias("distance"))
+
+    return (
+        docs.join(per_doc, doc, "left")
+        .select(doc, sentences(text).alias("_sentences"), "_by_sent")
+        .filter(F.size("_sentences") > 0)
+        .select(doc, F.explode(F.transform(F.sequence(F.lit(0), F.size("_sentences") - 1), entry)).alias("_s"))
+        .select(doc, "_s.*")
     )
 
 

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.functions.text import terms
-from paperloom.staging import fits
 
 DIMENSION = 1024
-# Largest idf table sent to every executor; beyond it only frequent terms are.
+# Largest term table sent to every task; beyond it only frequent terms are.
 MAX_BROADCAST_TERMS = 1_000_000
 # A term in more than this share of the chunks is "frequent".
 FREQUENT_SHARE = 0.001
@@ -39,63 +40,121 @@ def term_idf(chunks: DataFrame, n_chunks: int, text: str = "text") -> DataFrame:
 
 
 def join_term_table(occurrences: DataFrame, table: DataFrame, n_chunks: int) -> DataFrame:
-    """Join term occurrences with a table holding one row per term.
+    """Join term occurrences with a term table too large to broadcast.
 
-    A small table is broadcast. Otherwise its frequent part is: at most
-    (terms per chunk) / FREQUENT_SHARE terms can each be in that share of the
-    chunks, however large the corpus. What is left has no hot key and is
-    joined by shuffle.
+    Its frequent part is broadcast: at most (terms per chunk) / FREQUENT_SHARE
+    terms can each be in that share of the chunks, however large the corpus.
+    What is left has no hot key and is joined by shuffle.
     """
-    if fits(table, MAX_BROADCAST_TERMS):
-        return occurrences.join(F.broadcast(table), "term")
-    frequent = table.filter(F.col("df") > n_chunks * FREQUENT_SHARE)
+    frequent = F.broadcast(table.filter(F.col("df") > n_chunks * FREQUENT_SHARE))
     rare = table.filter(F.col("df") <= n_chunks * FREQUENT_SHARE)
-    hot = F.broadcast(frequent)
-    return occurrences.join(hot, "term").unionByName(
-        occurrences.join(F.broadcast(frequent.select("term")), "term", "left_anti").join(rare, "term")
+    return occurrences.join(frequent, "term").unionByName(
+        occurrences.join(frequent.select("term"), "term", "left_anti").join(rare, "term")
     )
 
 
-def hash_weights(
-    df: DataFrame,
-    id_col: str,
-    text: str = "text",
-    dim: int = DIMENSION,
-    idf: DataFrame | None = None,
-    n_chunks: int | None = None,
-) -> DataFrame:
-    """Summed term weights ``(id, bucket, weight)``, not normed.
+class Vocabulary:
+    """A bounded term table inside a task: each term's bucket and weight."""
+
+    def __init__(self, table: pa.Table):
+        table = table.combine_chunks()
+        self.terms = table.column("term").combine_chunks()
+        self.buckets, self.rank = np.unique(table.column("bucket").to_numpy(), return_inverse=True)
+        self.weights = table.column("weight").to_numpy()
+
+    def sums(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per list the summed weight of each bucket: ``(offsets, buckets, sums)``.
+
+        Terms outside the vocabulary are left out. All lists of a batch are
+        handled together, as arrays.
+        """
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        found = pc.index_in(pc.list_flatten(lists), value_set=self.terms)
+        known = found.is_valid().to_numpy(zero_copy_only=False)
+        at = found.drop_null().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(lists), dtype=np.int64), lengths)[known]
+        key = row * max(1, len(self.buckets)) + self.rank[at]
+        order = np.argsort(key, kind="stable")
+        key, weights = key[order], self.weights[at][order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
+        sums = np.add.reduceat(weights, starts) if len(starts) else np.zeros(0)
+        rows, ranks = np.divmod(key[starts], max(1, len(self.buckets)))
+        return np.searchsorted(rows, np.arange(len(lists) + 1)).astype(np.int32), self.buckets[ranks], sums
+
+
+def bounded_vocabulary(table: DataFrame) -> Vocabulary | None:
+    """``(term, bucket, weight)`` for the tasks, or None beyond the bound."""
+    found = table.select("term", F.col("bucket").cast("long").alias("bucket"), F.col("weight").cast("double").alias("weight"))
+    found = found.limit(MAX_BROADCAST_TERMS + 1).toArrow()
+    return Vocabulary(found) if found.num_rows <= MAX_BROADCAST_TERMS else None
+
 
-    Rows are spread by id before they are taken apart: one shuffle of whole
-    texts, and both aggregations of ``embed_hash`` run where the rows are.
+def term_vectors(df: DataFrame, keep: list[str], vocabulary: Vocabulary, text: str = "text", unit: bool = False) -> DataFrame:
+    """Add ``buckets`` and ``weights`` of each text; rows without terms are dropped.
+
+    Rows are worked on where they are: nothing is shuffled.
     """
-    occurrences = df.select(id_col, text).repartition(id_col).select(id_col, F.explode(terms(text)).alias("term"))
-    if idf is None:
-        weighted = occurrences.withColumn("idf", F.lit(1.0))
-    else:
-        weighted = join_term_table(occurrences, idf.select("term", "df", "idf"), n_chunks or 0)
-    return weighted.groupBy(id_col, term_bucket(F.col("term"), dim).alias("bucket")).agg(F.sum("idf").alias("weight"))
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    read = df.select(*keep, terms(text).alias("_terms"))
+    entries = [T.StructField("buckets", T.ArrayType(T.LongType())), T.StructField("weights", T.ArrayType(T.DoubleType()))]
+    schema = T.StructType([*read.schema.fields[:-1], *entries])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, buckets, sums = shared.value.sums(batch.column("_terms"))
+            counts = np.diff(offsets)
+            if unit:
+                row = np.repeat(np.arange(len(counts)), counts)
+                sums = sums / np.sqrt(np.bincount(row, sums * sums, len(counts)))[row]
+            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets, sums)]
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], schema.names)
+            yield out.filter(pa.array(counts > 0))
+
+    return read.mapInArrow(run, schema)
 
 
 def embed_hash(
     df: DataFrame,
-    id_col: str,
+    keep: list[str],
     text: str = "text",
     dim: int = DIMENSION,
     idf: DataFrame | None = None,
-    n_chunks: int | None = None,
+    n_chunks: int = 0,
 ) -> DataFrame:
-    """One sparse unit vector ``(id, buckets, weights)`` per row with terms.
+    """A sparse unit vector ``buckets, weights`` beside the ``keep`` columns.
+
+    The weight of a bucket is the summed idf of the term occurrences in it.
+    Terms the idf table lacks are dropped, rows left without terms too. While
+    the table is within bounds the tasks hold it and nothing is shuffled;
+    ``idf=None`` counts plain occurrences.
+    """
+    if idf is None:
+        own = df.select(F.explode(F.array_distinct(terms(text))).alias("term")).distinct().select("term", F.lit(1).alias("df"))
+        idf = own.withColumn("idf", F.lit(1.0))
+    weighted = idf.select("term", "df", F.col("idf").alias("weight"), term_bucket(F.col("term"), dim).cast("long").alias("bucket"))
+    vocabulary = bounded_vocabulary(weighted)
+    if vocabulary is not None:
+        return term_vectors(df, keep, vocabulary, text, unit=True)
+    return embed_by_join(df, keep, weighted, n_chunks, text)
+
+
+def embed_by_join(df: DataFrame, keep: list[str], weighted: DataFrame, n_chunks: int, text: str = "text") -> DataFrame:
+    """E2 with a term table of any size: occurrences join it and come back by row.
 
-    A vector has at most ``dim`` entries, so collecting it per id is bounded.
+    One shuffle brings the occurrences of a row together; both aggregations
+    run on it. A vector has at most ``dim`` entries, so its list is bounded.
     """
+    occurrences = df.select(F.struct(*keep).alias("_key"), F.explode(terms(text)).alias("term"))
+    joined = join_term_table(occurrences, weighted, n_chunks).select("_key", "bucket", "weight")
     entry = F.struct("bucket", "weight")
     return (
-        hash_weights(df, id_col, text, dim, idf, n_chunks)
-        .groupBy(id_col)
+        joined.repartition("_key")
+        .groupBy("_key", "bucket")
+        .agg(F.sum("weight").alias("weight"))
+        .groupBy("_key")
         .agg(F.array_sort(F.collect_list(entry)).alias("_v"), F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
         .select(
-            id_col,
+            "_key.*",
             F.col("_v.bucket").alias("buckets"),
             F.transform(F.col("_v.weight"), lambda w: w / F.col("_norm")).alias("weights"),
         )
@@ -104,9 +163,9 @@ def embed_hash(
 
 def to_dense(buckets: Column, weights: Column, dim: int = DIMENSION) -> Column:
     """Sparse entries as ``array<float>`` of the index dimension."""
-    entries = F.map_from_arrays(buckets, weights)
+    entries = F.map_from_arrays(buckets.cast("array<int>"), weights)
     return F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at(entries, i), F.lit(0.0)).cast("float")
+        F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at(entries, i), F.lit(0.0)).cast("float")
     )
 
 

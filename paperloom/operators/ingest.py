@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import terms
 from paperloom.operators.chunking import chunk_fixed
 from paperloom.operators.embedding import DIMENSION, embed_hash, term_idf
 
@@ -26,7 +27,8 @@ class Index:
 
     def embed_questions(self, questions: DataFrame, query_col: str = "query_id", text: str = "question") -> DataFrame:
         """Questions in the vector space of the index; unknown terms drop out."""
-        return embed_hash(questions, query_col, text, idf=self.terms, n_chunks=self.n_chunks)
+        own = questions.select(F.explode(F.array_distinct(terms(text))).alias("term")).distinct()
+        return embed_hash(questions, [query_col], text, idf=self.terms.join(own, "term", "left_semi"), n_chunks=self.n_chunks)
 
 
 def ingest(
@@ -46,10 +48,7 @@ def ingest(
     n_chunks = chunks.count()
     term_idf(chunks, n_chunks).write.parquet(f"{path}/terms")
     idf = spark.read.parquet(f"{path}/terms")
-    # metadata rides along as part of the id through the embedding
-    key = F.struct("chunk_id", *metadata)
-    vectors = embed_hash(chunks.select(key.alias("_key"), "text"), "_key", dim=dim, idf=idf, n_chunks=n_chunks)
-    vectors.select("_key.*", "buckets", "weights").write.partitionBy(*parts).parquet(f"{path}/vectors")
+    embed_hash(chunks, ["chunk_id", *metadata], dim=dim, idf=idf, n_chunks=n_chunks).write.partitionBy(*parts).parquet(f"{path}/vectors")
     return load_index(spark, path)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from paperloom.functions.policy import Policy, mask_pii
 from paperloom.functions.text import terms
-from paperloom.operators.embedding import join_term_table
+from paperloom.operators.embedding import bounded_vocabulary, join_term_table, term_vectors
 from paperloom.operators.ingest import Index
 from paperloom.operators.screening import apply_policy
 from paperloom.operators.search import MAX_QUERIES, top_k
@@ -53,30 +53,40 @@ def retrieve_one(index: Index, question: str, k: int = 3) -> DataFrame:
 def retrieve_lexical(questions: DataFrame, index: Index, k: int) -> DataFrame:
     """BM25: chunk and question as vectors over the terms of the questions.
 
-    Chunk occurrences are cut down to those terms before they are counted.
+    Chunk terms outside the questions are dropped where the chunk is read.
     """
     asked = questions.select("query_id", F.explode(F.array_distinct(terms("question"))).alias("term"))
     vocabulary = stage(
-        asked.select("term").distinct().join(index.terms, "term").withColumn("bucket", F.monotonically_increasing_id()), "vocabulary"
+        index.terms.join(asked.select("term").distinct(), "term", "left_semi")
+        .withColumns({"bucket": F.monotonically_increasing_id(), "weight": F.lit(1.0)}),
+        "vocabulary",
     )
-    lengths = index.chunks.select("chunk_id", terms("text").alias("_terms")).withColumn("_len", F.size("_terms"))
-    mean = stage(lengths.agg(F.avg("_len").alias("mean")), "mean").first()["mean"]
-    occurrences = lengths.select("chunk_id", "_len", F.explode("_terms").alias("term"))
-    tf = F.col("tf")
+    chunks = index.chunks.select("chunk_id", "text", F.size(terms("text")).alias("_len"))
+    mean = chunks.agg(F.avg("_len")).first()[0]
+    small = bounded_vocabulary(vocabulary)
+    if small is not None:
+        counted = term_vectors(chunks, ["chunk_id", "_len"], small)
+    else:
+        occurrences = chunks.select("chunk_id", "_len", F.explode(terms("text")).alias("term"))
+        counted = (
+            join_term_table(occurrences, vocabulary.select("term", "df", "bucket"), index.n_chunks)
+            .groupBy("chunk_id", "_len", "bucket")
+            .agg(F.count("*").cast("double").alias("weight"))
+            .groupBy("chunk_id", "_len")
+            .agg(F.collect_list(F.struct("bucket", "weight")).alias("_v"))
+            .select("chunk_id", "_len", F.col("_v.bucket").alias("buckets"), F.col("_v.weight").alias("weights"))
+        )
     damp = BM25_K1 * (1 - BM25_B + BM25_B * F.col("_len") / F.lit(mean))
-    chunk_vectors = (
-        join_term_table(occurrences, vocabulary.select("term", "df", "bucket"), index.n_chunks)
-        .groupBy("chunk_id", "_len", "bucket")
-        .agg(F.count("*").alias("tf"))
-        .select("chunk_id", "bucket", (tf * (BM25_K1 + 1) / (tf + damp)).alias("weight"))
+    chunk_vectors = counted.select(
+        "chunk_id", "buckets", F.transform("weights", lambda tf: tf * (BM25_K1 + 1) / (tf + damp)).alias("weights")
     )
-    question_vectors = asked.join(vocabulary, "term").select("query_id", "bucket", F.col("idf").alias("weight"))
-
-    def packed(df: DataFrame, key: str) -> DataFrame:
-        pairs = df.groupBy(key).agg(F.collect_list(F.struct("bucket", "weight")).alias("_v"))
-        return pairs.select(key, F.col("_v.bucket").alias("buckets"), F.col("_v.weight").alias("weights"))
-
-    return top_k(packed(chunk_vectors, "chunk_id"), packed(question_vectors, "query_id"), k, "dot", min_score=0.0)
+    question_vectors = (
+        asked.join(vocabulary, "term")
+        .groupBy("query_id")
+        .agg(F.collect_list(F.struct("bucket", "idf")).alias("_v"))
+        .select("query_id", F.col("_v.bucket").alias("buckets"), F.col("_v.idf").alias("weights"))
+    )
+    return top_k(chunk_vectors, question_vectors, k, "dot", min_score=0.0)
 
 
 def fuse(rankings: list[DataFrame], k: int) -> DataFrame:

@@ -143,19 +143,44 @@ def test_cosine_and_distance(value):
 
 def test_dense_form_matches_sparse(spark):
     docs = spark.createDataFrame([(1, "a b b c")], "i long, text string")
-    row = embedding.embed_hash(docs, "i").withColumn("dense", embedding.to_dense(F.col("buckets"), F.col("weights"))).first()
+    row = embedding.embed_hash(docs, ["i"]).withColumn("dense", embedding.to_dense(F.col("buckets"), F.col("weights"))).first()
     assert len(row["dense"]) == 1024 and sum(x * x for x in row["dense"]) == pytest.approx(1.0)
     assert [i for i, x in enumerate(row["dense"]) if x] == list(row["buckets"])
 
 
-def test_rare_and_frequent_terms_meet_their_idf(spark, monkeypatch):
-    """Beyond the broadcast bound the weights are the same."""
-    docs = spark.createDataFrame([(i, f"common word{i % 50} only{i}") for i in range(2000)], "i long, text string")
+def _weights(df):
+    return {(r["i"], b): round(w, 9) for r in df.collect() for b, w in zip(r["buckets"], r["weights"])}
+
+
+def test_vectors_beyond_the_broadcast_bound_are_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"common word{i % 50} only{i} common") for i in range(2000)], "i long, text string")
     idf = embedding.term_idf(docs, 2000)
-    small = embedding.hash_weights(docs, "i", idf=idf, n_chunks=2000)
+    small = _weights(embedding.embed_hash(docs, ["i"], idf=idf, n_chunks=2000))
     monkeypatch.setattr(embedding, "MAX_BROADCAST_TERMS", 10)
-    large = embedding.hash_weights(docs, "i", idf=idf, n_chunks=2000)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    large = embedding.embed_hash(docs, ["i"], idf=idf, n_chunks=2000)
+    assert _weights(large) == small and len(small) > 4000
+
+
+def test_vectors_by_hand(spark):
+    docs = spark.createDataFrame([(1, "a b a unknown"), (2, "!"), (3, None), (4, "b")], "i long, text string")
+    idf = spark.createDataFrame([("a", 1, 2.0), ("b", 1, 3.0), ("c", 1, 9.0)], "term string, df long, idf double")
+    got = {r["i"]: dict(zip(r["buckets"], r["weights"])) for r in embedding.embed_hash(docs, ["i"], idf=idf).collect()}
+    bucket = {r["term"]: r["b"] for r in idf.select("term", embedding.term_bucket(F.col("term")).alias("b")).collect()}
+    assert got == {1: {bucket["a"]: pytest.approx(0.8), bucket["b"]: pytest.approx(0.6)}, 4: {bucket["b"]: 1.0}}
+
+
+def test_embedding_within_bounds_shuffles_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b")], "i long, text string")
+    idf = spark.createDataFrame([("a", 1, 2.0)], "term string, df long, idf double")
+    plan = embedding.embed_hash(docs, ["i"], idf=idf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_lexical_beyond_the_broadcast_bound_is_the_same(spark, index, monkeypatch):
+    asked = _ask(spark, "hail collision coverage", "fire policy covers homes")
+    small = sorted(map(tuple, retrieval.retrieve_lexical(asked, index, 3).collect()))
+    monkeypatch.setattr(embedding, "MAX_BROADCAST_TERMS", 2)
+    assert sorted(map(tuple, retrieval.retrieve_lexical(asked, index, 3).collect())) == small and len(small) >= 3
 
 
 @pytest.fixture(scope="module")
