@@ -111,7 +111,7 @@ def v3(spark, sf):
     placed AS (SELECT *, coalesce(sum(breaks) OVER (PARTITION BY doc_id ORDER BY sent ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS segment FROM marked),
     segments AS (SELECT doc_id, segment, {TOKENS_SQL.format("string_agg(sentence, ' ' ORDER BY sent)")} AS t FROM placed GROUP BY ALL),
     {_pieces_sql('parts', 'segments', 'doc_id, segment', 't', 300, 0, 'part')}
-    SELECT doc_id, segment, part, md5(array_to_string(toks, ' ')) AS text_md5, len(toks) AS n_tokens FROM parts""",
+    SELECT doc_id, segment::INT AS segment, part, md5(array_to_string(toks, ' ')) AS text_md5, len(toks) AS n_tokens FROM parts""",
 )
 def c3(spark, sf):
     return chunking.chunk_semantic(documents(spark, sf)).select("doc_id", "segment", "part", _md5("text").alias("text_md5"), "n_tokens")

@@ -1,19 +1,23 @@
 """Chunking: fixed size, hierarchical and semantic.
 
-Fixed and hierarchical chunking are projections: a document is cut inside its
-own row and the pieces are exploded, so nothing is shuffled.
+All three are projections: a document is cut inside its own row and the pieces
+are exploded, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from math import ceil
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from paperloom.functions.text import sentences, terms, tokens
-from paperloom.operators.embedding import term_bucket
+from paperloom.operators.embedding import DIMENSION, term_bucket
+from paperloom.staging import once
 
 
 def _pieces(toks: Column, max_tokens: int, overlap: int) -> Column:
@@ -83,58 +87,70 @@ def chunk_hierarchical(
     )
 
 
-def sentence_distances(
-    df: DataFrame, buffer: int = 1, dim: int = 1024, doc: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """V3: cosine distance of each buffered sentence to the next one.
+def gap_distances(buckets: pa.Array, buffer: int) -> pa.Array:
+    """Cosine distances of neighbouring sentences, for a batch of documents.
 
-    Documents are spread by id once. Sums per sentence are made from the terms,
-    gathered per document (one entry per sentence) and meet the sentences of
-    the document again in its own row, so no later step moves rows.
+    ``buckets`` holds one list of term buckets per sentence and document. A
+    sentence is compared by the counts of itself and its ``buffer`` neighbours
+    on both sides; a document of n sentences gets n - 1 distances.
     """
-    docs = df.select(F.col(doc), F.col(text)).repartition(doc)
-    counts = (
-        docs.select(doc, F.posexplode(sentences(text)).alias("sent", "_sentence"))
-        .select(doc, "sent", F.explode(terms("_sentence")).alias("term"))
-        .groupBy(doc, "sent", term_bucket(F.col("term"), dim).alias("bucket"))
-        .agg(F.count("*").alias("n"))
-    )
-    # Each sentence lends its counts to the neighbours within the buffer.
-    buffered = (
-        counts.select(doc, "bucket", "n", F.explode(F.sequence(F.col("sent") - buffer, F.col("sent") + buffer)).alias("sent"))
-        .groupBy(doc, "sent", "bucket")
-        .agg(F.sum("n").alias("n"))
-    )
-    by_bucket = Window.partitionBy(doc, "bucket").orderBy("sent")
-    products = buffered.select(
-        doc,
-        "sent",
-        (F.col("n") * F.col("n")).alias("square"),
-        F.when(F.lead("sent").over(by_bucket) == F.col("sent") + 1, F.col("n") * F.lead("n").over(by_bucket))
-        .otherwise(0)
-        .alias("product"),
-    )
-    sums = F.struct(F.sum("square").cast("double").alias("square"), F.sum("product").cast("double").alias("product"))
-    per_doc = (
-        products.groupBy(doc, "sent")
-        .agg(sums.alias("_sums"))
-        .groupBy(doc)
-        .agg(F.map_from_entries(F.collect_list(F.struct("sent", "_sums"))).alias("_by_sent"))
+    per_doc = pc.fill_null(pc.list_value_length(buckets), 0).to_numpy(zero_copy_only=False)
+    inner = pc.list_flatten(buckets)
+    per_sentence = pc.list_value_length(inner).to_numpy(zero_copy_only=False)
+    # Sentences are numbered through, leaving room between documents, so that
+    # neither neighbours nor products reach from one document into the next.
+    room = 2 * buffer + 2
+    doc = np.repeat(np.arange(len(per_doc), dtype=np.int64), per_doc)
+    place = np.arange(len(doc), dtype=np.int64) + room * (doc + 1)
+    width = int(place[-1]) + room if len(place) else 1
+    key = pc.list_flatten(inner).to_numpy(zero_copy_only=False) * np.int64(width) + np.repeat(place, per_sentence)
+    keys, n = np.unique(key, return_counts=True)
+    spread = np.concatenate([keys + o for o in range(-buffer, buffer + 1)])
+    keys, where = np.unique(spread, return_inverse=True)
+    count = np.bincount(where, np.tile(n, 2 * buffer + 1), len(keys))
+    at = keys % width
+    norm = np.sqrt(np.bincount(at, count * count, width + 1))
+    both = np.flatnonzero(keys[1:] == keys[:-1] + 1)
+    product = np.bincount(at[both], count[both] * count[both + 1], width + 1)
+    first = place[:-1][doc[:-1] == doc[1:]]
+    norms = norm[first] * norm[first + 1]
+    distance = 1 - np.divide(product[first], norms, out=np.zeros(len(first)), where=norms > 0)
+    ends = np.cumsum(np.maximum(per_doc - 1, 0))
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(distance))
+
+
+def with_gaps(df: DataFrame, buffer: int, doc: str, text: str, dim: int = DIMENSION) -> DataFrame:
+    """``(doc, _sentences, _gaps)`` of the documents with a sentence.
+
+    Each document is worked on in its own row; only bucket numbers go to the
+    array code and only distances come back.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def gaps(buckets: pa.Array) -> pa.Array:
+        return gap_distances(buckets, buffer)
+
+    cut = once(df.select(doc, text), _sentences=sentences(text)).filter(F.size("_sentences") > 0)
+    numbered = F.transform("_sentences", lambda s: F.transform(terms(s), lambda t: term_bucket(t, dim)))
+    return cut.select(doc, "_sentences", gaps(numbered).alias("_gaps")).withColumn(
+        "_gaps", F.transform("_gaps", lambda d: F.round(d, 6))
     )
 
-    def entry(i: Column) -> Column:
-        mine, following = F.try_element_at("_by_sent", i), F.try_element_at("_by_sent", i + 1)
-        norms = F.sqrt(mine["square"]) * F.sqrt(following["square"])
-        distance = F.when(i < F.size("_sentences") - 1, F.round(1 - F.coalesce(mine["product"] / norms, F.lit(0.0)), 6))
-        return F.struct(i.alias("sent"), F.get("_sentences", i).alias("sentence"), distance.alias("distance"))
 
-    return (
-        docs.join(per_doc, doc, "left")
-        .select(doc, sentences(text).alias("_sentences"), "_by_sent")
-        .filter(F.size("_sentences") > 0)
-        .select(doc, F.explode(F.transform(F.sequence(F.lit(0), F.size("_sentences") - 1), entry)).alias("_s"))
-        .select(doc, "_s.*")
+def sentence_distances(df: DataFrame, buffer: int = 1, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """V3: ``(doc, sent, sentence, distance)``; distance to the next sentence."""
+    entries = F.transform(
+        "_sentences", lambda s, i: F.struct(i.alias("sent"), s.alias("sentence"), F.get("_gaps", i).alias("distance"))
     )
+    return with_gaps(df, buffer, doc, text).select(doc, F.explode(entries).alias("_s")).select(doc, "_s.*")
+
+
+def _percentile(values: Column, share: float) -> Column:
+    """Interpolated percentile of an array of numbers."""
+    ordered, position = F.sort_array(values), (F.size(values) - 1) * F.lit(share)
+    low = F.get(ordered, F.floor(position).cast("int"))
+    high = F.get(ordered, F.ceil(position).cast("int"))
+    return F.round(low + (high - low) * (position - F.floor(position)), 6)
 
 
 def chunk_semantic(
@@ -145,25 +161,26 @@ def chunk_semantic(
     doc: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Cut where the distance to the next sentence is above the percentile."""
-    whole = Window.partitionBy(doc)
-    before = Window.partitionBy(doc).orderBy("sent").rowsBetween(Window.unboundedPreceding, -1)
-    marked = sentence_distances(df, buffer, doc=doc, text=text).select(
-        doc,
-        "sent",
-        "sentence",
-        ((F.col("distance") > F.round(F.percentile("distance", F.lit(percentile / 100)).over(whole), 6)) & (F.count("*").over(whole) >= 3))
-        .cast("int")
-        .alias("breaks"),
-    )
-    segments = (
-        marked.withColumn("segment", F.coalesce(F.sum(F.coalesce("breaks", F.lit(0))).over(before), F.lit(0)))
-        .groupBy(doc, "segment")
-        .agg(F.array_sort(F.collect_list(F.struct("sent", "sentence"))).alias("_sents"))
-        .select(doc, "segment", F.array_join(F.col("_sents.sentence"), " ").alias(text))
+    """Cut where the distance to the next sentence is above the percentile.
+
+    Documents of fewer than three sentences stay one segment; a long segment is
+    cut at ``max_tokens`` without overlap. A projection as well.
+    """
+    # once: the limit is not to be found again for every sentence
+    marked = once(with_gaps(df, buffer, doc, text), _limit=_percentile(F.col("_gaps"), percentile / 100))
+    n = F.size("_sentences")
+    breaks = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.get("_gaps", i - 1) > F.col("_limit"))
+    starts = F.concat(F.array(F.lit(0)), F.when(n >= 3, breaks).otherwise(F.array().cast("array<int>")))
+    bounds = marked.select(doc, "_sentences", starts.alias("_starts"))
+    segments = F.transform(
+        "_starts",
+        lambda start, i: F.array_join(
+            F.slice("_sentences", start + 1, F.coalesce(F.get("_starts", i + 1), n) - start), " "
+        ),
     )
     return (
-        segments.withColumn("_tokens", tokens(text))
+        bounds.select(doc, F.posexplode(segments).alias("segment", "_text"))
+        .select(doc, "segment", tokens("_text").alias("_tokens"))
         .select(doc, "segment", F.posexplode(_pieces(F.col("_tokens"), max_tokens, 0)).alias("part", "_piece"))
         .select(
             doc,
