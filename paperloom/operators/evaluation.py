@@ -13,6 +13,7 @@ from paperloom.functions.prompts import ACCURACY_SYSTEM, QUALITY_SYSTEM, accurac
 from paperloom.functions.responses import first_text, parse_accuracy, parse_quality
 from paperloom.functions.text import sentences, tokens
 from paperloom.operators.invoke import invoke
+from paperloom.staging import stage
 
 # A fact is a word holding a digit, without end punctuation: numbers, ISO
 # dates, ids. Currency signs and thousands separators are dropped before.
@@ -109,7 +110,7 @@ def _judge(df: DataFrame, system: str, prompt: Column, make_judge: Callable, jud
         "payload", payload_messages(prompt, system, JUDGE_TEMPERATURE, JUDGE_TOKENS)
     )
     requests = with_policy(requests, *(policy or (None, None)))
-    return invoke(requests, make_judge, on_error="column")
+    return stage(invoke(requests, make_judge, on_error="column"), "judged")
 
 
 def judge_accuracy(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.operators.joins import join_unique
+
 
 def count_ratings(feedback: DataFrame, *keys: str) -> DataFrame:
     """Clicks per key as ``n_up``, ``n_down``, ``n_other``."""
@@ -23,7 +25,7 @@ def join_feedback(answers: DataFrame, feedback: DataFrame) -> DataFrame:
     one answer was clicked, it arrives as one row.
     """
     counted = count_ratings(feedback, "question", "answer")
-    joined = answers.join(counted, ["question", "answer"], "left")
+    joined = join_unique(answers, counted, ["question", "answer"])
     return joined.fillna(0, ["n_up", "n_down", "n_other"])
 
 

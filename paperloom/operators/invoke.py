@@ -40,7 +40,7 @@ def invoke(df: DataFrame, make_client: Callable[[], Client], on_error: str = "fa
     """M1, M9: add the response body and the seconds around each call.
 
     Reads ``payload`` (JSON) and, where present, ``model_id``, ``policy_id``
-    and ``policy_version``. With ``on_error="fail"`` a service error ends the
+    and ``policy_version``. A row without payload is not sent. With ``on_error="fail"`` a service error ends the
     job with code and message; with ``"column"`` it is a row with ``ok`` false.
     """
     if on_error not in ("fail", "column"):
@@ -72,7 +72,9 @@ def invoke(df: DataFrame, make_client: Callable[[], Client], on_error: str = "fa
     return df.mapInArrow(run, schema)
 
 
-def _call(client: Client, model_id: str, payload: str, policy_id: str | None, policy_version: str | None, on_error: str) -> tuple:
+def _call(client: Client, model_id: str, payload: str | None, policy_id: str | None, policy_version: str | None, on_error: str) -> tuple:
+    if payload is None:
+        return None, None, False, "NoPayload", "nothing to send"
     policy = (policy_id, policy_version) if policy_id and policy_version else None
     started = time.perf_counter()
     try:

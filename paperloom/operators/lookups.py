@@ -20,8 +20,11 @@ def lookup_policy(df: DataFrame, name: str, name_col: str = "name", order_col: s
 
 
 def exists_in(df: DataFrame, names: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
-    """``(already there, to create)``."""
-    return df.join(names, on, "left_semi"), df.join(names, on, "left_anti")
+    """``(already there, to create)``; however often a name is listed or asked."""
+    listed = names.select(on).distinct().withColumn("_listed", F.lit(True))
+    marked = join_unique(df, listed, [on])
+    there = F.col("_listed").isNotNull()
+    return marked.filter(there).select(*df.columns), marked.filter(~there).select(*df.columns)
 
 
 def drop_empty(df: DataFrame, entry: str) -> DataFrame:
@@ -43,7 +46,7 @@ def keep_first(registry: DataFrame, name: Column, order_col: str, columns: list[
 def lookup_join(names: DataFrame, registry: DataFrame, name: str = "name", order_col: str = "ordinal") -> DataFrame:
     """Id and version for many names, null with ``not_found`` where absent."""
     first = keep_first(registry, strip(name), order_col, ["id", "version"]).withColumn("_found", F.lit(True))
-    joined = join_unique(names.withColumn("_name", strip(name)), first, "_name")
+    joined = join_unique(names.withColumn("_name", strip(name)), first, ["_name"])
     return joined.withColumn("not_found", F.col("_found").isNull()).drop("_name", "_found")
 
 

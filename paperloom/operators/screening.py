@@ -18,7 +18,7 @@ from paperloom.functions.policy import (
     sentence_terms,
 )
 from paperloom.operators.invoke import invoke
-from paperloom.staging import once
+from paperloom.staging import once, stage
 
 
 def _labels(kind: str, names: Column) -> Column:
@@ -104,10 +104,21 @@ def guarded_invoke(
     Adds ``answer``, ``action`` and ``reasons``. The model sees the masked text.
     """
     screened = apply_policy(df, policy, "input", text)
-    passed = screened.filter(F.col("action") != "blocked")
-    refused = screened.filter(F.col("action") == "blocked").withColumn("answer", F.col(text))
-    called = invoke(passed.withColumn("payload", build_payload(F.col(text))), make_client, on_error="column")
-    answered = called.withColumn("answer", answer_of(F.col("response")))
-    kept = [c for c in screened.columns if c not in ("action", "reasons")]
-    output = apply_policy(answered.select(*kept, "answer"), policy, "output", "answer")
-    return output.unionByName(refused.select(*output.columns))
+    blocked = F.col("action") == "blocked"
+    requests = screened.withColumn("payload", F.when(~blocked, build_payload(F.col(text))))
+    called = stage(invoke(requests, make_client, on_error="column"), "guarded")
+    # the verdict on the answer stands unless the question was blocked before
+    first = called.select(
+        *[c for c in screened.columns if c not in ("action", "reasons")],
+        F.when(blocked, F.struct(text, "action", "reasons")).alias("_refused"),
+        answer_of(F.col("response")).alias("answer"),
+    )
+    second = apply_policy(first, policy, "output", "answer")
+    refused = F.col("_refused")
+    return second.withColumns(
+        {
+            "answer": F.when(refused.isNotNull(), refused[text]).otherwise(F.col("answer")),
+            "action": F.coalesce(refused["action"], F.col("action")),
+            "reasons": F.coalesce(refused["reasons"], F.col("reasons")),
+        }
+    ).drop("_refused")
