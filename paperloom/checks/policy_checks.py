@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperloom.checks.base import CLAIMS_SQL, check, claims, document_index, documents, questions, table
-from paperloom.checks.search_checks import HITS_SQL, SENTENCES_SQL, TERMS_SQL
+from paperloom.checks.search_checks import ANSWERS_SQL, HITS_SQL, SENTENCES_SQL, TERMS_SQL, _flat_answers
 from paperloom.functions import policy as rules
 from paperloom.functions.payloads import payload_messages
 from paperloom.functions.responses import first_text
 from paperloom.functions.text import terms
 from paperloom.operators import screening
+from paperloom.operators.answers import answer
 from paperloom.operators.invoke import make_stub
 from paperloom.operators.retrieval import retrieve_guarded
 from paperloom.staging import once
@@ -80,15 +81,15 @@ _MASKED_KINDS = [t for t, a in rules.PII_ACTIONS if a == "ANONYMIZE"]
 _MARKS_SQL = "list_filter([" + ", ".join(f"CASE WHEN {_added(k)} > 0 THEN 'pii:{k}' END" for k in _MASKED_KINDS) + "], lambda x: x IS NOT NULL)"
 
 
-def screened_sql(source: str, keys: str, side: str, text: str = "text") -> str:
-    """CTEs ending in ``screened(keys, text, action, reasons)``."""
+def screened_sql(source: str, keys: str, side: str, text: str = "text", tag: str = "") -> str:
+    """CTEs ending in ``screened(keys, text, action, reasons)``, names ending in ``tag``."""
     message = _quoted(rules.BLOCKED_INPUT if side == "input" else rules.BLOCKED_OUTPUT)
-    return f"""prepared AS (SELECT {keys}, {text} AS text, {TERMS_SQL.format(text)} AS terms, {mask_sql(text)} AS masked,
+    return f"""prepared{tag} AS (SELECT {keys}, {text} AS text, {TERMS_SQL.format(text)} AS terms, {mask_sql(text)} AS masked,
       list_filter(list_transform({SENTENCES_SQL.format(t=text)}, lambda s: list_distinct({TERMS_SQL.format('s')})), lambda s: len(s) > 0) AS sets FROM {source}),
-    judged AS (SELECT {keys}, text, masked, list_concat({_filters_sql(side)}, {_TOPICS_SQL}, {_BLOCKS_SQL}) AS why, {_MARKS_SQL} AS marks FROM prepared),
-    screened AS (SELECT {keys}, CASE WHEN len(why) > 0 THEN {message} ELSE masked END AS text,
+    judged{tag} AS (SELECT {keys}, text, masked, list_concat({_filters_sql(side)}, {_TOPICS_SQL}, {_BLOCKS_SQL}) AS why, {_MARKS_SQL} AS marks FROM prepared{tag}),
+    screened{tag} AS (SELECT {keys}, CASE WHEN len(why) > 0 THEN {message} ELSE masked END AS text,
       CASE WHEN len(why) > 0 THEN 'blocked' WHEN len(marks) > 0 THEN 'masked' ELSE 'none' END AS action,
-      CASE WHEN len(why) > 0 THEN why ELSE marks END AS reasons FROM judged)"""
+      CASE WHEN len(why) > 0 THEN why ELSE marks END AS reasons FROM judged{tag})"""
 
 
 # Turns of which some are followed by a question close to a denied topic.
@@ -210,7 +211,7 @@ def k6_output(spark, sf):
     "k7_guarded_invoke",
     f"""WITH {PROMPTS_SQL}, {screened_sql('prompts', 'conv_id, turn', 'input')},
     called AS (SELECT conv_id, turn, CASE WHEN action = 'blocked' THEN text ELSE '[stub] ' || right(trim(text, E' \\n'), 200) END AS reply, action AS first FROM screened),
-    {screened_sql('called', 'conv_id, turn, first', 'output', 'reply').replace('prepared', 'prepared2').replace('judged', 'judged2').replace('screened', 'screened2')}
+    {screened_sql('called', 'conv_id, turn, first', 'output', 'reply', '2')}
     SELECT conv_id, turn, CASE WHEN first = 'blocked' THEN 'blocked' ELSE action END AS action,
     md5(CASE WHEN first = 'blocked' THEN {_quoted(rules.BLOCKED_INPUT)} ELSE text END) AS answer_md5 FROM screened2""",
 )
@@ -255,3 +256,20 @@ def k9(spark, sf):
 )
 def k10(spark, sf):
     return screening.screening_report(screening.apply_policy(documents(spark, sf), _policy()))
+
+
+_ASKED = "asked AS (SELECT item_id AS query_id, text AS question FROM benchmark)"
+_PASSED = f"""asked_raw AS (SELECT item_id AS query_id, text AS question FROM benchmark), {screened_sql('asked_raw', 'query_id', 'input', 'question')},
+  asked AS (SELECT query_id, text AS question FROM screened WHERE action <> 'blocked')"""
+
+
+@check(
+    "r8_answer_defaults",
+    f"""WITH {ANSWERS_SQL.replace(_ASKED, _PASSED)}, {screened_sql('answers', 'query_id, n_citations, cited', 'output', 'answer', '2')}
+    SELECT query_id, text AS answer, n_citations, cited, action FROM screened2
+    UNION ALL SELECT query_id, text, 0, '', action FROM screened WHERE action = 'blocked'""",
+)
+def r8(spark, sf):
+    """The question form: its own token budget, a policy, no explicit k."""
+    done = answer(questions(spark, sf), document_index(spark, sf), make_stub, max_tokens=256, policy=_policy())
+    return _flat_answers(done).join(done.select("query_id", "action"), "query_id")

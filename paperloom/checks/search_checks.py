@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperloom.checks.base import check, document_index, documents, questions, table
-from paperloom.functions.policy import Policy
 from paperloom.functions.text import WHITESPACE
 from paperloom.operators import answers as answering
 from paperloom.operators import chunking, embedding, retrieval
@@ -384,14 +383,6 @@ def g6(spark, sf):
     return counted.groupBy(F.col("n_citations").cast("long").alias("n_citations")).agg(F.count("*").alias("n_answers"))
 
 
-@check("r8_answer_defaults", f"WITH {ANSWERS_SQL} SELECT query_id, answer, n_citations, cited, 'none' AS action FROM answers")
-def r8(spark, sf):
-    """The question form: its own token budget, a policy, no explicit k."""
-    asked = questions(spark, sf)
-    done = answering.answer(asked, document_index(spark, sf), make_stub, max_tokens=256, policy=Policy())
-    return _flat_answers(done).join(done.select("query_id", "action"), "query_id")
-
-
 @check(
     "r7_answer_extractive",
     f"""WITH {HITS_SQL}, sents AS (SELECT query_id, question, rank, chunk_id, unnest(l) AS answer, generate_subscripts(l, 1) - 1 AS pos FROM (

@@ -17,7 +17,7 @@ from paperloom.staging import stage
 
 # A fact is a word holding a digit, without end punctuation: numbers, ISO
 # dates, ids. Currency signs and thousands separators are dropped before.
-FACT_PATTERN = r"(?=[A-Za-z./#-]*[0-9])[A-Za-z0-9#][A-Za-z0-9./#-]*[A-Za-z0-9]|[0-9]"
+FACT_PATTERN = r"(?<![A-Za-z0-9#])(?=[A-Za-z./#-]*+[0-9])(?:[A-Za-z0-9#][A-Za-z0-9./#-]*[A-Za-z0-9]|[0-9])"
 DROPPED = "$,"
 JUDGE_TEMPERATURE = 0.5
 JUDGE_TOKENS = 512
