@@ -8,7 +8,7 @@ from paperloom.checks.base import check, document_index, documents, questions, t
 from paperloom.functions.text import WHITESPACE
 from paperloom.operators import answers as answering
 from paperloom.operators import chunking, embedding, retrieval
-from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, to_rebuild
+from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, refresh_chunks, to_rebuild
 from paperloom.operators.invoke import make_stub
 from paperloom.operators.search import top_k
 from paperloom.staging import stage, stage_path
@@ -201,43 +201,56 @@ def e5(spark, sf):
 
 @check(
     "e6_ingest",
-    f"""WITH {CHUNKS_SQL}, with_terms AS (SELECT *, len({TERMS_SQL.format('text')}) > 0 AS has_terms FROM chunks WHERE lang IN ('en', 'fr'))
+    f"""WITH {CHUNKS_SQL}, with_terms AS (SELECT *, len({TERMS_SQL.format('text')}) > 0 AS has_terms FROM chunks)
     SELECT lang, count(*) AS n_chunks, sum(n_tokens)::BIGINT AS n_tokens, count(*) FILTER (has_terms) AS n_vectors FROM with_terms GROUP BY lang""",
 )
 def e6(spark, sf):
-    chosen = documents(spark, sf, "lang").filter(F.col("lang").isin("en", "fr"))
-    index = ingest(chosen, stage_path(spark, "index"), metadata=("lang",), partition_by="lang")
+    index = ingest(documents(spark, sf, "lang"), stage_path(spark, "index"), metadata=("lang",), partition_by="lang")
     chunks = index.chunks.groupBy("lang").agg(F.count("*").alias("n_chunks"), F.sum("n_tokens").alias("n_tokens"))
     return chunks.join(index.vectors.groupBy("lang").agg(F.count("*").alias("n_vectors")), "lang")
 
 
-DIFF_SQL = """old_docs AS (SELECT doc_id, text FROM documents WHERE doc_id % 10 <> 1),
-  new_docs AS (SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN text || '!' ELSE text END AS text FROM documents WHERE doc_id % 10 <> 2),
+DIFF_SQL = """old_docs AS (SELECT doc_id, text FROM documents WHERE source <> 'src1'),
+  new_docs AS (SELECT doc_id, CASE WHEN source = 'src3' THEN text || '!' ELSE text END AS text FROM documents WHERE source <> 'src2'),
   diff AS (SELECT doc_id, CASE WHEN o.doc_id IS NULL THEN 'new' WHEN n.doc_id IS NULL THEN 'removed' WHEN o.text <> n.text THEN 'changed'
     ELSE 'unchanged' END AS status FROM old_docs o FULL JOIN new_docs n USING (doc_id))"""
 
 
 def _diff(spark, sf):
-    docs = documents(spark, sf)
-    last = F.col("doc_id") % 10
-    changed = F.when(last == 3, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    new = docs.filter(last != 2).select("doc_id", changed.alias("text"))
-    return new, diff_ingest(docs.filter(last != 1), new)
+    """One source came, one went, one was edited."""
+    docs, source = documents(spark, sf, "source"), F.col("source")
+    edited = F.when(source == "src3", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    old = docs.filter(source != "src1").select("doc_id", "text")
+    new = docs.filter(source != "src2").select("doc_id", edited.alias("text"))
+    return old, new, diff_ingest(old, new)
 
 
 @check("e7_diff_ingest", f"WITH {DIFF_SQL} SELECT doc_id, status FROM diff")
 def e7(spark, sf):
-    return _diff(spark, sf)[1]
+    return _diff(spark, sf)[2]
 
 
 @check("e7_to_rebuild", f"WITH {DIFF_SQL} SELECT doc_id, md5(n.text) AS text_md5 FROM diff JOIN new_docs n USING (doc_id) WHERE status IN ('new', 'changed')")
 def e7_rebuild(spark, sf):
-    return to_rebuild(*_diff(spark, sf)).select("doc_id", _md5("text").alias("text_md5"))
+    _, new, diff = _diff(spark, sf)
+    return to_rebuild(new, diff).select("doc_id", _md5("text").alias("text_md5"))
+
+
+@check(
+    "e7_refresh_chunks",
+    f"""WITH {DIFF_SQL}, doc_tokens AS (SELECT doc_id, {TOKENS_SQL.format('text')} AS t FROM new_docs),
+    {_pieces_sql('pieces', 'doc_tokens', 'doc_id', 't', 300, 15, 'chunk_idx')}
+    SELECT doc_id, chunk_idx, md5(array_to_string(toks, ' ')) AS text_md5 FROM pieces""",
+)
+def e7_refresh(spark, sf):
+    old, new, diff = _diff(spark, sf)
+    chunks = stage(chunking.chunk_fixed(old), "chunks")
+    return refresh_chunks(chunks, new, stage(diff, "diff")).select("doc_id", "chunk_idx", _md5("text").alias("text_md5"))
 
 
 @check("e8_ingest_report", f"WITH {DIFF_SQL} SELECT status, count(*) AS n_docs FROM diff GROUP BY status")
 def e8(spark, sf):
-    return ingest_report(_diff(spark, sf)[1])
+    return ingest_report(_diff(spark, sf)[2])
 
 
 def _nearest_sql(score: str, order: str) -> str:
@@ -309,6 +322,23 @@ def v5(spark, sf):
     return retrieval.retrieve_one(document_index(spark, sf), longest).select("rank", "chunk_id", "score")
 
 
+HIERARCHY_SQL = f"""doc_tokens AS (SELECT doc_id, {TOKENS_SQL.format('text')} AS t FROM documents),
+  {_pieces_sql('parents', 'doc_tokens', 'doc_id', 't', 1000, 50, 'parent_idx')},
+  {_pieces_sql('children', 'parents', 'doc_id, parent_idx', 'toks', 500, 50, 'child_idx')},
+  chunks AS (SELECT doc_id || '#' || parent_idx || '#' || child_idx AS chunk_id, array_to_string(toks, ' ') AS text FROM children)"""
+
+
+@check(
+    "c2_retrieve_parents",
+    f"""WITH {SCORES_SQL.replace(CHUNKS_SQL, HIERARCHY_SQL)},
+    parent_scores AS (SELECT query_id, array_to_string(string_split(chunk_id, '#')[:2], '#') AS chunk_id, max(score) AS score FROM scores GROUP BY ALL),
+    {_hits_sql('hits', 3, 'parent_scores')} SELECT query_id, rank, chunk_id AS parent_id, score FROM hits""",
+)
+def c2_parents(spark, sf):
+    index = ingest(documents(spark, sf), stage_path(spark, "index"), chunker=chunking.chunk_hierarchical)
+    return retrieval.retrieve_parents(questions(spark, sf), index, 3)
+
+
 BM25_SQL = """lengths AS (SELECT chunk_id, sum(tf) AS n FROM tf GROUP BY 1),
   all_lengths AS (SELECT chunk_id, coalesce(n, 0) AS n FROM chunks LEFT JOIN lengths USING (chunk_id)),
   lexical AS (SELECT query_id, chunk_id, round(sum(idf * tf.tf * 2.2 / (tf.tf + 1.2 * (0.25 + 0.75 * n / (SELECT avg(n) FROM all_lengths)))), 6) AS score

@@ -57,14 +57,14 @@ def s4(spark, sf):
 
 @check(
     "s5_default_key",
-    "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'landing/' || page_id ELSE url END AS key FROM pages WHERE page_id % 5 <> 0",
+    "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'landing/' || page_id ELSE url END AS key FROM pages WHERE starts_with(url, 'https://')",
 )
 def s5(spark, sf):
     files = table(spark, sf, "pages").select(
         "page_id",
         F.col("url").alias("file_name"),
         F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("landing/"), "page_id")).alias("key"),
-        F.when(F.col("page_id") % 5 != 0, F.col("html").cast("binary")).alias("content"),
+        F.when(F.col("url").startswith("https://"), F.col("html").cast("binary")).alias("content"),
     )
     uploaded, _ = objects.upload_outcome(files)
     return uploaded.select("page_id", "key")

@@ -129,13 +129,13 @@ def j7(spark, sf):
 
 @check(
     "j8_ab_policy",
-    """SELECT doc_id, quality::DOUBLE AS without_policy, CASE WHEN doc_id % 5 <> 0 THEN quality * (1 - toxic * 0.5)::DOUBLE END AS with_policy,
-    CASE WHEN doc_id % 5 <> 0 THEN quality * (1 - toxic * 0.5)::DOUBLE - quality END AS change FROM labels""",
+    """SELECT doc_id, quality::DOUBLE AS without_policy, quality * (1 - toxic * 0.5)::DOUBLE AS with_policy,
+    quality * (1 - toxic * 0.5)::DOUBLE - quality AS change FROM labels""",
 )
 def j8(spark, sf):
     labels = table(spark, sf, "labels")
     plain = labels.select("doc_id", F.lit(False).alias("policy"), F.col("quality").cast("double").alias("accuracy"))
-    guarded = labels.filter("doc_id % 5 <> 0").select("doc_id", F.lit(True).alias("policy"), (F.col("quality") * (1 - F.col("toxic") * F.lit(0.5))).alias("accuracy"))
+    guarded = labels.select("doc_id", F.lit(True).alias("policy"), (F.col("quality") * (1 - F.col("toxic") * F.lit(0.5))).alias("accuracy"))
     return evaluation.ab_policy(plain.unionByName(guarded))
 
 

@@ -7,6 +7,7 @@ may be partitioned by one of them, so a metadata filter prunes the scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,13 +38,15 @@ def ingest(
     metadata: tuple[str, ...] = (),
     partition_by: str | None = None,
     dim: int = DIMENSION,
-    max_tokens: int = 300,
-    overlap_pct: int = 5,
+    chunker: Callable[[DataFrame], DataFrame] = chunk_fixed,
 ) -> Index:
-    """Chunk, weigh and embed ``docs``; every table is written once."""
+    """Chunk, weigh and embed ``docs``; every table is written once.
+
+    ``chunker`` is any of the chunking operators, with its settings bound.
+    """
     spark = docs.sparkSession
     parts = [partition_by] if partition_by else []
-    chunk_fixed(docs.select("doc_id", "text", *metadata), max_tokens, overlap_pct).write.partitionBy(*parts).parquet(f"{path}/chunks")
+    chunker(docs.select("doc_id", "text", *metadata)).write.partitionBy(*parts).parquet(f"{path}/chunks")
     chunks = spark.read.parquet(f"{path}/chunks")
     n_chunks = chunks.count()
     term_idf(chunks, n_chunks).write.parquet(f"{path}/terms")
@@ -82,6 +85,15 @@ def to_rebuild(new: DataFrame, diff: DataFrame, key: str = "doc_id") -> DataFram
     return new.join(diff.filter(F.col("status").isin("new", "changed")).select(key), key, "left_semi")
 
 
+def refresh_chunks(
+    chunks: DataFrame, new: DataFrame, diff: DataFrame, key: str = "doc_id", chunker: Callable[[DataFrame], DataFrame] = chunk_fixed
+) -> DataFrame:
+    """The chunk table of ``new``: kept chunks and those made again."""
+    stale = diff.filter(F.col("status").isin("removed", "changed")).select(key)
+    made = chunker(to_rebuild(new, diff, key))
+    return chunks.select(*made.columns).join(stale, key, "left_anti").unionByName(made)
+
+
 def ingest_report(diff: DataFrame) -> DataFrame:
     """Documents by status."""
     return diff.groupBy("status").agg(F.count("*").alias("n_docs"))

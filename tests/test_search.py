@@ -1,12 +1,14 @@
 import math
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from paperloom.operators import chunking, embedding, retrieval
 from paperloom.operators.answers import answer, answer_extractive, build_context, n_citations
-from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, load_index
+from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, load_index, refresh_chunks
 from paperloom.operators.invoke import make_stub
 from paperloom.operators.search import top_k
 from paperloom.functions.policy import Policy
@@ -254,3 +256,52 @@ def test_diff_ingest(spark):
     assert {r["status"]: r["n_docs"] for r in ingest_report(diff).collect()} == {"unchanged": 1, "changed": 1, "removed": 1, "new": 1}
     plan = diff._jdf.queryExecution().executedPlan().toString()
     assert plan.index("sha2") > plan.index("Exchange")  # hashed below the shuffle
+
+
+def test_refreshed_chunks_equal_a_full_rebuild(spark):
+    schema = "doc_id long, text string"
+    old = spark.createDataFrame([(1, "a b"), (2, "c d"), (3, "e")], schema)
+    new = spark.createDataFrame([(1, "a b"), (2, "c d e"), (4, "f")], schema)
+    chunks = refresh_chunks(chunking.chunk_fixed(old), new, diff_ingest(old, new))
+    assert sorted(map(tuple, chunks.collect())) == sorted(map(tuple, chunking.chunk_fixed(new).collect()))
+
+
+def test_best_parents_are_exact(spark, tmp_path):
+    """Against the best child of every parent, scored one by one."""
+    rng = np.random.default_rng(5)
+    docs = [(i, " ".join(f"w{j}" for j in rng.integers(0, 40, 60))) for i in range(12)]
+    cut = partial(chunking.chunk_hierarchical, parent_tokens=10, child_tokens=4, overlap=1)
+    index = ingest(spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path / "i"), chunker=cut)
+    asked = _ask(spark, "w1 w2 w3", "w7 w9")
+    every = retrieval.retrieve(asked, index, 10_000).collect()
+    best = {}
+    for r in every:
+        parent = (r["query_id"], r["chunk_id"].rsplit("#", 1)[0])
+        best[parent] = max(best.get(parent, 0.0), r["score"])
+    want = {q: sorted((-s, p) for (q2, p), s in best.items() if q2 == q)[:4] for q in (0, 1)}
+    got = retrieval.retrieve_parents(asked, index, 4).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["parent_id"], r["score"]) for r in got] == [(q, p, -s) for q in (0, 1) for s, p in want[q]]
+
+
+def test_semantic_index(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "Cats purr. Cats sleep. Engines roar. Engines burn fuel.")], "doc_id long, text string")
+    index = ingest(docs, str(tmp_path / "i"), chunker=chunking.chunk_semantic)
+    assert retrieval.retrieve(_ask(spark, "fuel"), index, 1).count() == 1
+
+
+@pytest.mark.parametrize("buffer", [0, 1, 2])
+def test_gap_distances_by_hand(spark, buffer):
+    """Documents of a batch do not touch each other."""
+    rng = np.random.default_rng(buffer)
+    docs = [[[int(x) for x in rng.integers(0, 6, rng.integers(0, 5))] for _ in range(n)] for n in (0, 1, 2, 7, 3)] + [None]
+    got = chunking.gap_distances(pa.array(docs, pa.list_(pa.list_(pa.int32()))), buffer).to_pylist()
+    want = []
+    for sents in docs:
+        counts = [np.bincount(np.array(s, dtype=int), minlength=6) for s in sents or []]
+        wide = [sum(counts[max(0, i - buffer) : i + buffer + 1]) for i in range(len(counts))]
+        row = []
+        for a, b in zip(wide, wide[1:]):
+            norm = np.linalg.norm(a) * np.linalg.norm(b)
+            row.append(1 - float(a @ b) / norm if norm else 1.0)
+        want.append(pytest.approx(row))
+    assert got == want
