@@ -20,14 +20,14 @@ BUCKET_SQL = "(('0x' || substr(md5({}), 1, 8))::BIGINT % {})"
 
 def _pieces_sql(name: str, source: str, keys: str, tokens: str, size: int, overlap: int, idx: str) -> str:
     step = size - overlap
-    return f"""{name} AS (SELECT {keys}, {idx}, {tokens}[{idx} * {step} + 1 : {idx} * {step} + {size}] AS toks FROM (
+    return f"""{name} AS (SELECT {keys}, {idx}::INT AS {idx}, {tokens}[{idx} * {step} + 1 : {idx} * {step} + {size}] AS toks FROM (
       SELECT *, unnest(range(greatest(1, ceil((len({tokens}) - {overlap}) / {step}.0))::BIGINT)) AS {idx} FROM {source} WHERE len({tokens}) > 0))"""
 
 
 CHUNKS_SQL = (
     f"doc_tokens AS (SELECT doc_id, lang, {TOKENS_SQL.format('text')} AS t FROM documents), "
     + _pieces_sql("pieces", "doc_tokens", "doc_id, lang", "t", 300, 15, "chunk_idx")
-    + ", chunks AS (SELECT *, doc_id || '#' || chunk_idx AS chunk_id, array_to_string(toks, ' ') AS text, len(toks) AS n_tokens FROM pieces)"
+    + ", chunks AS (SELECT *, doc_id || '#' || chunk_idx AS chunk_id, array_to_string(toks, ' ') AS text, len(toks)::INT AS n_tokens FROM pieces)"
 )
 IDF_SQL = f"""tf AS (SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id, unnest({TERMS_SQL.format('text')}) AS term FROM chunks) GROUP BY ALL),
   idf AS (SELECT term, df, ln(1 + ((SELECT count(*) FROM chunks) - df + 0.5) / (df + 0.5)) AS idf FROM (SELECT term, count(*) AS df FROM tf GROUP BY term))"""
@@ -45,7 +45,7 @@ SCORES_SQL = f"""{CHUNKS_SQL}, {IDF_SQL}, {QUESTIONS_SQL}, {_unit_sql('chunk_vec
 
 
 def _hits_sql(name: str, k: int, scores: str = "scores", where: str = "true") -> str:
-    return f"""{name} AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank, chunk_id, score
+    return f"""{name} AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id))::INT AS rank, chunk_id, score
       FROM {scores} WHERE score > 0 AND {where} QUALIFY rank <= {k})"""
 
 
@@ -73,7 +73,7 @@ def c1(spark, sf):
     f"""WITH doc_tokens AS (SELECT doc_id, {TOKENS_SQL.format('text')} AS t FROM documents),
     {_pieces_sql('parents', 'doc_tokens', 'doc_id', 't', 1000, 50, 'parent_idx')},
     {_pieces_sql('children', 'parents', 'doc_id, parent_idx', 'toks', 500, 50, 'child_idx')}
-    SELECT doc_id || '#' || parent_idx AS parent_id, child_idx, md5(array_to_string(toks, ' ')) AS text_md5, len(toks) AS n_tokens FROM children""",
+    SELECT doc_id || '#' || parent_idx AS parent_id, child_idx, md5(array_to_string(toks, ' ')) AS text_md5, len(toks)::INT AS n_tokens FROM children""",
 )
 def c2(spark, sf):
     return chunking.chunk_hierarchical(documents(spark, sf)).select("parent_id", "child_idx", _md5("text").alias("text_md5"), "n_tokens")
@@ -97,7 +97,7 @@ DISTANCES_SQL = f"""sents AS (SELECT doc_id, unnest(l) AS sentence, generate_sub
     LEFT JOIN products p ON p.doc_id = s.doc_id AND p.sent = s.sent)"""
 
 
-@check("v3_sentence_distances", f"WITH {DISTANCES_SQL} SELECT doc_id, sent, md5(sentence) AS sentence_md5, distance FROM distances")
+@check("v3_sentence_distances", f"WITH {DISTANCES_SQL} SELECT doc_id, sent::INT AS sent, md5(sentence) AS sentence_md5, distance FROM distances")
 def v3(spark, sf):
     return chunking.sentence_distances(documents(spark, sf)).select("doc_id", "sent", _md5("sentence").alias("sentence_md5"), "distance")
 
@@ -110,7 +110,7 @@ def v3(spark, sf):
     placed AS (SELECT *, coalesce(sum(breaks) OVER (PARTITION BY doc_id ORDER BY sent ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS segment FROM marked),
     segments AS (SELECT doc_id, segment, {TOKENS_SQL.format("string_agg(sentence, ' ' ORDER BY sent)")} AS t FROM placed GROUP BY ALL),
     {_pieces_sql('parts', 'segments', 'doc_id, segment', 't', 300, 0, 'part')}
-    SELECT doc_id, segment::INT AS segment, part, md5(array_to_string(toks, ' ')) AS text_md5, len(toks) AS n_tokens FROM parts""",
+    SELECT doc_id, segment::INT AS segment, part, md5(array_to_string(toks, ' ')) AS text_md5, len(toks)::INT AS n_tokens FROM parts""",
 )
 def c3(spark, sf):
     return chunking.chunk_semantic(documents(spark, sf)).select("doc_id", "segment", "part", _md5("text").alias("text_md5"), "n_tokens")
@@ -255,7 +255,7 @@ def e8(spark, sf):
 
 def _nearest_sql(score: str, order: str) -> str:
     return f"""SELECT query_id, rank, vec_id, score FROM (SELECT q.vec_id AS query_id, c.vec_id, round({score}, 6) AS score,
-      row_number() OVER (PARTITION BY q.vec_id ORDER BY round({score}, 6) {order}, c.vec_id) AS rank FROM
+      (row_number() OVER (PARTITION BY q.vec_id ORDER BY round({score}, 6) {order}, c.vec_id))::INT AS rank FROM
       (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) q, (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) c) WHERE rank <= 3"""
 
 
@@ -369,7 +369,7 @@ def _overlap_sql(question: str, text: str) -> str:
     "r3_rerank",
     f"""WITH {SCORES_SQL}, {_hits_sql('near', 12)}, scored AS (SELECT query_id, chunk_id, {_overlap_sql('question', 'text')} AS score
       FROM near JOIN chunks USING (chunk_id) JOIN asked USING (query_id))
-    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank, chunk_id, score FROM scored QUALIFY rank <= 3""",
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id))::INT AS rank, chunk_id, score FROM scored QUALIFY rank <= 3""",
 )
 def r3(spark, sf):
     index = document_index(spark, sf)
@@ -418,7 +418,7 @@ def g6(spark, sf):
     f"""WITH {HITS_SQL}, sents AS (SELECT query_id, question, rank, chunk_id, unnest(l) AS answer, generate_subscripts(l, 1) - 1 AS pos FROM (
       SELECT *, {SENTENCES_SQL.format(t='text')} AS l FROM hits JOIN chunks USING (chunk_id) JOIN asked USING (query_id))),
     scored AS (SELECT *, {_overlap_sql('question', 'answer')} AS score FROM sents)
-    SELECT query_id, rank, chunk_id, pos, answer, score FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, rank, pos) = 1""",
+    SELECT query_id, rank, chunk_id, pos::INT AS pos, answer, score FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, rank, pos) = 1""",
 )
 def r7(spark, sf):
     index = document_index(spark, sf)
