@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import language, mixing, pieces, secrets, sharding, simhash
+from paperloom.llm import language, mixing, neighbours, pieces, secrets, sharding, simhash, token_files, urls, vector_copies
 from paperloom.shipping import ship_package
+from paperloom.staging import stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +53,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op2_token_files")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = tokenizer_file("byte_bpe_50k.json")
+    parts = token_files.write_tokens(table(spark, sf_dir, "documents"), stage_path(spark, "tokens"), tokenizer)
+    return token_files.digest_tokens(parts, "<u2")
+
+
 MIX_WEIGHTS = {
     ("web",): 5,
     ("books",): 3,
@@ -164,3 +172,63 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
         secrets.listed(F.col("secrets")).alias("spans"),
     )
+
+
+URL_RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+# Edges are taken from links that are absolute, as those of the given pages would be.
+URL_SQL = r"""
+WITH RECURSIVE rules(verdict, host, path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+edges AS (
+  SELECT url AS source, unnest([
+    regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical["''\s>][^>]*>'), '(?is)\bhref\s*=\s*["'']?([^\s>"'']+)', 1),
+    regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh["''\s][^>]*>'), '(?is)url\s*=\s*["'']?([^"''>]*)', 1)]) AS target
+  FROM pages),
+spelled AS (
+  SELECT url AS u FROM pages UNION SELECT target FROM edges WHERE target LIKE '%://%' UNION SELECT source FROM edges WHERE target LIKE '%://%'),
+parts AS (
+  SELECT u, lower(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1)) AS host, regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    CASE WHEN contains(u, '://') THEN lower(regexp_extract(u, '(?s)^(.*?)://', 1)) || '://' || lower(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1)) ||
+      CASE WHEN regexp_extract(u, '(?s)^.*?://[^/?#]*([^#]*)', 1) LIKE '/%' THEN '' ELSE '/' END || regexp_extract(u, '(?s)^.*?://[^/?#]*([^#]*)', 1) END AS name
+  FROM spelled),
+ruled AS (
+  SELECT u, any_value(p.host) AS host, any_value(p.path) AS path, any_value(name) AS name,
+    arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM parts p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY u),
+arcs AS (
+  SELECT DISTINCT a.name AS x, b.name AS y FROM edges e JOIN ruled a ON a.u = e.source JOIN ruled b ON b.u = e.target WHERE a.name <> b.name),
+ways AS (SELECT x, y FROM arcs UNION SELECT y, x FROM arcs),
+reach(x, y) AS (SELECT name, name FROM ruled WHERE name IS NOT NULL UNION SELECT r.x, w.y FROM reach r JOIN ways w ON w.x = r.y),
+said AS (
+  SELECT r.x AS name, bool_or(coalesce(q.verdict = 'allow', FALSE)) AS allowed, bool_or(coalesce(q.verdict = 'block', FALSE)) AS blocked
+  FROM reach r JOIN ruled q ON q.name = r.y GROUP BY r.x)
+SELECT page_id, coalesce(q.host, '') AS host, coalesce(q.path, '') AS path, q.rule,
+  coalesce(q.verdict, CASE WHEN s.allowed THEN 'allow' WHEN s.blocked THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages LEFT JOIN ruled q ON q.u = url LEFT JOIN said s ON s.name = q.name
+"""
+
+
+@query("op7_urls", URL_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    judged = urls.judge_urls(pages.select("page_id", "url"), URL_RULES, urls.page_edges(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op9_neighbours")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.filter("vec_id % 20 = 0"), 20)
+
+
+@query("op10_vector_copies")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_copies.vector_components(table(spark, sf_dir, "embeddings"))
