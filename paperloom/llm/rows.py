@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.shipping import ship_package
 
+# Rows and bytes of text that a task works on at once.
+SLICE_ROWS, SLICE_BYTES = 512, 4 << 20
+
 
 def without(columns: list[str], taken: list[str]) -> list[str]:
     """``columns`` that do not clash with ``taken``; names differ by more than case."""
@@ -30,7 +35,8 @@ def append_columns(
     ``make`` runs once in each task and returns a function from the values of a
     batch to one list or array per new column. ``keep`` names the columns of
     ``df`` that stay (all by default); a new column replaces one of its name.
-    Batches are bounded in rows and bytes by Spark's Arrow settings.
+    What a task holds is bounded by ``SLICE_ROWS`` and ``SLICE_BYTES``, or by
+    one row where that is larger.
     """
     ship_package(df.sparkSession)
     kept = without(df.columns if keep is None else keep, schema.fieldNames())
@@ -43,14 +49,27 @@ def append_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            made = work(batch.column(1))
-            arrays = [a if isinstance(a, pa.Array) else pa.array(a, t) for a, t in zip(made, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
+            for part in _slices(batch):
+                made = work(part.column(1))
+                arrays = [a if isinstance(a, pa.Array) else pa.array(a, t) for a, t in zip(made, types, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=names)
 
     out = source.mapInArrow(run, whole)
     return out.select(*[F.col(f"_row.{quoted(c)}") for c in kept], *[F.col(quoted(c)) for c in schema.fieldNames()])
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of bounded rows and bytes of its values."""
+    values = batch.column(1)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)) if pa.types.is_string(values.type) else np.zeros(len(values))
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        end = min(start + SLICE_ROWS, max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right"))), batch.num_rows)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     simple = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
     if isinstance(kind, T.ArrayType):
