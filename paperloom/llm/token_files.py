@@ -30,7 +30,7 @@ from paperloom.llm.rows import quoted
 from paperloom.shipping import ship_package
 
 # Encoded words a task remembers, twice at most, and the longest that it does.
-MEMO = 300_000
+MEMO = 150_000
 MEMO_CHARS = 48
 # Texts encoded at once.
 BLOCK = 64
