@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paperloom.llm.rows import quoted, without
+from paperloom.llm.rows import packed, quoted, unpacked, without
 from paperloom.operators.joins import join_unique
 from paperloom.staging import once, stage
 
@@ -102,6 +102,7 @@ def mix_sources(
     max_epochs: int = MAX_EPOCHS,
     text: str = "text",
     doc_id: str = "doc_id",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with ``epoch``, ``tokens`` and ``tokens_taken``: a row for each reading of a document.
 
@@ -113,14 +114,16 @@ def mix_sources(
 
     A null level is a child named by nothing, a null or empty text has no
     tokens. Documents are put in order by a hash of seed, epoch, id and text,
-    so ids may be null or repeated; of equal rows any is as good. New columns
-    replace those of their names.
+    so ids may be null or repeated; of equal rows any is as good. ``keep`` names
+    the columns that stay (all by default); new columns replace those of their
+    names.
     """
     names = [f"_level{i}" for i in range(len(levels))]
-    labels = dict(zip(names, _named(levels)))
-    text_hash = F.substring(F.md5(F.coalesce(F.col(quoted(text)), F.lit("")).cast("binary")), 1, 15)
-    labelled = docs.withColumns(labels).withColumns({"_id": F.col(quoted(doc_id)).cast("string")})
-    measured = once(labelled, _tokens=count_words(text), _text=text_hash)
+    labels = [c.alias(n) for n, c in zip(names, _named(levels))]
+    text_hash = F.substring(F.md5(F.coalesce("_value", F.lit("")).cast("binary")), 1, 15)
+    kept = without(docs.columns if keep is None else keep, ["epoch", "tokens", "tokens_taken"])
+    labelled = docs.select(packed(docs, kept), *labels, F.col(quoted(doc_id)).cast("string").alias("_id"), F.col(quoted(text)).alias("_value"))
+    measured = once(labelled, _tokens=count_words("_value"), _text=text_hash).drop("_value")
     known = stage(measured.select(*names, "_id", "_tokens", "_text"), "measured")
 
     supply = known.groupBy(*names).agg(F.sum("_tokens").alias("supply"))
@@ -139,11 +142,9 @@ def mix_sources(
     plan = leaves.join(cuts, names, "left")
 
     rows = once(join_unique(measured, plan, names, "inner"), _place=place).withColumn("_slice", piece)
-    made = ["epoch", "tokens", "tokens_taken"]
-    kept = [F.col(quoted(c)) for c in without(docs.columns, made)]
 
     def taken(df: DataFrame, epoch: Column, part: Column) -> DataFrame:
-        return df.select(*kept, epoch.cast("int").alias("epoch"), F.col("_tokens").alias("tokens"), part.cast("bigint").alias("tokens_taken"))
+        return df.select(*unpacked(kept), epoch.cast("int").alias("epoch"), F.col("_tokens").alias("tokens"), part.cast("bigint").alias("tokens_taken"))
 
     readings = F.sequence(F.lit(0), F.col("_epochs") - F.when(F.coalesce(F.col("_slice") < F.col("_cut"), F.lit(False)), 0).otherwise(1))
     several = rows.filter("_epochs > 0 OR _slice < _cut").withColumn("_epoch", F.explode(readings))

@@ -136,8 +136,7 @@ SELECT doc_id, epochs AS epoch, tokens, least(tokens, room - ahead) AS tokens_ta
 
 @query("op3_mixing", MIX_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_BUDGET, MIX_SEED)
-    return mixed.select("doc_id", "epoch", "tokens", "tokens_taken")
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_BUDGET, MIX_SEED, keep=["doc_id"])
 
 
 @query("op4_sentencepiece")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,15 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def packed(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Columns of ``df`` (all by default) as one, ``_row``, so that no name of theirs is in the way."""
+    return F.struct(F.lit(0).alias("_"), *[F.col(quoted(c)) for c in (df.columns if columns is None else columns)]).alias("_row")
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    return [F.col(f"_row.{quoted(c)}") for c in columns]
+
+
 def append_columns(
     df: DataFrame, column: str, make: Callable[[], Callable[[pa.Array], list]], schema: T.StructType, keep: list[str] | None = None
 ) -> DataFrame:
@@ -40,8 +49,7 @@ def append_columns(
     """
     ship_package(df.sparkSession)
     kept = without(df.columns if keep is None else keep, schema.fieldNames())
-    passed = F.struct(F.lit(0).alias("_"), *[F.col(quoted(c)) for c in kept])
-    source = df.select(passed.alias("_row"), F.col(quoted(column)).alias("_value"))
+    source = df.select(packed(df, kept), F.col(quoted(column)).alias("_value"))
     whole = T.StructType([T.StructField("_row", source.schema["_row"].dataType), *schema.fields])
     types = [_arrow(f.dataType) for f in schema.fields]
     names = ["_row", *schema.fieldNames()]
@@ -55,7 +63,7 @@ def append_columns(
                 yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=names)
 
     out = source.mapInArrow(run, whole)
-    return out.select(*[F.col(f"_row.{quoted(c)}") for c in kept], *[F.col(quoted(c)) for c in schema.fieldNames()])
+    return out.select(*unpacked(kept), *[F.col(quoted(c)) for c in schema.fieldNames()])
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

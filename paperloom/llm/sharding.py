@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paperloom.llm.rows import quoted
+from paperloom.llm.rows import packed, quoted, unpacked, without
 from paperloom.staging import stage
 
 # Equal cells the ring is cut into, and how often each shard stands on it.
@@ -27,7 +27,7 @@ SALTS = 8
 def _ring(spark: SparkSession, shards: int, places: int, seed: int) -> DataFrame:
     """Arcs ``arc, shard, cells, walk`` of the ring; ``walk`` lists all shards clockwise from there."""
     stands = spark.range(shards * places).select(
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 64 - CELL_BITS).alias("cell"), (F.col("id") % shards).cast("int").alias("shard")
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 64 - CELL_BITS).alias("cell"), F.expr(f"id div {places}").cast("int").alias("shard")
     )
     # of places that fall together the smaller shard stays
     ring = stands.groupBy("cell").agg(F.min("shard").alias("shard")).groupBy().agg(F.array_sort(F.collect_list(F.struct("cell", "shard"))).alias("ring"))
@@ -94,12 +94,11 @@ def shard_rows(
     names the columns carried along (all by default): carry little, and join
     the rest by key. New columns replace those of their names.
     """
-    kept = [c for c in (keep or df.columns) if c.lower() not in ("shard", "slot")]
+    kept = without(df.columns if keep is None else keep, ["shard", "slot"])
     place = F.xxhash64(F.lit(seed), F.col(quoted(key)))
     arcs = stage(_ring(df.sparkSession, shards, places, seed), "ring")
     lookup = F.broadcast(arcs.select("arc", F.explode("cells").alias("_cell")))
-    carried = F.struct(*[F.col(quoted(c)) for c in kept]).alias("_row")
-    rows = df.select(carried, place.alias("_place"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("_salt"))
+    rows = df.select(packed(df, kept), place.alias("_place"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("_salt"))
     rows = rows.withColumn("_cell", F.shiftrightunsigned("_place", 64 - CELL_BITS)).join(lookup, "_cell")
     rows = stage(rows, "placed")  # the parts must not change between counting and ranking
 
@@ -120,4 +119,4 @@ def shard_rows(
     ranked = ranked.withColumn("_rank", rank)
     placed = ranked.join(F.broadcast(segments), (ranked["arc"] == segments["arc"]) & (F.col("_rank") >= F.col("lo")) & (F.col("_rank") < F.col("hi")))
     slot = F.col("base") + F.col("_rank") - F.col("lo")
-    return placed.select(*[F.col(f"_row.{quoted(c)}") for c in kept], F.col("shard"), slot.cast("bigint").alias("slot"))
+    return placed.select(*unpacked(kept), F.col("shard"), slot.cast("bigint").alias("slot"))

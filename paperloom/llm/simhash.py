@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.llm.components import connected_components, spanning
-from paperloom.llm.rows import append_columns
+from paperloom.llm.rows import append_columns, packed, quoted, unpacked
 from paperloom.operators.joins import join_unique
 from paperloom.shipping import ship_package
-from paperloom.staging import fits, stage
+from paperloom.staging import broadcast_if_small, stage
 
 SHINGLE = 4
 SEED = 42
@@ -194,7 +194,7 @@ def simhash_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     null ``component_id``. Repeated rows give repeated rows. ``root`` is the
     smallest fingerprint of the component, which names it where ids are null.
     """
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).alias("text"))
     marked = stage(add_fingerprint(source, keep=["doc_id"]), "fingerprints")
     distinct = stage(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
     labels = connected_components(link_fingerprints(distinct.select("fingerprint")))
@@ -212,20 +212,16 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     and shuffled beyond; rows whose id stands for itself are not shuffled then.
     """
     labelled = stage(simhash_components(docs, text, doc_id), "components")
-    repeated = stage(labelled.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL").select("doc_id"), "repeated")
-    losers = stage(labelled.filter("doc_id <> component_id").select("doc_id").distinct(), "losers")
-    away = losers.unionByName(repeated.filter("doc_id IS NOT NULL")).distinct()
-    away = F.broadcast(away) if fits(away, MAX_BROADCAST_IDS) else away
-    single = docs.filter(F.col(doc_id).isNotNull()).join(away.withColumnRenamed("doc_id", "_id"), F.col(doc_id) == F.col("_id"), "left_anti")
+    repeated = stage(labelled.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_doc")), "repeated")
+    losers = labelled.filter("doc_id <> component_id").select(F.col("doc_id").alias("_doc"))
+    away = stage(losers.unionByName(repeated.filter("_doc IS NOT NULL")).distinct(), "losers")
+    away = broadcast_if_small(away, MAX_BROADCAST_IDS)
+    rows = docs.select(packed(docs), F.col(quoted(doc_id)).alias("_doc"), F.col(quoted(text)).alias("_text"))
+    single = rows.filter("_doc IS NOT NULL").join(away, "_doc", "left_anti").select(*unpacked(docs.columns))
     if repeated.isEmpty():
         return single
-    again = docs.join(repeated.withColumnRenamed("doc_id", "_id"), F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    marked = append_columns(
-        again.withColumn("_text", F.col(text)),
-        "_text",
-        lambda: lambda values: [[fingerprint(v.as_py()) for v in values]],
-        T.StructType([T.StructField("_fingerprint", T.LongType())]),
-    )
-    names = labelled.select(F.col("fingerprint").alias("_fingerprint"), F.col("component_id").alias("_component"), F.col("root").alias("_root")).distinct()
-    chosen = marked.join(names, "_fingerprint").filter(F.col(doc_id).eqNullSafe(F.col("_component")))
-    return single.unionByName(chosen.dropDuplicates(["_root"]).select(*docs.columns))
+    again = rows.join(repeated.withColumnRenamed("_doc", "_again"), F.col("_doc").eqNullSafe(F.col("_again")), "left_semi")
+    marked = add_fingerprint(again, "_text", ["_row", "_doc"])
+    names = labelled.select("fingerprint", "component_id", "root").distinct()
+    chosen = marked.join(names, "fingerprint").filter(F.col("_doc").eqNullSafe(F.col("component_id")))
+    return single.unionByName(chosen.dropDuplicates(["root"]).select(*unpacked(docs.columns)))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.components import connected_components
-from paperloom.llm.rows import quoted
+from paperloom.llm.rows import packed, quoted, unpacked, without
 from paperloom.operators.joins import join_unique
 from paperloom.staging import stage
 
@@ -116,29 +116,27 @@ def judge_urls(urls: DataFrame, rules: list[Rule], edges: DataFrame, url: str =
     them. Repeated urls are judged alike; rows and other columns stay, but
     columns of the new names are replaced.
     """
-    made = ["host", "path", "rule", "verdict"]
-    kept = [c for c in urls.columns if c.lower() not in made]
+    kept = without(urls.columns, ["host", "path", "rule", "verdict"])
     spelled = edges.select(page_name(F.col("source")).alias("s"), page_name(F.col("target")).alias("t"), "source", "target")
     linked = stage(spelled.filter("s IS NOT NULL AND t IS NOT NULL AND s <> t"), "url-edges")
-    own = urls.select(*[F.col(quoted(c)) for c in kept], host_of(F.col(quoted(url))).alias("host"), path_of(F.col(quoted(url))).alias("path"))
+    u = F.col("u")
+    placed = urls.select(packed(urls, kept), F.col(quoted(url)).alias("u"), host_of(F.col(quoted(url))).alias("host"), path_of(F.col(quoted(url))).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    own = own.withColumns({"rule": rule, "_verdict": verdict, "_name": page_name(F.col(quoted(url)))})
+    own = placed.select("*", rule.alias("rule"), verdict.alias("own"), page_name(u).alias("name"))
 
-    names = linked.select(F.col("s").alias("name"), F.col("source").alias("u")).unionByName(linked.select(F.col("t").alias("name"), F.col("target").alias("u")))
-    judged = names.unionByName(own.filter("_name IS NOT NULL").select(F.col("_name").alias("name"), F.col(quoted(url)).alias("u")))
-    said = rule_of(host_of(F.col("u")), path_of(F.col("u")), rules)[1]
+    ends = linked.select(F.col("s").alias("name"), F.col("source").alias("u")).unionByName(linked.select(F.col("t").alias("name"), F.col("target").alias("u")))
+    said = rule_of(host_of(u), path_of(u), rules)[1]
+    spellings = ends.unionByName(own.filter("name IS NOT NULL").select("name", "u")).select("name", said.alias("said"))
     # of each name: is a spelling allowed, is one blocked
-    marks = judged.groupBy("name").agg(F.max(F.coalesce(said == "allow", F.lit(False))).alias("allow"), F.max(F.coalesce(said == "block", F.lit(False))).alias("block"))
-    nodes = stage(names.select("name").distinct().withColumn("node", F.xxhash64("name")), "url-nodes")
-    pairs = linked.select(F.xxhash64("s").alias("a"), F.xxhash64("t").alias("b"))
-    labels = connected_components(pairs)
-    grouped = nodes.join(labels, "node").select("name", "root")
-    marked = marks.join(grouped, "name", "left")
-    of_page = marked.filter("root IS NOT NULL").groupBy("root").agg(F.max("allow").alias("_allow"), F.max("block").alias("_block"))
-    named = marked.join(of_page, "root", "left").select(
-        F.col("name").alias("_name"), F.when(F.coalesce("_allow", "allow"), "allow").when(F.coalesce("_block", "block"), "block").alias("_passed")
-    )
-    # only names that are not plainly allowed anyway
-    out = join_unique(own, named.filter("_passed = 'block'"), ["_name"])
-    final = F.coalesce("_verdict", "_passed", F.lit("allow"))
-    return out.select(*[F.col(quoted(c)) for c in kept], "host", "path", "rule", final.alias("verdict"))
+    judged = lambda verdict: F.max(F.coalesce(F.col("said") == verdict, F.lit(False)))
+    marks = spellings.groupBy("name").agg(judged("allow").alias("allow"), judged("block").alias("block"))
+    # nodes of the graph are hashes of names
+    labels = connected_components(linked.select(F.xxhash64("s").alias("a"), F.xxhash64("t").alias("b")))
+    roots = ends.select("name").distinct().withColumn("node", F.xxhash64("name")).join(labels, "node").select("name", "root")
+    marked = marks.join(roots, "name", "left")
+    pages = marked.filter("root IS NOT NULL").groupBy("root").agg(F.max("allow").alias("any_allow"), F.max("block").alias("any_block"))
+    allow, block = F.coalesce("any_allow", "allow"), F.coalesce("any_block", "block")
+    blocked = marked.join(pages, "root", "left").filter(block & ~allow).select("name", F.lit("block").alias("passed"))
+    out = join_unique(own, blocked, ["name"])
+    final = F.coalesce("own", "passed", F.lit("allow"))
+    return out.select(*unpacked(kept), "host", "path", "rule", final.alias("verdict"))

@@ -1,0 +1,72 @@
+import re
+from math import log2
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from paperloom.llm.secrets import CLASSES, DIGITS, CharClass, Scanner, find_secrets, listed, redact, suspect
+
+SCANNER = Scanner()
+
+
+def entropy(window):
+    return -sum(window.count(c) / len(window) * log2(window.count(c) / len(window)) for c in set(window))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abAB01+", min_size=0, max_size=60))
+def test_incremental_counts_equal_brute_force(run):
+    kind = CharClass("t", ".", 8, 2.0, (DIGITS,))
+    covered = {p for i in range(len(run) - 7) if entropy(run[i : i + 8]) >= 2.0 - 1e-9 and any(c in DIGITS for c in run[i : i + 8]) for p in range(i, i + 8)}
+    assert {p for a, b in suspect(run, kind) for p in range(a, b)} == covered
+
+
+def test_known_forms():
+    text = 'API_KEY: "abcdefghijkl" token=short AKIAABCDEFGHIJKLMN AKIASHORT deadbeefdeadbeef deadbeef paſſword=abcdefghijklmnop'
+    spans = SCANNER.base(text)
+    assert [(k, text[a:b]) for k, a, b in spans] == [
+        ("assign", 'API_KEY: "abcdefghijkl'),
+        ("access", "AKIAABCDEFGHIJKLMN"),
+        ("hex", "deadbeefdeadbeef"),
+    ]
+    plain = [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 16]
+    assert [s for s in spans if s[0] == "hex"] == plain
+    # a match that is too short still takes its place from later ones
+    assert SCANNER.base("password=token=abcdefghijklmn") == [("assign", 0, 29)]
+
+
+def test_entropy_and_allow_list():
+    key = "q7Zt9KfX2mLw8RbN4vYc6HdP"
+    assert [k for k, _, _ in SCANNER.entropy(f"see {key} here")] == ["entropy"]
+    for clean in [
+        "a" * 40,
+        "Donaudampfschifffahrtsgesellschaftskapitaen",
+        "12345678901234567890123",
+        "550e8400-e29b-41d4-a716-446655440000",
+        f"sha256-{key}",
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+    ]:
+        assert SCANNER.entropy(clean) == [], clean
+    assert Scanner(allowed=()).entropy(f"sha256-{key}")
+    assert all(c.window >= 20 for c in CLASSES)
+
+
+def test_rows(odd, none):
+    out = find_secrets(odd.withColumn("SECRETS", F.lit("x")).withColumn("start", F.lit(1)))
+    assert out.columns == [*odd.columns, "start", "secrets"]
+    got = {r["doc_id"]: r["s"] for r in out.select("doc_id", listed(F.col("secrets")).alias("s")).collect()}
+    assert got[8] == "assign:0:26,access:29:49" and got[3] == got[4] == got[6] == ""
+    assert out.count() == odd.count() and find_secrets(none).count() == 0
+    clean = redact(odd)
+    assert clean.columns == odd.columns and clean.count() == odd.count()
+    assert clean.filter("doc_id = 8").first()["text"] == "[SECRET]'  [SECRET] é 😀"
+    assert clean.filter("doc_id = 3").first()["text"] is None
+    assert redact(none).count() == 0
+
+
+def test_spans_that_touch_are_one():
+    from paperloom.llm.secrets import _masked
+
+    assert _masked("password=deadbeefdeadbeef!", SCANNER, "#") == "#!"
+    assert _masked("", SCANNER, "#") == ""
