@@ -9,13 +9,13 @@ from paperloom.checks.prompt_checks import SUMMARIES_SQL, _sql_render, summaries
 from paperloom.functions.payloads import payload_messages
 from paperloom.functions.prompts import TEMPLATES
 from paperloom.functions.responses import first_text
-from paperloom.operators.evaluation import judge_accuracy, judge_quality, model_table
+from paperloom.operators.evaluation import judge_accuracy, judge_quality, model_table, output_sample
 from paperloom.operators.invoke import ServiceError, invoke, make_stub
 from paperloom.plans.documents import compare_models, process_documents
 
 
 def _stub_sql(prompt: str, model: str = "stub") -> str:
-    return f"'[{model}] ' || right(trim({prompt}, E' \\n'), 200)"
+    return f"'[{model}] ' || trim({prompt}, E' \\n')"
 
 
 def _requests(spark, sf):
@@ -70,7 +70,15 @@ def _summarised(spark, sf):
     return summaries(spark, sf).select("doc_id", "text", F.col("summary").alias("summary_text"))
 
 
-@check("m5_judge_accuracy", f"WITH {CLAIMS_SQL} SELECT doc_id, 0.9::DOUBLE AS accuracy, 'none found' AS inaccuracies, true AS ok FROM claims")
+_ACCURACY_PROMPT = _sql_render(TEMPLATES["judge_accuracy"], claim_text="text", summary_text="summary")
+_QUALITY_PROMPT = _sql_render(TEMPLATES["judge_quality"], summary_text="summary")
+
+
+@check(
+    "m5_judge_accuracy",
+    f"""WITH {CLAIMS_SQL}, {SUMMARIES_SQL}, read AS (SELECT doc_id, md5({_ACCURACY_PROMPT}) AS seen FROM summaries)
+    SELECT doc_id, round(('0x' || left(seen, 4))::BIGINT % 101 / 100, 2) AS accuracy, 'read ' || seen AS inaccuracies, true AS ok FROM read""",
+)
 def m5(spark, sf):
     judged = judge_accuracy(_summarised(spark, sf), make_stub, "judge")
     return judged.select("doc_id", "accuracy", F.array_join("inaccuracies", "|").alias("inaccuracies"), "ok")
@@ -78,24 +86,65 @@ def m5(spark, sf):
 
 @check(
     "m6_judge_quality",
-    f"""WITH {CLAIMS_SQL} SELECT doc_id, metric, score::DOUBLE AS score, why FROM claims,
-    (VALUES ('clarity', 4, NULL), ('completeness', 3, 'short'), ('overall', 3.5, NULL)) AS v(metric, score, why)""",
+    f"""WITH {CLAIMS_SQL}, {SUMMARIES_SQL}, read AS (SELECT doc_id, md5({_QUALITY_PROMPT}) AS seen FROM summaries),
+    n AS (SELECT doc_id, seen, ('0x' || left(seen, 4))::BIGINT AS n FROM read)
+    SELECT doc_id, 'clarity' AS metric, (n % 6)::DOUBLE AS score, NULL AS why FROM n UNION ALL
+    SELECT doc_id, 'completeness', (n // 6 % 6)::DOUBLE, seen FROM n UNION ALL SELECT doc_id, 'overall', (n % 11) / 2, NULL FROM n""",
 )
 def m6(spark, sf):
     judged = judge_quality(_summarised(spark, sf), make_stub, "judge", policy=("gr-1", "3"))
     return judged.select("doc_id", F.explode("quality").alias("metric", "q")).select("doc_id", "metric", "q.score", "q.why")
 
 
-MODELS = ["model-b", "model-a", "model-b"]
+def make_partial():
+    """The stub, but one model is not to be had."""
+    stub = make_stub()
+
+    def client(model_id, payload, policy):
+        if model_id == "model-c":
+            raise ServiceError("ThrottlingException", "slow down")
+        return stub(model_id, payload, policy)
+
+    return client
+
+
+def _compared_sql(prompt: str) -> str:
+    return f"""WITH {CLAIMS_SQL}, runs AS (SELECT ordinal, model_id, CASE WHEN model_id <> 'model-c' THEN '[' || model_id || '] ' || trim({prompt}, E' \\n') END AS out
+      FROM claims, (VALUES (0, 'model-a'), (1, 'model-c'), (2, 'model-b')) AS m(ordinal, model_id))
+    SELECT model_id, ordinal, count(*) AS n_runs, count(*) FILTER (out IS NULL) AS n_failed, any_value(CASE WHEN out IS NULL THEN 'ThrottlingException' END) AS error_code,
+    count(out) AS n_blocks, coalesce(sum(length(out)), 0)::BIGINT AS n_chars FROM runs GROUP BY ALL"""
+
+
+def _compared(spark, sf, older):
+    runs = compare_models(claims(spark, sf), MODELS, make_partial, older)
+    sizes = runs.groupBy("model_id").agg(
+        F.sum("n_blocks").alias("n_blocks"), F.sum("n_chars").cast("long").alias("n_chars"), F.max("error_code").alias("error_code")
+    )
+    return model_table(runs).join(sizes, "model_id").select("model_id", "ordinal", "n_runs", "n_failed", "error_code", "n_blocks", "n_chars")
+
+
+MODELS = ["model-b", "model-a", "model-c", "model-b"]
+
+
+@check("m10_compare_models", _compared_sql(_sql_render(TEMPLATES["extract_info"], document_text="text")))
+def m10(spark, sf):
+    return _compared(spark, sf, False)
+
+
+_ASKED_IN_ONE_LINE = f"'Human:' || {_sql_render(TEMPLATES['compare'], document_text='text')} || chr(10) || chr(10) || 'Assistant:'"
+
+
+@check("m10_compare_models_older", _compared_sql(_ASKED_IN_ONE_LINE))
+def m10_older(spark, sf):
+    """The older form: one line of prompt, the completion in place of content blocks."""
+    return _compared(spark, sf, True)
 
 
 @check(
-    "m10_compare_models",
-    f"""WITH {CLAIMS_SQL}, runs AS (SELECT ordinal, model_id, '[' || model_id || '] ' || right(trim({_sql_render(TEMPLATES['extract_info'], document_text='text')}, E' \\n'), 200) AS out
-      FROM claims, (VALUES (0, 'model-a'), (1, 'model-b')) AS m(ordinal, model_id))
-    SELECT model_id, ordinal, count(*) AS n_runs, count(*) AS n_blocks, sum(length(out))::BIGINT AS n_chars FROM runs GROUP BY ALL""",
+    "g2_older_samples",
+    f"""WITH {CLAIMS_SQL}, runs AS (SELECT doc_id, '[model-a] ' || trim({_ASKED_IN_ONE_LINE}, E' \\n') AS out FROM claims)
+    SELECT doc_id, length(out)::INT AS n_chars, left(out, 100) || '...' AS sample FROM runs""",
 )
-def m10(spark, sf):
-    runs = compare_models(claims(spark, sf), MODELS, make_stub)
-    sizes = runs.groupBy("model_id").agg(F.sum("n_blocks").alias("n_blocks"), F.sum("n_chars").alias("n_chars"))
-    return model_table(runs).join(sizes, "model_id").select("model_id", "ordinal", "n_runs", "n_blocks", "n_chars")
+def g2_older(spark, sf):
+    runs = compare_models(claims(spark, sf), ["model-a"], make_stub, older=True)
+    return runs.select("doc_id", "n_chars", output_sample(F.col("output_sample")).alias("sample"))

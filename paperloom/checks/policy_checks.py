@@ -207,10 +207,45 @@ def k6_output(spark, sf):
     return _flat(screening.apply_policy(_prompts(spark, sf), _policy(), "output"), "conv_id", "turn")
 
 
+_SWAPPED = tuple((t, "BLOCK" if a == "ANONYMIZE" else "ANONYMIZE") for t, a in rules.PII_ACTIONS)
+_PATTERN_OF = {**{t: p for t, p, _ in rules.MASKS}, **rules.BLOCK_PATTERNS}
+_NOW_BLOCKED = [t for t, a in _SWAPPED if a == "BLOCK"]
+_NOW_MASKED = [t for t, a in _SWAPPED if a == "ANONYMIZE"]
+_FOUND_SQL = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(text, {_quoted(_PATTERN_OF[t])}) THEN 'pii:{t}' END" for t in _NOW_BLOCKED) + "], lambda x: x IS NOT NULL)"
+
+
+def _swapped_mask(text: str) -> str:
+    for kind, pattern, replacement in rules.MASKS:
+        if kind in _NOW_MASKED:
+            text = f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(replacement.replace('$1', chr(92) + '1'))}, 'g')"
+    return text
+
+
+@check(
+    "k6_policy_tables",
+    f"""WITH texts AS (SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN chr(10) || 'SSN 123-45-' || lpad((doc_id % 10000)::VARCHAR, 4, '0') ELSE '' END AS text FROM documents),
+    judged AS (SELECT doc_id, text, {_FOUND_SQL} AS why, {_swapped_mask('text')} AS masked FROM texts)
+    SELECT doc_id, CASE WHEN len(why) > 0 THEN 'blocked' WHEN masked <> text THEN 'masked' ELSE 'none' END AS action, array_to_string(why, ',') AS why,
+    md5(CASE WHEN len(why) > 0 THEN {_quoted(rules.BLOCKED_INPUT)} ELSE masked END) AS text_md5 FROM judged""",
+)
+def k6_tables(spark, sf):
+    """A policy read from tables, every action the other way round."""
+    tail = F.lpad((F.col("doc_id") % 10000).cast("string"), 4, "0")
+    text = F.concat("text", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\nSSN 123-45-"), tail)).otherwise(""))
+    policy = rules.policy_from_tables(
+        spark.createDataFrame([("HATE", "NONE", "NONE")], "category string, input_strength string, output_strength string"),
+        spark.createDataFrame([], "name string, definition string, examples array<string>"),
+        spark.createDataFrame(_SWAPPED, "type string, action string"),
+    )
+    done = screening.apply_policy(documents(spark, sf).select("doc_id", text.alias("text")), policy)
+    why = F.when(F.col("action") == "blocked", F.array_join("reasons", ",")).otherwise("")
+    return done.select("doc_id", "action", why.alias("why"), _md5("text").alias("text_md5"))
+
+
 @check(
     "k7_guarded_invoke",
     f"""WITH {PROMPTS_SQL}, {screened_sql('prompts', 'conv_id, turn', 'input')},
-    called AS (SELECT conv_id, turn, CASE WHEN action = 'blocked' THEN text ELSE '[stub] ' || right(trim(text, E' \\n'), 200) END AS reply, action AS first FROM screened),
+    called AS (SELECT conv_id, turn, CASE WHEN action = 'blocked' THEN text ELSE '[stub] ' || trim(text, E' \\n') END AS reply, action AS first FROM screened),
     {screened_sql('called', 'conv_id, turn, first', 'output', 'reply', '2')}
     SELECT conv_id, turn, CASE WHEN first = 'blocked' THEN 'blocked' ELSE action END AS action,
     md5(CASE WHEN first = 'blocked' THEN {_quoted(rules.BLOCKED_INPUT)} ELSE text END) AS answer_md5 FROM screened2""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from paperloom.checks.base import check, document_index, documents, questions, table
@@ -339,6 +341,24 @@ def c2_parents(spark, sf):
     return retrieval.retrieve_parents(questions(spark, sf), index, 3)
 
 
+SMALL_HIERARCHY_SQL = f"""doc_tokens AS (SELECT doc_id, {TOKENS_SQL.format('text')} AS t FROM documents),
+  {_pieces_sql('parents', 'doc_tokens', 'doc_id', 't', 400, 0, 'parent_idx')},
+  {_pieces_sql('children', 'parents', 'doc_id, parent_idx', 'toks', 20, 0, 'child_idx')},
+  chunks AS (SELECT doc_id || '#' || parent_idx || '#' || child_idx AS chunk_id, array_to_string(toks, ' ') AS text FROM children)"""
+
+
+@check(
+    "c2_retrieve_parents_small",
+    f"""WITH {SCORES_SQL.replace(CHUNKS_SQL, SMALL_HIERARCHY_SQL)},
+    parent_scores AS (SELECT query_id, array_to_string(string_split(chunk_id, '#')[:2], '#') AS chunk_id, max(score) AS score FROM scores GROUP BY ALL),
+    {_hits_sql('hits', 3, 'parent_scores')} SELECT query_id, rank, chunk_id AS parent_id, score FROM hits""",
+)
+def c2_parents_small(spark, sf):
+    """Parents of twenty children each."""
+    chunker = partial(chunking.chunk_hierarchical, parent_tokens=400, child_tokens=20, overlap=0)
+    return retrieval.retrieve_parents(questions(spark, sf), ingest(documents(spark, sf), stage_path(spark, "index"), chunker=chunker), 3)
+
+
 BM25_SQL = """lengths AS (SELECT chunk_id, sum(tf) AS n FROM tf GROUP BY 1),
   all_lengths AS (SELECT chunk_id, coalesce(n, 0) AS n FROM chunks LEFT JOIN lengths USING (chunk_id)),
   lexical AS (SELECT query_id, chunk_id, round(sum(idf * tf.tf * 2.2 / (tf.tf + 1.2 * (0.25 + 0.75 * n / (SELECT avg(n) FROM all_lengths)))), 6) AS score
@@ -392,7 +412,7 @@ def r5(spark, sf):
     return contexts.select("query_id", _md5("prompt").alias("prompt_md5"), F.array_join("citations.chunk_id", ",").alias("cited"))
 
 
-ANSWERS_SQL = f"""{CONTEXT_SQL}, answers AS (SELECT query_id, question, '[stub] ' || right(trim(coalesce(prompt, '') || chr(10) || chr(10) || 'Question: ' || question, E' \\n'), 200) AS answer,
+ANSWERS_SQL = f"""{CONTEXT_SQL}, answers AS (SELECT query_id, question, '[stub] ' || trim(coalesce(prompt, '') || chr(10) || chr(10) || 'Question: ' || question, E' \\n') AS answer,
   coalesce(n_citations, 0) AS n_citations, coalesce(cited, '') AS cited FROM asked LEFT JOIN contexts USING (query_id))"""
 
 

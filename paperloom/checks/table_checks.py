@@ -9,6 +9,7 @@ from paperloom.checks.prompt_checks import SUMMARIES_SQL, summaries
 from paperloom.operators import evaluation, lookups
 from paperloom.operators.feedback import feedback_rates, join_feedback
 from paperloom.operators.screening import cross_policies
+from paperloom.staging import stage_path
 
 
 def _md5(c):
@@ -53,10 +54,14 @@ def f3(spark, sf):
     return there.withColumn("there", F.lit(True)).unionByName(absent.withColumn("there", F.lit(False)))
 
 
-@check("f4_drop_empty", "SELECT conv_id, turn, len(regexp_extract_all(text, '[0-9]+'))::BIGINT AS n FROM conversations WHERE regexp_matches(text, '[0-9]')")
+@check(
+    "f4_drop_empty",
+    """SELECT doc_id, len(regexp_extract_all(text, '[0-9]+'))::BIGINT AS n, regexp_extract_all(text, '[0-9]+')[1] AS first
+    FROM documents WHERE regexp_matches(text, '[0-9]')""",
+)
 def f4(spark, sf):
-    found = table(spark, sf, "conversations").select("conv_id", "turn", F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)).alias("entry"))
-    return lookups.drop_empty(found, "entry").select("conv_id", "turn", F.size("entry").cast("long").alias("n"))
+    found = documents(spark, sf).select("doc_id", F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)).alias("entry"))
+    return lookups.drop_empty(found, "entry").select("doc_id", F.size("entry").cast("long").alias("n"), F.get("entry", 0).alias("first"))
 
 
 @check("f5_filter_metadata", "SELECT doc_id, source, md5(text) AS text_md5 FROM documents WHERE lang = 'fr'")
@@ -105,6 +110,23 @@ def j6(spark, sf):
     return lookups.ensure(table(spark, sf, "documents"), registered, "source")
 
 
+@check(
+    "j6_register",
+    """WITH registry AS (SELECT 'src' || (s_suppkey % 11) AS source, min(s_suppkey) AS ordinal FROM supplier GROUP BY 1),
+    fresh AS (SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM registry))
+    SELECT source, ordinal FROM registry UNION ALL
+    SELECT source, (SELECT max(ordinal) FROM registry) + row_number() OVER (ORDER BY source) FROM fresh""",
+)
+def j6_register(spark, sf):
+    """Two rounds: what the first appended, the second finds."""
+    registry = table(spark, sf, "supplier").groupBy(F.concat(F.lit("src"), F.col("s_suppkey") % 11).alias("source")).agg(F.min("s_suppkey").alias("ordinal"))
+    path = stage_path(spark, "registry")
+    registry.write.parquet(path)
+    for _ in range(2):
+        lookups.register(table(spark, sf, "documents"), path, "source")
+    return spark.read.parquet(path)
+
+
 CLICKS_SQL = """clicks AS (SELECT p.question, p.answer, CASE event_type WHEN 'click' THEN 'up' WHEN 'error' THEN 'down' ELSE event_type END AS rating
   FROM events e JOIN pairs p ON p.conv_id = e.user_id AND p.turn = (e.event_id % 4))"""
 
@@ -179,7 +201,8 @@ def _runs(spark, sf):
 
 @check(
     "g3_model_table",
-    f"""SELECT model_id, ordinal, count(*) AS n_runs, round(avg(value), 6) AS avg_seconds, min(value) AS min_seconds, max(value) AS max_seconds
+    f"""SELECT model_id, ordinal, count(*) AS n_runs, 0::BIGINT AS n_failed, round(avg(value), 6) AS avg_seconds, min(value) AS min_seconds, max(value) AS max_seconds,
+    quantile_disc(value, 0.5) AS median_seconds, quantile_disc(value, 0.95) AS p95_seconds
     FROM events JOIN {_ORDINALS} ON event_type = model_id GROUP BY ALL""",
 )
 def g3(spark, sf):

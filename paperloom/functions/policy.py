@@ -94,6 +94,8 @@ MASKS = (
     ("LICENSE_PLATE", r"(Plate: )[A-Z0-9][A-Z0-9-]*", "$1{LICENSE_PLATE}"),
     ("ADDRESS", r"[0-9]+ ([A-Z][a-z]+ )+(Street|Avenue|Road|Lane|Drive)", "{ADDRESS}"),
     ("NAME", r"((^|\n)[A-Za-z ]*Name: )[^\n{]+", "$1{NAME}"),
+    ("US_SOCIAL_SECURITY_NUMBER", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "{US_SOCIAL_SECURITY_NUMBER}"),
+    ("DRIVER_ID", r"(Driver( License)?( ID)?: )[^\n{]+", "$1{DRIVER_ID}"),
 )
 # A match of the pattern holds one of these; texts without are left alone.
 MASK_SIGNS = {
@@ -102,6 +104,8 @@ MASK_SIGNS = {
     "LICENSE_PLATE": ("Plate: ",),
     "ADDRESS": (" Street", " Avenue", " Road", " Lane", " Drive"),
     "NAME": ("Name: ",),
+    "US_SOCIAL_SECURITY_NUMBER": ("-",),
+    "DRIVER_ID": ("Driver",),
 }
 # The same as a pattern where no fixed text will do.
 MASK_CORES = {"VEHICLE_IDENTIFICATION_NUMBER": "[A-HJ-NPR-Z0-9]{17}"}
@@ -114,6 +118,9 @@ BLOCK_PATTERNS = {
     "DRIVER_ID": r"Driver( License)?( ID)?: ",
 }
 MAX_POLICY_ROWS = 1_000
+ACTIONS = ("ANONYMIZE", "BLOCK")
+# Strengths a policy may name; NONE never blocks.
+KNOWN_STRENGTHS = (*STRENGTHS, "NONE")
 
 
 @dataclass(frozen=True)
@@ -129,9 +136,38 @@ class Policy:
     blocked_input: str = BLOCKED_INPUT
     blocked_output: str = BLOCKED_OUTPUT
 
+    def __post_init__(self):
+        """Refuse what the rules below could only pass over in silence."""
+        for kind, action in self.pii:
+            if action not in ACTIONS:
+                raise ValueError(f"action of {kind} is one of {', '.join(ACTIONS)}, not {action!r}")
+            self.found_by(kind)
+        for category, *strengths in self.filters:
+            if not self.lexicon.get(category):
+                raise ValueError(f"no words are known for the category {category!r}")
+            for strength in strengths:
+                if strength not in KNOWN_STRENGTHS:
+                    raise ValueError(f"strength of {category} is one of {', '.join(KNOWN_STRENGTHS)}, not {strength!r}")
+        for name, _, examples in self.topics:
+            if not examples:
+                raise ValueError(f"topic {name!r} has no examples to compare with")
+
     def of_type(self, action: str) -> list[str]:
         return [t for t, a in self.pii if a == action]
 
+    def found_by(self, kind: str) -> str:
+        """The pattern that tells texts holding data of a type, whatever is done about it."""
+        pattern = self.block_patterns.get(kind) or {t: p for t, p, _ in MASKS}.get(kind)
+        if pattern is None:
+            raise ValueError(f"no pattern is known for data of type {kind!r}")
+        return pattern
+
+    def masks(self) -> list[tuple[str, str, str]]:
+        """Type, pattern and replacement of what is anonymized, in order of application."""
+        wanted, listed = self.of_type("ANONYMIZE"), [t for t, _, _ in MASKS]
+        own = [(t, self.block_patterns[t], "{" + t + "}") for t in wanted if t not in listed]
+        return [m for m in MASKS if m[0] in wanted] + own
+
     def with_blocks(self, patterns: dict[str, str]) -> "Policy":
         """The same policy, blocking further patterns."""
         return replace(
@@ -180,7 +216,7 @@ def blocked_categories(term_list: Column, policy: Policy, side: str) -> Column:
     active = []
     for category, on_input, on_output in policy.filters:
         needed = STRENGTHS.get(on_input if side == "input" else on_output)
-        if needed is not None and policy.lexicon.get(category):
+        if needed is not None:
             active.append((category, policy.lexicon[category], needed))
     if not active:
         return nothing
@@ -240,6 +276,8 @@ def may_mask(text: Column, kind: str) -> Column:
     """A cheap test that rules most texts out before a pattern is tried."""
     if kind in MASK_CORES:
         return F.regexp_like(text, F.lit(MASK_CORES[kind]))
+    if kind not in MASK_SIGNS:
+        return F.lit(True)
     found = [F.contains(text, F.lit(sign)) for sign in MASK_SIGNS[kind]]
     return reduce(lambda a, b: a | b, found)
 
@@ -250,13 +288,11 @@ def mask_pii(text: Column, policy: Policy | None = None) -> Column:
     Texts that cannot match get a pattern that gives up at once; so the chain
     of replacements names each step a single time.
     """
-    wanted = (policy or Policy()).of_type("ANONYMIZE")
     masked = text
-    for kind, pattern, replacement in MASKS:
-        if kind in wanted:
-            tried = F.when(may_mask(text, kind), pattern).otherwise(NO_MATCH)
-            for _ in range(2 if kind in MASKED_TWICE else 1):
-                masked = F.regexp_replace(masked, tried, F.lit(replacement))
+    for kind, pattern, replacement in (policy or Policy()).masks():
+        tried = F.when(may_mask(text, kind), pattern).otherwise(NO_MATCH)
+        for _ in range(2 if kind in MASKED_TWICE else 1):
+            masked = F.regexp_replace(masked, tried, F.lit(replacement))
     return masked
 
 
@@ -272,10 +308,10 @@ def masked_count(masked: Column, original: Column, kind: str) -> Column:
 def blocking_types(text: Column, policy: Policy | None = None) -> Column:
     """K4: the BLOCK types found in a text."""
     policy = policy or Policy()
-    kinds = [t for t in policy.of_type("BLOCK") if t in policy.block_patterns]
+    kinds = policy.of_type("BLOCK")
     if not kinds:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(F.regexp_like(text, F.lit(policy.block_patterns[t])), F.lit(t)) for t in kinds]))
+    return F.array_compact(F.array(*[F.when(F.regexp_like(text, F.lit(policy.found_by(t))), F.lit(t)) for t in kinds]))
 
 
 def blocked_message(side: str, policy: Policy | None = None) -> Column:

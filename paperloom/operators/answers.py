@@ -21,6 +21,7 @@ from paperloom.staging import stage
 
 # Fixed value: the generation instruction the answers are asked with.
 ANSWER_TEMPLATE = "Answer clearly using the citations.\n\n{text}"
+OUTCOME = ("ok", "error_code", "error_message")
 CITATION = "struct<rank:int,chunk_id:string,text:string>"
 
 
@@ -41,11 +42,13 @@ def answer(
     policy: Policy | None = None,
     model_id: str = "stub",
 ) -> DataFrame:
-    """Retrieve and generate: ``(query_id, question, answer, citations, action)``.
+    """Retrieve and generate: ``(query_id, question, answer, citations, ok,
+    error_code, error_message, action)``.
 
     With a policy, blocked questions are answered by its message, without
-    citations, and answers are screened too. The calls are written to a stage
-    table, so no later step repeats them.
+    citations, and answers are screened too. A failed call gives a null answer
+    and its error; a blocked question was not sent, so its outcome is null. The
+    calls are written to a stage table, so no later step repeats them.
     """
     asked = questions if policy is None else apply_policy(questions, policy, "input", "question")
     passed = asked if policy is None else asked.filter(F.col("action") != "blocked")
@@ -58,13 +61,14 @@ def answer(
         .withColumn("payload", payload_nova(F.col("prompt"), max_tokens=max_tokens, temperature=temperature))
         .withColumn("model_id", F.lit(model_id))
     )
-    called = stage(invoke(requests, make_client, on_error="column"), "answers")
-    answered = called.select("query_id", "question", first_text(F.col("response")).alias("answer"), "citations")
+    called = stage(invoke(requests, make_client, on_error="column").drop("payload", "prompt"), "answers")
+    answered = called.select("query_id", "question", first_text(F.col("response")).alias("answer"), "citations", *OUTCOME)
     if policy is None:
         return answered.withColumn("action", F.lit("none"))
     output = apply_policy(answered, policy, "output", "answer").drop("reasons")
     refused = asked.filter(F.col("action") == "blocked").select(
-        "query_id", "question", F.col("question").alias("answer"), F.array().cast(f"array<{CITATION}>").alias("citations"), "action"
+        "query_id", "question", F.col("question").alias("answer"), F.array().cast(f"array<{CITATION}>").alias("citations"),
+        F.lit(None).cast("boolean").alias("ok"), F.lit(None).cast("string").alias("error_code"), F.lit(None).cast("string").alias("error_message"), "action"
     )
     return output.unionByName(refused)
 

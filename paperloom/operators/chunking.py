@@ -120,7 +120,7 @@ def gap_distances(buckets: pa.Array, buffer: int) -> pa.Array:
 
 
 def with_gaps(df: DataFrame, buffer: int, doc: str, text: str, dim: int = DIMENSION) -> DataFrame:
-    """``(doc, _sentences, _gaps)`` of the documents with a sentence.
+    """``(doc, _sentences, _gaps)`` and all columns but the text of documents with a sentence.
 
     Each document is worked on in its own row; only bucket numbers go to the
     array code and only distances come back.
@@ -130,9 +130,10 @@ def with_gaps(df: DataFrame, buffer: int, doc: str, text: str, dim: int = DIMENS
     def gaps(buckets: pa.Array) -> pa.Array:
         return gap_distances(buckets, buffer)
 
-    cut = once(df.select(doc, text), _sentences=sentences(text)).filter(F.size("_sentences") > 0)
+    others = [c for c in df.columns if c not in (doc, text)]
+    cut = once(df.select(doc, text, *others), _sentences=sentences(text)).filter(F.size("_sentences") > 0)
     numbered = F.transform("_sentences", lambda s: F.transform(terms(s), lambda t: term_bucket(t, dim)))
-    return cut.select(doc, "_sentences", gaps(numbered).alias("_gaps")).withColumn(
+    return cut.select(doc, *others, "_sentences", gaps(numbered).alias("_gaps")).withColumn(
         "_gaps", F.transform("_gaps", lambda d: F.round(d, 6))
     )
 
@@ -171,7 +172,8 @@ def chunk_semantic(
     n = F.size("_sentences")
     breaks = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.get("_gaps", i - 1) > F.col("_limit"))
     starts = F.concat(F.array(F.lit(0)), F.when(n >= 3, breaks).otherwise(F.array().cast("array<int>")))
-    bounds = marked.select(doc, "_sentences", starts.alias("_starts"))
+    others = [c for c in df.columns if c not in (doc, text)]
+    bounds = marked.select(doc, *others, "_sentences", starts.alias("_starts"))
     segments = F.transform(
         "_starts",
         lambda start, i: F.array_join(
@@ -179,11 +181,12 @@ def chunk_semantic(
         ),
     )
     return (
-        bounds.select(doc, F.posexplode(segments).alias("segment", "_text"))
-        .select(doc, "segment", tokens("_text").alias("_tokens"))
-        .select(doc, "segment", F.posexplode(_pieces(F.col("_tokens"), max_tokens, 0)).alias("part", "_piece"))
+        bounds.select(doc, *others, F.posexplode(segments).alias("segment", "_text"))
+        .select(doc, *others, "segment", tokens("_text").alias("_tokens"))
+        .select(doc, *others, "segment", F.posexplode(_pieces(F.col("_tokens"), max_tokens, 0)).alias("part", "_piece"))
         .select(
             doc,
+            *others,
             "segment",
             "part",
             chunk_id(doc, "segment", "part").alias("chunk_id"),

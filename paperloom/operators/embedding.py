@@ -46,6 +46,8 @@ def join_term_table(occurrences: DataFrame, table: DataFrame, n_chunks: int) ->
     terms can each be in that share of the chunks, however large the corpus.
     What is left has no hot key and is joined by shuffle.
     """
+    if n_chunks <= 0:
+        raise ValueError("the number of chunks tells which terms are frequent")
     frequent = F.broadcast(table.filter(F.col("df") > n_chunks * FREQUENT_SHARE))
     rare = table.filter(F.col("df") <= n_chunks * FREQUENT_SHARE)
     return occurrences.join(frequent, "term").unionByName(
@@ -129,8 +131,8 @@ def embed_hash(
     ``idf=None`` counts plain occurrences.
     """
     if idf is None:
-        own = df.select(F.explode(F.array_distinct(terms(text))).alias("term")).distinct().select("term", F.lit(1).alias("df"))
-        idf = own.withColumn("idf", F.lit(1.0))
+        own = df.select(F.explode(F.array_distinct(terms(text))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+        idf, n_chunks = own.withColumn("idf", F.lit(1.0)), n_chunks or max(1, df.count())
     weighted = idf.select("term", "df", F.col("idf").alias("weight"), term_bucket(F.col("term"), dim).cast("long").alias("bucket"))
     vocabulary = bounded_vocabulary(weighted)
     if vocabulary is not None:

@@ -19,6 +19,7 @@ from paperloom.staging import stage
 # dates, ids. Currency signs and thousands separators are dropped before.
 FACT_PATTERN = r"(?<![A-Za-z0-9#])(?=[A-Za-z./#-]*+[0-9])(?:[A-Za-z0-9#][A-Za-z0-9./#-]*[A-Za-z0-9]|[0-9])"
 DROPPED = "$,"
+PERCENTILE_ACCURACY = 100_000
 JUDGE_TEMPERATURE = 0.5
 JUDGE_TOKENS = 512
 
@@ -34,15 +35,19 @@ def join_summary(claims: DataFrame, summaries: DataFrame, key: str = "doc_id") -
     return claims.join(summaries, key)
 
 
-def model_metrics(runs: DataFrame, body: str = "response", seconds: str = "seconds") -> DataFrame:
-    """G1: per run the rounded seconds, content blocks, characters and sample."""
-    text = F.coalesce(first_text(F.col(body)), F.lit(""))
+def model_metrics(runs: DataFrame, body: str = "response", seconds: str = "seconds", text: Callable[[Column], Column] = first_text) -> DataFrame:
+    """G1: per run the rounded seconds, content blocks, characters and sample.
+
+    ``text`` reads the answer out of the body. A run that failed has no blocks
+    and characters, and keeps its error where ``runs`` has one.
+    """
+    said = F.coalesce(text(F.col(body)), F.lit(""))
     return runs.select(
-        *[c for c in ("doc_id", "ordinal", "model_id") if c in runs.columns],
+        *[c for c in ("doc_id", "ordinal", "model_id", "ok", "error_code", "error_message") if c in runs.columns],
         F.round(seconds, 6).alias("time_seconds"),
         F.coalesce(F.json_array_length(F.get_json_object(body, "$.content")), F.lit(0)).alias("n_blocks"),
-        F.length(text).alias("n_chars"),
-        text.alias("output_sample"),
+        F.length(said).alias("n_chars"),
+        said.alias("output_sample"),
     )
 
 
@@ -52,15 +57,28 @@ def output_sample(text: Column) -> Column:
 
 
 def model_table(runs: DataFrame, model: str = "model_id", seconds: str = "time_seconds") -> DataFrame:
-    """Run times per model, in input list order."""
+    """Run times per model, in input list order; failed runs are counted, not timed.
+
+    Percentiles are those of all times up to one part in ``PERCENTILE_ACCURACY``
+    of the ranks, so that no task holds all times of a model.
+    """
+    ok = F.coalesce(F.col("ok"), F.lit(True)) if "ok" in runs.columns else F.lit(True)
+    timed = F.when(ok, F.col(seconds))
+
+    def percentile(share: float) -> Column:
+        return F.percentile_approx(timed, share, PERCENTILE_ACCURACY)
+
     return (
         runs.groupBy(model)
         .agg(
             F.min("ordinal").alias("ordinal"),
             F.count("*").alias("n_runs"),
-            F.round(F.avg(seconds), 6).alias("avg_seconds"),
-            F.min(seconds).alias("min_seconds"),
-            F.max(seconds).alias("max_seconds"),
+            F.count_if(~ok).alias("n_failed"),
+            F.round(F.avg(timed), 6).alias("avg_seconds"),
+            F.min(timed).alias("min_seconds"),
+            F.max(timed).alias("max_seconds"),
+            percentile(0.5).alias("median_seconds"),
+            percentile(0.95).alias("p95_seconds"),
         )
         .orderBy("ordinal", model)
     )

@@ -21,11 +21,15 @@ def count_ratings(feedback: DataFrame, *keys: str) -> DataFrame:
 def join_feedback(answers: DataFrame, feedback: DataFrame) -> DataFrame:
     """Answers with their click counts, zero without feedback.
 
-    Feedback is counted per (question, answer) before the join: however often
-    one answer was clicked, it arrives as one row.
+    Question and answer meet as one digest, so neither text is shuffled or
+    broadcast, and feedback is counted per digest before the join: however
+    often one answer was clicked, it arrives as one row. A null question or
+    answer matches nothing.
     """
-    counted = count_ratings(feedback, "question", "answer")
-    joined = join_unique(answers, counted, ["question", "answer"])
+    length = F.length("question").cast("string")  # where the question ends
+    pair = F.unhex(F.sha2(F.concat(length, F.lit(":"), F.col("question"), F.col("answer")).cast("binary"), 256))
+    counted = count_ratings(feedback.select(pair.alias("_pair"), "rating"), "_pair").filter("_pair IS NOT NULL")
+    joined = join_unique(answers.withColumn("_pair", pair), counted, ["_pair"]).drop("_pair")
     return joined.fillna(0, ["n_up", "n_down", "n_other"])
 
 

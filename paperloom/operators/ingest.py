@@ -69,13 +69,14 @@ def diff_ingest(old: DataFrame, new: DataFrame, key: str = "doc_id", text: str =
 
     Only keys and hashes are shuffled, never the texts.
     """
-    before = old.select(key, text_hash(F.col(text)).alias("_old"))
-    after = new.select(key, text_hash(F.col(text)).alias("_new"))
+    there = lambda df, name: df.select(key, F.struct(text_hash(F.col(text)).alias("hash")).alias(name))
+    before, after = there(old, "_old"), there(new, "_new")
+    # the struct tells a null text from no document
     status = (
         F.when(F.col("_old").isNull(), "new")
         .when(F.col("_new").isNull(), "removed")
-        .when(F.col("_old") != F.col("_new"), "changed")
-        .otherwise("unchanged")
+        .when(F.col("_old.hash").eqNullSafe(F.col("_new.hash")), "unchanged")
+        .otherwise("changed")
     )
     return before.join(after, key, "full_outer").select(key, status.alias("status"))
 

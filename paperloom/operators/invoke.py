@@ -8,6 +8,7 @@ the driver. A retried task calls again, so callers write the result of
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 from collections.abc import Callable, Iterator
@@ -36,12 +37,17 @@ RESULT_FIELDS = [
 ]
 
 
-def invoke(df: DataFrame, make_client: Callable[[], Client], on_error: str = "fail", default_model: str = "stub") -> DataFrame:
+def invoke(
+    df: DataFrame, make_client: Callable[[], Client], on_error: str = "fail", default_model: str = "stub", parallel: int | None = None
+) -> DataFrame:
     """M1, M9: add the response body and the seconds around each call.
 
     Reads ``payload`` (JSON) and, where present, ``model_id``, ``policy_id``
     and ``policy_version``. A row without payload is not sent. With ``on_error="fail"`` a service error ends the
     job with code and message; with ``"column"`` it is a row with ``ok`` false.
+
+    Calls are dealt over ``parallel`` tasks, by default one for each core: a
+    call takes far longer than its row is large, so tasks are not made by bytes.
     """
     if on_error not in ("fail", "column"):
         raise ValueError(f"on_error is fail or column, not {on_error}")
@@ -69,7 +75,7 @@ def invoke(df: DataFrame, make_client: Callable[[], Client], on_error: str = "fa
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*names, *[f.name for f in RESULT_FIELDS]])
 
-    return df.mapInArrow(run, schema)
+    return df.repartition(parallel or df.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
 
 
 def _call(client: Client, model_id: str, payload: str | None, policy_id: str | None, policy_version: str | None, on_error: str) -> tuple:
@@ -93,17 +99,25 @@ def prompt_of(payload: dict) -> str:
     return payload["messages"][0]["content"][0]["text"]
 
 
+def digest(text: str) -> str:
+    return hashlib.md5(text.encode()).hexdigest()
+
+
 def make_stub() -> Client:
-    """A deterministic stand-in: judges get a fixed verdict, all else an echo."""
+    """A deterministic stand-in. Its judges' verdicts follow from all they are
+    given, by a digest; to anything else it says the whole prompt."""
 
     def client(model_id: str, payload: dict, policy: tuple[str, str] | None) -> dict:
         prompt = prompt_of(payload)
+        seen = digest(prompt)
+        number = int(seen[:4], 16)
         if prompt.endswith("list any inaccuracies."):
-            text = "Score: 0.9\n- none found"
+            text = f"Score: {number % 101 / 100:.2f}\n- read {seen}"
         elif prompt.startswith("Evaluate the summary"):
-            text = 'Result: {"clarity": 4, "completeness": {"score": 3, "justification": "short"}, "overall": 3.5}'
+            marks = {"clarity": number % 6, "completeness": {"score": number // 6 % 6, "justification": seen}, "overall": number % 11 / 2}
+            text = "Result: " + json.dumps(marks)
         else:
-            text = f"[{model_id}] " + prompt.strip(" \n")[-200:]
+            text = f"[{model_id}] " + prompt.strip(" \n")
         return {"content": [{"type": "text", "text": text}], "completion": text}
 
     return client

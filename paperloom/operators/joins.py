@@ -20,7 +20,7 @@ def join_unique(left: DataFrame, unique: DataFrame, keys: list[str], how: str =
     """``left`` joined with a table unique in ``keys``; safe for hot keys.
 
     The unique side is written down, so that its size is known and it is made
-    only once. A small one is broadcast. Otherwise the rows of hot keys meet a
+    only once. One small in rows and bytes is broadcast. Otherwise the rows of hot keys meet a
     broadcast of just those keys (at most 1 / HOT_SHARE rows), and the rest,
     free of hot keys, is shuffled.
     """

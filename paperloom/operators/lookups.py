@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from paperloom.functions.text import strip
 from paperloom.operators.joins import join_unique
+from paperloom.staging import stage
 
 
 def lookup_first(df: DataFrame, name: str, name_col: str, order_col: str) -> DataFrame:
@@ -51,8 +53,31 @@ def lookup_join(names: DataFrame, registry: DataFrame, name: str = "name", order
 
 
 def ensure(df: DataFrame, registry: DataFrame, name: str = "name") -> DataFrame:
-    """The names to register, once each; append them to the registry."""
-    return df.select(name).distinct().join(registry.select(name), name, "left_anti")
+    """The names to register, once each; a null is no name."""
+    return df.select(name).filter(F.col(name).isNotNull()).distinct().join(registry.select(name), name, "left_anti")
+
+
+def register(df: DataFrame, path: str, name: str = "name", order_col: str = "ordinal") -> DataFrame:
+    """Append the missing names to the registry at ``path``; returns what was appended.
+
+    New names are numbered on from the last, in order of names; a second run
+    with the same names appends nothing.
+    """
+    spark = df.sparkSession
+    registry = spark.read.parquet(path)
+    fresh = stage(ensure(df, registry, name), "fresh")
+    last = registry.agg(F.coalesce(F.max(order_col), F.lit(-1)).alias("m")).first()["m"]
+    # counted in ranges of names, so that numbering needs no single sorted task
+    ranged = stage(fresh.repartitionByRange(name).sortWithinPartitions(name).select(name, F.spark_partition_id().alias("_part")), "ranged")
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(name))
+    numbered = ranged.withColumn("_place", place).join(bases, "_part")
+    kind = registry.schema[order_col].dataType
+    added = stage(numbered.select(name, (F.lit(last) + F.col("_base") + F.col("_place")).cast(kind).alias(order_col)), "added")
+    added.write.mode("append").parquet(path)
+    return added
 
 
 def latest_version(versions: DataFrame, name: str = "name") -> DataFrame:

@@ -44,15 +44,22 @@ def retrieve(questions: DataFrame, index: Index, k: int = 3, where: Column | Non
     return top_k(vectors, index.embed_questions(questions), k, "dot", min_score=0.0)
 
 
-def retrieve_parents(questions: DataFrame, index: Index, k: int = 3, children: int = 3) -> DataFrame:
+def retrieve_parents(questions: DataFrame, index: Index, k: int = 3) -> DataFrame:
     """The k best parents ``(query_id, rank, parent_id, score)`` of an index
     of hierarchical chunks; a parent scores as its best child.
 
-    A parent has at most ``children`` children, so the best ``children * k`` of
-    them hold the best k parents. 1000 tokens in steps of 450 make three.
+    Children are fetched until every question has k parents or no more hits,
+    however many children a parent has.
     """
-    hits = retrieve(questions, index, children * k)
-    best = hits.groupBy("query_id", F.substring_index("chunk_id", "#", 2).alias("parent_id")).agg(F.max("score").alias("score"))
+    fetched = 3 * k
+    parent = F.substring_index("chunk_id", "#", 2).alias("parent_id")
+    while True:
+        hits = stage(retrieve(questions, index, fetched), "children")
+        found = hits.groupBy("query_id").agg(F.count("*").alias("n"), F.count_distinct(parent).alias("parents"))
+        if found.filter((F.col("n") == fetched) & (F.col("parents") < k)).isEmpty():
+            break
+        fetched *= 4
+    best = hits.groupBy("query_id", parent).agg(F.max("score").alias("score"))
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "parent_id")
     return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
 

@@ -57,12 +57,10 @@ def policy_findings(df: DataFrame, policy: Policy | None = None, key: str = "doc
     policy = policy or Policy()
     rows = []
     for kind, action in policy.pii:
-        if action == "BLOCK" and kind in policy.block_patterns:
-            n = F.regexp_count(F.col(text), F.lit(policy.block_patterns[kind])).cast("int")
-        elif action == "ANONYMIZE":
-            n = masked_count(F.col("_masked"), F.col(text), kind)
+        if action == "BLOCK":
+            n = F.regexp_count(F.col(text), F.lit(policy.found_by(kind))).cast("int")
         else:
-            continue
+            n = masked_count(F.col("_masked"), F.col(text), kind)
         rows.append(F.struct(F.lit(kind).alias("type"), F.lit(action).alias("action"), n.alias("n")))
     return (
         once(df.select(key, text), _masked=mask_pii(F.col(text), policy))
@@ -101,7 +99,9 @@ def guarded_invoke(
 ) -> DataFrame:
     """K7: screen the input, call the model on what passed, screen the output.
 
-    Adds ``answer``, ``action`` and ``reasons``. The model sees the masked text.
+    Adds ``answer``, ``action``, ``reasons`` and the outcome of the call: ``ok``,
+    ``error_code`` and ``error_message``, null where nothing was sent. The model
+    sees the masked text.
     """
     screened = apply_policy(df, policy, "input", text)
     blocked = F.col("action") == "blocked"
@@ -112,6 +112,7 @@ def guarded_invoke(
         *[c for c in screened.columns if c not in ("action", "reasons")],
         F.when(blocked, F.struct(text, "action", "reasons")).alias("_refused"),
         answer_of(F.col("response")).alias("answer"),
+        *[F.when(~blocked, F.col(c)).alias(c) for c in ("ok", "error_code", "error_message")],
     )
     second = apply_policy(first, policy, "output", "answer")
     refused = F.col("_refused")

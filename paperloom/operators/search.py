@@ -16,7 +16,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -138,6 +138,11 @@ class Best:
         return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def finite(vector: str) -> Column:
+    whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(whole & (F.size(vector) > 0), F.lit(False))
+
+
 def _arrow_type(t: T.DataType) -> pa.DataType:
     return {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}[t.simpleString()]
 
@@ -157,6 +162,8 @@ def top_k(
 
     Both sides hold either ``embedding`` (dense) or ``buckets, weights``
     (sparse unit vectors). ``metric`` is ``cosine``, ``dot`` or ``euclidean``.
+    Dense vectors that are null or hold a null, NaN or infinite value are no
+    candidates and find nothing; ``validate_vectors`` lists them.
     Questions within the bounds are broadcast and the index is read in place;
     more questions than that are met by a grid of blocks (``_grid``).
     """
@@ -165,6 +172,8 @@ def top_k(
     vector = ["embedding"] if "embedding" in index.columns else ["buckets", "weights"]
     index = index.select(id_col, *vector)
     queries = queries.select(query_col, *vector)
+    if vector == ["embedding"]:  # one NaN would spoil the comparisons of a block
+        index, queries = index.filter(finite("embedding")), queries.filter(finite("embedding"))
     schema = T.StructType(
         [
             T.StructField(query_col, queries.schema[query_col].dataType),
@@ -173,11 +182,10 @@ def top_k(
         ]
     )
     table = queries.limit(max_queries + 1).toArrow()
-    matrix = QueryMatrix.of(table, query_col, metric) if 0 < table.num_rows <= max_queries else None
     if table.num_rows == 0:
         best = index.sparkSession.createDataFrame([], schema)
-    elif matrix is not None and matrix.vectors.size <= max_cells:
-        best = _scan(index, matrix, k, id_col, min_score, schema)
+    elif table.num_rows <= max_queries and _cells(table) <= max_cells:
+        best = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema)
     else:
         best = _grid(index, queries, k, metric, id_col, query_col, min_score, schema, max_queries)
     order = F.col("score").asc() if metric == "euclidean" else F.col("score").desc()
@@ -185,6 +193,13 @@ def top_k(
     return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(query_col, "rank", id_col, "score")
 
 
+def _cells(table: pa.Table) -> int:
+    """Cells of the dense matrix of these questions, before it is made."""
+    if "embedding" in table.column_names:
+        return pc.sum(pc.list_value_length(table.column("embedding"))).as_py() or 0
+    return table.num_rows * pc.count_distinct(pc.list_flatten(table.column("buckets"))).as_py()
+
+
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return pa.schema([(f.name, pa.float64() if f.name == "score" else _arrow_type(f.dataType)) for f in schema.fields])
 

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.payloads import payload_messages
-from paperloom.functions.prompts import extraction_prompt, summary_prompt
-from paperloom.functions.responses import first_text
+from paperloom.functions.payloads import payload_completion, payload_messages
+from paperloom.functions.prompts import comparison_prompt, extraction_prompt, summary_prompt
+from paperloom.functions.responses import completion_text, first_text
 from paperloom.operators.evaluation import cross_models, model_metrics
 from paperloom.operators.invoke import invoke
 from paperloom.staging import stage
@@ -19,37 +19,45 @@ SUMMARY = {"temperature": 0.5, "max_tokens": 512}
 OLDER_SUMMARY = {"temperature": 0.7, "max_tokens": 500}
 
 
-def _step(df: DataFrame, prompt, settings: dict, make_client: Callable, out: str) -> DataFrame:
-    requests = df.withColumn("payload", payload_messages(prompt, **settings))
-    called = stage(invoke(requests, make_client, on_error="column"), out)
-    return called.withColumn(out, first_text(F.col("response")))
+def _call(requests: DataFrame, make_client: Callable, name: str) -> DataFrame:
+    """``(doc_id, response, ok, ...)``: of a call only its key and outcome are written."""
+    called = invoke(requests.select("doc_id", "model_id", "payload"), make_client, on_error="column")
+    return stage(called.select("doc_id", "response", "ok", "error_code", "error_message"), name)
 
 
-def process_documents(docs: DataFrame, make_client: Callable, model_id: str = "stub", older: bool = False) -> DataFrame:
+def process_documents(docs: DataFrame, make_client: Callable, model_id: str = "stub", older: bool = False, with_text: bool = True) -> DataFrame:
     """M3: ``(doc_id, text, extracted_text, summary_body, summary_text, ok, ...)``.
 
     Each of the two calls per document is written down before the next one
     reads it; a document whose extraction failed keeps its error and is not
-    summarised.
+    summarised. Texts are sent, not written: ``with_text`` joins them to the
+    outcome by key.
     """
-    asked = docs.select("doc_id", "text").withColumn("model_id", F.lit(model_id))
-    done = _step(asked, extraction_prompt(F.col("text"), older), EXTRACTION, make_client, "extracted_text")
-    result = ["doc_id", "text", "extracted_text", "summary_body", "summary_text", "ok", "error_code", "error_message"]
-    failed = done.filter(~F.col("ok")).withColumns(
-        {"summary_body": F.lit(None).cast("string"), "summary_text": F.lit(None).cast("string")}
-    )
-    passed = done.filter("ok").select("doc_id", "text", "model_id", "extracted_text")
+    asked = docs.select("doc_id", F.lit(model_id).alias("model_id"), payload_messages(extraction_prompt(F.col("text"), older), **EXTRACTION).alias("payload"))
+    extracted = _call(asked, make_client, "extracted").withColumn("extracted_text", first_text(F.col("response"))).drop("response")
     settings = OLDER_SUMMARY if older else SUMMARY
-    summed = _step(passed, summary_prompt(F.col("extracted_text"), older), settings, make_client, "summary_text")
-    return summed.withColumn("summary_body", F.col("response")).select(*result).unionByName(failed.select(*result))
+    prompt = summary_prompt(F.col("extracted_text"), older)
+    again = extracted.filter("ok").select("doc_id", F.lit(model_id).alias("model_id"), payload_messages(prompt, **settings).alias("payload"))
+    summed = _call(again, make_client, "summed").select(
+        "doc_id", F.col("response").alias("summary_body"), first_text(F.col("response")).alias("summary_text"), "ok", "error_code", "error_message"
+    )
+    outcome = ["ok", "error_code", "error_message"]
+    failed = extracted.filter("NOT ok").select("doc_id", *[F.lit(None).cast("string").alias(c) for c in ("summary_body", "summary_text")], *outcome)
+    done = extracted.select("doc_id", "extracted_text").join(summed.unionByName(failed), "doc_id")
+    result = ["doc_id", "extracted_text", "summary_body", "summary_text", *outcome]
+    return done.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "text", *result[1:]) if with_text else done.select(*result)
 
 
-def compare_models(docs: DataFrame, models: list[str], make_client: Callable) -> DataFrame:
+def compare_models(docs: DataFrame, models: list[str], make_client: Callable, older: bool = False) -> DataFrame:
     """One measured run per document and model; sum up with ``model_table``.
 
-    A model named twice in the list is run once; its last place stands.
+    A model named twice in the list is run once; its last place stands. A run
+    that failed stays, with its error. The older form asks in one line and is
+    answered by a completion.
     """
     names = [m for i, m in enumerate(models) if m not in models[i + 1 :]]
-    asked = docs.select("doc_id", payload_messages(extraction_prompt(F.col("text")), **EXTRACTION).alias("payload"))
-    runs = stage(invoke(cross_models(asked, names), make_client, on_error="column"), "runs")
-    return model_metrics(runs.filter("ok"))
+    prompt = comparison_prompt(F.col("text")) if older else extraction_prompt(F.col("text"))
+    payload = payload_completion(prompt) if older else payload_messages(prompt, **EXTRACTION)
+    asked = docs.select("doc_id", payload.alias("payload"))
+    called = invoke(cross_models(asked, names), make_client, on_error="column").drop("payload")
+    return model_metrics(stage(called, "runs"), text=completion_text if older else first_text)

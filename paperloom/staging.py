@@ -14,7 +14,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Bytes of a table that is broadcast at most.
+MAX_BROADCAST_BYTES = 64 << 20
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 _own_folder: str | None = None
@@ -46,14 +49,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than needed."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _bytes(name: str, kind: T.DataType) -> Column:
+    """About how many bytes a value takes."""
+    value = F.col("`" + name.replace("`", "``") + "`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 24
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        return F.greatest(F.size(value), F.lit(0)) * 8 + 24
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)) + 24
+    return F.lit(8)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after the row count was checked."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is within both bounds; reads no more rows than needed."""
+    size = sum((_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(0)).cast("bigint")
+    rows, total = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and total <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after rows and bytes were checked."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:

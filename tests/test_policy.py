@@ -161,3 +161,46 @@ def test_guarded_invoke(spark):
 def test_side_is_checked():
     with pytest.raises(ValueError):
         rules.blocked_message("both")
+
+
+def test_either_action_for_every_type(value):
+    swapped = tuple((t, "BLOCK" if a == "ANONYMIZE" else "ANONYMIZE") for t, a in rules.PII_ACTIONS)
+    policy = replace(rules.Policy(), pii=swapped)
+    assert value(rules.blocking_types(F.col("t"), policy), "t string", FORM) == [t for t, a in swapped if a == "BLOCK"]
+    text = "SSN 123-45-6789, Driver License ID: X99 8"
+    assert _masked(value, text, policy) == "SSN {US_SOCIAL_SECURITY_NUMBER}, Driver License ID: {DRIVER_ID}"
+    own = replace(rules.Policy().with_blocks({"BADGE": "B[0-9]{4}"}), pii=(("BADGE", "ANONYMIZE"),))
+    assert _masked(value, "B1234 B12", own) == "{BADGE} B12"
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"pii": (("EMAIL", "block"),)},
+        {"pii": (("SHOE_SIZE", "BLOCK"),)},
+        {"pii": (("SHOE_SIZE", "ANONYMIZE"),)},
+        {"filters": (("HATE", "high", "HIGH"),)},
+        {"filters": (("RUDENESS", "HIGH", "HIGH"),)},
+        {"topics": (("Weather", "rain", ()),)},
+    ],
+)
+def test_unknown_values_are_refused(change):
+    with pytest.raises(ValueError):
+        replace(rules.Policy(), **change)
+
+
+def test_guarded_calls_keep_the_outcome(spark):
+    from paperloom.functions.payloads import payload_messages
+    from paperloom.functions.responses import first_text
+    from paperloom.operators.invoke import ServiceError
+
+    def make_throttled():
+        def client(model_id, payload, policy):
+            raise ServiceError("ThrottlingException", "later")
+
+        return client
+
+    rows = spark.createDataFrame([(1, "hello"), (2, "you moron")], "i long, text string")
+    got = {r["i"]: r for r in screening.guarded_invoke(rows, make_throttled, payload_messages, first_text).collect()}
+    assert (got[1]["ok"], got[1]["error_code"], got[1]["answer"]) == (False, "ThrottlingException", None)
+    assert (got[2]["ok"], got[2]["action"]) == (None, "blocked")

@@ -7,15 +7,15 @@ from paperloom.functions import payloads, prompts
 
 
 def test_unknown_or_empty_template():
-    with pytest.raises(ValueError, match="Template nothing not found"):
+    with pytest.raises(prompts.UnknownTemplate, match="nothing"):
         prompts.get_template("nothing")
-    with pytest.raises(ValueError):
+    with pytest.raises(prompts.UnknownTemplate):
         prompts.get_template("e", {"e": ""})
 
 
 def test_template_text_fails_per_row(value):
     assert value(prompts.template_text(F.col("n")), "n string", "generate_summary") == prompts.TEMPLATES["generate_summary"]
-    with pytest.raises(Exception, match="Template x not found"):
+    with pytest.raises(Exception, match="no template is named x"):
         value(prompts.template_text(F.col("n")), "n string", "x")
 
 

@@ -283,6 +283,51 @@ def test_best_parents_are_exact(spark, tmp_path):
     assert [(r["query_id"], r["parent_id"], r["score"]) for r in got] == [(q, p, -s) for q in (0, 1) for s, p in want[q]]
 
 
+def test_parents_of_many_children(spark, tmp_path):
+    docs = [(i, " ".join(["w1 w2"] * 10 + [f"x{i}"] * 380)) for i in range(3)]
+    cut = partial(chunking.chunk_hierarchical, parent_tokens=400, child_tokens=5, overlap=0)
+    index = ingest(spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path / "i"), chunker=cut)
+    assert retrieval.retrieve_parents(_ask(spark, "w1 w2"), index, 3).count() == 3
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
+def test_faulty_vectors_do_not_hide_others(spark, metric):
+    good = [(f"g{i}", [float(i + 1), 1.0]) for i in range(6)]
+    bad = [("n1", [float("nan"), 1.0]), ("n2", None), ("n3", [float("inf"), 0.0]), ("n4", [1.0, None]), ("n5", [])]
+    index = spark.createDataFrame(good + bad, "chunk_id string, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([(0, [1.0, 0.0]), (1, [float("nan"), 0.0]), (2, None)], "query_id long, embedding array<double>")
+    hits = top_k(index, asked, 3, metric).collect()
+    assert len(hits) == 3 and {h["query_id"] for h in hits} == {0} and all(h["chunk_id"].startswith("g") for h in hits)
+
+
+def test_long_questions_make_no_large_matrix(spark, monkeypatch):
+    """Cells are counted before a matrix is made; beyond the bound blocks do it."""
+    from paperloom.operators import search
+
+    made = []
+    of = search.QueryMatrix.of.__func__
+    monkeypatch.setattr(search.QueryMatrix, "of", classmethod(lambda cls, *a: made.append(a) or of(cls, *a)))
+    vectors = [(f"c{i}", [i % 7, 7 + i % 5], [1.0, 2.0]) for i in range(30)]
+    index = spark.createDataFrame(vectors, "chunk_id string, buckets array<bigint>, weights array<double>")
+    asked = index.withColumnRenamed("chunk_id", "query_id")
+    got = top_k(index, asked, 2, "dot", max_cells=10)
+    assert made == []
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, top_k(index, asked, 2, "dot").collect()))
+
+
+def test_semantic_chunks_keep_metadata(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "Cats purr. Dogs bark.", "en"), (2, "Chats dorment.", "fr")], "doc_id long, text string, lang string")
+    index = ingest(docs, str(tmp_path / "i"), metadata=("lang",), chunker=chunking.chunk_semantic)
+    assert retrieval.retrieve(_ask(spark, "chats"), index, 1, where=F.col("lang") == "fr").count() == 1
+
+
+def test_status_of_null_texts(spark):
+    old = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, None)], "doc_id long, text string")
+    new = spark.createDataFrame([(1, None), (3, None), (4, "b"), (5, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["status"] for r in diff_ingest(old, new).collect()}
+    assert got == {1: "unchanged", 2: "removed", 3: "changed", 4: "changed", 5: "new"}
+
+
 def test_semantic_index(spark, tmp_path):
     docs = spark.createDataFrame([(1, "Cats purr. Cats sleep. Engines roar. Engines burn fuel.")], "doc_id long, text string")
     index = ingest(docs, str(tmp_path / "i"), chunker=chunking.chunk_semantic)

@@ -54,6 +54,20 @@ def test_double_clicks_count_once(spark, tmp_path):
     assert _run(jobs.drop_repeats(_stream(spark, clicks, tmp_path / "in")), tmp_path).count() == 3
 
 
+def test_a_click_behind_the_watermark_does_not_take_its_repeat_along(spark, tmp_path):
+    source = tmp_path / "in"
+    stream = jobs.drop_repeats(_stream(spark, _clicks(spark, [("x", "up", 240)]), source))
+    _run(stream, tmp_path)
+    _stream(spark, _clicks(spark, [("x", "down", 241)]), source)  # moves the watermark on
+    _run(stream, tmp_path)
+    _stream(spark, _clicks(spark, [("a", "up", 60), ("b", "up", 61)]), source)
+    _stream(spark, _clicks(spark, [("a", "up", 245)]), source)
+    got = _run(stream, tmp_path).filter("answer = 'a'").collect()
+    assert [r["ts"] for r in got] in ([START + timedelta(minutes=245)], [])
+    _stream(spark, _clicks(spark, [("c", "up", 246), ("c", "up", 247)]), source)
+    assert _run(stream, tmp_path).filter("answer = 'c'").count() == 1
+
+
 def test_only_new_files_are_ingested(spark, tmp_path):
     src, out, progress = tmp_path / "src", tmp_path / "out", str(tmp_path / "p")
     src.mkdir()
