@@ -10,7 +10,7 @@ from paperloom.checks.base import check, document_index, documents, questions, t
 from paperloom.functions.text import WHITESPACE
 from paperloom.operators import answers as answering
 from paperloom.operators import chunking, embedding, retrieval
-from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, refresh_chunks, to_rebuild
+from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, refresh_chunks, refresh_index, to_rebuild
 from paperloom.operators.invoke import make_stub
 from paperloom.operators.search import top_k
 from paperloom.staging import stage, stage_path
@@ -36,7 +36,7 @@ IDF_SQL = f"""tf AS (SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id
 
 
 def _unit_sql(name: str, source: str, key: str) -> str:
-    return f"""{name} AS (SELECT {key}, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS w FROM (
+    return f"""{name} AS (SELECT {key}, bucket, (w / sqrt(sum(w * w) OVER (PARTITION BY {key})))::FLOAT::DOUBLE AS w FROM (
       SELECT {key}, {BUCKET_SQL.format('term', 1024)} AS bucket, sum(tf * idf) AS w FROM {source} JOIN idf USING (term) GROUP BY ALL))"""
 
 
@@ -145,7 +145,8 @@ def e1(spark, sf):
 def e2(spark, sf):
     vectors = document_index(spark, sf).vectors
     entries = vectors.select("chunk_id", F.explode(F.arrays_zip("buckets", "weights")).alias("e"))
-    return entries.select("chunk_id", F.col("e.buckets").alias("bucket"), F.round("e.weights", 6).alias("weight"))
+    weight = F.round(F.col("e.weights").cast("double"), 6)
+    return entries.select("chunk_id", F.col("e.buckets").cast("long").alias("bucket"), weight.alias("weight"))
 
 
 @check(
@@ -203,13 +204,14 @@ def e5(spark, sf):
 
 @check(
     "e6_ingest",
-    f"""WITH {CHUNKS_SQL}, with_terms AS (SELECT *, len({TERMS_SQL.format('text')}) > 0 AS has_terms FROM chunks)
-    SELECT lang, count(*) AS n_chunks, sum(n_tokens)::BIGINT AS n_tokens, count(*) FILTER (has_terms) AS n_vectors FROM with_terms GROUP BY lang""",
+    f"""WITH {CHUNKS_SQL}, {IDF_SQL}, {_unit_sql('chunk_vec', 'tf', 'chunk_id')}, sizes AS (SELECT chunk_id, count(*) AS n_entries FROM chunk_vec GROUP BY 1)
+    SELECT chunk_id, lang, md5(text) AS text_md5, n_tokens, coalesce(n_entries, 0) AS n_entries FROM chunks LEFT JOIN sizes USING (chunk_id)""",
 )
 def e6(spark, sf):
+    """Every chunk with its vector's size."""
     index = ingest(documents(spark, sf, "lang"), stage_path(spark, "index"), metadata=("lang",), partition_by="lang")
-    chunks = index.chunks.groupBy("lang").agg(F.count("*").alias("n_chunks"), F.sum("n_tokens").alias("n_tokens"))
-    return chunks.join(index.vectors.groupBy("lang").agg(F.count("*").alias("n_vectors")), "lang")
+    sizes = index.vectors.select("chunk_id", F.size("buckets").cast("long").alias("n_entries"))
+    return index.chunks.select("chunk_id", "lang", _md5("text").alias("text_md5"), "n_tokens").join(sizes, "chunk_id", "left").fillna(0, ["n_entries"])
 
 
 DIFF_SQL = """old_docs AS (SELECT doc_id, text FROM documents WHERE source <> 'src1'),
@@ -250,6 +252,59 @@ def e7_refresh(spark, sf):
     return refresh_chunks(chunks, new, stage(diff, "diff")).select("doc_id", "chunk_idx", _md5("text").alias("text_md5"))
 
 
+@check(
+    "e7_refresh_index",
+    f"""WITH {DIFF_SQL}, {SCORES_SQL.replace("SELECT doc_id, lang, " + TOKENS_SQL.format('text') + " AS t FROM documents", "SELECT doc_id, '' AS lang, " + TOKENS_SQL.format('text') + " AS t FROM new_docs")},
+    {_hits_sql('hits', 3)} SELECT query_id, rank, chunk_id, score, md5(text) AS text_md5 FROM hits JOIN chunks USING (chunk_id)""",
+)
+def e7_refresh_all(spark, sf):
+    """Questions to a refreshed index find what they find in one built anew."""
+    old, new, diff = _diff(spark, sf)
+    index = refresh_index(ingest(old, stage_path(spark, "index")), new, diff, stage_path(spark, "index"))
+    hits = stage(retrieval.retrieve(questions(spark, sf), index, 3), "hits")
+    return retrieval.with_texts(hits, index).select("query_id", "rank", "chunk_id", "score", _md5("text").alias("text_md5"))
+
+
+def make_letter_model():
+    """A small embedding model; texts of less than twenty characters break the contract."""
+
+    def model(texts):
+        found = [[float(t.lower().count(c)) for c in "etaoinsr"] for t in texts]
+        return [v if len(t) >= 20 else [float("nan")] * 8 for v, t in zip(found, texts)]
+
+    return model
+
+
+_LETTERS_SQL = "[" + ", ".join(f"(length({{t}}) - length(replace({{t}}, '{c}', '')))::DOUBLE" for c in "etaoinsr") + "]"
+MODEL_SQL = f"""{CHUNKS_SQL}, model_vectors AS (SELECT chunk_id, lang, length(text) AS n, {_LETTERS_SQL.format(t='lower(text)')} AS v FROM chunks),
+  accepted AS (SELECT * FROM model_vectors WHERE n >= 20 AND list_sum(v) > 0),
+  asked_model AS (SELECT item_id AS query_id, {_LETTERS_SQL.format(t='lower(text)')} AS v FROM benchmark WHERE length(text) >= 20),
+  model_scores AS (SELECT query_id, chunk_id, round(list_cosine_similarity(a.v, c.v), 6) AS score FROM asked_model a, accepted c),
+  model_hits AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id))::INT AS rank, chunk_id, score FROM model_scores QUALIFY rank <= 3)"""
+
+
+def _model_index(spark, sf):
+    return ingest(documents(spark, sf, "lang"), stage_path(spark, "index"), metadata=("lang",), partition_by="lang", dim=8, make_model=make_letter_model)
+
+
+@check("e6_ingest_model", f"WITH {MODEL_SQL} SELECT chunk_id, lang, array_to_string(list_transform(v, lambda x: x::BIGINT), ',') AS vector FROM accepted")
+def e6_model(spark, sf):
+    vectors = _model_index(spark, sf).vectors
+    return vectors.select("chunk_id", "lang", F.array_join(F.transform("embedding", lambda x: x.cast("long").cast("string")), ",").alias("vector"))
+
+
+@check("e6_rejects", f"WITH {MODEL_SQL} SELECT chunk_id, CASE WHEN n < 20 THEN 'not finite' ELSE 'zero norm' END AS fault FROM model_vectors WHERE n < 20 OR list_sum(v) = 0")
+def e6_rejects(spark, sf):
+    return _model_index(spark, sf).rejects.select("chunk_id", "fault")
+
+
+@check("r1_retrieve_model", f"WITH {MODEL_SQL} SELECT query_id, rank, chunk_id, score, md5(text) AS text_md5 FROM model_hits JOIN chunks USING (chunk_id)")
+def r1_model(spark, sf):
+    index = _model_index(spark, sf)
+    hits = stage(retrieval.retrieve(questions(spark, sf), index, 3), "hits")
+    return retrieval.with_texts(hits, index).select("query_id", "rank", "chunk_id", "score", _md5("text").alias("text_md5"))
+
+
 @check("e8_ingest_report", f"WITH {DIFF_SQL} SELECT status, count(*) AS n_docs FROM diff GROUP BY status")
 def e8(spark, sf):
     return ingest_report(_diff(spark, sf)[2])

@@ -16,6 +16,7 @@ from paperloom.functions.text import terms
 DIMENSION = 1024
 # Largest term table sent to every task; beyond it only frequent terms are.
 MAX_BROADCAST_TERMS = 1_000_000
+VECTOR_FIELDS = [T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("weights", T.ArrayType(T.FloatType()))]
 # A term in more than this share of the chunks is "frequent".
 FREQUENT_SHARE = 0.001
 
@@ -64,11 +65,11 @@ class Vocabulary:
         self.buckets, self.rank = np.unique(table.column("bucket").to_numpy(), return_inverse=True)
         self.weights = table.column("weight").to_numpy()
 
-    def sums(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def sums(self, lists: pa.Array, times: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per list the summed weight of each bucket: ``(offsets, buckets, sums)``.
 
-        Terms outside the vocabulary are left out. All lists of a batch are
-        handled together, as arrays.
+        ``times`` says how often each term stands for itself. Terms outside the
+        vocabulary are left out. All lists of a batch are handled together.
         """
         lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
         found = pc.index_in(pc.list_flatten(lists), value_set=self.terms)
@@ -76,8 +77,9 @@ class Vocabulary:
         at = found.drop_null().to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(lists), dtype=np.int64), lengths)[known]
         key = row * max(1, len(self.buckets)) + self.rank[at]
+        often = pc.list_flatten(times).to_numpy(zero_copy_only=False)[known]
         order = np.argsort(key, kind="stable")
-        key, weights = key[order], self.weights[at][order]
+        key, weights = key[order], (self.weights[at] * often)[order]
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
         sums = np.add.reduceat(weights, starts) if len(starts) else np.zeros(0)
         rows, ranks = np.divmod(key[starts], max(1, len(self.buckets)))
@@ -91,24 +93,59 @@ def bounded_vocabulary(table: DataFrame) -> Vocabulary | None:
     return Vocabulary(found) if found.num_rows <= MAX_BROADCAST_TERMS else None
 
 
-def term_vectors(df: DataFrame, keep: list[str], vocabulary: Vocabulary, text: str = "text", unit: bool = False) -> DataFrame:
-    """Add ``buckets`` and ``weights`` of each text; rows without terms are dropped.
+def term_counts(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """``keep`` and ``terms, tfs, n``: the distinct terms of each text, how often
+    each occurs, and how many occurrences there are.
 
-    Rows are worked on where they are: nothing is shuffled.
+    Texts are taken apart where they are read, once; weights, vectors and
+    postings come from these counts.
     """
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     read = df.select(*keep, terms(text).alias("_terms"))
-    entries = [T.StructField("buckets", T.ArrayType(T.LongType())), T.StructField("weights", T.ArrayType(T.DoubleType()))]
-    schema = T.StructType([*read.schema.fields[:-1], *entries])
+    made = [T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("tfs", T.ArrayType(T.IntegerType())), T.StructField("n", T.IntegerType())]
+    schema = T.StructType([*read.schema.fields[:-1], *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets, buckets, sums = shared.value.sums(batch.column("_terms"))
+            lists = batch.column("_terms")
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            encoded = pc.list_flatten(lists).dictionary_encode()
+            width = max(1, len(encoded.dictionary))
+            row = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
+            keys, counts = np.unique(row * width + encoded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            rows, codes = np.divmod(keys, width)
+            offsets = pa.array(np.searchsorted(rows, np.arange(len(lengths) + 1)).astype(np.int32))
+            columns = [
+                pa.ListArray.from_arrays(offsets, encoded.dictionary.take(pa.array(codes))),
+                pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32))),
+                pa.array(lengths.astype(np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], schema.names)
+
+    return read.mapInArrow(run, schema)
+
+
+def counted_idf(counts: DataFrame, n_chunks: int) -> DataFrame:
+    """``term_idf`` from term counts."""
+    found = counts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return found.select("term", "df", idf_value(n_chunks, F.col("df")).alias("idf"))
+
+
+def term_vectors(counts: DataFrame, keep: list[str], vocabulary: Vocabulary) -> DataFrame:
+    """Unit vectors ``buckets, weights`` of term counts; rows without known terms are dropped.
+
+    Rows are worked on where they are: nothing is shuffled.
+    """
+    shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
+    read = counts.select(*keep, "terms", "tfs")
+    schema = T.StructType([*read.schema.fields[:-2], *VECTOR_FIELDS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, buckets, sums = shared.value.sums(batch.column("terms"), batch.column("tfs"))
             counts = np.diff(offsets)
-            if unit:
-                row = np.repeat(np.arange(len(counts)), counts)
-                sums = sums / np.sqrt(np.bincount(row, sums * sums, len(counts)))[row]
-            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets, sums)]
+            row = np.repeat(np.arange(len(counts)), counts)
+            sums = sums / np.sqrt(np.bincount(row, sums * sums, len(counts)))[row]
+            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets.astype(np.int32), sums.astype(np.float32))]
             out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], schema.names)
             yield out.filter(pa.array(counts > 0))
 
@@ -123,31 +160,38 @@ def embed_hash(
     idf: DataFrame | None = None,
     n_chunks: int = 0,
 ) -> DataFrame:
-    """A sparse unit vector ``buckets, weights`` beside the ``keep`` columns.
+    """A sparse unit vector ``buckets, weights`` beside the ``keep`` columns."""
+    return embed_counts(term_counts(df, keep, text), keep, dim, idf, n_chunks)
+
+
+def embed_counts(counts: DataFrame, keep: list[str], dim: int = DIMENSION, idf: DataFrame | None = None, n_chunks: int = 0) -> DataFrame:
+    """E2 from term counts.
 
-    The weight of a bucket is the summed idf of the term occurrences in it.
-    Terms the idf table lacks are dropped, rows left without terms too. While
-    the table is within bounds the tasks hold it and nothing is shuffled;
-    ``idf=None`` counts plain occurrences.
+    The weight of a bucket is the summed idf of the term occurrences in it,
+    scaled to unit length and stored as 32-bit float. Terms the idf table lacks
+    are dropped, rows left without terms too. While the table is within bounds
+    the tasks hold it and nothing is shuffled; ``idf=None`` counts plain
+    occurrences.
     """
     if idf is None:
-        own = df.select(F.explode(F.array_distinct(terms(text))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-        idf, n_chunks = own.withColumn("idf", F.lit(1.0)), n_chunks or max(1, df.count())
+        own = counts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+        idf, n_chunks = own.withColumn("idf", F.lit(1.0)), n_chunks or max(1, counts.count())
     weighted = idf.select("term", "df", F.col("idf").alias("weight"), term_bucket(F.col("term"), dim).cast("long").alias("bucket"))
     vocabulary = bounded_vocabulary(weighted)
     if vocabulary is not None:
-        return term_vectors(df, keep, vocabulary, text, unit=True)
-    return embed_by_join(df, keep, weighted, n_chunks, text)
+        return term_vectors(counts, keep, vocabulary)
+    return embed_by_join(counts, keep, weighted, n_chunks)
 
 
-def embed_by_join(df: DataFrame, keep: list[str], weighted: DataFrame, n_chunks: int, text: str = "text") -> DataFrame:
-    """E2 with a term table of any size: occurrences join it and come back by row.
+def embed_by_join(counts: DataFrame, keep: list[str], weighted: DataFrame, n_chunks: int) -> DataFrame:
+    """E2 with a term table of any size: counts join it and come back by row.
 
-    One shuffle brings the occurrences of a row together; both aggregations
-    run on it. A vector has at most ``dim`` entries, so its list is bounded.
+    One shuffle brings the terms of a row together; both aggregations run on
+    it. A vector has at most ``dim`` entries, so its list is bounded.
     """
-    occurrences = df.select(F.struct(*keep).alias("_key"), F.explode(terms(text)).alias("term"))
-    joined = join_term_table(occurrences, weighted, n_chunks).select("_key", "bucket", "weight")
+    found = counts.select(F.struct(*keep).alias("_key"), F.explode(F.arrays_zip("terms", "tfs")).alias("_t"))
+    occurrences = found.select("_key", F.col("_t.terms").alias("term"), F.col("_t.tfs").alias("tf"))
+    joined = join_term_table(occurrences, weighted, n_chunks).select("_key", "bucket", (F.col("weight") * F.col("tf")).alias("weight"))
     entry = F.struct("bucket", "weight")
     return (
         joined.repartition("_key")
@@ -157,8 +201,8 @@ def embed_by_join(df: DataFrame, keep: list[str], weighted: DataFrame, n_chunks:
         .agg(F.array_sort(F.collect_list(entry)).alias("_v"), F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
         .select(
             "_key.*",
-            F.col("_v.bucket").alias("buckets"),
-            F.transform(F.col("_v.weight"), lambda w: w / F.col("_norm")).alias("weights"),
+            F.col("_v.bucket").cast("array<int>").alias("buckets"),
+            F.transform(F.col("_v.weight"), lambda w: (w / F.col("_norm")).cast("float")).alias("weights"),
         )
     )
 

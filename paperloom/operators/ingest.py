@@ -1,8 +1,11 @@
 """Building, loading and refreshing an index.
 
-An index is a folder of three tables: ``chunks`` (text), ``terms`` (idf) and
-``vectors``. Metadata columns are kept on chunks and vectors, and the folder
-may be partitioned by one of them, so a metadata filter prunes the scan.
+An index is a folder of tables: ``chunks`` (texts, in parts by a hash of the
+chunk id), ``counts`` (the terms of each chunk and how often), ``postings``
+(term, chunk, count; in parts by a hash of the term), ``terms`` (idf) and
+``vectors``; with an embedding model ``rejects`` lists the vectors that broke
+the contract. Metadata columns are kept on chunks, counts and vectors, and
+vectors may be partitioned by one of them, so a metadata filter prunes them.
 """
 
 from __future__ import annotations
@@ -15,49 +18,131 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import terms
 from paperloom.operators.chunking import chunk_fixed
-from paperloom.operators.embedding import DIMENSION, embed_hash, term_idf
+from paperloom.operators.embedding import DIMENSION, counted_idf, embed, embed_counts, embed_hash, term_counts, validate_vectors
+from paperloom.staging import stage
+
+# Parts of the chunk and posting tables: so many at least, and rows in one.
+MIN_PARTS = 8
+PART_ROWS = 50_000
+POSTING_FILE_ROWS = 1_000_000
+
+Chunker = Callable[[DataFrame], DataFrame]
+MakeModel = Callable[[], Callable[[list[str]], list[list[float]]]]
 
 
 @dataclass(frozen=True)
 class Index:
     path: str
     chunks: DataFrame
+    counts: DataFrame
+    postings: DataFrame
     terms: DataFrame
     vectors: DataFrame
     n_chunks: int
+    mean_terms: float
+    parts: int
+    dim: int
+    metadata: tuple[str, ...]
+    partition_by: str | None
+    make_model: MakeModel | None = None
+
+    @property
+    def rejects(self) -> DataFrame:
+        """Rows whose model vector broke the contract, with the ``fault``."""
+        return self.chunks.sparkSession.read.parquet(f"{self.path}/rejects")
 
     def embed_questions(self, questions: DataFrame, query_col: str = "query_id", text: str = "question") -> DataFrame:
-        """Questions in the vector space of the index; unknown terms drop out."""
+        """Questions in the vector space of the index; unknown terms drop out.
+
+        With a model, a question whose vector breaks the contract drops out.
+        """
+        if self.make_model is not None:
+            made = embed(questions.select(query_col, F.col(text).alias("text")), self.make_model).drop("text")
+            return validate_vectors(made, self.dim)[0]
         own = questions.select(F.explode(F.array_distinct(terms(text))).alias("term")).distinct()
         return embed_hash(questions, [query_col], text, idf=self.terms.join(own, "term", "left_semi"), n_chunks=self.n_chunks)
 
 
+def part_of(key: str | Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
 def ingest(
     docs: DataFrame,
     path: str,
     metadata: tuple[str, ...] = (),
     partition_by: str | None = None,
     dim: int = DIMENSION,
-    chunker: Callable[[DataFrame], DataFrame] = chunk_fixed,
+    chunker: Chunker = chunk_fixed,
+    make_model: MakeModel | None = None,
 ) -> Index:
-    """Chunk, weigh and embed ``docs``; every table is written once.
+    """Chunk, count, weigh and embed ``docs``; every table is written once.
 
-    ``chunker`` is any of the chunking operators, with its settings bound.
+    ``chunker`` is any of the chunking operators, with its settings bound. With
+    ``make_model`` vectors are the model's, as 32-bit floats; those that are not
+    ``dim`` finite numbers, or zero, go to ``rejects`` (E3).
     """
-    spark = docs.sparkSession
-    parts = [partition_by] if partition_by else []
-    chunker(docs.select("doc_id", "text", *metadata)).write.partitionBy(*parts).parquet(f"{path}/chunks")
-    chunks = spark.read.parquet(f"{path}/chunks")
-    n_chunks = chunks.count()
-    term_idf(chunks, n_chunks).write.parquet(f"{path}/terms")
-    idf = spark.read.parquet(f"{path}/terms")
-    embed_hash(chunks, ["chunk_id", *metadata], dim=dim, idf=idf, n_chunks=n_chunks).write.partitionBy(*parts).parquet(f"{path}/vectors")
-    return load_index(spark, path)
+    cut = chunker(docs.select("doc_id", "text", *metadata))
+    parts = max(MIN_PARTS, -(-docs.count() // PART_ROWS))
+    _write_chunks(cut, path, parts)
+    keep = ["chunk_id", "doc_id", *metadata]
+    chunks = docs.sparkSession.read.parquet(f"{path}/chunks")
+    term_counts(chunks, keep).write.parquet(f"{path}/counts")
+    if make_model is not None:
+        _write_model_vectors(chunks.select(*keep, "text"), path, make_model, dim, partition_by)
+    return _finish(docs.sparkSession, path, metadata, partition_by, dim, parts, make_model)
 
 
-def load_index(spark: SparkSession, path: str) -> Index:
-    chunks = spark.read.parquet(f"{path}/chunks")
-    return Index(path, chunks, spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/vectors"), chunks.count())
+def _write_chunks(cut: DataFrame, path: str, parts: int) -> None:
+    """A part's chunks lie in order of ids, so that ids prune parts and row groups."""
+    placed = cut.withColumn("part", part_of("chunk_id", parts))
+    placed.repartition(parts, "part").sortWithinPartitions("part", "chunk_id").write.partitionBy("part").parquet(f"{path}/chunks")
+
+
+def _write_model_vectors(chunks: DataFrame, path: str, make_model: MakeModel, dim: int, partition_by: str | None, kept: DataFrame | None = None) -> None:
+    made = stage(embed(chunks, make_model).drop("text"), "embedded")  # the model is asked once
+    good, bad = validate_vectors(made, dim)
+    vectors = good if kept is None else kept.select(*good.columns).unionByName(good)
+    vectors.write.partitionBy(*([partition_by] if partition_by else [])).parquet(f"{path}/vectors")
+    bad.write.parquet(f"{path}/rejects")
+
+
+def _finish(
+    spark: SparkSession, path: str, metadata: tuple[str, ...], partition_by: str | None, dim: int, parts: int, make_model: MakeModel | None
+) -> Index:
+    """What follows from the counts: weights, vectors, postings, and the index's own figures."""
+    counts = spark.read.parquet(f"{path}/counts")
+    n_chunks, mean = counts.agg(F.count("*"), F.coalesce(F.avg("n"), F.lit(0.0))).first()
+    counted_idf(counts, n_chunks).write.parquet(f"{path}/terms")
+    if make_model is None:
+        idf = spark.read.parquet(f"{path}/terms")
+        vectors = embed_counts(counts, ["chunk_id", "doc_id", *metadata], dim, idf, n_chunks)
+        vectors.write.partitionBy(*([partition_by] if partition_by else [])).parquet(f"{path}/vectors")
+    listed = counts.select("chunk_id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("_t")).select(
+        F.col("_t.terms").alias("term"), "chunk_id", F.col("_t.tfs").alias("tf"), "n", part_of("_t.terms", parts).alias("part")
+    )
+    # the list of a frequent term is as long as the index: it is written by several tasks
+    files = max(1, n_chunks // POSTING_FILE_ROWS)
+    spread = listed.repartition(parts * files, "part", F.pmod(F.xxhash64("chunk_id"), F.lit(files)))
+    spread.sortWithinPartitions("part", "term").write.partitionBy("part").parquet(f"{path}/postings")
+    figures = [(n_chunks, float(mean), parts, dim, list(metadata), partition_by)]
+    spark.createDataFrame(
+        figures, "n_chunks bigint, mean_terms double, parts int, dim int, metadata array<string>, partition_by string"
+    ).coalesce(1).write.parquet(f"{path}/figures")
+    return load_index(spark, path, make_model)
+
+
+def load_index(spark: SparkSession, path: str, make_model: MakeModel | None = None) -> Index:
+    """A written index; one built with a model is asked with the same model."""
+    own = spark.read.parquet(f"{path}/figures").first()
+    tables = {name: spark.read.parquet(f"{path}/{name}") for name in ("chunks", "counts", "postings", "terms", "vectors")}
+    modelled = "embedding" in tables["vectors"].columns
+    if modelled != (make_model is not None):
+        raise ValueError("an index of model vectors is loaded with its model, and no other is")
+    return Index(
+        path, **tables, n_chunks=own["n_chunks"], mean_terms=own["mean_terms"], parts=own["parts"], dim=own["dim"],
+        metadata=tuple(own["metadata"]), partition_by=own["partition_by"], make_model=make_model,
+    )
 
 
 def text_hash(text: Column) -> Column:
@@ -95,6 +180,34 @@ def refresh_chunks(
     return chunks.select(*made.columns).join(stale, key, "left_anti").unionByName(made)
 
 
+def refresh_index(
+    index: Index, new: DataFrame, diff: DataFrame, path: str, key: str = "doc_id", chunker: Chunker = chunk_fixed
+) -> Index:
+    """The index of ``new``, written to ``path``; equal to one built anew.
+
+    Only new and changed documents are chunked, counted and, with a model,
+    embedded; the rest comes over from ``index``. Weights follow from all
+    counts, so hashed vectors are weighed again, but no text is taken apart.
+    ``diff`` compares texts: metadata of unchanged texts stays as it was.
+    """
+    spark = new.sparkSession
+    diff = stage(diff, "diff")
+    stale = diff.filter(F.col("status").isin("removed", "changed")).select(key)
+    made = chunker(to_rebuild(new, diff, key).select("doc_id", "text", *index.metadata))
+    kept = index.chunks.drop("part").join(stale, key, "left_anti")
+    n_docs = diff.filter("status <> 'removed'").count()
+    parts = max(MIN_PARTS, -(-n_docs // PART_ROWS))
+    made = stage(made, "made")
+    _write_chunks(kept.select(*made.columns).unionByName(made), path, parts)
+    keep = ["chunk_id", "doc_id", *index.metadata]
+    counts = term_counts(made, keep)
+    index.counts.join(stale, key, "left_anti").select(*counts.columns).unionByName(counts).write.parquet(f"{path}/counts")
+    if index.make_model is not None:
+        still = index.vectors.join(stale, key, "left_anti")
+        _write_model_vectors(made.select(*keep, "text"), path, index.make_model, index.dim, index.partition_by, still)
+    return _finish(spark, path, index.metadata, index.partition_by, index.dim, parts, index.make_model)
+
+
 def ingest_report(diff: DataFrame) -> DataFrame:
     """Documents by status."""
     return diff.groupBy("status").agg(F.count("*").alias("n_docs"))

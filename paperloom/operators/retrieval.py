@@ -15,14 +15,17 @@ from pyspark.sql.window import Window
 
 from paperloom.functions.policy import Policy, mask_pii
 from paperloom.functions.text import terms
-from paperloom.operators.embedding import bounded_vocabulary, join_term_table, term_vectors
-from paperloom.operators.ingest import Index
+from paperloom.operators.embedding import MAX_BROADCAST_TERMS, join_term_table
+from paperloom.operators.ingest import Index, part_of
 from paperloom.operators.screening import apply_policy
-from paperloom.operators.search import MAX_QUERIES, top_k
-from paperloom.staging import broadcast_if_small, stage
+from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _scan, finite, question_blocks, top_k
+from paperloom.staging import broadcast_if_small, fits, stage, stage_path
 
 # Largest hit table sent to the chunk scan; larger ones are shuffled.
 MAX_BROADCAST_HITS = 500_000
+# Vectors of a cell in one file, and tasks that write cells at most.
+CELL_ROWS = 100_000
+MAX_CELL_TASKS = 10_000
 BM25_K1 = 1.2
 BM25_B = 0.75
 FUSION_OFFSET = 60
@@ -30,18 +33,25 @@ CANDIDATES = 10
 
 
 def with_texts(hits: DataFrame, index: Index) -> DataFrame:
-    """Hits with the text of their chunk."""
-    return index.chunks.select("chunk_id", "text").join(broadcast_if_small(hits, MAX_BROADCAST_HITS), "chunk_id")
+    """Hits with the text of their chunk; only the parts that hold one are read."""
+    hits = stage(hits, "asked-for")
+    parts = [r["p"] for r in hits.select(part_of("chunk_id", index.parts).alias("p")).distinct().collect()]
+    there = index.chunks.filter(F.col("part").isin(parts) if parts else F.lit(False)).select("chunk_id", "text")
+    return there.join(broadcast_if_small(hits, MAX_BROADCAST_HITS), "chunk_id")
 
 
 def retrieve(questions: DataFrame, index: Index, k: int = 3, where: Column | None = None) -> DataFrame:
     """``(query_id, rank, chunk_id, score)``, the k best chunks by cosine.
 
     ``where`` filters on metadata columns before anything is scored. A chunk
-    sharing no term with the question is no hit.
+    sharing no term with the question is no hit; with a model's vectors the k
+    nearest are hits whatever their score.
     """
     vectors = index.vectors if where is None else index.vectors.filter(where)
-    return top_k(vectors, index.embed_questions(questions), k, "dot", min_score=0.0)
+    asked = index.embed_questions(questions)
+    if index.make_model is not None:
+        return top_k(vectors, asked, k, "cosine")
+    return top_k(vectors, asked, k, "dot", min_score=0.0)
 
 
 def retrieve_parents(questions: DataFrame, index: Index, k: int = 3) -> DataFrame:
@@ -73,33 +83,26 @@ def retrieve_one(index: Index, question: str, k: int = 3) -> DataFrame:
 def retrieve_lexical(questions: DataFrame, index: Index, k: int) -> DataFrame:
     """BM25: chunk and question as vectors over the terms of the questions.
 
-    Chunk terms outside the questions are dropped where the chunk is read.
+    Reads the postings of those terms, in the parts that hold one; no text.
     """
     asked = questions.select("query_id", F.explode(F.array_distinct(terms("question"))).alias("term"))
     vocabulary = stage(
         index.terms.join(asked.select("term").distinct(), "term", "left_semi")
-        .withColumns({"bucket": F.monotonically_increasing_id(), "weight": F.lit(1.0)}),
+        .withColumns({"bucket": F.monotonically_increasing_id(), "part": part_of("term", index.parts)}),
         "vocabulary",
     )
-    chunks = index.chunks.select("chunk_id", "text", F.size(terms("text")).alias("_len"))
-    mean = chunks.agg(F.avg("_len")).first()[0]
-    small = bounded_vocabulary(vocabulary)
-    if small is not None:
-        counted = term_vectors(chunks, ["chunk_id", "_len"], small)
+    parts = [r["part"] for r in vocabulary.select("part").distinct().collect()]
+    postings = index.postings.filter(F.col("part").isin(parts) if parts else F.lit(False)).drop("part")
+    wanted = vocabulary.select("term", "df", "bucket")
+    if fits(wanted, MAX_BROADCAST_TERMS):
+        found = postings.join(F.broadcast(wanted), "term")
     else:
-        occurrences = chunks.select("chunk_id", "_len", F.explode(terms("text")).alias("term"))
-        counted = (
-            join_term_table(occurrences, vocabulary.select("term", "df", "bucket"), index.n_chunks)
-            .groupBy("chunk_id", "_len", "bucket")
-            .agg(F.count("*").cast("double").alias("weight"))
-            .groupBy("chunk_id", "_len")
-            .agg(F.collect_list(F.struct("bucket", "weight")).alias("_v"))
-            .select("chunk_id", "_len", F.col("_v.bucket").alias("buckets"), F.col("_v.weight").alias("weights"))
-        )
-    damp = BM25_K1 * (1 - BM25_B + BM25_B * F.col("_len") / F.lit(mean))
-    chunk_vectors = counted.select(
-        "chunk_id", "buckets", F.transform("weights", lambda tf: tf * (BM25_K1 + 1) / (tf + damp)).alias("weights")
-    )
+        found = join_term_table(postings, wanted, index.n_chunks)
+    damp = BM25_K1 * (1 - BM25_B + BM25_B * F.col("n") / F.lit(index.mean_terms))
+    weight = F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damp)
+    # a chunk has as many entries at most as it has terms
+    gathered = found.select("chunk_id", F.struct("bucket", weight.alias("weight")).alias("_v")).groupBy("chunk_id").agg(F.collect_list("_v").alias("_v"))
+    chunk_vectors = gathered.select("chunk_id", F.col("_v.bucket").alias("buckets"), F.col("_v.weight").alias("weights"))
     question_vectors = (
         asked.join(vocabulary, "term")
         .groupBy("query_id")
@@ -165,13 +168,15 @@ class Cells:
 
     def __init__(self, table: DataFrame, centers: np.ndarray, radius: np.ndarray, id_col: str, metric: str):
         self.table, self.centers, self.radius, self.id_col, self.metric = table, centers, radius, id_col, metric
+        # of the last block: cells read, and pairs of question and cell, first probed and then needed
         self.last_read: list[list[int]] = []
+        self.last_pairs: tuple[int, int] = (0, 0)
 
     @classmethod
-    def build(cls, vectors: DataFrame, path: str, n_cells: int = 64, id_col: str = "chunk_id", metric: str = "cosine", files_per_cell: int = 1) -> "Cells":
+    def build(cls, vectors: DataFrame, path: str, n_cells: int = 64, id_col: str = "chunk_id", metric: str = "cosine", cell_rows: int = CELL_ROWS) -> "Cells":
         if metric not in ("cosine", "euclidean"):
             raise ValueError(f"cells serve cosine and euclidean, not {metric}")
-        sample = vectors.orderBy(F.xxhash64(id_col), id_col).limit(n_cells).select("embedding").toArrow()
+        sample = vectors.filter(finite("embedding")).orderBy(F.xxhash64(id_col), id_col).limit(n_cells).select("embedding").toArrow()
         centers = _matrix(sample.column("embedding").combine_chunks(), metric)
         spark = vectors.sparkSession
         shared = spark.sparkContext.broadcast(centers)
@@ -186,41 +191,60 @@ class Cells:
                 far = distance[np.arange(len(cell)), cell] if batch.num_rows else np.zeros(0)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], schema.names)
 
-        placed = vectors.select(id_col, "embedding").mapInArrow(assign, schema)
-        # a crowded cell is written by several tasks
-        spread = placed.repartition(F.col("cell"), F.pmod(F.xxhash64(id_col), F.lit(files_per_cell)))
+        placed = vectors.select(id_col, "embedding").filter(finite("embedding")).mapInArrow(assign, schema)
+        # one row per cell: how full it is tells over how many tasks and files it is spread
+        radius, files = np.full(len(centers), -1.0), np.ones(len(centers), int)
+        for row in placed.groupBy("cell").agg(F.max("far").alias("r"), F.count("*").alias("n")).collect():
+            radius[row["cell"]], files[row["cell"]] = row["r"], -(-row["n"] // cell_rows)
+        pieces = F.element_at(F.array(*[F.lit(int(n)) for n in files]), F.col("cell") + 1)
+        spread = placed.repartition(int(min(files.sum(), MAX_CELL_TASKS)), F.col("cell"), F.pmod(F.xxhash64(id_col), pieces))
         spread.write.partitionBy("cell").parquet(path)
         table = spark.read.parquet(path)
-        radius = np.full(len(centers), -1.0)
-        for row in table.groupBy("cell").agg(F.max("far").alias("r")).collect():  # one row per cell
-            radius[row["cell"]] = row["r"]
         return cls(table, centers, radius, id_col, metric)
 
-    def search(self, queries: DataFrame, k: int = 3, n_probe: int = 4, query_col: str = "query_id") -> DataFrame:
-        """The exact k nearest, reading the probed cells and those that may matter."""
-        asked = queries.select(query_col, "embedding").limit(MAX_QUERIES + 1).toArrow()
-        if asked.num_rows > MAX_QUERIES or asked.num_rows == 0:
-            return top_k(self.table, queries, k, self.metric, self.id_col, query_col)
-        to_centers = _distances(_matrix(asked.column("embedding").combine_chunks(), self.metric), self.centers)
+    def search(
+        self, queries: DataFrame, k: int = 3, n_probe: int = 4, query_col: str = "query_id", max_queries: int = MAX_QUERIES, max_cells: int = MAX_QUERY_CELLS
+    ) -> DataFrame:
+        """The exact k nearest: each question reads its probed cells and those that may matter to it.
+
+        Questions come in blocks of bounded size, each pruned on its own.
+        """
+        asked = queries.select(query_col, "embedding").filter(finite("embedding"))
+        schema = T.StructType([asked.schema[query_col], self.table.schema[self.id_col], T.StructField("score", T.DoubleType())])
+        spark, out = self.table.sparkSession, stage_path(self.table.sparkSession, "cells")
+        spark.createDataFrame([], schema).write.parquet(f"{out}/found=-1")
+        for number, block in enumerate(question_blocks(asked, query_col, max_queries, max_cells)):
+            self._search_block(block, k, n_probe, query_col, schema, f"{out}/found={number}")
+        found = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
+        return self._ranked(found, k, query_col)
+
+    def _search_block(self, block: pa.Table, k: int, n_probe: int, query_col: str, schema: T.StructType, out: str) -> None:
+        matrix = QueryMatrix.of(block, query_col, self.metric)
+        to_centers = _distances(_matrix(block.column("embedding").combine_chunks(), self.metric), self.centers)
         filled = np.flatnonzero(self.radius >= 0)
-        nearest = filled[np.argsort(to_centers[:, filled], axis=1)[:, :n_probe]]
-        first = sorted(set(nearest.ravel().tolist()))
-        found = stage(self._within(first, queries, k, query_col), "probe")
+        first = np.zeros(to_centers.shape, bool)
+        np.put_along_axis(first, filled[np.argsort(to_centers[:, filled], axis=1)[:, :n_probe]], True, axis=1)
+        self._within(first, matrix, k, schema).write.parquet(f"{out}/probed")
+        probed = self.table.sparkSession.read.schema(schema).parquet(f"{out}/probed")
         # the k-th best distance so far bounds what other cells must beat
-        kth = {r[0]: r[1] for r in found.filter(F.col("rank") == k).select(query_col, "score").collect()}
-        reach = np.array([self._distance(kth.get(q)) for q in asked.column(query_col).to_pylist()])
-        may = (to_centers - self.radius[None, :] <= reach[:, None]).any(axis=0) & (self.radius >= 0)
-        rest = sorted(set(np.flatnonzero(may).tolist()) - set(first))
-        self.last_read = [first, rest]
-        if not rest:
-            return found
-        both = found.unionByName(self._within(rest, queries, k, query_col))
+        kth = {r[0]: r[1] for r in self._ranked(probed, k, query_col).filter(F.col("rank") == k).select(query_col, "score").collect()}
+        reach = np.array([self._distance(kth.get(q)) for q in block.column(query_col).to_pylist()])
+        may = (to_centers - self.radius[None, :] <= reach[:, None]) & (self.radius >= 0)[None, :] & ~first
+        self.last_read = [np.flatnonzero(first.any(axis=0)).tolist(), np.flatnonzero(may.any(axis=0)).tolist()]
+        self.last_pairs = int(first.sum()), int(may.sum())
+        if may.any():
+            self._within(may, matrix, k, schema).write.parquet(f"{out}/others")
+
+    def _within(self, visits: np.ndarray, matrix: QueryMatrix, k: int, schema: T.StructType) -> DataFrame:
+        cells = np.flatnonzero(visits.any(axis=0)).tolist()
+        lists = {c: np.flatnonzero(visits[:, c]) for c in cells}
+        rows = self.table.filter(F.col("cell").isin(cells)).select(self.id_col, "embedding", "cell")
+        return _scan(rows, matrix, k, self.id_col, None, schema, lists)
+
+    def _ranked(self, found: DataFrame, k: int, query_col: str) -> DataFrame:
         order = F.col("score").asc() if self.metric == "euclidean" else F.col("score").desc()
         ranked = Window.partitionBy(query_col).orderBy(order, self.id_col)
-        return both.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
-
-    def _within(self, cells: list[int], queries: DataFrame, k: int, query_col: str) -> DataFrame:
-        return top_k(self.table.filter(F.col("cell").isin(cells)), queries, k, self.metric, self.id_col, query_col)
+        return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(query_col, "rank", self.id_col, "score")
 
     def _distance(self, score: float | None) -> float:
         """A ranked score as Euclidean distance, widened by its rounding."""

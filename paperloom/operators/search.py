@@ -11,6 +11,7 @@ Scores are rounded to 6 decimals before ranking; ties break by chunk id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 from math import ceil
 
 import numpy as np
@@ -21,13 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from paperloom.staging import stage_path
+
 # Questions sent to every task: bounded in number and in matrix cells.
 MAX_QUERIES = 2_000
 MAX_QUERY_CELLS = 8_000_000
 # Cells of one score or vector block inside a task (doubles).
 BLOCK_CELLS = 2_000_000
-# Index rows of one grid cell when the questions are too many to broadcast.
-GRID_ROWS = 20_000
 
 
 class QueryMatrix:
@@ -52,6 +53,12 @@ class QueryMatrix:
         columns = np.unique(pc.list_flatten(buckets).to_numpy(zero_copy_only=False))
         return cls(ids, _scatter(buckets, _flat(table, "weights"), columns), columns, metric)
 
+    def only(self, questions: np.ndarray) -> "QueryMatrix":
+        """The matrix of some of the questions, with all its columns."""
+        part = copy(self)
+        part.vectors, part.norms = self.vectors[:, questions], self.norms[questions]
+        return part
+
     def scores(self, table: pa.Table | pa.RecordBatch) -> np.ndarray:
         """Rounded scores, one row per index row; larger is better."""
         if self.columns is None:
@@ -105,10 +112,12 @@ class Best:
         self.ids = np.zeros(0, dtype=object)
         self.s = np.zeros(0)
 
-    def add(self, table: pa.Table | pa.RecordBatch, id_col: str) -> None:
+    def add(self, table: pa.Table | pa.RecordBatch, id_col: str, asked: np.ndarray | None = None) -> None:
+        """Score the rows for all questions, or for those ``asked``."""
+        queries = self.queries if asked is None else self.queries.only(asked)
         for start in range(0, table.num_rows, self.queries.rows_per_block()):
             part = table.slice(start, self.queries.rows_per_block())
-            scores = self.queries.scores(part)
+            scores = queries.scores(part)
             n = scores.shape[0]
             keep = np.ones_like(scores, dtype=bool)
             if n > self.k:
@@ -117,7 +126,7 @@ class Best:
                 keep &= scores > self.min_score
             rows, qs = np.nonzero(keep)
             ids = np.array(part.column(id_col).to_pylist(), dtype=object)
-            self.q = np.concatenate([self.q, qs])
+            self.q = np.concatenate([self.q, qs if asked is None else asked[qs]])
             self.ids = np.concatenate([self.ids, ids[rows]])
             self.s = np.concatenate([self.s, scores[rows, qs]])
             self._cut()
@@ -165,7 +174,7 @@ def top_k(
     Dense vectors that are null or hold a null, NaN or infinite value are no
     candidates and find nothing; ``validate_vectors`` lists them.
     Questions within the bounds are broadcast and the index is read in place;
-    more questions than that are met by a grid of blocks (``_grid``).
+    more questions than that come in blocks, each a further reading.
     """
     if metric not in ("cosine", "dot", "euclidean"):
         raise ValueError(f"unknown metric {metric}")
@@ -187,7 +196,7 @@ def top_k(
     elif table.num_rows <= max_queries and _cells(table) <= max_cells:
         best = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema)
     else:
-        best = _grid(index, queries, k, metric, id_col, query_col, min_score, schema, max_queries)
+        best = _in_blocks(index, queries, k, metric, id_col, query_col, min_score, schema, max_queries, max_cells)
     order = F.col("score").asc() if metric == "euclidean" else F.col("score").desc()
     ranked = Window.partitionBy(query_col).orderBy(order, F.col(id_col))
     return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(query_col, "rank", id_col, "score")
@@ -204,21 +213,59 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return pa.schema([(f.name, pa.float64() if f.name == "score" else _arrow_type(f.dataType)) for f in schema.fields])
 
 
-def _scan(index: DataFrame, matrix: QueryMatrix, k: int, id_col: str, min_score: float | None, schema: T.StructType) -> DataFrame:
-    shared = index.sparkSession.sparkContext.broadcast(matrix)
+def _scan(
+    index: DataFrame,
+    matrix: QueryMatrix,
+    k: int,
+    id_col: str,
+    min_score: float | None,
+    schema: T.StructType,
+    visits: dict[int, np.ndarray] | None = None,
+) -> DataFrame:
+    """Each task's k best rows per question. With ``visits`` a row is scored for
+    the questions that visit its ``cell`` only."""
+    shared = index.sparkSession.sparkContext.broadcast((matrix, visits))
     out = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(shared.value, k, min_score)
+        queries, lists = shared.value
+        best = Best(queries, k, min_score)
         for batch in batches:
-            best.add(batch, id_col)
+            if lists is None:
+                best.add(batch, id_col)
+                continue
+            cells = batch.column("cell").to_numpy(zero_copy_only=False)
+            for cell in np.unique(cells):
+                best.add(batch.filter(pa.array(cells == cell)), id_col, lists[int(cell)])
         if len(best.q):
             yield best.result(out)
 
     return index.mapInArrow(run, schema)
 
 
-def _grid(
+def _bounded(table: pa.Table, max_cells: int) -> Iterator[pa.Table]:
+    """Questions in pieces whose matrix is within the bound, or one question."""
+    if table.num_rows > 1 and _cells(table) > max_cells:
+        half = table.num_rows // 2
+        yield from _bounded(table.slice(0, half), max_cells)
+        yield from _bounded(table.slice(half), max_cells)
+    elif table.num_rows:
+        yield table
+
+
+def question_blocks(queries: DataFrame, query_col: str, max_queries: int, max_cells: int) -> Iterator[pa.Table]:
+    """Any number of questions in blocks of bounded rows and cells, one at a time on the driver."""
+    # Half the bound: dealing by hash leaves blocks of slightly unequal size.
+    n = max(1, ceil(queries.count() / max(1, max_queries // 2)))
+    path = stage_path(queries.sparkSession, "questions")
+    dealt = queries.withColumn("_block", F.pmod(F.xxhash64(query_col), F.lit(n)).cast("int"))
+    dealt.repartition(n, "_block").write.partitionBy("_block").parquet(path)
+    written = queries.sparkSession.read.schema(dealt.schema).parquet(path)
+    for block in range(n):
+        yield from _bounded(written.filter(F.col("_block") == block).drop("_block").toArrow(), max_cells)
+
+
+def _in_blocks(
     index: DataFrame,
     queries: DataFrame,
     k: int,
@@ -227,29 +274,16 @@ def _grid(
     query_col: str,
     min_score: float | None,
     schema: T.StructType,
-    block_queries: int,
+    max_queries: int,
+    max_cells: int,
 ) -> DataFrame:
     """Exact search for any number of questions.
 
-    Questions and index rows are dealt by hash of their id into blocks of
-    bounded size; each block of one meets each block of the other in one cell.
+    Block after block is broadcast and the index read in place, so its vectors
+    are never shuffled or copied; what is written is each block's best rows.
     """
-    rows = max(1, ceil(index.count() / GRID_ROWS))
-    # Half the bound: dealing by hash leaves blocks of slightly unequal size.
-    cols = max(1, ceil(queries.count() / max(1, min(block_queries, MAX_QUERIES) // 2)))
-    left = index.withColumn("_r", F.pmod(F.xxhash64(id_col), F.lit(rows)).cast("int")).withColumn(
-        "_c", F.explode(F.sequence(F.lit(0), F.lit(cols - 1)))
-    )
-    right = queries.withColumn("_c", F.pmod(F.xxhash64(query_col), F.lit(cols)).cast("int")).withColumn(
-        "_r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))
-    )
-    out = _arrow_schema(schema)
-
-    def cell(chunks: pa.Table, asked: pa.Table) -> pa.Table:
-        if chunks.num_rows == 0 or asked.num_rows == 0:
-            return out.empty_table()
-        best = Best(QueryMatrix.of(asked, query_col, metric), k, min_score)
-        best.add(chunks.combine_chunks(), id_col)
-        return pa.Table.from_batches([best.result(out)], schema=out)
-
-    return left.groupBy("_r", "_c").cogroup(right.groupBy("_r", "_c")).applyInArrow(cell, schema)
+    out = stage_path(index.sparkSession, "blocks")
+    for number, table in enumerate(question_blocks(queries, query_col, max_queries, max_cells)):
+        found = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema)
+        found.write.parquet(f"{out}/block={number}")
+    return index.sparkSession.read.schema(schema).parquet(out).select(*schema.fieldNames())
