@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paperloom.checks.base import CLAIMS_SQL, check, claims, document_index, documents, questions, table
 from paperloom.checks.search_checks import ANSWERS_SQL, HITS_SQL, SENTENCES_SQL, TERMS_SQL, _flat_answers
 from paperloom.functions import policy as rules
-from paperloom.functions.payloads import payload_messages
+from paperloom.functions.payloads import payload_messages, question_params
 from paperloom.functions.responses import first_text
 from paperloom.functions.text import terms
 from paperloom.operators import screening
@@ -308,3 +308,30 @@ def r8(spark, sf):
     """The question form: its own token budget, a policy, no explicit k."""
     done = answer(questions(spark, sf), document_index(spark, sf), make_stub, max_tokens=256, policy=_policy())
     return _flat_answers(done).join(done.select("query_id", "action"), "query_id")
+
+
+def make_form_client():
+    """Says back what the form asked for: temperature, token budget, prompt."""
+
+    def client(model_id, payload, policy):
+        asked = payload["inferenceConfig"]
+        text = f"{asked['temperature']}|{asked['maxTokens']}|" + payload["messages"][0]["content"][0]["text"].strip(" \n")
+        return {"content": [{"text": text}]}
+
+    return client
+
+
+@check(
+    "r8_question_form",
+    f"""WITH {ANSWERS_SQL.replace("'[stub] ' ||", "CASE WHEN query_id % 3 = 0 THEN '0.5|512|' ELSE '0.25|' || (100 + query_id) || '|' END ||")}
+    SELECT query_id, answer, n_citations, cited FROM answers""",
+)
+def r8_form(spark, sf):
+    """Questions with a temperature and token budget of their own, or none."""
+    own = F.col("query_id") % 3 != 0
+    form = questions(spark, sf).withColumns(
+        {"temperature": F.when(own, F.lit(" 0.25")), "max_tokens": F.when(own, F.concat((100 + F.col("query_id")).cast("string"), F.lit(" ")))}
+    )
+    asked = question_params(form)
+    done = answer(asked, document_index(spark, sf), make_form_client, max_tokens=F.col("max_tokens"), temperature=F.col("temperature"))
+    return _flat_answers(done)

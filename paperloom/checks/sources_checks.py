@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.checks.base import CLAIMS_SQL, PAIRS_SQL, check, claims, documents, pairs, table
 from paperloom.functions.fields import coverage_rows, extract_claim, labelled, parse_date, parse_money, phone_digits, policy_sections
+from paperloom.functions.prompts import render
 from paperloom.functions.responses import completion_text, first_text, parse_accuracy, parse_quality
 from paperloom.functions.text import WHITESPACE, flatten_json, strip
 from paperloom.sources import feedback as feedback_log
@@ -22,10 +23,21 @@ def _text_files(spark: SparkSession, df: DataFrame, column: str) -> str:
     return path
 
 
-@check("s1_read_objects", "SELECT sum(strlen(html) + 1)::BIGINT AS n_bytes FROM pages")
+def _named_files(spark: SparkSession, df: DataFrame, key: str, column: str) -> str:
+    """Each row as a text file, in a folder named by its key."""
+    path = stage_path(spark, "files")
+    df.select(key, F.col(column).alias("value")).repartition(8, key).write.partitionBy(key).text(path)
+    return path
+
+
+def _key_in(path: str, key: str):
+    return F.regexp_extract(path, f"{key}=(-?[0-9]+)", 1).cast("long").alias(key)
+
+
+@check("s1_read_objects", "SELECT page_id, (strlen(html) + 1)::BIGINT AS length, md5(html || chr(10)) AS content_md5 FROM pages")
 def s1(spark, sf):
-    path = _text_files(spark, table(spark, sf, "pages"), "html")
-    return objects.read_objects(spark, path, "*.txt").agg(F.sum("length").alias("n_bytes"))
+    path = _named_files(spark, table(spark, sf, "pages"), "page_id", "html")
+    return objects.read_objects(spark, path, "*.txt").select(_key_in("key", "page_id"), "length", F.md5("content").alias("content_md5"))
 
 
 @check("s2_list_keys", "SELECT page_id, url FROM pages WHERE starts_with(url, 'https://')")
@@ -47,12 +59,19 @@ def s3(spark, sf):
     return kept.select("doc_id", "source", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-@check("s4_land_files", "SELECT 'pages' AS prefix, sum(strlen(html) + 1)::BIGINT AS n_bytes, true AS keyed FROM pages")
+@check(
+    "s4_land_files",
+    """SELECT 'pages' AS prefix, page_id, (strlen(html) + 1)::BIGINT AS length, md5(html || chr(10)) AS content_md5,
+    true AS keyed, count(*) OVER () AS n_keys FROM pages""",
+)
 def s4(spark, sf):
+    """Files of one name in many folders keep keys of their own."""
     landed = stage_path(spark, "landed")
-    objects.land_files(spark, _text_files(spark, table(spark, sf, "pages"), "html"), landed, "pages/")
-    keyed = F.bool_and(F.col("key").startswith("pages/part-"))
-    return spark.read.parquet(landed).groupBy("prefix").agg(F.sum("length").alias("n_bytes"), keyed.alias("keyed"))
+    objects.land_files(spark, _named_files(spark, table(spark, sf, "pages"), "page_id", "html"), landed, "pages/")
+    found = spark.read.parquet(landed)
+    n_keys = found.select("key").distinct().agg(F.count("*").alias("n_keys"))
+    keyed = F.col("key").rlike("^pages/page_id=[0-9]+/part-").alias("keyed")
+    return found.select("prefix", _key_in("key", "page_id"), "length", F.md5("content").alias("content_md5"), keyed).join(F.broadcast(n_keys), how="cross")
 
 
 @check(
@@ -103,17 +122,12 @@ def s7(spark, sf):
     )
 
 
-@check(
-    "s8_plain_text_whole",
-    "SELECT sum(strlen(text) + 1)::BIGINT AS n_bytes, sum(length(text) + 1)::BIGINT AS n_chars, 0::BIGINT AS n_errors FROM documents",
-)
+@check("s8_plain_text_whole", "SELECT doc_id, md5(text || chr(10)) AS text_md5, (length(text) + 1)::BIGINT AS n_chars, NULL::VARCHAR AS error FROM documents")
 def s8(spark, sf):
-    path = _text_files(spark, documents(spark, sf), "text")
+    path = _named_files(spark, documents(spark, sf), "doc_id", "text")
     found = objects.read_objects(spark, path, "*.txt").withColumn("content_type", F.lit(None).cast("string"))
     texts = objects.document_texts(found, mode="PERMISSIVE")
-    return texts.agg(
-        F.sum(F.octet_length("text")).alias("n_bytes"), F.sum(F.length("text")).alias("n_chars"), F.count("error").alias("n_errors")
-    )
+    return texts.select(_key_in("key", "doc_id"), F.md5(F.col("text").cast("binary")).alias("text_md5"), F.length("text").cast("long").alias("n_chars"), "error")
 
 
 @check(
@@ -251,6 +265,48 @@ def x5(spark, sf):
     return rows.select("doc_id", "pos", "coverage", *[F.col(c).cast("string").alias(c) for c in money])
 
 
+@check(
+    "x5_coverage_nested",
+    """SELECT o_orderkey AS doc_id, pos, coverage, item, CASE WHEN item = 'Deductible' THEN (250 * (1 + o_orderkey % 5)) || '.00' END AS deductible,
+    CASE WHEN item = 'Limit' THEN (25000 * (1 + o_orderkey % 7)) || '.00' END AS per_person,
+    CASE item WHEN 'Deductible' THEN format('${:,}', 250 * (1 + o_orderkey % 5)) WHEN 'Limit' THEN format('${:,} per person', 25000 * (1 + o_orderkey % 7))
+      WHEN 'Towing' THEN 'up to ' || (o_orderkey % 9) || ' miles' ELSE 'Included' END AS note
+    FROM orders, (VALUES (0, 'Roadside Help', NULL), (1, 'Collision', 'Deductible'), (2, 'Collision', 'Limit'), (3, 'Extras', 'Towing')) AS c(pos, coverage, item)""",
+)
+def x5_nested(spark, sf):
+    """Headings with indented items beside a bullet."""
+    key = F.col("o_orderkey")
+    form = render(
+        "Coverage of {key}\nCollision:\n  Deductible: ${deductible}\n  Limit: ${person} per person\nExtras:\n\tTowing: up to {miles} miles\n- Roadside Help: Included\n",
+        key=key,
+        deductible=F.format_number(250 * (1 + key % 5), 0),
+        person=F.format_number(25000 * (1 + key % 7), 0),
+        miles=key % 9,
+    )
+    rows = coverage_rows(table(spark, sf, "orders").select(key.alias("doc_id"), form.alias("text")))
+    money = [F.col(c).cast("string").alias(c) for c in ("deductible", "per_person")]
+    return rows.select("doc_id", "pos", "coverage", "item", *money, "note")
+
+
+@check(
+    "x6_policy_sections_numbered",
+    r"""SELECT doc_id, section_idx, CASE section_idx WHEN 1 THEN 'SECTION 1: Cover of ' || source WHEN 2 THEN '2. EXCLUSIONS, ' || upper(lang) END AS title,
+    md5(CASE section_idx WHEN 0 THEN 'Policy ' || doc_id WHEN 1 THEN trim(text, E' \t\r\n') ELSE 'Nothing else.' END) AS body_md5
+    FROM documents, (VALUES (0::BIGINT), (1), (2)) AS s(section_idx)""",
+)
+def x6_numbered(spark, sf):
+    """The headings policies have, in both forms."""
+    form = render(
+        "Policy {key}\nSECTION 1: Cover of {source}\n{text}\n---\n2. EXCLUSIONS, {lang}\nNothing else.\n",
+        key=F.col("doc_id"),
+        source=F.col("source"),
+        text=F.col("text"),
+        lang=F.upper("lang"),
+    )
+    sections = policy_sections(documents(spark, sf, "lang", "source").select("doc_id", form.alias("text")))
+    return sections.select("doc_id", F.col("section_idx").cast("long").alias("section_idx"), "title", F.md5(F.col("body").cast("binary")).alias("body_md5"))
+
+
 # Documents have no numbered headings; a short line without end mark is one.
 HEADING = r"[^.!?\n]{1,60}"
 

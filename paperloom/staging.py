@@ -8,6 +8,7 @@ be replayed (in particular no model is called twice).
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -42,9 +43,36 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
+def remove_stages(spark: SparkSession) -> int:
+    """Delete the stage tables this process has written; what reads them is no longer of use.
+
+    Runs when the process ends, as far as its session still lives then. Paths
+    asked for by ``stage_path`` belong to the caller and stay.
+    """
+    removed = 0
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
+
+
+def _remove_at_exit() -> None:
+    session = SparkSession.getActiveSession()
+    if session is not None and _staged:
+        with contextlib.suppress(Exception):  # the gateway may be gone first
+            remove_stages(session)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
     path = stage_path(df.sparkSession, name)
+    if not _staged:
+        atexit.unregister(_remove_at_exit)
+        atexit.register(_remove_at_exit)  # after the session's own, so that it runs before
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
