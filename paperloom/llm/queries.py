@@ -228,6 +228,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(rows, rows.filter("vec_id % 20 = 0"), 20)
 
 
-@query("op10_vector_copies")
+# All pairs, as the small tables allow; the operator finds its pairs in leaves.
+COPIES_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x), lowest AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings LEFT JOIN counts ON counts.x = vec_id JOIN lowest ON lowest.x = vec_id
+"""
+
+
+@query("op10_vector_copies", COPIES_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_copies.vector_components(table(spark, sf_dir, "embeddings"))
