@@ -76,6 +76,34 @@ def test_process_documents_calls_once_per_step(spark, tmp_path):
     assert len(list(log.iterdir())) == 8
 
 
+def test_a_rerun_calls_only_for_what_has_no_answer(spark, tmp_path):
+    log, down = tmp_path / "calls", tmp_path / "down"
+    log.mkdir()
+    down.touch()
+
+    def make_flaky():
+        def client(model_id, payload, policy):
+            import uuid
+
+            prompt = payload["messages"][0]["content"][0]["text"]
+            (log / uuid.uuid4().hex).write_text(prompt)
+            if down.exists() and "Document" in prompt and prompt.split("Document:")[1].split()[0].endswith("1"):
+                raise ServiceError("ThrottlingException", "later")
+            return {"content": [{"text": "x"}]}
+
+        return client
+
+    docs = spark.createDataFrame([(i, f"doc{i} text") for i in range(3)], "doc_id long, text string")
+    keep = str(tmp_path / "kept")
+    first = process_documents(docs, make_flaky, keep=keep)
+    assert {r["doc_id"]: r["ok"] for r in first.collect()} == {0: True, 1: False, 2: True}
+    assert len(list(log.iterdir())) == 5
+    down.unlink()
+    second = process_documents(docs, make_flaky, keep=keep)
+    assert {r["doc_id"]: r["ok"] for r in second.collect()} == {0: True, 1: True, 2: True}
+    assert len(list(log.iterdir())) == 7  # one extraction and one summary more
+
+
 def test_judges(spark):
     rows = _docs(spark, 2).withColumn("summary_text", F.lit("short"))
     accuracy = judge_accuracy(rows, make_stub, "judge").first()
