@@ -30,7 +30,7 @@ from paperloom.llm.rows import quoted
 from paperloom.shipping import ship_package
 
 # Encoded words a task remembers, twice at most, and the longest that it does.
-MEMO = 150_000
+MEMO = 400_000
 MEMO_CHARS = 48
 # Texts encoded at once.
 BLOCK = 64
@@ -42,6 +42,14 @@ READ = 1 << 22
 # A blank after white space that is not the last before something else.
 _INSIDE_RUN = re.compile(r"\s (?!\S)")
 
+# The signs that stand for bytes in a byte-level vocabulary: printable ones of
+# Latin-1 for themselves, the others in order from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_SIGNS = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
+
+# Letters at the start of a word, and what no longer belongs to them.
+_LETTERS_END = re.compile(r"([^\W\d_]+)([^\w].*)", re.DOTALL)
+
 _PARTS = "part int, ids string, offsets string, docs string, n_docs bigint, n_tokens bigint"
 
 
@@ -63,13 +71,50 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.code = "H" if id_type(self.library.get_vocab_size()) == "<u2" else "I"
+        self.direct = all(self._letters(w) == self._encode([" " + w])[0] for w in ("the", "Größe", "naïve", "слово", "中文"))
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _letters(self, word: str) -> bytes:
+        """Ids of a blank and letters, which the tokenizer never cuts: straight from its merges."""
+        merged = self.library.model.tokenize((" " + word).encode().decode("latin-1").translate(BYTE_SIGNS))
+        return array(self.code, [t.id for t in merged]).tobytes()
+
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not remembered, each with its blank.
+
+        A word is cut once more where its first letters end, as the tokenizer
+        does, so that one with a full stop helps one without.
+        """
+        cut = {w: m.groups() for w in words if (m := _LETTERS_END.fullmatch(w))}
+        heads = {h for h, _ in cut.values()} | (words - cut.keys())
+        now = {h: b for h in heads if (b := self.memo.get(h) or self.older.get(h)) is not None}
+        tails = {t: b for _, t in cut.values() if (b := self.tails.get(t)) is not None}
+        new_heads = [h for h in heads if h not in now]
+        if self.direct:
+            now.update({h: self._letters(h) for h in new_heads if h.isalpha()})
+            new_heads = [h for h in new_heads if h not in now]
+        new_tails = list({t for _, t in cut.values() if t not in tails})
+        made = self._encode([" " + h for h in new_heads] + new_tails)
+        now.update(zip(new_heads, made))
+        tails.update(zip(new_tails, made[len(new_heads) :]))
+        now.update({w: now[h] + tails[t] for w, (h, t) in cut.items()})
+        self._remember(now, tails)
+        return now
+
+    def _remember(self, words: dict[str, bytes], tails: dict[str, bytes]) -> None:
+        if len(self.memo) > MEMO:  # words that come again move on from the older half
+            self.older, self.memo = self.memo, {}
+        if len(self.tails) > MEMO:
+            self.tails = {}
+        self.memo.update({w: b for w, b in words.items() if len(w) <= MEMO_CHARS})
+        self.tails.update({t: b for t, b in tails.items() if len(t) <= MEMO_CHARS})
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
         known = self.memo.get
@@ -83,21 +128,15 @@ class WordEncoder:
             found = list(map(known, words))
             if None in found:
                 missing.update([w for w, f in zip(words, found) if f is None])
-            cut.append((i, first, words, found))
-        now = {w: self.older[w] for w in missing if w in self.older}
-        words = [w for w in missing if w not in now]
-        firsts = [first for _, first, _, _ in cut]
-        new = self._encode([" " + w for w in words] + firsts + [texts[i] for i in whole])
-        now.update(zip(words, new))
-        for (i, _, cut_words, found), first in zip(cut, new[len(words) :]):
+            cut.append((i, words, found))
+        others = self._encode([texts[i].split(" ", 1)[0] for i, _, _ in cut] + [texts[i] for i in whole])
+        now = self._words(missing)
+        for (i, words, found), first in zip(cut, others):
             if None in found:
-                found = [now[w] if f is None else f for w, f in zip(cut_words, found)]
+                found = [now[w] if f is None else f for w, f in zip(words, found)]
             made[i] = b"".join([first, *found])
-        for i, ids in zip(whole, new[len(words) + len(cut) :]):
+        for i, ids in zip(whole, others[len(cut) :]):
             made[i] = ids
-        if len(self.memo) > MEMO:  # words that come again move on from the older half
-            self.older, self.memo = self.memo, {}
-        self.memo.update({w: b for w, b in now.items() if len(w) <= MEMO_CHARS})
         return made
 
 
