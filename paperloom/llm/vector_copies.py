@@ -2,7 +2,9 @@
 
 A tree splits a sample by random directions, each near the median of the
 sample's projections, until its leaves are small. Rows close to a split go down
-both sides, so that near pairs seldom part in every tree. Within the leaves of
+both sides, so that near pairs seldom part in every tree; a split that would
+part many of the sample's near pairs is not made, so a large cluster of near
+copies stays in one leaf, however large. Within the leaves of
 all trees rows are compared exactly; the pairs found are verified by cosine,
 counted once whatever leaves they share, and joined into components.
 
@@ -34,6 +36,12 @@ SAMPLE = 20_000
 LEAF = 1_000
 # Sampled vectors a split needs on each side.
 SIDE = 8
+# Sampled vectors whose near pairs are looked up, and how many of each are kept.
+ANCHORS, MATES = 2_000, 16
+# Share of a node's near pairs that a split may part, and the pairs that tell it.
+PARTED, TELLING = 0.05, 16
+# Splits tried near the median, and after them anywhere.
+TRIES, WIDE_TRIES = 8, 16
 # Rows this near to a split, in deviations of the projections, go both ways.
 SPILL = 0.1
 # Rows of a leaf that meet in one task; a larger leaf is met in pairs of blocks.
@@ -56,32 +64,47 @@ class Forest:
     leaves: int
 
     @classmethod
-    def fitted(cls, unit: np.ndarray, n: int, trees: int, leaf: int, spill: float, seed: int) -> "Forest":
+    def fitted(cls, unit: np.ndarray, n: int, trees: int, leaf: int, spill: float, seed: int, threshold: float = THRESHOLD) -> "Forest":
         """``unit`` is the sample of ``n`` rows, scaled to unit length."""
         rng = np.random.default_rng(seed)
         small = leaf * len(unit) / max(n, 1)
         roots, directions, cuts, margins, below, leaves = [], [], [], [], [], 0
 
-        def grow(rows: np.ndarray) -> int:
-            nonlocal leaves
+        def split(rows: np.ndarray, a: np.ndarray, b: np.ndarray, wide: bool):
+            """Direction, cut, margin, rows on the left, and the pairs that stay together on each side; None if it serves nothing."""
             direction = rng.normal(size=unit.shape[1])
             direction /= np.sqrt((direction * direction).sum())
-            along = rows @ direction
-            cut = float(np.quantile(along, rng.uniform(0.4, 0.6))) if len(rows) else 0.0
+            along = unit[rows] @ direction
+            cut = float(np.quantile(along, rng.uniform(0.05, 0.95) if wide else rng.uniform(0.4, 0.6))) if len(rows) else 0.0
             left = along <= cut
             if len(rows) <= small or min(left.sum(), (~left).sum()) < SIDE:
+                return None
+            margin = spill * float(along.std())
+            at_a, at_b = unit[a] @ direction - cut, unit[b] @ direction - cut
+            both_left, both_right = np.maximum(at_a, at_b) <= margin, np.minimum(at_a, at_b) > -margin
+            if len(a) >= TELLING and (~(both_left | both_right)).mean() > PARTED:
+                return None
+            return direction, cut, margin, left, both_left, both_right
+
+        def grow(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> int:
+            nonlocal leaves
+            tries = (False,) if len(rows) <= small else (False,) * TRIES + (True,) * WIDE_TRIES
+            made = next((x for wide in tries if (x := split(rows, a, b, wide)) is not None), None)
+            if made is None:
                 leaves += 1
                 return -leaves
+            direction, cut, margin, left, both_left, both_right = made
             node = len(cuts)
             directions.append(direction)
             cuts.append(cut)
-            margins.append(spill * float(along.std()))
+            margins.append(margin)
             below.append(None)
-            below[node] = (grow(rows[left]), grow(rows[~left]))
+            below[node] = (grow(rows[left], a[both_left], b[both_left]), grow(rows[~left], a[both_right], b[both_right]))
             return node
 
+        near = _near_pairs(unit, threshold, seed)
         for _ in range(trees):
-            roots.append(grow(unit))
+            roots.append(grow(np.arange(len(unit)), *near))
         d = unit.shape[1]
         return cls(roots, np.array(directions).reshape(-1, d), np.array(cuts), np.array(margins), np.array(below, np.int64).reshape(-1, 2), leaves)
 
@@ -111,6 +134,82 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1))[:, None]
 
 
+def _near_pairs(unit: np.ndarray, threshold: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Some pairs within the threshold: up to ``MATES`` of each of ``ANCHORS`` rows."""
+    rng = np.random.default_rng([seed, 1])
+    anchors = rng.permutation(len(unit))[:ANCHORS]
+    firsts, seconds = [], []
+    for start in range(0, len(anchors), 256):
+        rows = anchors[start : start + 256]
+        for row, cosines in zip(rows, unit[rows] @ unit.T):
+            mates = np.flatnonzero(cosines >= threshold)
+            mates = mates[mates != row]
+            if len(mates) > MATES:
+                mates = rng.choice(mates, MATES, replace=False)
+            firsts.append(np.full(len(mates), row))
+            seconds.append(mates)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *firsts]), np.concatenate([none, *seconds])
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """How the rows of each leaf are cut into blocks.
+
+    A row's home is its first leaf of several blocks. Rows of a later leaf that
+    share a home have met there; where they fill a block they get blocks of
+    their own, which meet the leaf's other blocks and not each other.
+    ``first`` and ``parts`` follow ``keys``, which are leaf times
+    leaves plus home; the other rows of a leaf have its first ``rest`` blocks.
+    """
+
+    large: np.ndarray
+    rest: np.ndarray
+    total: np.ndarray
+    keys: np.ndarray
+    first: np.ndarray
+    parts: np.ndarray
+
+    @classmethod
+    def of(cls, counts: np.ndarray, homes: list[tuple[int, int]]) -> "Blocks":
+        """``counts`` are rows of each leaf, ``homes`` pairs of a key and its rows."""
+        keys = np.array(sorted(k for k, _ in homes), np.int64)
+        held = np.array([n for _, n in sorted(homes)], np.int64)
+        leaf = keys // max(1, len(counts))
+        rest = counts.copy()
+        np.subtract.at(rest, leaf, held)
+        rest, parts = -(-rest // BLOCK), -(-held // BLOCK)
+        total, first = rest.copy(), np.zeros(len(keys), np.int64)
+        for i, at in enumerate(leaf):
+            first[i] = total[at]
+            total[at] += parts[i]
+        return cls(counts > BLOCK, rest, total, keys, first, parts)
+
+    @staticmethod
+    def homes(row: np.ndarray, leaf: np.ndarray, large: np.ndarray) -> np.ndarray:
+        """For each row and leaf, ordered by both, the row's home, or the number of leaves."""
+        home = np.full(row.max(initial=-1) + 1, len(large))
+        np.minimum.at(home, row, np.where(large[leaf], leaf, len(large)))
+        return home[row]
+
+    def dealt(self, row: np.ndarray, leaf: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``leaf``, each as often as its row meets a block, with its own block and the other."""
+        home = self.homes(row, leaf, self.large)
+        first, parts = np.zeros(len(leaf), np.int64), np.maximum(self.rest[leaf], 1)
+        met = np.zeros(len(leaf), bool)
+        if len(self.keys):
+            key = leaf * len(self.large) + home
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            met = (self.keys[at] == key) & (home < leaf)
+            first[met], parts[met] = self.first[at[met]], self.parts[at[met]]
+        own = first + scattered(names) % parts
+        meets = np.maximum(self.total[leaf], 1) - np.where(met, parts, 0)
+        again = np.repeat(np.arange(len(row)), meets)
+        other = np.arange(len(again)) - np.repeat(np.cumsum(meets) - meets, meets)
+        other += np.where(met[again] & (other >= first[again]), parts[again], 0)
+        return again, own[again], other
+
+
 def _lists(column: pa.ChunkedArray) -> np.ndarray:
     """Ascending lists as the rows of a matrix, filled up with -1."""
     flat = column.combine_chunks()
@@ -137,6 +236,7 @@ def _compare(table: pa.Table, d: int, threshold: float) -> pa.Table:
     nodes, weights, block = table["node"].to_numpy(), table["weight"].to_numpy(), table["block"].to_numpy()
     vectors = matrix(table["embedding"], d)
     unit, lists = _unit(vectors), _lists(table["leaves"])
+    lists = lists[:, : max(1, ((lists >= 0) & (lists < leaf)).sum(axis=1).max())]  # ascending: later leaves do not matter
     left = np.flatnonzero(block == low)
     right = left if low == high else np.flatnonzero(block == high)
     links = np.zeros(len(nodes), np.int64)
@@ -179,7 +279,7 @@ def link_vectors(
     spark = distinct.sparkSession
     ship_package(spark)
     drawn = distinct.orderBy(F.hash("node"), "node").select("embedding").limit(sample).toArrow()
-    forest = Forest.fitted(_unit(matrix(drawn["embedding"], d)), n, trees, leaf, spill, seed)
+    forest = Forest.fitted(_unit(matrix(drawn["embedding"], d)), n, trees, leaf, spill, seed, threshold)
     shared = spark.sparkContext.broadcast(forest)
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,10 +291,24 @@ def link_vectors(
 
     # leaves are as many as the sample can make
     counts = distinct.select("embedding").mapInArrow(sizes, "leaf bigint, n bigint").groupBy("leaf").agg(F.sum("n").alias("n")).collect()
-    blocks = np.ones(forest.leaves, np.int64)
+    held = np.zeros(forest.leaves, np.int64)
     for row in counts:
-        blocks[row["leaf"]] = -(-row["n"] // BLOCK)
-    per_leaf = spark.sparkContext.broadcast(blocks)
+        held[row["leaf"]] = row["n"]
+    large = held > BLOCK
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, leaf_of = shared.value.assign(_unit(matrix(batch.column(0), d)))
+            home = Blocks.homes(row, leaf_of, large)
+            later = large[leaf_of] & (home < leaf_of)
+            keys, n = np.unique(leaf_of[later] * len(large) + home[later], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+
+    shares = []
+    if held.max(initial=0) > 4 * BLOCK:  # smaller leaves gain little
+        sums = distinct.select("embedding").mapInArrow(homes, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+        shares = [tuple(r) for r in sums.filter(F.col("n") >= BLOCK).collect()]
+    per_leaf = spark.sparkContext.broadcast(Blocks.of(held, shares))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -203,12 +317,8 @@ def link_vectors(
                 row, leaf_of = shared.value.assign(_unit(matrix(batch.column(2), d)))
                 bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(leaf_of))
-                parts = per_leaf.value[leaf_of]
-                block = scattered(batch.column(0).to_numpy()[row]) % parts
-                # a row meets its own block and every other one of its leaf
-                again = np.repeat(np.arange(len(row)), parts)
-                other = np.arange(len(again)) - np.repeat(np.cumsum(parts) - parts, parts)
-                own = block[again]
+                # a row meets its own block and every other one of its leaf, save those it has met
+                again, own, other = per_leaf.value.dealt(row, leaf_of, batch.column(0).to_numpy()[row])
                 at = row[again]
                 picked = pa.array(at)
                 columns = [

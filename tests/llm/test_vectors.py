@@ -131,3 +131,59 @@ def test_odd_tables(spark):
     assert rows == [(2, 2, 2, True), (3, 0, 3, True), (4, 2, 2, False), (4, 2, 2, False), (8, 1, 8, True), (9, 1, 8, False)]
     assert vector_components(df.filter("1 = 0")).count() == 0
     assert vector_components(frame(spark, BAD[:2])).count() == 2
+
+
+def one_cluster(n, d, cosine, seed=4):
+    """Unit vectors, the first third of them one cluster of pairs with about this cosine."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.sqrt((x * x).sum(axis=-1, keepdims=True))
+    vectors = unit(rng.normal(size=(n, d)))
+    vectors[: n // 3] = cosine**0.5 * unit(rng.normal(size=d)) + (1 - cosine) ** 0.5 * vectors[: n // 3]
+    return unit(vectors)
+
+
+@pytest.mark.parametrize("share", [1, 10])
+def test_trees_keep_a_large_cluster_together(share):
+    """Near copies that fill many leaves are not parted; the sample holds all rows or a tenth."""
+    vectors = one_cluster(12_000, 64, 0.96)
+    rng = np.random.default_rng(5)
+    forest = vector_copies.Forest.fitted(vectors[rng.permutation(12_000)[: 12_000 // share]], 12_000, 8, 100, 0.1, 0)
+    row, leaf = forest.assign(vectors[:4_000])
+    sets = [set(s.tolist()) for s in np.split(leaf, np.searchsorted(row, np.arange(1, 4_000)))]
+    a, b = rng.integers(0, 4_000, (2, 5_000))
+    near = (vectors[a] * vectors[b]).sum(axis=1) >= 0.95
+    assert near.sum() > 4_000
+    assert np.mean([bool(sets[p] & sets[q]) for p, q in zip(a[near], b[near])]) >= 0.99
+    assert forest.leaves > 8 * 10  # the rest is still cut
+
+
+def test_large_cluster_is_met_once(spark, monkeypatch):
+    """A leaf of many blocks: every link is counted once, and later trees do not meet it again."""
+    monkeypatch.setattr(vector_copies, "BLOCK", 64)
+    vectors = one_cluster(1_500, 32, 0.97).astype(np.float32)
+    links, root = brute(vectors)
+    rows = sorted(tuple(r) for r in vector_components(frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)]), leaf=60).collect())
+    got = np.array([r[1] for r in rows])
+    assert (got <= links).all() and got.sum() >= 0.99 * links.sum()
+    assert [r[2] for r in rows] == root.tolist()
+
+
+def test_rows_that_met_do_not_meet_again(monkeypatch):
+    monkeypatch.setattr(vector_copies, "BLOCK", 10)
+    # rows 0 to 99 share leaf 0; they and rows 100 to 119 share leaf 1
+    row = np.r_[np.repeat(np.arange(100), 2), np.arange(100, 120)]
+    leaf = np.r_[np.tile([0, 1], 100), np.ones(20, np.int64)]
+    home = vector_copies.Blocks.homes(row, leaf, np.array([True, True]))
+    assert home.tolist() == [0] * 200 + [1] * 20
+    blocks = vector_copies.Blocks.of(np.array([100, 120]), [(2, 100)])
+    again, own, other = blocks.dealt(row, leaf, row * 7919)
+    met = {}
+    for at, low, high, mine in zip(again, np.minimum(own, other), np.maximum(own, other), own):
+        met.setdefault((leaf[at], low, high), {}).setdefault(mine, []).append(row[at])
+    pairs = []
+    for (where, low, high), sides in met.items():
+        left, right = sides.get(low, []), sides.get(high, [])
+        pairs += [(where, *sorted((p, q))) for i, p in enumerate(left) for q in (left[i + 1 :] if low == high else right)]
+    assert len(pairs) == len(set(pairs))
+    assert {p[1:] for p in pairs if p[0] == 0} == {(p, q) for p in range(100) for q in range(p + 1, 100)}
+    assert {p[1:] for p in pairs if p[0] == 1} == {(p, q) for p in range(120) for q in range(p + 1, 120) if q >= 100}
