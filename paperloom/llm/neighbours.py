@@ -4,7 +4,9 @@ A hash cuts a few random Gaussian projections into cells; rows of the same
 cells share a bucket, in each of several tables. A query visits the buckets of
 a table in the order of estimated success, the chance that a neighbour at the
 usual distance falls into them, until these chances add up to a target. The
-rows of all visited buckets are candidates, ranked by their exact products.
+rows of all visited buckets are candidates, ranked by their exact products. The
+usual distance is the largest among some sampled queries; a query whose k-th
+candidate is still farther than that visits once more, by its own distance.
 
 Largest inner products become smallest distances: rows are scaled by the
 largest norm and get one more component that completes them to unit length,
@@ -32,7 +34,7 @@ from paperloom.staging import stage
 TABLES, PROJECTIONS, WIDTH = 2, 4, 2.0
 # Estimated success at which a query stops in each table.
 TARGET = 0.9
-# Queries whose exact neighbours tell the usual distance.
+# Queries whose exact neighbours tell the usual distance; others may go farther.
 SAMPLE_QUERIES = 32
 # Rows and queries that meet in one task at most.
 GROUP_ROWS, GROUP_QUERIES = 8_192, 32_768
@@ -114,18 +116,20 @@ class Layout:
         return cls(codes, groups, parts)
 
 
-def probe_order(places: np.ndarray, codes: np.ndarray, reach: float, width: float, target: float) -> np.ndarray:
+def probe_order(places: np.ndarray, codes: np.ndarray, reach: float | np.ndarray, width: float, target: float) -> np.ndarray:
     """Which buckets each query visits: a mask of queries by buckets.
 
     The chance of a bucket is the product over its cells of the normal mass,
-    of deviation ``reach``, around the query's place. Buckets are visited from
-    the likeliest on until the chances reach ``target`` of all there are.
+    of deviation ``reach`` (one for all queries, or one each), around the query's
+    place. Buckets are visited from the likeliest on until the chances reach
+    ``target`` of all there are.
     """
     cells = Hashes.cells(codes, places.shape[1])
+    scale = width / np.reshape(reach, (-1, 1))
     chance = np.ones((len(places), len(codes)))
     for k in range(places.shape[1]):
         low, high = cells[:, k].min(), cells[:, k].max()
-        edges = (np.arange(low, high + 2)[None, :] - places[:, k : k + 1]) * (width / reach)
+        edges = (np.arange(low, high + 2)[None, :] - places[:, k : k + 1]) * scale
         mass = np.diff(0.5 * (1 + _erf(edges / 2**0.5)), axis=1)
         chance *= np.maximum(mass, 1e-12)[:, cells[:, k] - low]
     order = np.argsort(-chance, axis=1, kind="stable")
@@ -199,7 +203,10 @@ def nearest(
 
     Every row is indexed. The tables' buckets are counted and laid out over
     groups of bounded size, a larger bucket over several; a query goes once to
-    each group it visits, with the buckets it visits there.
+    each group it visits, with the buckets it visits there. Queries that find
+    their k-th candidate beyond the usual distance, or fewer than k, do so again
+    with that distance (or the largest there is), so that the target holds for
+    each query by its own neighbours' distance.
     """
     spark = rows.sparkSession
     ship_package(spark)
@@ -230,59 +237,71 @@ def nearest(
     if len(counts) > MAX_BUCKETS:
         raise ValueError("too many buckets to list: take fewer projections or wider cells")
     shared = spark.sparkContext.broadcast(Layout.of([tuple(r) for r in counts], tables))
-    blocks = -(-n_queries // GROUP_QUERIES)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        layout = shared.value
-        for batch in place(batches):
-            if batch.num_rows == 0:
-                continue
-            table, code, ids = batch.column(2)[0].as_py(), batch.column(3).to_numpy(), batch.column(0).to_numpy()
-            at = np.searchsorted(layout.codes[table], code)
-            group = layout.groups[table][at] + scattered(ids) % layout.parts[table][at]
-            for block in range(blocks):
-                numbers = pa.array(np.full(len(ids), block, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(group), numbers, batch.column(0), batch.column(1), batch.column(3)], names=["group", "block", "vec_id", "embedding", "bucket"]
-                )
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        layout = shared.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                unit, ids = hashes.queries(matrix(part.column(1), d)), part.column(0).to_numpy()
-                for table in range(tables):
-                    codes, groups, parts = layout.codes[table], layout.groups[table], layout.parts[table]
-                    if len(codes) == 0:
-                        continue
-                    mask = probe_order(hashes.places(unit, table), codes, reach, width, target)
-                    for group in range(int(groups[0]), int((groups + parts).max())):
-                        here = (groups <= group) & (group < groups + parts)
-                        who = np.flatnonzero(mask[:, here].any(axis=1))
-                        if len(who) == 0:
+
+    def visit(asking: DataFrame, n: int) -> DataFrame:
+        """What ``n`` queries find in the buckets within their ``reach``."""
+        blocks = -(-n // GROUP_QUERIES)
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            layout = shared.value
+            for batch in place(batches):
+                if batch.num_rows == 0:
+                    continue
+                table, code, ids = batch.column(2)[0].as_py(), batch.column(3).to_numpy(), batch.column(0).to_numpy()
+                at = np.searchsorted(layout.codes[table], code)
+                group = layout.groups[table][at] + scattered(ids) % layout.parts[table][at]
+                for block in range(blocks):
+                    numbers = pa.array(np.full(len(ids), block, np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(group), numbers, batch.column(0), batch.column(1), batch.column(3)], names=["group", "block", "vec_id", "embedding", "bucket"]
+                    )
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            layout = shared.value
+            for batch in batches:
+                for start in range(0, batch.num_rows, 256):
+                    part = batch.slice(start, 256)
+                    unit, ids, far = hashes.queries(matrix(part.column(1), d)), part.column(0).to_numpy(), part.column(2).to_numpy()
+                    for table in range(tables):
+                        codes, groups, parts = layout.codes[table], layout.groups[table], layout.parts[table]
+                        if len(codes) == 0:
                             continue
-                        inside = mask[np.ix_(who, np.flatnonzero(here))]
-                        lists = pa.ListArray.from_arrays(
-                            pa.array(np.r_[0, np.cumsum(inside.sum(axis=1))].astype(np.int32)), pa.array(np.broadcast_to(codes[here], inside.shape)[inside])
-                        )
-                        chosen = part.take(pa.array(who))
-                        columns = [pa.array(np.full(len(who), group)), pa.array((scattered(ids[who]) % blocks).astype(np.int32)), *chosen.columns, lists]
-                        yield pa.RecordBatch.from_arrays(columns, names=["group", "block", "query_id", "embedding", "buckets"])
-
-    dealt = held.mapInArrow(deal, "group bigint, block int, vec_id bigint, embedding array<double>, bucket bigint")
-    sent = asked.mapInArrow(ask, "group bigint, block int, query_id bigint, embedding array<double>, buckets array<bigint>")
-    met = sent.groupBy("group", "block").cogroup(dealt.groupBy("group", "block"))
-    found = stage(met.applyInArrow(lambda a, b: _best(a, b, d, k), "query_id bigint, vec_id bigint, score double"), "neighbours")
+                        mask = probe_order(hashes.places(unit, table), codes, far, width, target)
+                        for group in range(int(groups[0]), int((groups + parts).max())):
+                            here = (groups <= group) & (group < groups + parts)
+                            who = np.flatnonzero(mask[:, here].any(axis=1))
+                            if len(who) == 0:
+                                continue
+                            inside = mask[np.ix_(who, np.flatnonzero(here))]
+                            lists = pa.ListArray.from_arrays(
+                                pa.array(np.r_[0, np.cumsum(inside.sum(axis=1))].astype(np.int32)), pa.array(np.broadcast_to(codes[here], inside.shape)[inside])
+                            )
+                            chosen = part.select([0, 1]).take(pa.array(who))
+                            columns = [pa.array(np.full(len(who), group)), pa.array((scattered(ids[who]) % blocks).astype(np.int32)), *chosen.columns, lists]
+                            yield pa.RecordBatch.from_arrays(columns, names=["group", "block", "query_id", "embedding", "buckets"])
+
+        dealt = held.mapInArrow(deal, "group bigint, block int, vec_id bigint, embedding array<double>, bucket bigint")
+        sent = asking.mapInArrow(ask, "group bigint, block int, query_id bigint, embedding array<double>, buckets array<bigint>")
+        met = sent.groupBy("group", "block").cogroup(dealt.groupBy("group", "block"))
+        return stage(met.applyInArrow(lambda a, b: _best(a, b, d, k), "query_id bigint, vec_id bigint, score double"), "neighbours")
+
     place_in = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    ranked = found.withColumn("rank", place_in).filter(F.col("rank") <= k).distinct()
+    best = lambda df: df.withColumn("rank", place_in).filter(F.col("rank") <= k).distinct()
+    found = visit(asked.withColumn("reach", F.lit(reach)), n_queries)
+    # the k-th candidate is no nearer than the k-th neighbour: its distance is reach enough
+    last = best(found).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("last"))
+    own = F.when(F.col("n") >= k, F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("last") / (norm * largest)))).otherwise(2.0)
+    wider = asked.join(last, "query_id", "left").select("query_id", "embedding", own.alias("reach")).filter(F.col("reach") > reach * (1 + 1e-9))
+    again = stage(wider, "neighbours-again")
+    n_again = again.count()
+    ranked = best(found.unionByName(visit(again, n_again)) if n_again else found)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _usual_distance(held: DataFrame, asked: DataFrame, k: int, largest: float) -> float:
-    """Median distance, in the hashed space, of some queries to their exact neighbours."""
+    """Largest distance, in the hashed space, of some queries to their exact neighbours."""
     some = asked.orderBy(F.xxhash64("query_id"), "query_id").limit(SAMPLE_QUERIES)
     norms = some.select("query_id", F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
     exact = top_k(held, some, k + 1, "dot", "vec_id", "query_id").filter("query_id <> vec_id").join(norms, "query_id").collect()
     far = [max(0.0, 2 - 2 * r["score"] / (r["norm"] * largest)) ** 0.5 for r in exact]
-    return max(1e-3, float(np.median(far))) if far else 1.0
+    return max(1e-3, float(np.max(far))) if far else 1.0

@@ -187,3 +187,19 @@ def test_rows_that_met_do_not_meet_again(monkeypatch):
     assert len(pairs) == len(set(pairs))
     assert {p[1:] for p in pairs if p[0] == 0} == {(p, q) for p in range(100) for q in range(p + 1, 100)}
     assert {p[1:] for p in pairs if p[0] == 1} == {(p, q) for p in range(120) for q in range(p + 1, 120) if q >= 100}
+
+
+@pytest.mark.parametrize("usual", [None, 0.01])
+def test_recall_beside_groups_of_copies(spark, monkeypatch, usual):
+    """Queries without copies reach the target too, even if no sampled query told their distance."""
+    if usual:
+        monkeypatch.setattr(neighbours, "_usual_distance", lambda *_: usual)
+    vectors = drawn(3000, 64, 6)
+    vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+    vectors[:1800] = np.repeat(vectors[:30], 60, axis=0) + drawn(1800, 64, 7) * np.float32(1e-4)
+    df = frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)])
+    got = {}
+    for r in nearest(df, df.filter("vec_id % 20 = 0"), 20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = np.array([len(got[q] & {v for v, _ in exact(np.arange(3000), vectors, q, 20)}) / 20 for q in range(0, 3000, 20)])
+    assert recall[:90].mean() >= 0.9 and recall[90:].mean() >= 0.9, (recall[:90].mean(), recall[90:].mean())
