@@ -60,14 +60,21 @@ class WordEncoder:
     of white space, so ids of a word with its blank do not depend on what stands
     around it, and are remembered. Texts that hold such a run are handed over
     whole.
+
+    Added tokens that stand in a text, such as ``<|endoftext|>``, are text like
+    any other with ``added_as_text``; without, they get their own ids as the
+    library gives them, and texts that hold one are handed over whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_as_text: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content and not (added_as_text and t.special)]
+        if added_as_text:
+            self.library.encode_special_tokens = True
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.library.no_truncation()
         self.library.no_padding()
         self.code = "H" if id_type(self.library.get_vocab_size()) == "<u2" else "I"
@@ -121,7 +128,7 @@ class WordEncoder:
         made: list = [None] * len(texts)
         whole, cut, missing = [], [], set()
         for i, text in enumerate(texts):
-            if _INSIDE_RUN.search(text):
+            if _INSIDE_RUN.search(text) or (self.added and self.added.search(text)):
                 whole.append(i)
                 continue
             first, *words = text.split(" ")
@@ -156,7 +163,8 @@ def write_tokens(
 
     ``tokenizer`` is the path of a tokenizers file of the byte-level BPE kind
     that every executor has, ``folder`` a new folder that all can reach.
-    ``end_id`` follows every document; a null text counts as empty, so it is
+    Ids are those of ``Tokenizer.encode`` without special tokens around the
+    text; an added token that a text holds gets its own id. ``end_id`` follows every document; a null text counts as empty, so it is
     that id alone. Documents come in ascending order of ids, null ids first and
     kept in the file as the smallest integer; rows with one id come in order of
     a hash of their text, and may spread over several ranges.
@@ -244,7 +252,7 @@ def _arrow(ddl: str) -> pa.Schema:
 @lru_cache(maxsize=1)
 def _word_encoder(path: str) -> WordEncoder:
     """One for each worker process, so that tasks after each other share what it remembers."""
-    return WordEncoder(path)
+    return WordEncoder(path, added_as_text=False)
 
 
 class TokenFile:

@@ -54,3 +54,17 @@ def test_files_read_back(spark, odd):
 def test_empty_table(spark, none):
     parts = write_tokens(none, stage_path(spark, "tokens"), PATH)
     assert parts.count() == 0 and read_tokens(parts, "<u2").count() == 0
+
+
+def test_added_tokens_in_texts(spark):
+    """Ids are those of the untouched tokenizer, wherever an added token stands."""
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>  y <|endoftext|>", "no <|endoftext| here", "plain words", "<|endoftext|><|endoftext|> 12"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    whole = Tokenizer.from_file(PATH)
+    rows = read_tokens(write_tokens(docs, stage_path(spark, "tokens"), PATH), "<u2").collect()
+    assert {r["doc_id"]: r["ids"] for r in rows} == {i: whole.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    rnd, own = random.Random(2), WordEncoder(PATH, added_as_text=False)
+    parts = [" ", "  ", "\n", "a", "it's", "12", "é", "<|endoftext|>", "<|", "|>", "中文", "."]
+    for _ in range(1000):
+        some = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(3)]
+        assert [np.frombuffer(b, "<u2").tolist() for b in own.encode(some)] == [whole.encode(t, add_special_tokens=False).ids for t in some], some
