@@ -38,7 +38,9 @@ class CharClass:
     """Strings of these characters, and the entropy that makes a window suspect.
 
     ``mixed`` asks a window for characters of each of these groups, which words
-    in one script and plain numbers do not have.
+    in one script and plain numbers do not have: ``least`` of each, and
+    ``switches`` neighbours of two groups, which joined words and years or
+    names in camel case do not reach.
     """
 
     name: str
@@ -46,6 +48,8 @@ class CharClass:
     window: int
     threshold: float
     mixed: tuple[str, ...] = ()
+    least: int = 1
+    switches: int = 0
 
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -57,6 +61,9 @@ CLASSES = (
     CharClass("hex", r"[0-9a-fA-F]", 20, 2.8, (DIGITS, "abcdefABCDEF")),
     CharClass("alphanumeric", r"[A-Za-z0-9]", 20, 3.5, (DIGITS, LOWER, UPPER)),
     CharClass("base64", r"[A-Za-z0-9+/_=-]", 24, 3.8, (DIGITS, LOWER, UPPER)),
+    CharClass("lower", r"[a-z0-9]", 20, 3.5, (DIGITS, LOWER), 2, 3),
+    CharClass("upper", r"[A-Z0-9]", 20, 3.5, (DIGITS, UPPER), 2, 3),
+    CharClass("letters", r"[A-Za-z+/]", 20, 3.8, (LOWER, UPPER), 6, 6),
 )
 
 # What looks random and is no secret: published examples, UUIDs, hashes with
@@ -90,7 +97,7 @@ class Scanner:
         shortest = min((kind.window for kind in self.classes), default=1)
         marked: list[tuple[int, int]] = []
         for whole in self._compiled("candidate", rf"{CANDIDATE}{{{shortest},}}").finditer(text):
-            if not any(map(str.isdigit, whole[0])) and all(DIGITS in kind.mixed for kind in self.classes):
+            if self.classes and all(any(not set(g) & set(whole[0]) for g in kind.mixed) for kind in self.classes):
                 continue  # a long word
             if allow is not None and allow.fullmatch(whole[0]):
                 continue
@@ -129,13 +136,17 @@ def suspect(run: str, kind: CharClass) -> list[tuple[int, int]]:
     counts: dict[str, int] = {}
     group = {c: i for i, g in enumerate(kind.mixed) for c in g}
     present = [0] * len(kind.mixed)
-    total, spans = 0.0, []
+    # 1 where a character and the one before it are of two groups
+    turns = [0] + [int(a in group and b in group and group[a] != group[b]) for a, b in zip(run, run[1:])] if kind.switches else []
+    turned, total, spans = 0, 0.0, []
     for at, char in enumerate(run):
         have = counts.get(char, 0)
         total += term[have + 1] - term[have]
         counts[char] = have + 1
         if char in group:
             present[group[char]] += 1
+        if turns:
+            turned += turns[at] - (turns[at - n + 1] if at >= n else 0)
         if at >= n:
             gone = run[at - n]
             have = counts[gone]
@@ -143,7 +154,7 @@ def suspect(run: str, kind: CharClass) -> list[tuple[int, int]]:
             counts[gone] = have - 1
             if gone in group:
                 present[group[gone]] -= 1
-        if at >= n - 1 and log2(n) - total / n >= kind.threshold - 1e-9 and all(present):
+        if at >= n - 1 and log2(n) - total / n >= kind.threshold - 1e-9 and all(p >= kind.least for p in present) and turned >= kind.switches:
             if spans and at - n + 1 <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], at + 1)
             else:

@@ -1,3 +1,4 @@
+import random
 import re
 from math import log2
 
@@ -70,3 +71,12 @@ def test_spans_that_touch_are_one():
 
     assert _masked("password=deadbeefdeadbeef!", SCANNER, "#") == "#!"
     assert _masked("", SCANNER, "#") == ""
+
+
+def test_tokens_of_one_case():
+    rnd = random.Random(9)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"):
+        found = sum(bool(SCANNER.entropy(f"see {''.join(rnd.choices(alphabet, k=32))} here")) for _ in range(300))
+        assert found >= 285, (alphabet, found)
+    for clean in ["getElementsByTagNameAndClassName", "HTTPSConnectionXMLParserFactory", "donaudampfschifffahrt2023kapitaen", "REPORTOFTHECOMMITTEE2024", "src/main/java/org/example/Application", "internationalizationandlocalization"]:
+        assert SCANNER.entropy(clean) == [], clean
