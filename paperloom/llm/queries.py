@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import language, mixing, neighbours, pieces, secrets, sharding, simhash, token_files, urls, vector_copies
+from paperloom.llm import language, merkle, mixing, neighbours, periods, pieces, secrets, sharding, simhash, token_files, urls, vector_copies, warc
 from paperloom.shipping import ship_package
 from paperloom.staging import stage_path
 
@@ -242,3 +242,114 @@ FROM embeddings LEFT JOIN counts ON counts.x = vec_id JOIN lowest ON lowest.x =
 @query("op10_vector_copies", COPIES_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_copies.vector_components(table(spark, sf_dir, "embeddings"))
+
+
+# Trees by plain grouping and a climb for each row; crc32 bit by bit.
+MERKLE_SQL = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') ||
+      coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS body,
+    coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS other,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: [ascii(substring(doc_id::VARCHAR, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384))) AS crc
+  FROM documents),
+leaves AS (SELECT doc_id, lang, sha256(head || body) AS leaf, CASE WHEN crc % 3 = 0 THEN sha256(head || other) ELSE sha256(head || body) END AS claimed FROM fields),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes(lang, level, pos, hash, n) AS (
+  SELECT lang, 0, pos, leaf, n FROM placed
+  UNION ALL SELECT lang, level + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)), (n + 7) // 8 FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 8, n),
+subroots AS (SELECT lang, hash, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, pos, hash, n) AS (
+  SELECT 0, pos, hash, n FROM subroots
+  UNION ALL SELECT level + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)), (n + 7) // 8 FROM tops WHERE n > 1 GROUP BY level, pos // 8, n),
+runs AS (SELECT lang, level, pos // 8 AS run, list(hash ORDER BY pos) AS h FROM nodes WHERE n > 1 GROUP BY ALL),
+top_runs AS (SELECT level, pos // 8 AS run, list(hash ORDER BY pos) AS h FROM tops WHERE n > 1 GROUP BY ALL),
+climb(id, lang, level, pos, n, cur, sib) AS (
+  SELECT pos || '/' || coalesce(lang, '/'), lang, 0, pos, n, claimed, '' FROM placed
+  UNION ALL
+  SELECT c.id, c.lang, c.level + 1, c.pos // 8, (c.n + 7) // 8, sha256(array_to_string(h[1:c.pos % 8], '') || cur || array_to_string(h[c.pos % 8 + 2:], '')),
+    sib || array_to_string(h[1:c.pos % 8], '') || array_to_string(h[c.pos % 8 + 2:], '')
+  FROM climb c JOIN runs r ON r.lang IS NOT DISTINCT FROM c.lang AND r.level = c.level AND r.run = c.pos // 8),
+over(id, level, pos, n, cur, sib) AS (
+  SELECT id, 0, s.pos, s.n, cur, sib FROM climb c JOIN subroots s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1
+  UNION ALL
+  SELECT c.id, c.level + 1, c.pos // 8, (c.n + 7) // 8, sha256(array_to_string(h[1:c.pos % 8], '') || cur || array_to_string(h[c.pos % 8 + 2:], '')),
+    sib || array_to_string(h[1:c.pos % 8], '') || array_to_string(h[c.pos % 8 + 2:], '')
+  FROM over c JOIN top_runs r ON r.level = c.level AND r.run = c.pos // 8),
+root AS (SELECT hash AS root FROM tops WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.hash AS subroot, root, sha256(o.sib) AS proof_sha256, o.cur AS folded_root, o.cur = root AS verified
+FROM placed p JOIN over o ON o.id = p.pos || '/' || coalesce(p.lang, '/') JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang, root
+WHERE o.n = 1
+"""
+
+
+@query("op12_merkle", MERKLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_hash([*fields[:4], lowered]))
+    manifest = merkle.build_manifest(docs, merkle.leaf_hash(fields), claimed=tampered)
+    root = F.lit(None if manifest.root is None else manifest.root.hex()).cast("string")
+    return merkle.prove(manifest).select(
+        F.col("key").alias("doc_id"),
+        merkle.digits(F.col("leaf")).alias("leaf"),
+        merkle.digits(F.col("subroot")).alias("subroot"),
+        root.alias("root"),
+        F.sha2(merkle.digits(F.col("siblings")), 256).alias("proof_sha256"),
+        merkle.digits(F.col("folded")).alias("folded_root"),
+        "verified",
+    )
+
+
+@query("op13_periods")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    planted = periods.with_planted_periods(docs.select("doc_id", "text"))
+    found = periods.periodic_runs(planted, keep=["doc_id"])
+    top, lines = periods.longest(F.col("runs")), periods.listed(F.col("runs"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[top[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * top["length"] / top["period"]).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+# A digest's bits in groups of five, each from two hex digits.
+WARC_SQL = """
+WITH payloads AS (SELECT page_id, {payload} AS payload FROM pages),
+digests AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS holder FROM payloads)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substring(h, (5 * i // 4 + 1)::INT, 2))::INT >> (3 - 5 * i % 4)::INT) & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM digests
+"""
+
+
+def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """Pages written, found again by their urls and read back."""
+    archive = warc.write_archive(pages, stage_path(spark, "archive"))
+    captures = warc.find_captures(archive, pages)
+    records = warc.resolve_revisits(warc.read_records(archive, captures, payload=False))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_warc", WARC_SQL.format(payload="coalesce(html, '')"))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(spark, table(spark, sf_dir, "pages"))
+
+
+# The given pages all differ: here a third is null and a fifth of the rest is its url's scheme and host.
+@query(
+    "op11_warc_revisits",
+    WARC_SQL.format(payload=r"CASE WHEN page_id % 3 = 0 THEN '' WHEN page_id % 5 = 0 THEN regexp_extract(url, '^[a-z]*://[^/]*') ELSE coalesce(html, '') END"),
+)
+def op11_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host = F.when(F.col("page_id") % 5 == 0, F.regexp_extract("url", "^[a-z]*://[^/]*", 0)).otherwise(F.col("html"))
+    return archived(spark, table(spark, sf_dir, "pages").withColumn("html", F.when(F.col("page_id") % 3 != 0, host)))
