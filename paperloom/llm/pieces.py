@@ -102,9 +102,11 @@ class Normaliser:
     """A model's normalisation that keeps track of where bytes come from."""
 
     def __init__(self, proto: bytes):
-        spec, trainer = b"", b""
+        spec, trainer, self.own_symbols = b"", b"", False
         for number, value in _fields(proto):
-            if number == 3:
+            if number == 1:
+                self.own_symbols |= dict(_fields(value)).get(3, 1) == 4  # the kind of a user-defined piece
+            elif number == 3:
                 spec = value
             elif number == 2:
                 trainer = value
@@ -175,6 +177,8 @@ class Encoder:
         # bytes each piece takes of the normalised text
         self.length = np.array([0 if hidden[i] else 1 if self.library.is_byte(i) else len(p) for i, p in kinds], np.int64)
         self.unknown = self.library.unk_id()
+        if self.normalise.own_symbols:
+            raise ValueError("the model has symbols of its user's own, which no normalisation touches; their spans are not known here")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(i, np.int32) for i in self.library.encode(texts, add_bos=True, add_eos=True, enable_sampling=False, num_threads=1)]

@@ -69,19 +69,21 @@ MIX_WEIGHTS = {
 }
 MIX_SEED = 7
 MIX_BUDGET = 0.9
+# The domains of sources that have a known one; all others belong to the default.
+MIX_DOMAINS = {"src0": "web", **{f"src{i}": "code" for i in range(1, 20, 2)}}
+MIX_DEFAULT = "books"
 
 
 def mix_levels() -> list:
-    """Domain, language and source of a document; the domain follows from the source."""
-    last = F.substring("source", -1, 1)
-    domain = F.when(F.col("source") == "src0", "web").when(last.isin("1", "3", "5", "7", "9"), "code").otherwise("books")
-    return [domain, F.col("lang"), F.col("source")]
+    """Domain, language and source of a document; the domain is that of its source."""
+    known = F.create_map(*[F.lit(x) for pair in MIX_DOMAINS.items() for x in pair])
+    return [F.coalesce(F.try_element_at(known, F.col("source")), F.lit(MIX_DEFAULT)), F.col("lang"), F.col("source")]
 
 
 MIX_SQL = r"""
 WITH docs AS (
   SELECT doc_id::VARCHAR AS id, doc_id,
-    CASE WHEN source = 'src0' THEN 'web' WHEN right(source, 1) IN ('1', '3', '5', '7', '9') THEN 'code' ELSE 'books' END AS d,
+    CASE WHEN source = 'src0' THEN 'web' WHEN source IN ('src1', 'src3', 'src5', 'src7', 'src9', 'src11', 'src13', 'src15', 'src17', 'src19') THEN 'code' ELSE 'books' END AS d,
     coalesce(lang, '') AS l, coalesce(source, '') AS s,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS tokens, left(md5(coalesce(text, '')), 15) AS h
   FROM documents),
@@ -181,15 +183,21 @@ URL_RULES = [
     urls.Rule("block", "net", "/fr/"),
 ]
 
-# Edges are taken from links that are absolute, as those of the given pages would be.
+# Edges are taken from links that are absolute and quoted, as those written below are.
 URL_SQL = r"""
 WITH RECURSIVE rules(verdict, host, path) AS (
   VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+linked AS ({linked}),
+seen AS (
+  SELECT url AS source, regexp_replace(html, '(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script|$)|<style\b.*?(?:</style|$)', ' ', 'g') AS body
+  FROM linked WHERE contains(lower(html), 'canonical') OR contains(lower(html), 'refresh')),
 edges AS (
-  SELECT url AS source, unnest([
-    regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical["''\s>][^>]*>'), '(?is)\bhref\s*=\s*["'']?([^\s>"'']+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh["''\s][^>]*>'), '(?is)url\s*=\s*["'']?([^"''>]*)', 1)]) AS target
-  FROM pages),
+  SELECT source, unnest(list_concat(
+    list_transform(
+      list_filter(regexp_extract_all(body, '(?is)<link\b[^>]*>'), lambda t: list_contains(regexp_split_to_array(lower(regexp_extract(t, '(?is)\srel\s*=\s*"([^"]*)"', 1)), '\s+'), 'canonical')),
+      lambda t: regexp_extract(t, '(?is)\shref\s*=\s*"([^"]*)"', 1)),
+    list_transform(regexp_extract_all(body, '(?is)<meta\b[^>]*\shttp-equiv="refresh"[^>]*>'), lambda t: regexp_extract(t, '(?is)url\s*=\s*([^"]*)"', 1)))) AS target
+  FROM seen),
 spelled AS (
   SELECT url AS u FROM pages UNION SELECT target FROM edges WHERE target LIKE '%://%' UNION SELECT source FROM edges WHERE target LIKE '%://%'),
 parts AS (
@@ -215,11 +223,27 @@ FROM pages LEFT JOIN ruled q ON q.u = url LEFT JOIN said s ON s.name = q.name
 """
 
 
-@query("op7_urls", URL_SQL)
+def judged(pages: DataFrame) -> DataFrame:
+    return urls.judge_urls(pages.select("page_id", "url"), URL_RULES, urls.page_edges(pages)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op7_urls", URL_SQL.replace("{linked}", "SELECT url, html FROM pages"))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    judged = urls.judge_urls(pages.select("page_id", "url"), URL_RULES, urls.page_edges(pages))
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    return judged(table(spark, sf_dir, "pages"))
+
+
+# The given pages name no other name of theirs. Here a quarter names two, of which
+# the second may be ruled out, and another quarter goes on to its secure form.
+ALIASED = """CASE page_id % 4
+  WHEN 0 THEN concat(html, '<!--<link rel="canonical" href="">--><link rel="alternate Canonical" href="', regexp_replace(url, '/[a-z]+/', '/es/'),
+    '"><link rel="canonical" href="', replace(regexp_replace(url, '/[a-z]+/', '/es/'), 'example.org', 'example.net'), '">')
+  WHEN 1 THEN concat(html, '<meta http-equiv="refresh" content="0; url=', replace(url, 'http://', 'https://'), '"><script>"<link rel=canonical href=http://a.net/fr/>"</script>')
+  ELSE html END"""
+
+
+@query("op7_urls_aliases", URL_SQL.replace("{linked}", f"SELECT url, {ALIASED} AS html FROM pages"))
+def op7_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages").withColumn("html", F.expr(ALIASED)))
 
 
 @query("op9_neighbours")
@@ -244,6 +268,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_copies.vector_components(table(spark, sf_dir, "embeddings"))
 
 
+# The given vectors hold no copies and few rows. Here every row has near copies, one
+# label's rows have more, and leaves are small, so that the trees split and spill.
+NEAR = "list_transform(embedding, lambda x, i: (x * (1 + 0.001 * ((i * 7 + copy * 13) % 11 - 5)))::FLOAT)"
+PLANTED_SQL = f"""
+planted AS (
+  SELECT vec_id * 100 + copy AS vec_id, CASE WHEN vec_id % 50 = 0 AND copy = 1 THEN NULL ELSE {NEAR} END AS embedding
+  FROM (SELECT vec_id, embedding, unnest(range(CASE WHEN label = 3 THEN 9 ELSE 3 END)) AS copy FROM embeddings)),"""
+
+
+@query("op10_vector_copies_planted", COPIES_SQL.replace("embeddings", "planted").replace("WITH RECURSIVE", "WITH RECURSIVE" + PLANTED_SQL))
+def op10_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    copies = F.explode(F.sequence(F.lit(0), F.when(F.col("label") == 3, 8).otherwise(2)))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", copies.alias("copy"))
+    share = lambda i: 1 + F.lit(0.001).cast("decimal(4,3)") * (((i + 1) * 7 + F.col("copy") * 13) % 11 - 5)
+    near = F.transform("embedding", lambda x, i: (x.cast("double") * share(i).cast("double")).cast("float"))
+    given = F.when((F.col("vec_id") % 50 != 0) | (F.col("copy") != 1), near)
+    planted = rows.select((F.col("vec_id") * 100 + F.col("copy")).alias("vec_id"), given.alias("embedding"))
+    return vector_copies.vector_components(planted, leaf=64, sample=2_000)
+
+
 # Trees by plain grouping and a climb for each row; crc32 bit by bit.
 MERKLE_SQL = r"""
 WITH RECURSIVE fields AS (

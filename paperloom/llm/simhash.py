@@ -191,7 +191,8 @@ def simhash_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     most 4 differing bits, the row's own included; rows with equal fingerprints
     are linked, texts without words (null, empty, blanks) among them. Null ids
     take part but are never the smallest; a component of null ids only has a
-    null ``component_id``. Repeated rows give repeated rows. ``root`` is the
+    null ``component_id``. Texts of any length are read whole. Repeated rows give
+    repeated rows. ``root`` is the
     smallest fingerprint of the component, which names it where ids are null.
     """
     source = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).alias("text"))

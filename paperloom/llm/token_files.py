@@ -11,6 +11,7 @@ folder is a local path.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from paperloom.llm.files import opened, shared_folder
 from paperloom.llm.rows import quoted
 from paperloom.shipping import ship_package
 
@@ -56,10 +58,10 @@ _PARTS = "part int, ids string, offsets string, docs string, n_docs bigint, n_to
 class WordEncoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library.
 
-    Such a tokenizer cuts a text before every blank, save blanks inside a run
-    of white space, so ids of a word with its blank do not depend on what stands
+    Such a tokenizer, with the splitting rule of its kind and no normaliser,
+    cuts a text before every blank, save blanks inside a run of white space, so ids of a word with its blank do not depend on what stands
     around it, and are remembered. Texts that hold such a run are handed over
-    whole.
+    whole, and all texts where the file states another rule or a normaliser.
 
     Added tokens that stand in a text, such as ``<|endoftext|>``, are text like
     any other with ``added_as_text``; without, they get their own ids as the
@@ -78,7 +80,10 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.code = "H" if id_type(self.library.get_vocab_size()) == "<u2" else "I"
-        self.direct = all(self._letters(w) == self._encode([" " + w])[0] for w in ("the", "Größe", "naïve", "слово", "中文"))
+        stated = json.loads(self.library.to_str())
+        rule = stated["pre_tokenizer"] or {}
+        self.cuts = stated["normalizer"] is None and (rule.get("type"), rule.get("add_prefix_space"), rule.get("use_regex", True)) == ("ByteLevel", False, True)
+        self.direct = self.cuts and all(self._letters(w) == self._encode([" " + w])[0] for w in ("the", "Größe", "naïve", "слово", "中文"))
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -124,6 +129,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
+        if not self.cuts:
+            return self._encode(texts)
         known = self.memo.get
         made: list = [None] * len(texts)
         whole, cut, missing = [], [], set()
@@ -152,29 +159,27 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
 def write_tokens(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, text: str = "text", doc_id: str = "doc_id", partitions: int | None = None
 ) -> DataFrame:
     """Encode whole texts and write them as token files; returns the table of parts.
 
     ``tokenizer`` is the path of a tokenizers file of the byte-level BPE kind
-    that every executor has, ``folder`` a new folder that all can reach.
+    that every executor has, ``folder`` a new folder that all can reach; without
+    a scheme it is one of Spark's default file system.
     Ids are those of ``Tokenizer.encode`` without special tokens around the
-    text; an added token that a text holds gets its own id. ``end_id`` follows every document; a null text counts as empty, so it is
-    that id alone. Documents come in ascending order of ids, null ids first and
+    text; an added token that a text holds gets its own id. ``end_id`` follows
+    every document; a null text counts as empty, so it is that id alone. Documents come in ascending order of ids, null ids first and
     kept in the file as the smallest integer; rows with one id come in order of
-    a hash of their text, and may spread over several ranges.
+    a hash of their text, and may spread over several ranges. Other columns of
+    ``docs`` are not read, whatever their names.
 
     A task writes under names of its own and only reports them when it is
     done: what a lost or repeated task leaves behind is in no table.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    root = folder.rstrip("/")
+    root = shared_folder(spark, folder)
     rows = docs.select(F.col(quoted(doc_id)).cast("bigint").alias("doc_id"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"))
     tie = rows.withColumns({"_h": F.xxhash64("text"), "_s": F.pmod(F.monotonically_increasing_id(), F.lit(64))})
     order = ["doc_id", "_h", "_s"]
@@ -190,8 +195,8 @@ def write_tokens(
             if out is None:
                 part = batch.column(2)[0].as_py()
                 names = [f"{root}/{part:06d}-{uuid.uuid4().hex}.{kind}" for kind in ("ids", "lengths", "docs")]
-                system = _filesystem(root)[0]
-                out = [system.open_output_stream(_filesystem(n)[1]) for n in names]
+                system = opened(root)[0]
+                out = [system.open_output_stream(opened(n)[1]) for n in names]
                 n_docs = n_tokens = 0
             out[2].write(batch.column(0).fill_null(NO_ID).to_numpy().astype("<i8").tobytes())
             end = array(encoder.code, [end_id]).tobytes()
@@ -208,7 +213,6 @@ def write_tokens(
             yield pa.RecordBatch.from_pylist([dict(part=part, ids=names[0], lengths=names[1], docs=names[2], n_docs=n_docs, n_tokens=n_tokens)], schema=_arrow(written))
 
     written = "part int, ids string, lengths string, docs string, n_docs bigint, n_tokens bigint"
-    _make_folder(spark, root)
     ranged.mapInArrow(write, written).write.parquet(f"{root}/written")
     # one row a range of documents
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -219,8 +223,8 @@ def write_tokens(
             done = []
             for row in batch.to_pylist():
                 name = f"{root}/{row['part']:06d}-{uuid.uuid4().hex}.offsets"
-                system, path = _filesystem(name)
-                with system.open_input_stream(_filesystem(row["lengths"])[1]) as source, system.open_output_stream(path) as target:
+                system, path = opened(name)
+                with system.open_input_stream(opened(row["lengths"])[1]) as source, system.open_output_stream(path) as target:
                     at = row["base"]
                     target.write(np.array([at], "<u8").tobytes())
                     while block := source.read(8 * READ):
@@ -239,11 +243,6 @@ def read_parts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(_PARTS).parquet(f"{folder.rstrip('/')}/parts")
 
 
-def _make_folder(spark: SparkSession, folder: str) -> None:
-    system, path = _filesystem(folder)
-    system.create_dir(path, recursive=True)
-
-
 def _arrow(ddl: str) -> pa.Schema:
     kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
     return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in ddl.split(", ")])
@@ -260,7 +259,7 @@ class TokenFile:
 
     def __init__(self, name: str, dtype: str):
         self.dtype = np.dtype(dtype)
-        system, path = _filesystem(name)
+        system, path = opened(name)
         local = isinstance(system, fs.LocalFileSystem)
         size = system.get_file_info(path).size
         self.mapped = np.memmap(path, self.dtype, "r") if local and size else None

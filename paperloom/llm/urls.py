@@ -17,15 +17,16 @@ from pyspark.sql import functions as F
 from paperloom.llm.components import connected_components
 from paperloom.llm.rows import packed, quoted, unpacked, without
 from paperloom.operators.joins import join_unique
-from paperloom.staging import stage
+from paperloom.staging import once, stage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Links in a page's head that say under which other name it is known.
-_LINK = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical["'\s>][^>]*>|<link\b[^>]*\brel\s*=\s*["']?canonical>"""
-_HREF = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-_REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh["'\s][^>]*>"""
-_REFRESH_URL = r"""(?is)\bcontent\s*=\s*(?:"[^"]*?url\s*=\s*'?([^"']*)|'[^']*?url\s*=\s*"?([^"']*))"""
+# What a page only talks about, and the tags in which it says under which other name it is known.
+_UNSEEN = r"(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script|$)|<style\b.*?(?:</style|$)"
+_LINK = r"(?is)<link\b[^>]*>"
+_META = r"(?is)<meta\b[^>]*>"
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+_REFRESH_URL = r"""(?is)url\s*=\s*["']?([^"']*)"""
 
 
 @dataclass(frozen=True)
@@ -87,20 +88,30 @@ def resolve(target: Column, base: Column) -> Column:
     )
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, however it is quoted; null if it is empty or not there."""
+    pattern = rf"""(?is)[\s"'/]{name}{_VALUE}"""
+    return F.coalesce(*[F.nullif(F.regexp_extract(tag, pattern, i), F.lit("")) for i in (1, 2, 3)])
+
+
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Redirect and canonical edges ``(source, target)`` that the pages themselves name."""
+    """Redirect and canonical edges ``(source, target)`` that the pages themselves name.
+
+    Every ``link`` whose ``rel`` has the word canonical and every refresh tag
+    with a target gives an edge, so a page may name several; those in comments,
+    scripts and styles, and empty ones, give none. Pages without url or html
+    name nothing. Repeated rows repeat their edges.
+    """
     body = F.coalesce(F.col(quoted(html)), F.lit(""))
-    first = lambda found: F.coalesce(*[F.nullif(F.regexp_extract(found[0], found[1], i), F.lit("")) for i in range(1, found[2] + 1)])
-    canonical = first((F.regexp_extract(body, _LINK, 0), _HREF, 3))
-    refresh = first((F.regexp_extract(body, _REFRESH, 0), _REFRESH_URL, 2))
-    # the tests for a substring keep the patterns from pages without such a link
     small = F.lower(body)
-    targets = F.array(
-        F.when(small.contains("canonical"), canonical),
-        F.when(small.contains("refresh"), refresh),
-    )
-    linked = pages.select(F.col(quoted(url)).alias("source"), F.explode(targets).alias("target"))
-    edges = linked.filter("source IS NOT NULL AND target IS NOT NULL")
+    # the tests for a substring keep the patterns from pages without such a tag
+    named = pages.select(F.col(quoted(url)).alias("source"), body.alias("body")).filter(F.col(quoted(url)).isNotNull() & (small.contains("canonical") | small.contains("refresh")))
+    seen = once(named, _seen=F.regexp_replace("body", _UNSEEN, " "))
+    words = lambda tag: F.split(F.lower(F.trim(_attribute(tag, "rel"))), r"\s+")
+    links = F.transform(F.regexp_extract_all("_seen", F.lit(_LINK), F.lit(0)), lambda t: F.when(F.array_contains(words(t), "canonical"), _attribute(t, "href")))
+    goes = lambda tag: F.nullif(F.trim(F.regexp_extract(_attribute(tag, "content"), _REFRESH_URL, 1)), F.lit(""))
+    metas = F.transform(F.regexp_extract_all("_seen", F.lit(_META), F.lit(0)), lambda t: F.when(F.lower(F.trim(_attribute(t, "http-equiv"))) == "refresh", goes(t)))
+    edges = seen.select("source", F.explode(F.concat(links, metas)).alias("target")).filter("target IS NOT NULL")
     return edges.select("source", resolve(F.replace(F.col("target"), F.lit("&amp;"), F.lit("&")), F.col("source")).alias("target"))
 
 

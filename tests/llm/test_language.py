@@ -72,3 +72,27 @@ def test_odd_rows(odd, none):
     nothing = learn_profiles(none)
     assert nothing.langs == [] and {r["lang_pred"] for r in identify_language(odd, nothing).collect()} == {"und"}
     assert identify_language(none, profiles).count() == 0
+
+
+def test_predictions_equal_brute_force(spark, odd):
+    """Profiles, out-of-place distances and ties by plain counting, over learned and over given rows."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in docs.collect()]
+    size = 300
+    grams = {lang: Counter() for lang in {r["lang"] for r in rows} - {None}}
+    for r in rows:
+        if r["lang"] is not None and r["text"] is not None and crc32(str(r["doc_id"]).encode()) % 5:
+            grams[r["lang"]].update(brute(r["text"]))
+    top = lambda counts: [k for k, _ in sorted(counts.items(), key=lambda g: (-g[1], g[0]))[:size]]
+    places = {lang: {k: i for i, k in enumerate(top(c))} for lang, c in grams.items() if c}
+
+    def told(text):
+        own = top(Counter(brute(text or "")))
+        if not own:
+            return "und", 0.0
+        apart = {lang: sum(abs(at[k] - i) if k in at else size for i, k in enumerate(own)) for lang, at in places.items()}
+        best = min(sorted(apart), key=apart.get)
+        return best, 1 - apart[best] / (size * len(own))
+
+    got = {r["doc_id"]: (r["lang_pred"], round(r["score"], 9)) for r in QUERIES["op5_language"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == {r["doc_id"]: (lambda t: (t[0], round(t[1], 9)))(told(r["text"])) for r in rows}

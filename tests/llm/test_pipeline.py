@@ -83,3 +83,19 @@ def test_odd_documents_pass(spark, odd, none):
         for _, step in corpus_pipeline.STAGES:
             docs = step(spark, docs, SF)
         docs.collect()
+
+
+def test_stages_give_back_columns_of_clashing_names(spark, odd):
+    """Extra columns come out of every stage but the last as they went in, whatever they are called."""
+    from pyspark.sql import functions as F
+
+    names = ["score", "lang_pred", "_seen", "tokens", "epoch", "tokens_taken", "secrets", "fingerprint", "_row", "_value"]
+    docs = odd.select("*", *[F.concat(F.lit(f"{n}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in names])
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}:{'-' if r['doc_id'] is None else r['doc_id']}" for r in rows for n in names), name
+        assert step(spark, docs.filter("1 = 0"), SF).count() == 0
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {"ids", "starts", "ends", *names} <= set(last.columns) and last.count() == odd.count()

@@ -68,3 +68,25 @@ def test_added_tokens_in_texts(spark):
     for _ in range(1000):
         some = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(3)]
         assert [np.frombuffer(b, "<u2").tolist() for b in own.encode(some)] == [whole.encode(t, add_special_tokens=False).ids for t in some], some
+
+
+def test_folders_are_those_of_spark(spark, tmp_path):
+    """A path without a scheme is one of Spark's default file system, and files are named by their full URI."""
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
+    parts = write_tokens(docs, f"{tmp_path}/plain", PATH)
+    assert all(r[c].startswith(f"file:{tmp_path}/plain/") for r in parts.collect() for c in ("ids", "offsets", "docs"))
+    assert sorted(r["n_tokens"] for r in read_tokens(read_parts(spark, f"{tmp_path}/plain"), "<u2").collect()) == [1, 3]
+
+
+def test_tokenizers_with_another_rule_get_whole_texts(tmp_path):
+    import json
+
+    stated = json.loads(open(PATH).read())
+    texts = ["The Quick  brown", "an É apple 12.5", " x", "", "don't STOP"]
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {**stated["pre_tokenizer"], "add_prefix_space": True}}):
+        path = f"{tmp_path}/changed.json"
+        with open(path, "w") as out:
+            json.dump({**stated, **change}, out)
+        whole = Tokenizer.from_file(path)
+        got = [np.frombuffer(b, "<u2").tolist() for b in WordEncoder(path, added_as_text=False).encode(texts)]
+        assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]

@@ -87,3 +87,19 @@ def test_odd_tables(spark):
     assert [r["verdict"] for r in out.collect()] == ["block", "block"]
     assert judge_urls(pages.filter("1 = 0"), URL_RULES, page_edges(pages.filter("1 = 0"))).count() == 0
     assert {r["verdict"] for r in judge_urls(pages, [], page_edges(pages)).collect()} == {"allow"}
+
+
+def test_every_name_a_page_gives_counts(spark):
+    blocked = '<link rel="canonical" href="http://bad.net/es/1">'
+    pages = [
+        (1, "http://one.org/", f'<!-- <link rel="canonical" href=""> -->{blocked}'),
+        (2, "http://two.org/", f'<link rel="canonical" href="http://two.org/own">{blocked}'),
+        (3, "http://three.org/", blocked.replace("canonical", "alternate canonical")),
+        (4, "http://four.org/", f"<!-- {blocked} --><script>document.write('{blocked}')</script><STYLE>{blocked}</STYLE>"),
+        (5, "http://five.org/", blocked.replace("canonical", "canonicals") + blocked.replace("rel=", "data-rel=")),
+        (6, "http://six.org/", '<meta http-equiv=refresh content="9; url=/x"><meta content=\'0;URL="http://bad.net/fr/\' http-equiv="Refresh">'),
+        (7, "http://seven.org/", "<link rel=canonical>" + "<!-- canonical " + blocked),
+        (8, None, blocked),
+    ]
+    got = {k: v[3] for k, v in judged(spark, pages).items()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "block", 7: "allow", 8: "allow"}
