@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import language, mixing, pieces, secrets, simhash
 from paperloom.llm.queries import MIX_BUDGET, MIX_SEED, MIX_WEIGHTS, mix_levels, table, tokenizer_file
+from paperloom.llm.rows import packed, quoted
 from paperloom.staging import stage
 
 
@@ -19,21 +20,34 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents in a language that can be told; null texts and texts without a letter go.
 
     Profiles are learned from the documents' own labels, and a null label is
-    filled with the language found.
+    filled with the language found. All columns come back as they are, whatever
+    their names; texts of any length are read whole, repeated rows stay, and an
+    empty table gives an empty one.
     """
     profiles = language.learn_profiles(docs.filter(~language.held_out()))
-    told = language.identify_language(docs.withColumn("_seen", F.col("text")), profiles, "_seen")
-    lang = F.coalesce("lang", "lang_pred").alias("lang")
-    return told.filter(F.col("lang_pred") != language.UNKNOWN).select(*[lang if c == "lang" else c for c in docs.columns])
+    told = language.identify_language(docs.select(packed(docs), "text"), profiles, keep=["_row"])
+    lang = F.coalesce("_row.lang", "lang_pred").alias("lang")
+    return told.filter(F.col("lang_pred") != language.UNKNOWN).select(*[lang if c == "lang" else F.col(f"_row.{quoted(c)}") for c in docs.columns])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one of the smallest id."""
+    """One document of each group of near-duplicates: the one of the smallest id.
+
+    Texts without words (null, empty, blank) are one group. Of rows that repeat
+    an id one stays, and one of a group of null ids. All columns come back,
+    whatever their names; texts of any length are read whole, and an empty
+    table gives an empty one.
+    """
     return simhash.drop_near_duplicates(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, secrets in its text replaced by a mark; ``n_chars`` is counted anew."""
+    """Every document, secrets in its text replaced by a mark; ``n_chars`` is counted anew.
+
+    Null and empty texts stay as they are, and so does the count of a null one.
+    Texts of any length are read whole, rows stand for themselves, and all
+    other columns come back, whatever their names.
+    """
     clean = secrets.redact(docs)
     length = F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast("bigint").alias("n_chars")
     return clean.select(*[length if c == "n_chars" else c for c in docs.columns])
@@ -42,13 +56,24 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents by domain, language and source weights, a row for each reading.
 
-    The document in which a leaf's budget ends stays whole.
+    The document in which a leaf's budget ends stays whole. A source without a
+    known domain belongs to the default one, a null language or source is a
+    branch of its own. Null and empty texts have no tokens; ids may be null or
+    repeated, and of equal rows any is as good. All columns come back, whatever
+    their names; an empty table gives an empty one.
     """
-    return mixing.mix_sources(docs, mix_levels(), MIX_WEIGHTS, MIX_BUDGET, MIX_SEED).select(*docs.columns)
+    slim = docs.select(packed(docs), "doc_id", "text", "lang", "source")
+    mixed = mixing.mix_sources(slim, mix_levels(), MIX_WEIGHTS, MIX_BUDGET, MIX_SEED, keep=["_row"])
+    return mixed.select(*[F.col(f"_row.{quoted(c)}") for c in docs.columns])
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document with the bytes of its text that each stands for."""
+    """Piece ids of every document with the bytes of its text that each stands for.
+
+    A null text counts as empty: begin and end ids only. Texts of any length
+    are encoded whole, rows stand for themselves. Columns called ``ids``,
+    ``starts`` and ``ends`` are replaced, all others but the text come back.
+    """
     kept = [c for c in docs.columns if c != "text"]
     return pieces.encode_pieces(docs, tokenizer_file("piece_bpe_32k.model"), keep=kept).drop("decoded")
 
