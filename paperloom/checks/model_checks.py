@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from paperloom.checks.base import CLAIMS_SQL, check, claims, table
@@ -10,8 +12,9 @@ from paperloom.functions.payloads import payload_messages
 from paperloom.functions.prompts import TEMPLATES
 from paperloom.functions.responses import first_text
 from paperloom.operators.evaluation import judge_accuracy, judge_quality, model_table, output_sample
-from paperloom.operators.invoke import ServiceError, invoke, make_stub
+from paperloom.operators.invoke import Retry, ServiceError, call_digest, call_once, invoke, make_stub, prompt_of
 from paperloom.plans.documents import compare_models, process_documents
+from paperloom.staging import stage_path
 
 
 def _stub_sql(prompt: str, model: str = "stub") -> str:
@@ -49,9 +52,41 @@ def m2(spark, sf):
     return called.select("conv_id", "turn", "ok", "error_code", "error_message", F.col("response").isNotNull().alias("answered"))
 
 
-@check("m9_timed_invoke", "SELECT conv_id, turn, true AS timed FROM conversations")
+DELAY = 0.02
+
+
+def make_delayed():
+    """The stub, answering short prompts at once and others after a known time."""
+    stub = make_stub()
+
+    def client(model_id, payload, policy):
+        if len(prompt_of(payload)) > 60:
+            time.sleep(DELAY)
+        return stub(model_id, payload, policy)
+
+    return client
+
+
+@check("m9_timed_invoke", "SELECT conv_id, turn, length(text) > 60 AS slow FROM conversations")
 def m9(spark, sf):
-    return invoke(_requests(spark, sf), make_stub).select("conv_id", "turn", F.col("seconds").between(0, 60).alias("timed"))
+    """Seconds tell the calls that took the client's delay from those that did not."""
+    called = invoke(_requests(spark, sf), make_delayed)
+    return called.select("conv_id", "turn", (F.col("seconds") >= DELAY).alias("slow"))
+
+
+@check(
+    "m1_call_once",
+    f"""SELECT role, count(*) AS n_rows, count(DISTINCT md5(left(text, 40))) AS n_calls, min({_stub_sql("left(text, 40)")}) AS first_answer FROM conversations GROUP BY role""",
+)
+def m1_once(spark, sf):
+    """Equal requests share a call: as many answers are kept as there are distinct beginnings of turns."""
+    begun = table(spark, sf, "conversations").select("role", F.substring("text", 1, 40).alias("text"))
+    requests = begun.select("role", F.lit("stub").alias("model_id"), payload_messages(F.col("text")).alias("payload"))
+    folder = stage_path(spark, "kept-calls")
+    answered = call_once(requests, make_stub, folder, slice_calls=200, retry=Retry()).withColumn("answer", first_text(F.col("response")))
+    kept = spark.read.parquet(folder).select("_call")
+    calls = requests.select("role", call_digest(["model_id", "payload"]).alias("_call")).distinct().join(kept, "_call").groupBy("role").agg(F.count("*").alias("n_calls"))
+    return answered.groupBy("role").agg(F.count("*").alias("n_rows"), F.min("answer").alias("first_answer")).join(calls, "role")
 
 
 _EXTRACTED = _stub_sql(_sql_render(TEMPLATES["extract_info"], document_text="text"))

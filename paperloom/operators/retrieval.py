@@ -161,7 +161,8 @@ def retrieve_guarded(questions: DataFrame, index: Index, k: int = 3, policy: Pol
 class Cells:
     """Vectors grouped by nearest center, for pruned exact search.
 
-    Centers are vectors of the table itself. Each cell knows its radius, so the
+    Centers are vectors of the table itself, and vectors of another length than
+    most have are left out. Each cell knows its radius, so the
     triangle inequality tells which cells cannot hold a better neighbour; they
     are partitions of the written table and are not read.
     """
@@ -176,6 +177,8 @@ class Cells:
     def build(cls, vectors: DataFrame, path: str, n_cells: int = 64, id_col: str = "chunk_id", metric: str = "cosine", cell_rows: int = CELL_ROWS) -> "Cells":
         if metric not in ("cosine", "euclidean"):
             raise ValueError(f"cells serve cosine and euclidean, not {metric}")
+        dim = usual_length(vectors)
+        vectors = vectors.filter(F.size("embedding") == dim)
         sample = vectors.filter(finite("embedding")).orderBy(F.xxhash64(id_col), id_col).limit(n_cells).select("embedding").toArrow()
         centers = _matrix(sample.column("embedding").combine_chunks(), metric)
         spark = vectors.sparkSession
@@ -202,14 +205,19 @@ class Cells:
         table = spark.read.parquet(path)
         return cls(table, centers, radius, id_col, metric)
 
+    @property
+    def dim(self) -> int:
+        return self.centers.shape[1]
+
     def search(
         self, queries: DataFrame, k: int = 3, n_probe: int = 4, query_col: str = "query_id", max_queries: int = MAX_QUERIES, max_cells: int = MAX_QUERY_CELLS
     ) -> DataFrame:
         """The exact k nearest: each question reads its probed cells and those that may matter to it.
 
-        Questions come in blocks of bounded size, each pruned on its own.
+        Questions come in blocks of bounded size, each pruned on its own. One
+        whose vector has not the length of the index's finds nothing.
         """
-        asked = queries.select(query_col, "embedding").filter(finite("embedding"))
+        asked = queries.select(query_col, "embedding").filter(finite("embedding") & (F.size("embedding") == self.dim))
         schema = T.StructType([asked.schema[query_col], self.table.schema[self.id_col], T.StructField("score", T.DoubleType())])
         spark, out = self.table.sparkSession, stage_path(self.table.sparkSession, "cells")
         spark.createDataFrame([], schema).write.parquet(f"{out}/found=-1")
@@ -256,6 +264,13 @@ class Cells:
         return float(np.sqrt(max(0.0, 2 - 2 * (score - slack)))) + slack
 
 
+def usual_length(vectors: DataFrame) -> int:
+    """The length most finite vectors have (0 for an empty table); a row a length is all that is shuffled."""
+    lengths = vectors.filter(finite("embedding")).groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
+    first = lengths.orderBy(F.col("n").desc(), "dim").first()
+    return first["dim"] if first else 0
+
+
 def _matrix(lists: pa.Array, metric: str) -> np.ndarray:
     values = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
     if metric == "cosine":

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from copy import copy
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -27,6 +28,8 @@ from paperloom.staging import stage_path
 # Questions sent to every task: bounded in number and in matrix cells.
 MAX_QUERIES = 2_000
 MAX_QUERY_CELLS = 8_000_000
+# Lengths that the vectors of one set of questions may have.
+MAX_LENGTHS = 8
 # Cells of one score or vector block inside a task (doubles).
 BLOCK_CELLS = 2_000_000
 
@@ -172,7 +175,9 @@ def top_k(
     Both sides hold either ``embedding`` (dense) or ``buckets, weights``
     (sparse unit vectors). ``metric`` is ``cosine``, ``dot`` or ``euclidean``.
     Dense vectors that are null or hold a null, NaN or infinite value are no
-    candidates and find nothing; ``validate_vectors`` lists them.
+    candidates and find nothing; ``validate_vectors`` lists them. A question
+    meets only vectors of its own length; questions of several lengths are
+    searched length by length, of more than ``MAX_LENGTHS`` they are refused.
     Questions within the bounds are broadcast and the index is read in place;
     more questions than that come in blocks, each a further reading.
     """
@@ -191,6 +196,13 @@ def top_k(
         ]
     )
     table = queries.limit(max_queries + 1).toArrow()
+    if vector == ["embedding"] and table.num_rows:
+        lengths = _lengths(queries, table if table.num_rows <= max_queries else None)
+        if len(lengths) > 1:
+            settings = dict(k=k, metric=metric, id_col=id_col, query_col=query_col, min_score=min_score, max_queries=max_queries, max_cells=max_cells)
+            found = [top_k(index, queries.filter(F.size("embedding") == n), **settings) for n in lengths]
+            return reduce(DataFrame.unionByName, found)
+        index = index.filter(F.size("embedding") == lengths[0])
     if table.num_rows == 0:
         best = index.sparkSession.createDataFrame([], schema)
     elif table.num_rows <= max_queries and _cells(table) <= max_cells:
@@ -202,6 +214,17 @@ def top_k(
     return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(query_col, "rank", id_col, "score")
 
 
+def _lengths(queries: DataFrame, table: pa.Table | None) -> list[int]:
+    """The lengths of the questions' vectors; ``table`` has all of them, if there are few."""
+    if table is not None:
+        found = pc.unique(pc.list_value_length(table.column("embedding"))).to_pylist()
+    else:
+        found = [r["n"] for r in queries.select(F.size("embedding").alias("n")).distinct().limit(MAX_LENGTHS + 1).collect()]
+    if len(found) > MAX_LENGTHS:
+        raise ValueError(f"question vectors of more than {MAX_LENGTHS} lengths")
+    return sorted(found)
+
+
 def _cells(table: pa.Table) -> int:
     """Cells of the dense matrix of these questions, before it is made."""
     if "embedding" in table.column_names:

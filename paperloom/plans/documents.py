@@ -4,66 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.payloads import payload_completion, payload_messages
 from paperloom.functions.prompts import comparison_prompt, extraction_prompt, summary_prompt
 from paperloom.functions.responses import completion_text, first_text
 from paperloom.operators.evaluation import cross_models, model_metrics
-from paperloom.operators.invoke import invoke
-from paperloom.staging import stage
+from paperloom.operators.invoke import call_once, invoke
+from paperloom.staging import stage, stage_path
 
 EXTRACTION = {"temperature": 0.0, "max_tokens": 1024}
 SUMMARY = {"temperature": 0.5, "max_tokens": 512}
 OLDER_SUMMARY = {"temperature": 0.7, "max_tokens": 500}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
-
-
-def _call(requests: DataFrame, make_client: Callable, name: str, keep: str | None = None) -> DataFrame:
-    """``(doc_id, response, ok, ...)``: of a call only its key and outcome are written.
-
-    With ``keep`` outcomes go to a table in that folder, keyed by document and
-    model, and calls that succeeded in an earlier run are not made again.
-    """
-    outcome = ["response", "ok", "error_code", "error_message"]
-    requests = requests.select("doc_id", "model_id", "payload")
-    if keep is None:
-        return stage(invoke(requests, make_client, on_error="column").select("doc_id", *outcome), name)
-    spark, path = requests.sparkSession, f"{keep}/{name}"
-    if _exists(spark, path):
-        finished = spark.read.parquet(path).filter("ok").select("doc_id", "model_id")
-        todo = stage(requests.join(finished, ["doc_id", "model_id"], "left_anti"), "todo")
-    else:
-        todo = requests
-    invoke(todo, make_client, on_error="column").select("doc_id", "model_id", *outcome).write.mode("append").parquet(path)
-    asked = requests.select("doc_id", "model_id").distinct()
-    # of several tries the one that succeeded stands
-    best = spark.read.parquet(path).groupBy("doc_id", "model_id").agg(F.max_by(F.struct(*outcome), F.col("ok")).alias("_o"))
-    return best.join(asked, ["doc_id", "model_id"], "left_semi").select("doc_id", "_o.*")
+def _call(requests: DataFrame, make_client: Callable, name: str, keep: str | None, share: bool, calls: dict) -> DataFrame:
+    """``(doc_id, response, ok, ...)``: of a call only its digest and outcome are written."""
+    folder = stage_path(requests.sparkSession, name) if keep is None else f"{keep.rstrip('/')}/{name}"
+    made = call_once(requests.select("doc_id", "model_id", "payload"), make_client, folder, None if share else "doc_id", **calls)
+    return stage(made.select("doc_id", "response", "ok", "error_code", "error_message"), name)
 
 
 def process_documents(
-    docs: DataFrame, make_client: Callable, model_id: str = "stub", older: bool = False, with_text: bool = True, keep: str | None = None
+    docs: DataFrame,
+    make_client: Callable,
+    model_id: str = "stub",
+    older: bool = False,
+    with_text: bool = True,
+    keep: str | None = None,
+    share: bool = False,
+    **calls,
 ) -> DataFrame:
     """M3: ``(doc_id, text, extracted_text, summary_body, summary_text, ok, ...)``.
 
     Each of the two calls per document is written down before the next one
     reads it; a document whose extraction failed keeps its error and is not
     summarised. Texts are sent, not written: ``with_text`` joins them to the
-    outcome by key. ``keep`` names a folder where outcomes outlast the run: a
-    rerun there calls only for what has no answer yet.
+    outcome by key. ``keep`` names a folder where outcomes outlast the run, by
+    a digest of what was sent: a rerun there calls only for what has no answer
+    yet, and a changed text or prompt is called for anew. With ``share``
+    documents of equal text share their calls. ``calls`` are settings of
+    ``call_once`` (calls in flight, retries, slices).
     """
     asked = docs.select("doc_id", F.lit(model_id).alias("model_id"), payload_messages(extraction_prompt(F.col("text"), older), **EXTRACTION).alias("payload"))
-    extracted = _call(asked, make_client, "extracted", keep).withColumn("extracted_text", first_text(F.col("response"))).drop("response")
+    extracted = _call(asked, make_client, "extracted", keep, share, calls).withColumn("extracted_text", first_text(F.col("response"))).drop("response")
     settings = OLDER_SUMMARY if older else SUMMARY
     prompt = summary_prompt(F.col("extracted_text"), older)
     again = extracted.filter("ok").select("doc_id", F.lit(model_id).alias("model_id"), payload_messages(prompt, **settings).alias("payload"))
-    summed = _call(again, make_client, "summed", keep).select(
+    summed = _call(again, make_client, "summed", keep, share, calls).select(
         "doc_id", F.col("response").alias("summary_body"), first_text(F.col("response")).alias("summary_text"), "ok", "error_code", "error_message"
     )
     outcome = ["ok", "error_code", "error_message"]

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.payloads import payload_completion, payload_messages
 from paperloom.functions.responses import completion_text, first_text
 from paperloom.operators.evaluation import judge_accuracy, judge_quality, model_table
-from paperloom.operators.invoke import ServiceError, invoke, make_stub
+from paperloom.operators.invoke import Retry, ServiceError, call_once, invoke, make_stub
 from paperloom.plans.documents import compare_models, process_documents
 
 
@@ -144,3 +144,129 @@ def test_compare_models_runs_a_repeated_model_once(spark):
     runs = compare_models(_docs(spark, 3), ["b", "a", "b"], make_stub)
     assert sorted({(r["ordinal"], r["model_id"]) for r in runs.collect()}) == [(0, "a"), (1, "b")] and runs.count() == 6
     assert {r["n_blocks"] for r in runs.collect()} == {1}
+
+
+def _counting(log, refuse=0, code="ThrottlingException"):
+    """Clients that note every call in a folder, and refuse the first calls of each prompt."""
+
+    def make():
+        def client(model_id, payload, policy):
+            import hashlib
+            import uuid
+
+            prompt = payload["messages"][0]["content"][0]["text"]
+            name = hashlib.md5(prompt.encode()).hexdigest()
+            (log / f"{name}-{uuid.uuid4().hex}").write_text(prompt)
+            if len(list(log.glob(f"{name}-*"))) <= refuse:
+                raise ServiceError(code, "later")
+            return {"content": [{"text": f"{model_id}: {prompt}"}]}
+
+        return client
+
+    return make
+
+
+def _texts(df):
+    return sorted((r["doc_id"], r["t"]) for r in df.select("doc_id", first_text(F.col("response")).alias("t")).collect())
+
+
+def test_equal_requests_are_one_call(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+    rows = spark.range(90).select(F.col("id").alias("doc_id"), F.lit("m").alias("model_id"), payload_messages(F.concat(F.lit("text "), (F.col("id") % 3).cast("string"))).alias("payload"))
+    rows = rows.unionByName(spark.createDataFrame([(90, "m", None)], rows.schema))
+    got = call_once(rows, _counting(log), str(tmp_path / "kept"), slice_calls=2)
+    assert _texts(got)[:2] == [(0, "m: text 0"), (1, "m: text 1")] and got.count() == 91
+    assert got.filter("NOT ok").select("doc_id", "error_code").collect()[0] == (90, "NoPayload")
+    assert len(list(log.iterdir())) == 3
+    # another model is another call, what has an answer is not asked again
+    more = rows.withColumn("model_id", F.when(F.col("doc_id") < 3, "n").otherwise("m"))
+    assert _texts(call_once(more, _counting(log), str(tmp_path / "kept")))[0] == (0, "n: text 0")
+    assert len(list(log.iterdir())) == 6
+
+
+def test_named_errors_are_tried_again(spark, tmp_path):
+    rows = _docs(spark, 4).withColumn("payload", payload_messages(F.col("text")))
+    quick = Retry(first=0.01)
+    for name, refuse, code, retry, calls, ok in [
+        ("a", 2, "ThrottlingException", quick, 12, True),
+        ("b", 9, "ThrottlingException", quick, 16, False),
+        ("c", 1, "AccessDeniedException", quick, 4, False),
+        ("d", 1, "ThrottlingException", None, 4, False),
+    ]:
+        log = tmp_path / name
+        log.mkdir()
+        got = invoke(rows, _counting(log, refuse, code), "column", retry=retry).select("ok").collect()
+        assert [r["ok"] for r in got] == [ok] * 4 and len(list(log.iterdir())) == calls, name
+    waits = [Retry().wait(n) for n in (1, 2, 3)]
+    assert 0.25 <= waits[0] <= 0.5 <= waits[1] <= 1 <= waits[2] <= 2
+
+
+def test_a_broken_run_repeats_no_finished_slice(spark, tmp_path):
+    log, broken = tmp_path / "calls", tmp_path / "broken"
+    log.mkdir()
+    broken.touch()
+    counting = _counting(log)
+
+    def make():
+        inner = counting()
+
+        def client(model_id, payload, policy):
+            if broken.exists() and len(list(log.iterdir())) >= 30:
+                raise RuntimeError("lost")
+            return inner(model_id, payload, policy)
+
+        return client
+
+    rows = spark.range(60).select(F.col("id").alias("doc_id"), payload_messages(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("payload"))
+    with pytest.raises(Exception, match="lost"):
+        call_once(rows, make, str(tmp_path / "kept"), slice_calls=10, parallel=1, in_flight=1)
+    committed = spark.read.parquet(str(tmp_path / "kept")).count()
+    assert 0 < committed <= 30
+    broken.unlink()
+    before = len(list(log.iterdir()))
+    assert call_once(rows, make, str(tmp_path / "kept"), slice_calls=10).filter("ok").count() == 60
+    assert len(list(log.iterdir())) - before == 60 - committed
+
+
+def test_time_falls_with_the_calls_in_flight(spark):
+    import time
+
+    def make_slow():
+        def client(model_id, payload, policy):
+            time.sleep(0.05)
+            return {"content": [{"text": "x"}]}
+
+        return client
+
+    rows = _docs(spark, 64).withColumn("payload", payload_messages(F.col("text")))
+    invoke(rows, make_stub, parallel=1).count()
+
+    def seconds(n):
+        started = time.perf_counter()
+        assert invoke(rows, make_slow, parallel=1, in_flight=n).agg(F.sum("seconds")).first()[0] >= 64 * 0.05
+        return time.perf_counter() - started
+
+    assert seconds(16) < seconds(1) / 3
+    with pytest.raises(ValueError):
+        invoke(rows, make_slow, in_flight=0)
+
+
+def test_kept_answers_are_those_of_the_same_text(spark, tmp_path):
+    """A changed text, prompt or model under the same id is called for anew."""
+    keep = str(tmp_path / "kept")
+    docs = lambda text: spark.createDataFrame([(1, text)], "doc_id long, text string")
+    first = process_documents(docs("first text"), make_stub, keep=keep).first()
+    second = process_documents(docs("SECOND TEXT"), make_stub, keep=keep).first()
+    assert "first text" in first["extracted_text"] and "SECOND TEXT" in second["extracted_text"] and "first" not in second["extracted_text"]
+    older = process_documents(docs("SECOND TEXT"), make_stub, keep=keep, older=True).first()
+    other = process_documents(docs("SECOND TEXT"), make_stub, "other", keep=keep).first()
+    assert older["extracted_text"] != second["extracted_text"] and other["extracted_text"].startswith("[other]")
+
+
+def test_documents_of_equal_text_may_share_their_calls(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+    docs = spark.createDataFrame([(i, f"text {i % 2}") for i in range(8)], "doc_id long, text string")
+    done = process_documents(docs, _counting(log), share=True, in_flight=2)
+    assert len({r["summary_text"] for r in done.collect()}) == 2 and len(list(log.iterdir())) == 4

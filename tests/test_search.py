@@ -11,6 +11,7 @@ from paperloom.operators.answers import answer, answer_extractive, build_context
 from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, load_index, refresh_chunks, refresh_index
 from paperloom.operators.invoke import make_stub
 from paperloom.operators.search import top_k
+from paperloom.staging import stage_path
 from paperloom.functions.policy import Policy
 
 
@@ -434,3 +435,20 @@ def test_gap_distances_by_hand(spark, buffer):
             row.append(1 - float(a @ b) / norm if norm else 1.0)
         want.append(pytest.approx(row))
     assert got == want
+
+
+def test_questions_meet_vectors_of_their_own_length(spark):
+    index = spark.createDataFrame(
+        [("a", [1.0, 0.0]), ("b", [1.0, 0.0, 0.0]), ("c", [0.0, 1.0]), ("d", [1.0]), ("e", [])], "chunk_id string, embedding array<float>"
+    )
+    asked = lambda *vectors: spark.createDataFrame(list(enumerate(vectors)), "query_id long, embedding array<float>")
+    hits = lambda q, **s: sorted((r["query_id"], r["rank"], r["chunk_id"]) for r in top_k(index, q, 3, **s).collect())
+    assert hits(asked([1.0, 0.0])) == [(0, 1, "a"), (0, 2, "c")]
+    assert hits(asked([1.0, 0.0, 0.0, 0.0])) == []
+    both = asked([0.0, 1.0], [1.0, 1.0, 1.0], [2.0])
+    assert hits(both) == hits(both, max_queries=2) == [(0, 1, "c"), (0, 2, "a"), (1, 1, "b"), (2, 1, "d")]
+    with pytest.raises(ValueError):
+        top_k(index, asked(*[[1.0] * n for n in range(1, 11)]))
+    cells = retrieval.Cells.build(index, stage_path(spark, "cells"), n_cells=2)
+    got = cells.search(both, 3).collect()
+    assert {(r["query_id"], r["chunk_id"]) for r in got} == {(0, "a"), (0, "c")}
