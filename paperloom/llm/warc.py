@@ -37,6 +37,8 @@ BLOCK_LINES = 2000
 FILE_BYTES = 1 << 30
 # Records less than this apart are read at once, up to so many bytes.
 GAP, READ = 1 << 16, 4 << 20
+# Compressed bytes of records that a task reads, about.
+TASK_BYTES = 64 << 20
 # Pages taken out of a batch at once.
 SLICE = 256
 # Rows of a batch handed on, and bytes of payload in it.
@@ -336,7 +338,10 @@ def read_records(archive: Archive, captures: DataFrame, payload: bool = True) ->
     root = archive.folder
     schema = RECORDS + (", payload binary" if payload else "")
     places = stage(captures.select("file", "offset", "length"), "captures")
-    ranged = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # tasks by the bytes they will read, not by those of the places
+    size = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(captures.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES)
+    ranged = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
