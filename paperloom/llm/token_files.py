@@ -49,6 +49,8 @@ _INSIDE_RUN = re.compile(r"\s (?!\S)")
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_SIGNS = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(256, 512)))
 
+_BLANK = chr(BYTE_SIGNS[32])
+
 # Letters at the start of a word, and what no longer belongs to them.
 _LETTERS_END = re.compile(r"([^\W\d_]+)([^\w].*)", re.DOTALL)
 
@@ -94,7 +96,9 @@ class WordEncoder:
 
     def _letters(self, word: str) -> bytes:
         """Ids of a blank and letters, which the tokenizer never cuts: straight from its merges."""
-        merged = self.library.model.tokenize((" " + word).encode().decode("latin-1").translate(BYTE_SIGNS))
+        # printable signs of ASCII stand for themselves
+        spelled = _BLANK + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(BYTE_SIGNS)
+        merged = self.library.model.tokenize(spelled)
         return array(self.code, [t.id for t in merged]).tobytes()
 
     def _words(self, words: set[str]) -> dict[str, bytes]:
