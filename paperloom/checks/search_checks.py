@@ -10,9 +10,11 @@ from paperloom.checks.base import check, document_index, documents, questions, t
 from paperloom.functions.text import WHITESPACE
 from paperloom.operators import answers as answering
 from paperloom.operators import chunking, embedding, retrieval
+from paperloom.operators.coded import build_coded, recall
 from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, refresh_chunks, refresh_index, to_rebuild
 from paperloom.operators.invoke import make_stub
 from paperloom.operators.search import top_k
+from paperloom.operators.segments import add_segment, compact, load_segments, remove_unused
 from paperloom.staging import stage, stage_path
 
 TOKENS_SQL = r"regexp_extract_all({}, '[^ \t\n\r\f]+')"
@@ -265,6 +267,34 @@ def e7_refresh_all(spark, sf):
     return retrieval.with_texts(hits, index).select("query_id", "rank", "chunk_id", "score", _md5("text").alias("text_md5"))
 
 
+@check(
+    "e7_segments",
+    f"""WITH {DIFF_SQL}, {SCORES_SQL.replace("SELECT doc_id, lang, " + TOKENS_SQL.format('text') + " AS t FROM documents", "SELECT doc_id, '' AS lang, " + TOKENS_SQL.format('text') + " AS t FROM new_docs")},
+    {_hits_sql('hits', 3)} SELECT query_id, rank, chunk_id, score, md5(text) AS text_md5 FROM hits JOIN chunks USING (chunk_id)""",
+)
+def e7_segments(spark, sf):
+    """Questions to an index of two segments, one of them with tombstones, find what they find in one built anew."""
+    old, new, _ = _diff(spark, sf)
+    folder = stage_path(spark, "segments")
+    add_segment(spark, folder, old)
+    add_segment(spark, folder, new, removed=old.join(new, "doc_id", "left_anti"))
+    index = load_segments(spark, folder)
+    hits = stage(retrieval.retrieve(questions(spark, sf), index, 3), "hits")
+    return retrieval.with_texts(hits, index).select("query_id", "rank", "chunk_id", "score", _md5("text").alias("text_md5"))
+
+
+@check("e7_compacted", f"WITH {DIFF_SQL}, doc_tokens AS (SELECT doc_id, {TOKENS_SQL.format('text')} AS t FROM new_docs), {_pieces_sql('pieces', 'doc_tokens', 'doc_id', 't', 300, 15, 'chunk_idx')}, terms AS (SELECT DISTINCT doc_id, chunk_idx, unnest({TERMS_SQL.format("array_to_string(toks, ' ')")}) AS term FROM pieces) SELECT term, count(*) AS df FROM terms GROUP BY term")
+def e7_compacted(spark, sf):
+    """Document frequencies of a compacted index: no trace of what was changed or removed."""
+    old, new, _ = _diff(spark, sf)
+    folder = stage_path(spark, "segments")
+    add_segment(spark, folder, old)
+    add_segment(spark, folder, new, removed=old.join(new, "doc_id", "left_anti"))
+    compact(spark, folder)
+    remove_unused(spark, folder)
+    return load_segments(spark, folder).terms.select("term", "df")
+
+
 def make_letter_model():
     """A small embedding model; texts of less than twenty characters break the contract."""
 
@@ -345,6 +375,23 @@ def r4(spark, sf):
     return cells.search(_as_queries(spark, sf), 3)
 
 
+@check("r4_retrieve_coded", COSINE_SQL)
+def r4_coded(spark, sf):
+    """All lists looked into and as many codes scored again as the small table has rows: the exact hits."""
+    coded = build_coded(table(spark, sf, "embeddings").select("vec_id", "embedding"), stage_path(spark, "coded"), id_col="vec_id", n_lists=16)
+    return coded.search(_as_queries(spark, sf), 3, n_probe=16, rescored=200)
+
+
+@check("r4_recall", f"SELECT count(DISTINCT query_id) AS n_questions, true AS enough FROM ({COSINE_SQL})")
+def r4_recall(spark, sf):
+    """Of the exact hits at least nine in ten are found by looking into three quarters of the lists."""
+    vectors, asked = table(spark, sf, "embeddings").select("vec_id", "embedding"), _as_queries(spark, sf)
+    coded = build_coded(vectors, stage_path(spark, "coded"), id_col="vec_id")
+    found = coded.search(asked, 3, n_probe=round(0.75 * len(coded.book.centers)), rescored=40)
+    measured = recall(found, top_k(vectors, asked, 3, id_col="vec_id"), id_col="vec_id")
+    return measured.agg(F.count("*").alias("n_questions"), (F.sum("n_found") / F.sum("n_exact") >= 0.9).alias("enough"))
+
+
 @check("j4_text_retrieve", f"WITH {HITS_SQL} SELECT query_id, rank, chunk_id, score FROM hits")
 def j4_text(spark, sf):
     return retrieval.retrieve(questions(spark, sf), document_index(spark, sf), 3)
@@ -425,6 +472,11 @@ def r2_lexical(spark, sf):
     return retrieval.retrieve_lexical(questions(spark, sf), document_index(spark, sf), 3)
 
 
+@check("r2_retrieve_pruned", f"WITH {SCORES_SQL}, {BM25_SQL}, {_hits_sql('hits', 3, 'lexical')} SELECT query_id, rank, chunk_id, score FROM hits")
+def r2_pruned(spark, sf):
+    return retrieval.retrieve_lexical(questions(spark, sf), document_index(spark, sf), 3, direct=0)
+
+
 @check(
     "r2_retrieve_hybrid",
     f"""WITH {SCORES_SQL}, {BM25_SQL}, {_hits_sql('near', 30)}, {_hits_sql('words', 30, 'lexical')},

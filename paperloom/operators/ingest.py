@@ -1,9 +1,9 @@
 """Building, loading and refreshing an index.
 
 An index is a folder of tables: ``chunks`` (texts, in parts by a hash of the
-chunk id), ``counts`` (the terms of each chunk and how often), ``postings``
-(term, chunk, count; in parts by a hash of the term), ``terms`` (idf) and
-``vectors``; with an embedding model ``rejects`` lists the vectors that broke
+chunk id), ``counts`` (the terms of each chunk and how often), ``blocks``
+(postings of a term for some of the chunks and the largest weight among them; in
+parts by a hash of the term), ``terms`` (idf) and ``vectors``; with an embedding model ``rejects`` lists the vectors that broke
 the contract. Metadata columns are kept on chunks, counts and vectors, and
 vectors may be partitioned by one of them, so a metadata filter prunes them.
 """
@@ -25,6 +25,11 @@ from paperloom.staging import stage
 MIN_PARTS = 8
 PART_ROWS = 50_000
 POSTING_FILE_ROWS = 1_000_000
+# Chunks whose postings of a term share a block, on average.
+BLOCK_CHUNKS = 512
+# The usual settings of BM25.
+BM25_K1 = 1.2
+BM25_B = 0.75
 
 Chunker = Callable[[DataFrame], DataFrame]
 MakeModel = Callable[[], Callable[[list[str]], list[list[float]]]]
@@ -45,6 +50,7 @@ class Index:
     metadata: tuple[str, ...]
     partition_by: str | None
     make_model: MakeModel | None = None
+    blocks: DataFrame | None = None  # ``postings`` as they are stored
 
     @property
     def rejects(self) -> DataFrame:
@@ -63,6 +69,12 @@ class Index:
         return embed_hash(questions, [query_col], text, idf=self.terms.join(own, "term", "left_semi"), n_chunks=self.n_chunks)
 
 
+def bm25_weight(tf: Column, n: Column, mean_terms: float) -> Column:
+    """What a term that occurs ``tf`` times among a chunk's ``n`` adds to a score, before its idf."""
+    damp = BM25_K1 * (1 - BM25_B + BM25_B * n / F.lit(mean_terms))
+    return tf * (BM25_K1 + 1) / (tf + damp)
+
+
 def part_of(key: str | Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
@@ -118,13 +130,16 @@ def _finish(
         idf = spark.read.parquet(f"{path}/terms")
         vectors = embed_counts(counts, ["chunk_id", "doc_id", *metadata], dim, idf, n_chunks)
         vectors.write.partitionBy(*([partition_by] if partition_by else [])).parquet(f"{path}/vectors")
-    listed = counts.select("chunk_id", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("_t")).select(
-        F.col("_t.terms").alias("term"), "chunk_id", F.col("_t.tfs").alias("tf"), "n", part_of("_t.terms", parts).alias("part")
-    )
-    # the list of a frequent term is as long as the index: it is written by several tasks
-    files = max(1, n_chunks // POSTING_FILE_ROWS)
-    spread = listed.repartition(parts * files, "part", F.pmod(F.xxhash64("chunk_id"), F.lit(files)))
-    spread.sortWithinPartitions("part", "term").write.partitionBy("part").parquet(f"{path}/postings")
+    # the list of a frequent term is as long as the index: it is cut into blocks, and written by several tasks
+    blocks, files = max(1, n_chunks // BLOCK_CHUNKS), max(1, n_chunks // POSTING_FILE_ROWS)
+    block = part_of("chunk_id", blocks)
+    listed = counts.select("chunk_id", "n", block.alias("block"), F.pmod(block, F.lit(files)).alias("_file"), F.explode(F.arrays_zip("terms", "tfs")).alias("_t"))
+    entry = F.struct("chunk_id", F.col("_t.tfs").alias("tf"), "n")
+    weight = bm25_weight(F.col("entry.tf"), F.col("entry.n"), float(mean) or 1.0)
+    spread = listed.select(F.col("_t.terms").alias("term"), "block", "_file", entry.alias("entry"), part_of("_t.terms", parts).alias("part"))
+    grouped = spread.repartition(parts * files, "part", "_file").groupBy("part", "_file", "term", "block")
+    made = grouped.agg(F.max(weight).alias("top"), F.collect_list("entry").alias("entries")).drop("_file")
+    made.sortWithinPartitions("part", "term", "block").write.partitionBy("part").parquet(f"{path}/blocks")
     figures = [(n_chunks, float(mean), parts, dim, list(metadata), partition_by)]
     spark.createDataFrame(
         figures, "n_chunks bigint, mean_terms double, parts int, dim int, metadata array<string>, partition_by string"
@@ -135,7 +150,8 @@ def _finish(
 def load_index(spark: SparkSession, path: str, make_model: MakeModel | None = None) -> Index:
     """A written index; one built with a model is asked with the same model."""
     own = spark.read.parquet(f"{path}/figures").first()
-    tables = {name: spark.read.parquet(f"{path}/{name}") for name in ("chunks", "counts", "postings", "terms", "vectors")}
+    tables = {name: spark.read.parquet(f"{path}/{name}") for name in ("chunks", "counts", "blocks", "terms", "vectors")}
+    tables["postings"] = posted(tables["blocks"])
     modelled = "embedding" in tables["vectors"].columns
     if modelled != (make_model is not None):
         raise ValueError("an index of model vectors is loaded with its model, and no other is")
@@ -145,6 +161,11 @@ def load_index(spark: SparkSession, path: str, make_model: MakeModel | None = No
     )
 
 
+def posted(blocks: DataFrame) -> DataFrame:
+    """Blocks as postings: ``term, chunk_id, tf, n, part``."""
+    return blocks.select("term", F.explode("entries").alias("_e"), "part").select("term", "_e.chunk_id", "_e.tf", "_e.n", "part")
+
+
 def text_hash(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from paperloom.functions.policy import Policy, mask_pii
 from paperloom.functions.text import terms
 from paperloom.operators.embedding import MAX_BROADCAST_TERMS, join_term_table
-from paperloom.operators.ingest import Index, part_of
+from paperloom.operators.ingest import Index, bm25_weight, part_of, posted
 from paperloom.operators.screening import apply_policy
 from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _scan, finite, question_blocks, top_k
 from paperloom.staging import broadcast_if_small, fits, stage, stage_path
@@ -26,8 +26,12 @@ MAX_BROADCAST_HITS = 500_000
 # Vectors of a cell in one file, and tasks that write cells at most.
 CELL_ROWS = 100_000
 MAX_CELL_TASKS = 10_000
-BM25_K1 = 1.2
-BM25_B = 0.75
+# Postings of the asked terms that are read without looking which of them can matter.
+DIRECT_POSTINGS = 20_000_000
+# Postings of a question's rarest terms, for each hit wanted, that tell what others must beat.
+FIRST_POSTINGS = 50
+# Scores are rounded; a block this far below still counts.
+SLACK = 1e-6
 FUSION_OFFSET = 60
 CANDIDATES = 10
 
@@ -80,10 +84,12 @@ def retrieve_one(index: Index, question: str, k: int = 3) -> DataFrame:
     return retrieve(asked, index, k).orderBy(F.col("score").desc(), "chunk_id").limit(k)
 
 
-def retrieve_lexical(questions: DataFrame, index: Index, k: int) -> DataFrame:
+def retrieve_lexical(questions: DataFrame, index: Index, k: int, direct: int = DIRECT_POSTINGS) -> DataFrame:
     """BM25: chunk and question as vectors over the terms of the questions.
 
     Reads the postings of those terms, in the parts that hold one; no text.
+    Beyond ``direct`` postings only blocks are read that can hold one of a
+    question's k best, see ``_needed_blocks``; the hits are the same.
     """
     asked = questions.select("query_id", F.explode(F.array_distinct(terms("question"))).alias("term"))
     vocabulary = stage(
@@ -91,15 +97,18 @@ def retrieve_lexical(questions: DataFrame, index: Index, k: int) -> DataFrame:
         .withColumns({"bucket": F.monotonically_increasing_id(), "part": part_of("term", index.parts)}),
         "vocabulary",
     )
-    parts = [r["part"] for r in vocabulary.select("part").distinct().collect()]
-    postings = index.postings.filter(F.col("part").isin(parts) if parts else F.lit(False)).drop("part")
+    known = vocabulary.groupBy("part").agg(F.sum("df").alias("df")).collect()
+    here = F.col("part").isin([r["part"] for r in known]) if known else F.lit(False)
+    postings = index.postings
+    if index.blocks is not None and sum(r["df"] for r in known) > direct:
+        postings = posted(_needed_blocks(index.blocks.filter(here), asked.join(vocabulary, "term"), index, k))
+    postings = postings.filter(here).drop("part")
     wanted = vocabulary.select("term", "df", "bucket")
     if fits(wanted, MAX_BROADCAST_TERMS):
         found = postings.join(F.broadcast(wanted), "term")
     else:
         found = join_term_table(postings, wanted, index.n_chunks)
-    damp = BM25_K1 * (1 - BM25_B + BM25_B * F.col("n") / F.lit(index.mean_terms))
-    weight = F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damp)
+    weight = bm25_weight(F.col("tf"), F.col("n"), index.mean_terms)
     # a chunk has as many entries at most as it has terms
     gathered = found.select("chunk_id", F.struct("bucket", weight.alias("weight")).alias("_v")).groupBy("chunk_id").agg(F.collect_list("_v").alias("_v"))
     chunk_vectors = gathered.select("chunk_id", F.col("_v.bucket").alias("buckets"), F.col("_v.weight").alias("weights"))
@@ -112,6 +121,29 @@ def retrieve_lexical(questions: DataFrame, index: Index, k: int) -> DataFrame:
     return top_k(chunk_vectors, question_vectors, k, "dot", min_score=0.0)
 
 
+def _needed_blocks(blocks: DataFrame, asked: DataFrame, index: Index, k: int) -> DataFrame:
+    """The blocks that can hold one of the k best chunks of a question; ``asked`` has ``query_id, term, df, idf``.
+
+    The postings of a question's rarest terms, a bounded number, give parts of
+    scores; the k-th of them is less than the k-th score. A block of chunks
+    cannot beat that if the largest weights its postings have for all of the
+    question's terms, added up, do not. Only those weights are read to tell.
+    """
+    rarest = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, 0)
+    asked = stage(asked.select("query_id", "term", "df", "idf").withColumn("_upto", F.sum("df").over(rarest)), "asked")
+    first = asked.filter(F.col("_upto") <= FIRST_POSTINGS * k).select("query_id", "term", "idf")
+    met = posted(blocks).join(broadcast_if_small(first, MAX_BROADCAST_TERMS), "term")
+    part = F.sum(F.col("idf") * bm25_weight(F.col("tf"), F.col("n"), index.mean_terms))
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc())
+    partly = met.groupBy("query_id", "chunk_id").agg(part.alias("score")).withColumn("_r", F.row_number().over(best))
+    reached = partly.filter(F.col("_r") == k).select("query_id", F.col("score").alias("_least"))
+    asked_terms = broadcast_if_small(asked.select("query_id", "term", "idf"), MAX_BROADCAST_TERMS)
+    bounds = blocks.select("term", "block", "top").join(asked_terms, "term").groupBy("query_id", "block").agg(F.sum(F.col("idf") * F.col("top")).alias("_bound"))
+    open_pairs = bounds.join(broadcast_if_small(reached, MAX_BROADCAST_TERMS), "query_id", "left").filter(F.col("_bound") >= F.coalesce("_least", F.lit(0.0)) - SLACK)
+    needed = stage(open_pairs.select("query_id", "block").join(asked.select("query_id", "term"), "query_id").select("term", "block").distinct(), "needed")
+    return blocks.join(broadcast_if_small(needed, MAX_BROADCAST_TERMS), ["term", "block"], "left_semi")
+
+
 def fuse(rankings: list[DataFrame], k: int) -> DataFrame:
     """Reciprocal-rank fusion of several hit tables."""
     union = rankings[0].select("query_id", "chunk_id", "rank")

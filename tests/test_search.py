@@ -452,3 +452,24 @@ def test_questions_meet_vectors_of_their_own_length(spark):
     cells = retrieval.Cells.build(index, stage_path(spark, "cells"), n_cells=2)
     got = cells.search(both, 3).collect()
     assert {(r["query_id"], r["chunk_id"]) for r in got} == {(0, "a"), (0, "c")}
+
+
+def test_blocks_that_cannot_matter_are_not_read(spark, tmp_path, monkeypatch):
+    """A rare term tells what others must beat: few postings of the frequent ones are read, and the hits are the same."""
+    from paperloom.operators import ingest as building
+
+    monkeypatch.setattr(building, "BLOCK_CHUNKS", 20)
+    often = "claim policy driver road night".split()
+    rows = [(i, " ".join(often[: 1 + i % 5] * (1 + i % 3)) + (" hailstone" if i in (17, 430, 1111) else "") + f" w{i % 300}") for i in range(2000)]
+    index = ingest(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "index"))
+    asked = _ask(spark, "claim hailstone policy driver", "w7 claim night", "claim policy", "nothing known", "")
+    key = lambda df: sorted((r["query_id"], r["rank"], r["chunk_id"], r["score"]) for r in df.collect())
+    for k in (1, 3, 10):
+        assert key(retrieval.retrieve_lexical(asked, index, k, direct=0)) == key(retrieval.retrieve_lexical(asked, index, k))
+    read = []
+    real = retrieval._needed_blocks
+    monkeypatch.setattr(retrieval, "_needed_blocks", lambda *a: read.append(real(*a)) or read[-1])
+    retrieval.retrieve_lexical(_ask(spark, "claim hailstone policy driver"), index, 3, direct=0)
+    count = lambda df: df.agg(F.sum(F.size("entries"))).first()[0]
+    whole = count(index.blocks.filter(F.col("term").isin("claim", "hailstone", "policy", "driver")))
+    assert count(read[0]) < whole / 10
