@@ -20,10 +20,16 @@ OLDER_SUMMARY = {"temperature": 0.7, "max_tokens": 500}
 
 
 def _call(requests: DataFrame, make_client: Callable, name: str, keep: str | None, share: bool, calls: dict) -> DataFrame:
-    """``(doc_id, response, ok, ...)``: of a call only its digest and outcome are written."""
+    """``(doc_id, response, ok, ...)``: of a call only its key and outcome are written.
+
+    Payloads are compared only where outcomes outlast the run or are shared.
+    """
+    requests, outcome = requests.select("doc_id", "model_id", "payload"), ["doc_id", "response", "ok", "error_code", "error_message"]
+    if keep is None and not share:
+        settings = {k: v for k, v in calls.items() if k != "slice_calls"}
+        return stage(invoke(requests, make_client, "column", **settings).select(*outcome), name)
     folder = stage_path(requests.sparkSession, name) if keep is None else f"{keep.rstrip('/')}/{name}"
-    made = call_once(requests.select("doc_id", "model_id", "payload"), make_client, folder, None if share else "doc_id", **calls)
-    return stage(made.select("doc_id", "response", "ok", "error_code", "error_message"), name)
+    return stage(call_once(requests, make_client, folder, None if share else "doc_id", **calls).select(*outcome), name)
 
 
 def process_documents(
