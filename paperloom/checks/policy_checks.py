@@ -8,9 +8,10 @@ from paperloom.checks.base import CLAIMS_SQL, check, claims, document_index, doc
 from paperloom.checks.search_checks import ANSWERS_SQL, HITS_SQL, SENTENCES_SQL, TERMS_SQL, _flat_answers
 from paperloom.functions import policy as rules
 from paperloom.functions.payloads import payload_messages, question_params
+from paperloom.functions.prompts import render
 from paperloom.functions.responses import first_text
-from paperloom.functions.text import terms
-from paperloom.operators import screening
+from paperloom.functions.text import WHITESPACE, terms
+from paperloom.operators import learned, screening
 from paperloom.operators.answers import answer
 from paperloom.operators.invoke import make_stub
 from paperloom.operators.retrieval import retrieve_guarded
@@ -137,6 +138,56 @@ def k1_recall(spark, sf):
     return read.groupBy("lang").agg(F.count("*").alias("n_toxic"), F.count_if(found).alias("n_found"))
 
 
+# Of five documents three fit the filter, one sets its thresholds, one is held out.
+_KNOWN = f"""known AS (SELECT doc_id, lang, toxic, list_distinct({TERMS_SQL.format('text')}) AS terms FROM documents JOIN labels USING (doc_id))"""
+_LEARNED = f"""{_KNOWN},
+  sides AS (SELECT count(*) AS n, sum(toxic) AS n_in FROM known WHERE doc_id % 5 < 3),
+  counts AS (SELECT term, count(*) AS n, sum(toxic) AS n_in FROM (SELECT toxic, unnest(terms) AS term FROM known WHERE doc_id % 5 < 3) GROUP BY term HAVING sum(toxic) >= 3),
+  rated AS (SELECT term, c.n_in, round(1000 * ln(((c.n_in + 1) / (s.n_in + 2.0)) / ((c.n - c.n_in + 1) / (s.n - s.n_in + 2.0))))::BIGINT AS weight FROM counts c, sides s),
+  weights AS (SELECT term, weight FROM rated WHERE weight >= 2000 ORDER BY weight DESC, n_in DESC, term LIMIT 1000),
+  hits AS (SELECT doc_id, weight, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC) AS place FROM (
+    SELECT doc_id, unnest(list_distinct({TERMS_SQL.format('text')})) AS term FROM documents) JOIN weights USING (term)),
+  scored AS (SELECT doc_id, coalesce(sum(weight) FILTER (place <= 3), 0)::BIGINT AS score FROM documents LEFT JOIN hits USING (doc_id) GROUP BY doc_id),
+  levels AS (SELECT score, sum(count(*)) OVER (ORDER BY score DESC) AS n, sum(sum(toxic)) OVER (ORDER BY score DESC) AS n_in
+    FROM scored JOIN known USING (doc_id) WHERE doc_id % 5 = 3 AND score > 0 GROUP BY score),
+  cuts AS (SELECT min(score) FILTER (n_in / n >= 0.8) AS high, min(score) FILTER (n_in / n >= 0.9) AS medium, min(score) FILTER (n_in / n >= 0.97) AS low FROM levels)"""
+
+
+def _labelled(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return documents(spark, sf, "lang").join(labels, "doc_id")
+
+
+def _fitted(spark, sf):
+    labelled, part = _labelled(spark, sf), F.col("doc_id") % 5
+    return learned.fit_filter(labelled.filter(part < 3), labelled.filter(part == 3))
+
+
+@check(
+    "k1_learned_filter",
+    f"""WITH {_LEARNED} SELECT doc_id, score, concat_ws(',', CASE WHEN score >= high THEN 'HIGH' END,
+    CASE WHEN score >= medium THEN 'MEDIUM' END, CASE WHEN score >= low THEN 'LOW' END) AS blocks FROM scored, cuts""",
+)
+def k1_learned(spark, sf):
+    """A filter fitted on labels, applied to every document."""
+    scored = learned.score_strengths(documents(spark, sf), _fitted(spark, sf))
+    return scored.select("doc_id", F.col("score").cast("long").alias("score"), F.array_join("blocks", ",").alias("blocks"))
+
+
+@check(
+    "k1_learned_recall",
+    f"""WITH {_LEARNED} SELECT lang, sum(toxic)::BIGINT AS n_toxic, count(*) FILTER (toxic = 1 AND score >= high) AS n_found,
+    count(*) FILTER (toxic = 0 AND score >= high) AS n_false FROM known JOIN scored USING (doc_id), cuts WHERE doc_id % 5 = 4 GROUP BY lang""",
+)
+def k1_learned_recall(spark, sf):
+    """What the fitted filter finds among held-out labels at strength HIGH, by language."""
+    held = learned.score_strengths(_labelled(spark, sf).filter(F.col("doc_id") % 5 == 4), _fitted(spark, sf))
+    blocks, toxic = F.array_contains("blocks", "HIGH"), F.col("label") == 1
+    return held.groupBy("lang").agg(
+        F.sum(F.col("label").cast("long")).alias("n_toxic"), F.count_if(blocks & toxic).alias("n_found"), F.count_if(blocks & ~toxic).alias("n_false")
+    )
+
+
 @check(
     "k2_topic_filter",
     f"""WITH {PROMPTS_SQL}, prepared AS (SELECT conv_id, turn,
@@ -163,6 +214,24 @@ def k3_claims(spark, sf):
     return claims(spark, sf).select("doc_id", F.md5(rules.mask_pii(F.col("text")).cast("binary")).alias("text_md5"))
 
 
+# What follows a claim: mentions of both names, once inside a longer word.
+_TAIL = "On the phone {name} said that {patient}s, {name} and {patient} agreed.\n"
+
+
+@check(
+    "k3_mask_mentions",
+    f"""WITH {CLAIMS_SQL}, named AS (SELECT doc_id, regexp_extract(text, 'Patient Name: ([^\n]+)', 1) AS patient, text FROM claims)
+    SELECT doc_id, md5('Claimant Name: {{NAME}}' || chr(10) || 'Patient Name: {{NAME}}' || chr(10) || 'Phone Number: {{PHONE}}' || chr(10) ||
+      substr(text, strpos(text, 'Policy Number: '), strpos(text, 'Signed By: ') - strpos(text, 'Policy Number: ')) || 'Signed By: {{NAME}}' || chr(10) ||
+      substr(text, strpos(text, 'Incident Description: ')) || 'On the phone {{NAME}} said that ' || patient || 's, {{NAME}} and {{NAME}} agreed.' || chr(10)) AS text_md5 FROM named""",
+)
+def k3_mentions(spark, sf):
+    """The expected text is written out, without the library's patterns."""
+    said = lambda label: F.regexp_extract("text", label + r" Name: ([^\n]+)", 1)
+    text = F.concat("text", render(_TAIL, name=said("Claimant"), patient=said("Patient")))
+    return claims(spark, sf).select("doc_id", F.md5(rules.mask_mentions(text).cast("binary")).alias("text_md5"))
+
+
 _BLOCKED = " OR ".join(f"regexp_matches(text, {_quoted(p)})" for p in _BLOCKS.values())
 
 
@@ -272,6 +341,96 @@ def k8(spark, sf):
     return screening.policy_findings(documents(spark, sf), _policy()).withColumn("n", F.col("n").cast("long"))
 
 
+def _places(name: str, pattern: str) -> str:
+    """Matches of a pattern and where they start, from what lies between them."""
+    quoted = _quoted(pattern)
+    return f"""{name} AS (SELECT doc_id, hit, sum(length(gap)) OVER w + sum(length(hit)) OVER w - length(hit) AS start FROM (
+      SELECT doc_id, unnest(string_split_regex(text, {quoted})) AS gap, unnest(list_append(regexp_extract_all(text, {quoted}), '')) AS hit,
+        unnest(range(len(string_split_regex(text, {quoted})))) AS i FROM documents) WINDOW w AS (PARTITION BY doc_id ORDER BY i))"""
+
+
+# Written out here, so that a wrong pattern of the library is not wrong on both sides.
+_PLACES = {
+    "emails": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "phones": r"(?:\+?[0-9] )?(?:\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}",
+    "plates": r"Plate: [A-Z0-9][A-Z0-9-]*",
+    "streets": r"[0-9]+ (?:[A-Z][a-z]+ )+(?:Street|Avenue|Road|Lane|Drive)",
+    "names": r"(?:^|\n)[A-Za-z ]*Name: [^\n{]+",
+    "numbers": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "drivers": r"Driver(?: License)?(?: ID)?: ",
+    "cards": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
+    "tokens": r"token = .[0-9a-f]{40}",
+    "runs": r"[A-Za-z0-9]+",
+    "words": r"[\p{L}0-9]+",
+    "phrases": r"[^.!?\n]+[.!?]*",
+}
+
+
+def _found(place: str, kind: str, action: str, label: str = "0", where: str = "hit <> ''") -> str:
+    return f"SELECT doc_id, 'pii' AS policy, '{kind}' AS type, '{action}' AS action, start + {label} AS start, start + length(hit) AS end_at FROM {place} WHERE {where}"
+
+
+_LEXICON_ROWS = ", ".join(f"({_quoted(w)}, '{c}', '{'NONE' if c == 'PROMPT_ATTACK' else 'BLOCK'}')" for c, ws in rules.LEXICON.items() for w in ws)
+_TRACE_ROWS = " UNION ALL ".join(
+    [
+        _found("emails", "EMAIL", "ANONYMIZE"),
+        _found("phones", "PHONE", "ANONYMIZE"),
+        _found("plates", "LICENSE_PLATE", "ANONYMIZE", "7"),
+        _found("streets", "ADDRESS", "ANONYMIZE"),
+        _found("names", "NAME", "ANONYMIZE", "length(regexp_extract(hit, '\\n?[A-Za-z ]*Name: '))"),
+        _found("numbers", "US_SOCIAL_SECURITY_NUMBER", "BLOCK"),
+        _found("drivers", "DRIVER_ID", "BLOCK"),
+        _found("cards", "CARD_NUMBER", "BLOCK"),
+        _found("tokens", "ACCESS_TOKEN", "BLOCK"),
+        _found("runs", "VEHICLE_IDENTIFICATION_NUMBER", "ANONYMIZE", where="regexp_full_match(hit, '[A-HJ-NPR-Z0-9]{17}')"),
+        f"SELECT doc_id, 'filter', category, action, start, start + length(hit) FROM words JOIN (VALUES {_LEXICON_ROWS}) AS v(word, category, action) ON lower(hit) = word",
+    ]
+    + [
+        f"SELECT doc_id, 'topic', '{n}', 'BLOCK', start + length(hit) - length(ltrim(hit, ws)), start + length(rtrim(hit, ws)) FROM sets WHERE {_topic_score_sql(ex)} >= 0.6"
+        for n, _, ex in rules.TOPICS
+    ]
+)
+
+
+@check(
+    "k8_policy_trace",
+    f"""WITH {', '.join(_places(n, p) for n, p in _PLACES.items())},
+    sets AS (SELECT *, [list_distinct({TERMS_SQL.format('hit')})] AS sets FROM phrases, (SELECT {_quoted(WHITESPACE)} AS ws) WHERE len({TERMS_SQL.format('hit')}) > 0)
+    SELECT doc_id, policy, type, action, start::BIGINT AS start, end_at::BIGINT AS end_at FROM ({_TRACE_ROWS})""",
+)
+def k8_trace(spark, sf):
+    """Every finding with its place, as of the output side."""
+    found = screening.policy_trace(documents(spark, sf), _policy(), "output")
+    return found.select("doc_id", "policy", "type", "action", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end_at"))
+
+
+_PLANTED = "You IDIOT! Is this policy contract enforceable? Mail a.b@example.org, SSN 123-45-6789."
+
+
+def _planted(policy: str, kind: str, action: str, what: str) -> str:
+    """One expected row: where a planted string stands for the first time."""
+    return f"SELECT doc_id, '{policy}' AS policy, '{kind}' AS type, '{action}' AS action, strpos(text, {what}) - 1 AS start, strpos(text, {what}) - 1 + length({what}) AS end_at FROM said"
+
+
+@check(
+    "k8_trace_claims",
+    f"""WITH {CLAIMS_SQL}, said AS (SELECT doc_id, text || {_quoted(_PLANTED)} AS text, regexp_extract(text, 'Claimant Name: ([^\n]+)', 1) AS name,
+      regexp_extract(text, 'Patient Name: ([^\n]+)', 1) AS patient FROM claims),
+    expected AS ({_planted('filter', 'HATE', 'BLOCK', "'IDIOT'")}
+      UNION ALL {_planted('topic', 'LegalAdvice', 'BLOCK', "'Is this policy contract enforceable?'")}
+      UNION ALL {_planted('pii', 'EMAIL', 'ANONYMIZE', "'a.b@example.org'")}
+      UNION ALL {_planted('pii', 'US_SOCIAL_SECURITY_NUMBER', 'BLOCK', "'123-45-6789'")}
+      UNION ALL SELECT doc_id, 'pii', 'PHONE', 'ANONYMIZE', strpos(text, '+1 614-') - 1, strpos(text, '+1 614-') + 14 FROM said
+      UNION ALL SELECT doc_id, 'pii', 'NAME', 'ANONYMIZE', 15, 15 + length(name) FROM said
+      UNION ALL SELECT doc_id, 'pii', 'NAME', 'ANONYMIZE', strpos(text, 'Patient Name: ') + 13, strpos(text, 'Patient Name: ') + 13 + length(patient) FROM said)
+    SELECT doc_id, policy, type, action, start::BIGINT AS start, end_at::BIGINT AS end_at FROM expected""",
+)
+def k8_claims(spark, sf):
+    """Planted findings of every kind, their places told without a pattern."""
+    found = screening.policy_trace(claims(spark, sf).withColumn("text", F.concat("text", F.lit(_PLANTED))))
+    return found.select("doc_id", "policy", "type", "action", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end_at"))
+
+
 @check(
     "k9_retrieve_guarded",
     f"""WITH {HITS_SQL}, {screened_sql('asked', 'query_id', 'input', 'question')}

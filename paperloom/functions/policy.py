@@ -5,8 +5,9 @@ literals, so screening is a projection: it shuffles nothing and runs the same
 on a batch and on a stream.
 
 Topic similarity by shared terms and masking by pattern are plain stand-ins
-for trained classifiers: names and addresses are only found on labelled lines
-and in street form.
+for trained classifiers: names and addresses are found on labelled lines and
+in street form, and ``mask_mentions`` finds labelled ones wherever they are
+mentioned. A ``LearnedFilter`` takes the place of a category's words.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.text import sentences, terms
+from paperloom.functions.text import SENTENCE_PATTERN, WHITESPACE, sentences, strip, terms
 
 # Filter categories with input and output strength.
 FILTERS = (
@@ -123,9 +124,43 @@ ACTIONS = ("ANONYMIZE", "BLOCK")
 KNOWN_STRENGTHS = (*STRENGTHS, "NONE")
 
 
+# Lines that say of what follows them that it is a name or an address.
+LABELLED = (
+    ("NAME", r"((?:^|\n)[A-Za-z ]*Name: )[^\n{]+"),
+    ("ADDRESS", r"((?:^|\n)[A-Za-z ]*Address: )[^\n{]+"),
+)
+# A mention neither goes on into a word, an address of e-mail or a mark.
+MENTION_START, MENTION_END = r"(?<![\p{L}\p{N}_@{])", r"(?![\p{L}\p{N}_@}])"
+# Shorter values are masked where they are labelled only.
+MIN_MENTION = 3
+# Whole numbers and letters, neighbours included: what MASKS needs two passes for.
+SPAN_PATTERNS = {"VEHICLE_IDENTIFICATION_NUMBER": r"(?<![A-Za-z0-9])[A-HJ-NPR-Z0-9]{17}(?![A-Za-z0-9])"}
+
+
+@dataclass(frozen=True)
+class LearnedFilter:
+    """A linear filter: the ``top`` largest weights among a text's distinct terms, added up.
+
+    ``thresholds`` has the score from which each strength blocks, or None
+    where no score was precise enough; see ``operators.learned.fit_filter``.
+    """
+
+    weights: tuple[tuple[str, int], ...]
+    thresholds: tuple[tuple[str, int | None], ...]
+    top: int = 3
+
+    def threshold(self, strength: str) -> int | None:
+        return dict(self.thresholds).get(strength)
+
+
 @dataclass(frozen=True)
 class Policy:
-    """The tables of one policy. ``pii`` maps a type to its action."""
+    """The tables of one policy. ``pii`` maps a type to its action.
+
+    A category in ``learned`` is judged by its fitted filter, any other by the
+    words of the lexicon. With ``mentions``, labelled names and addresses are
+    masked wherever a text mentions them.
+    """
 
     filters: tuple = FILTERS
     topics: tuple = TOPICS
@@ -135,6 +170,8 @@ class Policy:
     topic_threshold: float = 0.6
     blocked_input: str = BLOCKED_INPUT
     blocked_output: str = BLOCKED_OUTPUT
+    learned: dict = field(default_factory=dict)
+    mentions: bool = False
 
     def __post_init__(self):
         """Refuse what the rules below could only pass over in silence."""
@@ -143,7 +180,7 @@ class Policy:
                 raise ValueError(f"action of {kind} is one of {', '.join(ACTIONS)}, not {action!r}")
             self.found_by(kind)
         for category, *strengths in self.filters:
-            if not self.lexicon.get(category):
+            if not self.lexicon.get(category) and category not in self.learned:
                 raise ValueError(f"no words are known for the category {category!r}")
             for strength in strengths:
                 if strength not in KNOWN_STRENGTHS:
@@ -215,17 +252,36 @@ def blocked_categories(term_list: Column, policy: Policy, side: str) -> Column:
     nothing = F.array().cast("array<string>")
     active = []
     for category, on_input, on_output in policy.filters:
-        needed = STRENGTHS.get(on_input if side == "input" else on_output)
-        if needed is not None:
-            active.append((category, policy.lexicon[category], needed))
+        strength = on_input if side == "input" else on_output
+        model = policy.learned.get(category)
+        if model is not None and model.threshold(strength) is not None:
+            words = [w for w, _ in model.weights]
+            active.append((category, words, lambda hits, m=model, n=model.threshold(strength): learned_score(hits, m) >= n))
+        elif model is None and strength in STRENGTHS:
+            words = policy.lexicon[category]
+            active.append((category, words, lambda hits, w=words, n=STRENGTHS[strength]: filter_hits(hits, w) >= n))
     if not active:
         return nothing
     listed = sorted({word for _, words, _ in active for word in words})
     # one pass over the text picks the listed words; categories count those
     return _let(
         F.filter(term_list, lambda t: t.isin(*listed)),
-        lambda hits: F.array_compact(F.array(*[F.when(filter_hits(hits, words) >= n, F.lit(c)) for c, words, n in active])),
+        lambda hits: F.array_compact(F.array(*[F.when(reached(hits), F.lit(c)) for c, _, reached in active])),
+    )
+
+
+def learned_score(term_list: Column, model: LearnedFilter) -> Column:
+    """K1: the ``top`` largest weights of the distinct terms, added up; 0 without a known term."""
+    if not model.weights:
+        return F.when(term_list.isNotNull(), F.lit(0))
+    words = [w for w, _ in model.weights]
+    # terms hold no blanks, so both lists travel as one literal each
+    weight_of = F.map_from_arrays(
+        F.split(F.lit(" ".join(words)), " "), F.split(F.lit(" ".join(str(n) for _, n in model.weights)), " ").cast("array<int>")
     )
+    known = F.array_distinct(F.filter(term_list, lambda t: t.isin(*words)))
+    weights = F.sort_array(F.transform(known, lambda t: F.element_at(weight_of, t)), asc=False)
+    return F.aggregate(F.slice(weights, 1, model.top), F.lit(0), lambda a, w: a + w)
 
 
 def _term_sets(examples: tuple[str, ...]) -> Column:
@@ -296,6 +352,54 @@ def mask_pii(text: Column, policy: Policy | None = None) -> Column:
     return masked
 
 
+def labelled_values(text: Column, policy: Policy | None = None) -> Column:
+    """Names and addresses on lines that say so: ``array<struct<size, value, kind>>``, longest first.
+
+    Blanks and closing punctuation around a value do not belong to it. E-mail
+    addresses, values without a letter and values under ``MIN_MENTION``
+    characters are left out, and so are types the policy does not mask.
+    """
+    wanted = (policy or Policy()).of_type("ANONYMIZE")
+
+    def values(kind: str, pattern: str) -> Column:
+        lines = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        labels = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+        said = F.zip_with(lines, labels, lambda whole, label: F.substr(whole, F.length(label) + 1))
+        clean = F.transform(said, lambda v: F.regexp_replace(v, r"^[ \t\r]+|[ \t\r.,;:]+$", ""))
+        real = F.filter(clean, lambda v: (F.length(v) >= MIN_MENTION) & F.regexp_like(v, F.lit(r"\p{L}")) & ~F.contains(v, F.lit("@")))
+        return F.transform(
+            F.array_distinct(real), lambda v: F.struct((-F.length(v)).alias("size"), v.alias("value"), F.lit(kind).alias("kind"))
+        )
+
+    found = [values(kind, pattern) for kind, pattern in LABELLED if kind in wanted]
+    if not found:
+        return F.array().cast("array<struct<size:int,value:string,kind:string>>")
+    return F.when(F.regexp_like(text, F.lit("(Name|Address): ")), F.array_sort(F.concat(*found))).otherwise(
+        F.array().cast("array<struct<size:int,value:string,kind:string>>")
+    )
+
+
+def mask_mentions(text: Column, policy: Policy | None = None) -> Column:
+    """K3: what a labelled line calls a name or an address is masked wherever the text mentions it.
+
+    The longest value goes first, so a name inside a longer one does not break
+    it; a value that stands under two labels counts as the first in order of
+    type. Mentions are whole words in the same spelling. Then the patterns of
+    ``mask_pii`` apply. Row-local: what one text labels says nothing about
+    others. A null text stays null, and a text without labelled lines is
+    masked as by ``mask_pii``.
+    """
+
+    def replaced(done: Column, found: Column) -> Column:
+        value = found["value"]
+        quoted = F.concat(F.lit("\\Q"), F.replace(value, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+        pattern = F.concat(F.lit(MENTION_START), quoted, F.lit(MENTION_END))
+        mark = F.concat(F.lit("{"), found["kind"], F.lit("}"))
+        return F.when(F.contains(done, value), F.regexp_replace(done, pattern, mark)).otherwise(done)
+
+    return mask_pii(F.aggregate(labelled_values(text, policy), text, replaced), policy)
+
+
 def masked_count(masked: Column, original: Column, kind: str) -> Column:
     """How many ``{kind}`` marks masking added."""
     mark = F.lit("{" + kind + "}")
@@ -314,6 +418,83 @@ def blocking_types(text: Column, policy: Policy | None = None) -> Column:
     return F.array_compact(F.array(*[F.when(F.regexp_like(text, F.lit(policy.found_by(t))), F.lit(t)) for t in kinds]))
 
 
+# Lengths are added up within blocks of this many matches, so that a text of
+# very many takes no time of their square.
+SPAN_BLOCK = 256
+
+
+def _sums_before(sizes: Column) -> Column:
+    """For each position the sum of all sizes before it."""
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0), lambda a, n: a + n)
+
+    def of_blocks(sizes: Column) -> Column:
+        last = F.floor(F.size(sizes) / SPAN_BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda block: total(F.slice(sizes, F.lit(1), block * SPAN_BLOCK)))
+
+    def sums(sizes: Column, bases: Column) -> Column:
+        def before(_: Column, i: Column) -> Column:
+            block = F.floor(i / SPAN_BLOCK).cast("int")
+            return F.element_at(bases, block + 1) + total(F.slice(sizes, block * SPAN_BLOCK + 1, i % SPAN_BLOCK))
+
+        return F.transform(sizes, before)
+
+    # inside a function of elements an expression would be made anew for each
+    return _let(sizes, lambda v: _let(of_blocks(v), lambda bases: sums(v, bases)))
+
+
+def spans(text: Column, pattern: str, label: int | None = None) -> Column:
+    """Matches of a pattern as ``array<struct<start, end, hit>>``, in code points, ``end`` exclusive.
+
+    Between matches lies what ``split`` gives, so positions are sums of
+    lengths. A match must not be empty. With ``label`` the group of that
+    number, which begins each match, is left out of it. Null text: null.
+    """
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    labels = F.regexp_extract_all(text, F.lit(pattern), F.lit(label)) if label is not None else F.transform(hits, lambda _: F.lit(""))
+    # the gap before a match and the match itself
+    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda gap, hit: F.length(gap) + F.length(hit))
+    ends = F.zip_with(_sums_before(steps), steps, lambda before, step: before + step)
+    cut = F.zip_with(hits, labels, lambda hit, name: F.substr(hit, F.length(name) + 1))
+    made = F.zip_with(
+        ends, cut, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit"))
+    )
+    return F.when(F.regexp_like(text, F.lit(pattern)), made).when(
+        text.isNotNull(), F.array().cast("array<struct<start:int,end:int,hit:string>>")
+    )
+
+
+def pii_spans(text: Column, kind: str, policy: Policy) -> Column:
+    """K8: where data of a type stands, without the label before it."""
+    if kind in SPAN_PATTERNS:
+        return spans(text, SPAN_PATTERNS[kind])
+    listed = {t: (p, to) for t, p, to in MASKS}
+    if kind in policy.of_type("BLOCK") or kind not in listed:
+        return spans(text, policy.found_by(kind))
+    pattern, replacement = listed[kind]
+    return spans(text, pattern, 1 if replacement.startswith("$1") else None)
+
+
+def word_spans(text: Column, words: tuple[str, ...]) -> Column:
+    """K8: where one of the words stands as a whole term, in either case of A-Z."""
+    either = "|".join(sorted(words, key=lambda w: (-len(w), w)))
+    return spans(text, rf"(?i)(?<![\p{{L}}0-9])(?:{either})(?![\p{{L}}0-9])")
+
+
+def sentence_spans(text: Column) -> Column:
+    """K8: ``sentences`` with their places, blanks around them left out."""
+
+    def trimmed(s: Column) -> Column:
+        left = F.length(s["hit"]) - F.length(F.ltrim(s["hit"], F.lit(WHITESPACE)))
+        inner = strip(s["hit"])
+        start = s["start"] + left
+        return F.struct(start.alias("start"), (start + F.length(inner)).alias("end"), inner.alias("hit"))
+
+    return F.filter(F.transform(spans(text, SENTENCE_PATTERN), trimmed), lambda s: s["hit"] != "")
+
+
 def blocked_message(side: str, policy: Policy | None = None) -> Column:
     """K5"""
     _check_side(side)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 TOKEN_PATTERN = r"[^ \t\n\r\f]+"
 # Matching unit: letters and digits of the lowered text.
 TERM_PATTERN = r"[\p{L}0-9]+"
+# A stretch that ends after its closing marks or at a newline.
+SENTENCE_PATTERN = r"[^.!?\n]+[.!?]*"
 # What str.strip() removes in Python; SQL trim() alone only removes blanks.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -47,5 +49,5 @@ def flatten_json(text: Column | str) -> Column:
 
 def sentences(text: Column | str) -> Column:
     """Non-blank stretches ending after ``.``, ``!``, ``?`` or at a newline."""
-    found = F.regexp_extract_all(_col(text), F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))
+    found = F.regexp_extract_all(_col(text), F.lit(SENTENCE_PATTERN), F.lit(0))
     return F.filter(F.transform(found, strip), lambda s: s != "")

@@ -13,14 +13,23 @@ from paperloom.functions.policy import (
     blocked_message,
     blocking_types,
     denied_topics,
+    mask_mentions,
     mask_pii,
     masked_count,
+    pii_spans,
+    sentence_spans,
     sentence_terms,
+    topic_score,
+    word_spans,
 )
+from paperloom.functions.text import terms
 from paperloom.operators.invoke import invoke
 from paperloom.staging import once, stage
 
 
+TRACE_FIELDS = (("policy", "string"), ("type", "string"), ("action", "string"), ("start", "int"), ("end", "int"))
+
+
 def _labels(kind: str, names: Column) -> Column:
     return F.transform(names, lambda n: F.concat(F.lit(f"{kind}:"), n))
 
@@ -31,7 +40,8 @@ def apply_policy(df: DataFrame, policy: Policy | None = None, side: str = "input
     Filters, topics and blocking data decide first; only what passes is masked.
     """
     policy = policy or Policy()
-    parts = once(df, _masked=mask_pii(F.col(text), policy), _sents=sentence_terms(F.col(text)))
+    mask = mask_mentions if policy.mentions else mask_pii
+    parts = once(df, _masked=mask(F.col(text), policy), _sents=sentence_terms(F.col(text)))
     marks = [F.when(masked_count(F.col("_masked"), F.col(text), k) > 0, F.lit(f"pii:{k}")) for k in policy.of_type("ANONYMIZE")]
     found = once(
         parts,
@@ -70,6 +80,62 @@ def policy_findings(df: DataFrame, policy: Policy | None = None, key: str = "doc
     )
 
 
+def policy_trace(
+    df: DataFrame, policy: Policy | None = None, side: str = "input", key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """K8: every finding with its place: ``(key, policy, type, action, start, end)``.
+
+    ``policy`` is filter, topic or pii; places are code points of the original
+    text, ``end`` exclusive. Filters give their words, with action BLOCK where
+    the category blocks on this side and NONE where it was too weak to; topics
+    give the sentences that reach the threshold, personal data what would be
+    masked or blocks. Patterns of personal data are searched in the original
+    text each for itself, so places of two types may overlap. Row-local: no
+    shuffle, and the same on a stream. Null and empty texts have no findings,
+    and repeated rows each have theirs.
+    """
+    policy = policy or Policy()
+    body = F.col(text)
+    seen = once(df.select(key, text), _sents=sentence_terms(body))
+    judged = once(
+        seen,
+        _blocked=blocked_categories(F.flatten("_sents"), policy, side),
+        _denied=denied_topics(F.col("_sents"), policy),
+    )
+    found = []
+
+    def add(kind: str, name: str, action: Column, places: Column) -> None:
+        def row(s: Column) -> Column:
+            return F.struct(
+                F.lit(kind).alias("policy"), F.lit(name).alias("type"), action.alias("action"), s["start"].alias("start"), s["end"].alias("end")
+            )
+
+        found.append(F.coalesce(F.transform(places, row), F.array().cast("array<struct<policy:string,type:string,action:string,start:int,end:int>>")))
+
+    for category, *_ in policy.filters:
+        model = policy.learned.get(category)
+        words = tuple(w for w, _ in model.weights) if model is not None else policy.lexicon[category]
+        if words:
+            blocks = F.array_contains("_blocked", category)
+            add("filter", category, F.when(blocks, "BLOCK").otherwise("NONE"), word_spans(body, words))
+
+    def near(examples: tuple[str, ...]) -> Callable[[Column], Column]:
+        def judge(s: Column) -> Column:
+            own = F.array_distinct(terms(s["hit"]))
+            return F.when(F.size(own) > 0, topic_score(F.array(own), examples) >= policy.topic_threshold).otherwise(F.lit(False))
+
+        return judge
+
+    for name, _, examples in policy.topics:
+        denied = F.array_contains("_denied", name)
+        add("topic", name, F.lit("BLOCK"), F.when(denied, F.filter(sentence_spans(body), near(examples))))
+    for kind, action in policy.pii:
+        add("pii", kind, F.lit(action), pii_spans(body, kind, policy))
+    if not found:
+        return df.select(key, *[F.lit(None).cast(t).alias(n) for n, t in TRACE_FIELDS]).limit(0)
+    return judged.select(key, F.explode(F.flatten(F.array(*found))).alias("_f")).select(key, "_f.*")
+
+
 def screening_report(screened: DataFrame) -> DataFrame:
     """Documents by action and reason; documents without reason count too."""
     return (

@@ -1,3 +1,5 @@
+import math
+import re
 from dataclasses import replace
 
 import pytest
@@ -7,7 +9,7 @@ from paperloom.functions import policy as rules
 from paperloom.functions.payloads import payload_completion
 from paperloom.functions.responses import completion_text
 from paperloom.functions.text import terms
-from paperloom.operators import screening
+from paperloom.operators import learned, screening
 
 FORM = """Claimant Name: Ana Ruiz
 Address: 12 Old Mill Road, Dayton
@@ -204,3 +206,122 @@ def test_guarded_calls_keep_the_outcome(spark):
     got = {r["i"]: r for r in screening.guarded_invoke(rows, make_throttled, payload_messages, first_text).collect()}
     assert (got[1]["ok"], got[1]["error_code"], got[1]["answer"]) == (False, "ThrottlingException", None)
     assert (got[2]["ok"], got[2]["action"]) == (None, "blocked")
+
+
+def _mentions(value, text, policy=None):
+    return value(rules.mask_mentions(F.col("t"), policy), "t string", text)
+
+
+@pytest.mark.parametrize(
+    "text, masked",
+    [
+        ("Claimant Name: Ana Ruiz\nAna Ruiz, ana ruiz, Ana Ruizo.", "Claimant Name: {NAME}\n{NAME}, ana ruiz, Ana Ruizo."),
+        # the longer value first, closing marks outside
+        ("Name: Ana\nFull Name: Ana Ruiz.\nAna Ruiz and Ana", "Name: {NAME}\nFull Name: {NAME}.\n{NAME} and {NAME}"),
+        ("Address: 1 Elm Road, Dayton\nat 1 Elm Road, Dayton now", "Address: {ADDRESS}\nat {ADDRESS} now"),
+        ("Email Address: a@b.org\nto a@b.org", "Email Address: {EMAIL}\nto {EMAIL}"),
+        # signs of patterns are plain characters, short values stay where they are labelled
+        ("Name: A.*\\E(b\nA.*\\E(b A.xyE(b", "Name: {NAME}\n{NAME} A.xyE(b"),
+        ("Name: Al\nAl said", "Name: {NAME}\nAl said"),
+        ("nobody is named, a@b.org", "nobody is named, {EMAIL}"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_mask_mentions(value, text, masked):
+    assert _mentions(value, text) == masked
+
+
+def test_mentions_follow_the_policy(value, spark):
+    text = "Name: Ana Ruiz\nAna Ruiz at a@b.org"
+    only_email = replace(rules.Policy(), pii=(("EMAIL", "ANONYMIZE"),))
+    assert _mentions(value, text, only_email) == "Name: Ana Ruiz\nAna Ruiz at {EMAIL}"
+    rows = spark.createDataFrame([(1, text)], "i long, text string")
+    assert screening.apply_policy(rows, replace(rules.Policy(), mentions=True)).first()["text"] == "Name: {NAME}\n{NAME} at {EMAIL}"
+
+
+def test_spans_match_a_plain_search(spark):
+    """Places and hits as Python finds them, over more matches than a block holds."""
+    texts = ["", "x", "ab", "abab" * 300, "é😀ab" * 5 + "b", "a" * 700 + "ab" * 600]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for pattern in ("ab", "a+b?", "[^a]"):
+        for r in rows.select("t", rules.spans(F.col("t"), pattern).alias("s")).collect():
+            assert [tuple(x) for x in r["s"]] == [(*m.span(), m.group()) for m in re.finditer(pattern, r["t"])]
+    assert spark.createDataFrame([(None,)], "t string").select(rules.spans(F.col("t"), "a")).first()[0] is None
+
+
+def test_policy_trace(spark):
+    text = FORM + "You IDIOT 😀 trashy. jailbreak!  Who is the president of Spain? ssn 123-45-6789"
+    docs = spark.createDataFrame([(1, text, "x"), (2, None, "x"), (3, "", "x"), (4, "fine", "x")], "doc_id long, text string, start string")
+    rows = screening.policy_trace(docs, side="output").collect()
+    assert {r["doc_id"] for r in rows} == {1}
+    got = sorted((r["policy"], r["type"], r["action"], text[r["start"] : r["end"]]) for r in rows)
+    assert got == sorted(
+        [
+            ("filter", "HATE", "BLOCK", "IDIOT"),
+            ("filter", "PROMPT_ATTACK", "NONE", "jailbreak"),
+            ("topic", "Politics", "BLOCK", "Who is the president of Spain?"),
+            ("pii", "NAME", "ANONYMIZE", "Ana Ruiz"),
+            ("pii", "ADDRESS", "ANONYMIZE", "12 Old Mill Road"),
+            ("pii", "PHONE", "ANONYMIZE", "(555) 123-4567"),
+            ("pii", "PHONE", "ANONYMIZE", "+1 614-555-0117"),
+            ("pii", "EMAIL", "ANONYMIZE", "ana.ruiz+x@mail.example.org"),
+            ("pii", "VEHICLE_IDENTIFICATION_NUMBER", "ANONYMIZE", "1HGCM82633A123456"),
+            ("pii", "VEHICLE_IDENTIFICATION_NUMBER", "ANONYMIZE", "1HGCM82633A123457"),
+            ("pii", "LICENSE_PLATE", "ANONYMIZE", "ABC-1234"),
+            ("pii", "US_SOCIAL_SECURITY_NUMBER", "BLOCK", "123-45-6789"),
+        ]
+    )
+
+
+def test_trace_agrees_with_the_verdict(spark):
+    """A text is blocked if, and only if, a finding says so."""
+    texts = ["you moron", "fine", "ssn 123-45-6789", "a@b.org", "Who is the president of Spain?", FORM, "jailbreak"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for side in ("input", "output"):
+        blocked = {r["doc_id"] for r in screening.apply_policy(docs, side=side).collect() if r["action"] == "blocked"}
+        assert blocked == {r["doc_id"] for r in screening.policy_trace(docs, side=side).collect() if r["action"] == "BLOCK"}
+
+
+def test_trace_shuffles_nothing(spark):
+    plan = screening.policy_trace(spark.range(9).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")))
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+LABELLED = [(f"zork word{i} common", 1) for i in range(8)] + [(f"plain word{i} common", 0) for i in range(40)]
+
+
+def test_learned_filter(spark, value):
+    rows = spark.createDataFrame([*LABELLED, ("zork", None), (None, 0)], "text string, label int")
+    model = learned.fit_filter(rows, rows)
+    assert [t for t, _ in model.weights] == ["zork"]  # "common" is everywhere, each "word" in too few texts
+    # 8 of 8 against 0 of 41, one text added to each side
+    assert model.weights[0][1] == round(1000 * math.log((9 / 10) / (1 / 43)))
+    assert model.thresholds == tuple((s, model.weights[0][1]) for s in ("HIGH", "MEDIUM", "LOW"))
+    policy = replace(rules.Policy(), learned={"HATE": model})
+    assert value(rules.blocked_categories(terms("t"), policy, "input"), "t string", "ZORK, murder") == ["HATE", "VIOLENCE"]
+    assert value(rules.blocked_categories(terms("t"), policy, "input"), "t string", "idiot") == []
+    docs = spark.createDataFrame([(1, "a Zork")], "doc_id long, text string")
+    assert [tuple(r) for r in screening.policy_trace(docs, policy).collect()] == [(1, "filter", "HATE", "BLOCK", 2, 6)]
+
+
+def test_learned_score_takes_the_largest(value):
+    model = rules.LearnedFilter((("a", 5), ("b", 4), ("c", 3), ("d", 2)), (("HIGH", 9),), top=2)
+    assert value(rules.learned_score(terms("t"), model), "t string", "d a a b c") == 9
+    assert value(rules.learned_score(terms("t"), model), "t string", "x") == 0
+
+
+def test_thresholds_count_ties_together(spark):
+    scored = spark.createDataFrame([(9, 1), (9, 1), (9, 0), (5, 1), (5, 1), (2, 0), (0, 1), (7, None)], "score int, label int")
+    assert learned.thresholds(scored, precision=(("HIGH", 0.8), ("MEDIUM", 0.66), ("LOW", 0.97))) == (("HIGH", 5), ("MEDIUM", 2), ("LOW", None))
+
+
+def test_learned_filter_without_evidence_blocks_nothing(spark):
+    empty = spark.createDataFrame([], "text string, label int")
+    model = learned.fit_filter(empty, empty)
+    assert model.weights == () and all(at is None for _, at in model.thresholds)
+    docs = spark.createDataFrame([(1, "idiot"), (2, None)], "doc_id long, text string")
+    assert [(r["score"], r["blocks"]) for r in learned.score_strengths(docs, model).collect()] == [(0, []), (0, [])]
+    policy = replace(rules.Policy(), learned={"HATE": model})
+    assert {r["action"] for r in screening.apply_policy(docs.filter("doc_id = 1"), policy).collect()} == {"none"}
+    assert screening.policy_trace(docs, policy).count() == 0
