@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from paperloom.checks.base import CLAIMS_SQL, check, claims, document_index, documents, questions, table
@@ -214,6 +216,77 @@ def k3_claims(spark, sf):
     return claims(spark, sf).select("doc_id", F.md5(rules.mask_pii(F.col("text")).cast("binary")).alias("text_md5"))
 
 
+_EXAMPLE_ROWS = " UNION ALL ".join(
+    f"SELECT {i} AS topic, {_quoted(e)} AS example, unnest(list_distinct({TERMS_SQL.format(_quoted(e))})) AS term"
+    for i, (_, _, examples) in enumerate(rules.TOPICS)
+    for e in examples
+)
+
+
+def _weighted_sql(name: str, source: str, keys: str) -> str:
+    """Scores of all topics for the sentences of ``source``: ``name(keys, sent, topic, score)``."""
+    return f"""{name}_terms AS (SELECT {keys}, sent, unnest(list_distinct({TERMS_SQL.format('sentence')})) AS term FROM (
+      SELECT {keys}, unnest(l) AS sentence, generate_subscripts(l, 1) AS sent FROM (SELECT {keys}, {SENTENCES_SQL.format(t='text')} AS l FROM {source}))),
+    {name}_sizes AS (SELECT {keys}, sent, sum(coalesce(w2, (SELECT u2 FROM unknown))) AS size FROM {name}_terms LEFT JOIN squares USING (term) GROUP BY ALL),
+    {name} AS (SELECT {keys}, sent, topic, max(round(dot / sqrt(size::DOUBLE * esize::DOUBLE), 6)) AS score FROM (
+      SELECT {keys}, sent, topic, example, sum(w2) AS dot FROM {name}_terms JOIN examples USING (term) JOIN squares USING (term) GROUP BY ALL)
+      JOIN {name}_sizes USING ({keys}, sent) JOIN example_sizes USING (topic, example) GROUP BY ALL)"""
+
+
+_CALIBRATED = f"""examples AS ({_EXAMPLE_ROWS}),
+  ordinary AS (SELECT list_distinct({TERMS_SQL.format('sentence')}) AS s FROM (SELECT unnest({SENTENCES_SQL.format(t='text')}) AS sentence FROM documents) WHERE len({TERMS_SQL.format('sentence')}) > 0),
+  total AS (SELECT count(*) AS n FROM ordinary),
+  found AS (SELECT term, count(*) AS df FROM (SELECT unnest(s) AS term FROM ordinary) GROUP BY term),
+  squares AS (SELECT term, round(1000 * pow(ln(1 + (n - d + 0.5) / (d + 0.5)), 2))::BIGINT AS w2 FROM (
+    SELECT DISTINCT term, coalesce(df, 0)::DOUBLE AS d FROM examples LEFT JOIN found USING (term)), total),
+  unknown AS (SELECT round(1000 * pow(ln(1 + (n + 0.5) / 0.5), 2))::BIGINT AS u2 FROM total),
+  example_sizes AS (SELECT topic, example, sum(w2) AS esize FROM examples JOIN squares USING (term) GROUP BY ALL),
+  {_weighted_sql('known_scores', 'documents', 'doc_id')},
+  cuts AS (SELECT topic, min(level) / 100 AS cut FROM (SELECT t.topic AS topic, l.level AS level, count(k.doc_id) AS n_above FROM range(3) AS t(topic), range(50, 102) AS l(level)
+    LEFT JOIN known_scores k ON k.topic = t.topic AND floor(k.score * 100) >= l.level GROUP BY t.topic, l.level), total WHERE n_above <= 0.001 * n GROUP BY topic)"""
+_TOPIC_NAMES = "[" + ", ".join(_quoted(n) for n, _, _ in rules.TOPICS) + "]"
+
+
+def _calibrated_policy(spark, sf):
+    policy = rules.Policy()
+    return replace(policy, topic_model=learned.fit_topics(documents(spark, sf), policy))
+
+
+@check(
+    "k2_topic_calibrated",
+    f"""WITH {PROMPTS_SQL}, {_CALIBRATED}, {_weighted_sql('scores', 'prompts', 'conv_id, turn')},
+    reached AS (SELECT DISTINCT conv_id, turn, topic FROM (SELECT *, max(score) OVER (PARTITION BY conv_id, turn, sent) AS best FROM scores) JOIN cuts USING (topic) WHERE score >= cut AND score >= best)
+    SELECT conv_id, turn, coalesce(string_agg({_TOPIC_NAMES}[topic + 1], ',' ORDER BY topic), '') AS denied FROM prompts LEFT JOIN reached USING (conv_id, turn) GROUP BY conv_id, turn""",
+)
+def k2_calibrated(spark, sf):
+    """Topics by weighted terms, thresholds from ordinary documents, the closest topic alone."""
+    denied = rules.denied_topics(rules.sentence_terms(F.col("text")), _calibrated_policy(spark, sf))
+    return _prompts(spark, sf).select("conv_id", "turn", F.array_join(denied, ",").alias("denied"))
+
+
+@check(
+    "k2_false_alarms",
+    f"""WITH {_CALIBRATED},
+    reached AS (SELECT DISTINCT doc_id, topic FROM (SELECT *, max(score) OVER (PARTITION BY doc_id, sent) AS best FROM known_scores) JOIN cuts USING (topic) WHERE score >= cut AND score >= best),
+    prepared AS (SELECT doc_id, list_filter(list_transform({SENTENCES_SQL.format(t='text')}, lambda s: list_distinct({TERMS_SQL.format('s')})), lambda s: len(s) > 0) AS sets FROM documents),
+    plain AS (SELECT doc_id, unnest({_TOPICS_SQL}) AS topic FROM prepared)
+    SELECT {_TOPIC_NAMES}[t + 1] AS topic, (SELECT count(*) FROM plain WHERE topic = 'topic:' || {_TOPIC_NAMES}[t + 1]) AS n_plain,
+      (SELECT count(*) FROM reached r WHERE r.topic = t) AS n_calibrated FROM range(3) AS x(t)""",
+)
+def k2_alarms(spark, sf):
+    """Documents, none of which asks for advice, that either way of judging denies."""
+    sents = once(documents(spark, sf), _sents=rules.sentence_terms(F.col("text")))
+    both = sents.select(
+        rules.denied_topics(F.col("_sents"), rules.Policy()).alias("plain"),
+        rules.denied_topics(F.col("_sents"), _calibrated_policy(spark, sf)).alias("calibrated"),
+    )
+    names = [n for n, _, _ in rules.TOPICS]
+    counts = [
+        F.struct(F.lit(n).alias("topic"), *[F.count_if(F.array_contains(side, n)).alias(f"n_{side}") for side in ("plain", "calibrated")]) for n in names
+    ]
+    return both.agg(F.array(*counts).alias("_c")).select(F.inline("_c"))
+
+
 # What follows a claim: mentions of both names, once inside a longer word.
 _TAIL = "On the phone {name} said that {patient}s, {name} and {patient} agreed.\n"
 

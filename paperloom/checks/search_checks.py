@@ -120,6 +120,39 @@ def c3(spark, sf):
     return chunking.chunk_semantic(documents(spark, sf)).select("doc_id", "segment", "part", _md5("text").alias("text_md5"), "n_tokens")
 
 
+def make_count_model():
+    """A tiny embedding model: how often some letters occur."""
+
+    def model(texts):
+        return [[float(t.lower().count(c)) for c in "etaoinsr"] for t in texts]
+
+    return model
+
+
+_COUNTS_SQL = "[" + ", ".join(f"(length(t) - length(replace(t, '{c}', '')))::DOUBLE" for c in "etaoinsr") + "]"
+
+
+@check(
+    "c3_chunk_model",
+    f"""WITH sents AS (SELECT doc_id, unnest(l) AS sentence, generate_subscripts(l, 1) - 1 AS sent FROM (SELECT doc_id, {SENTENCES_SQL.format(t='text')} AS l FROM documents)),
+    vectors AS (SELECT doc_id, sent, sentence, {_COUNTS_SQL} AS v FROM (SELECT *, lower(string_agg(sentence, ' ') OVER
+      (PARTITION BY doc_id ORDER BY sent ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)) AS t FROM sents)),
+    pairs AS (SELECT *, lead(v) OVER (PARTITION BY doc_id ORDER BY sent) AS w FROM vectors),
+    distances AS (SELECT doc_id, sent, sentence, CASE WHEN w IS NOT NULL THEN round(1 - coalesce(list_inner_product(v, w) /
+      nullif(sqrt(list_inner_product(v, v)) * sqrt(list_inner_product(w, w)), 0), 0), 6) END AS distance FROM pairs),
+    marked AS (SELECT doc_id, sent, sentence, coalesce((distance > round(quantile_cont(distance, 0.9) OVER (PARTITION BY doc_id), 6)
+      AND count(*) OVER (PARTITION BY doc_id) >= 3)::INT, 0) AS breaks FROM distances),
+    placed AS (SELECT *, coalesce(sum(breaks) OVER (PARTITION BY doc_id ORDER BY sent ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS segment FROM marked),
+    segments AS (SELECT doc_id, segment, {TOKENS_SQL.format("string_agg(sentence, ' ' ORDER BY sent)")} AS t FROM placed GROUP BY ALL),
+    {_pieces_sql('parts', 'segments', 'doc_id, segment', 't', 300, 0, 'part')}
+    SELECT doc_id, segment::INT AS segment, part, md5(array_to_string(toks, ' ')) AS text_md5, len(toks)::INT AS n_tokens FROM parts""",
+)
+def c3_model(spark, sf):
+    """Semantic chunks by the vectors of an injected model."""
+    cut = chunking.chunk_semantic(documents(spark, sf), make_model=make_count_model)
+    return cut.select("doc_id", "segment", "part", _md5("text").alias("text_md5"), "n_tokens")
+
+
 def make_length_model():
     """A tiny embedding model: character and word counts."""
 

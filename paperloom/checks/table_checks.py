@@ -9,7 +9,7 @@ from paperloom.checks.prompt_checks import SUMMARIES_SQL, summaries
 from paperloom.operators import evaluation, lookups
 from paperloom.operators.feedback import feedback_rates, join_feedback
 from paperloom.operators.screening import cross_policies
-from paperloom.staging import stage_path
+from paperloom.staging import stage, stage_path
 
 
 def _md5(c):
@@ -155,10 +155,36 @@ def j7(spark, sf):
     quality * (1 - toxic * 0.5)::DOUBLE - quality AS change FROM labels""",
 )
 def j8(spark, sf):
+    return evaluation.ab_policy(_both_policies(spark, sf))
+
+
+def _both_policies(spark, sf):
     labels = table(spark, sf, "labels")
     plain = labels.select("doc_id", F.lit(False).alias("policy"), F.col("quality").cast("double").alias("accuracy"))
     guarded = labels.select("doc_id", F.lit(True).alias("policy"), (F.col("quality") * (1 - F.col("toxic") * F.lit(0.5))).alias("accuracy"))
-    return evaluation.ab_policy(plain.unionByName(guarded))
+    return plain.unionByName(guarded)
+
+
+def _interval_sql(source: str, by: str = "") -> str:
+    """Means by replicate from ``source(value, key, by)`` and where their middle lies."""
+    keys = f"{by}, " if by else ""
+    return f"""WITH src AS ({source}),
+    drawn AS (SELECT {keys}value, b * 8 + j AS r, ('0x' || substr(md5('0:' || key || ':' || b), 1 + 4 * j, 4))::INT AS u FROM src, range(25) AS t(b), range(8) AS s(j)),
+    weighed AS (SELECT {keys}value, r, len(list_filter([24109, 48219, 60273, 64292, 65296, 65497, 65531, 65535], lambda c: u >= c)) AS w FROM drawn),
+    means AS (SELECT {keys}r, count(*) AS n, avg(value) AS plain, sum(value * w) / sum(w) AS m FROM weighed GROUP BY {keys}r)
+    SELECT {keys}max(n) AS n, max(round(plain, 6)) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high,
+    round(avg((round(m, 9) <= 0)::INT), 6) AS share_not_above_zero FROM means {'GROUP BY ' + by if by else ''}"""
+
+
+@check("j8_ab_interval", _interval_sql("SELECT quality * (1 - toxic * 0.5)::DOUBLE - quality AS value, doc_id AS key FROM labels"))
+def j8_interval(spark, sf):
+    return evaluation.ab_interval(_both_policies(spark, sf))
+
+
+@check("g7_report_intervals", _interval_sql("SELECT 'model-' || (doc_id % 3) AS model, quality::DOUBLE AS value, doc_id AS key FROM labels", "model"))
+def g7_intervals(spark, sf):
+    evals = table(spark, sf, "labels").select("doc_id", F.concat(F.lit("model-"), F.col("doc_id") % 3).alias("model"), "quality")
+    return evaluation.mean_interval(evals, "quality", "doc_id", "model")
 
 
 @check(
@@ -209,6 +235,36 @@ def g3(spark, sf):
     return evaluation.model_table(_runs(spark, sf))
 
 
+@check(
+    "g3_model_sketches",
+    """SELECT event_type AS model_id, count(*)::BIGINT AS n_runs, 0::BIGINT AS n_failed, round(avg(value), 6) AS avg_seconds, min(value) AS min_seconds,
+    max(value) AS max_seconds, TRUE AS median_holds, TRUE AS p95_holds FROM events GROUP BY ALL""",
+)
+def g3_sketches(spark, sf):
+    """Sketches of each day's runs, merged; the percentiles' ranks are counted among all times.
+
+    Sketches draw at random, so their values are not compared themselves.
+    """
+    events = table(spark, sf, "events")
+    runs = events.select(F.to_date("ts").alias("run"), F.col("event_type").alias("model_id"), F.col("value").alias("time_seconds"))
+    kept = stage(evaluation.time_sketches(runs, "run"), "sketches")
+    made = stage(evaluation.model_table_of(kept), "model_table")
+    error = evaluation.SKETCH_RANK_ERROR
+
+    def holds(quantile, share):
+        # sketches give one of the times, rounded as in the table
+        below = F.avg((F.round("time_seconds", 6) < F.col(quantile)).cast("int"))
+        upto = F.avg((F.round("time_seconds", 6) <= F.col(quantile)).cast("int"))
+        return (below <= share + error) & (upto >= share - error)
+
+    ranks = (
+        runs.join(F.broadcast(made.select("model_id", "median_seconds", "p95_seconds")), "model_id")
+        .groupBy("model_id")
+        .agg(holds("median_seconds", 0.5).alias("median_holds"), holds("p95_seconds", 0.95).alias("p95_holds"))
+    )
+    return made.drop("median_seconds", "p95_seconds").join(ranks, "model_id")
+
+
 @check("g4_last_per_model", "SELECT event_type AS model_id, max(event_id) AS event_id, arg_max(value, event_id) AS time_seconds FROM events GROUP BY ALL")
 def g4(spark, sf):
     return evaluation.last_per_model(_runs(spark, sf), "model_id", "event_id", ["event_id", "time_seconds"])

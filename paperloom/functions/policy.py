@@ -153,13 +153,27 @@ class LearnedFilter:
         return dict(self.thresholds).get(strength)
 
 
+@dataclass(frozen=True)
+class TopicModel:
+    """What a term says, and from which score on a topic is denied; see ``operators.learned.fit_topics``.
+
+    ``squares`` has the squared weight of every term of the examples in
+    thousandths, ``unknown`` that of any other term.
+    """
+
+    squares: tuple[tuple[str, int], ...]
+    unknown: int
+    thresholds: tuple[tuple[str, float], ...] = ()
+
+
 @dataclass(frozen=True)
 class Policy:
     """The tables of one policy. ``pii`` maps a type to its action.
 
     A category in ``learned`` is judged by its fitted filter, any other by the
     words of the lexicon. With ``mentions``, labelled names and addresses are
-    masked wherever a text mentions them.
+    masked wherever a text mentions them. With a ``topic_model``, topics are
+    judged by its weights, thresholds and the contrast between them.
     """
 
     filters: tuple = FILTERS
@@ -172,6 +186,7 @@ class Policy:
     blocked_output: str = BLOCKED_OUTPUT
     learned: dict = field(default_factory=dict)
     mentions: bool = False
+    topic_model: TopicModel | None = None
 
     def __post_init__(self):
         """Refuse what the rules below could only pass over in silence."""
@@ -305,6 +320,82 @@ def sentence_sets(sents: Column) -> Column:
     return F.transform(sents, F.array_distinct)
 
 
+def weighted_scores(term_set: Column, topics: tuple, model: TopicModel) -> Column:
+    """K2: for each topic the best cosine of a sentence's term set and an example's, by weighted terms.
+
+    Sums are of whole numbers, so the order of terms does not matter; scores
+    are rounded to six digits.
+    """
+    words = [w for w, _ in model.squares]
+    square_of = F.map_from_arrays(
+        F.split(F.lit(" ".join(words)), " "), F.split(F.lit(" ".join(str(n) for _, n in model.squares)), " ").cast("array<bigint>")
+    )
+    own = dict(model.squares)
+
+    def total(found: Column) -> Column:
+        return F.aggregate(found, F.lit(0).cast("bigint"), lambda a, t: a + F.element_at(square_of, t))
+
+    def against(known: Column, size: Column, examples: tuple[tuple[str, ...], ...]) -> Column:
+        scores = [total(_among(known, e)) / F.sqrt(size * F.lit(float(sum(own[w] for w in e)))) for e in examples if e]
+        return F.round(F.greatest(F.lit(0.0), *scores), 6)
+
+    listed = [tuple(tuple(sorted(set(plain_terms(e)))) for e in examples) for _, _, examples in topics]
+
+    def judged(known: Column) -> Column:
+        size = (total(known) + (F.size(term_set) - F.size(known)) * model.unknown).cast("double")
+        return _let(size, lambda n: F.array(*[against(known, n, examples) for examples in listed]))
+
+    nothing = F.array(*[F.lit(0.0) for _ in topics])
+    return _let(
+        F.filter(term_set, lambda t: t.isin(*words)), lambda known: F.when(F.size(known) > 0, judged(known)).otherwise(nothing)
+    )
+
+
+def _among(found: Column, words: tuple[str, ...]) -> Column:
+    return F.filter(found, lambda t: t.isin(*words))
+
+
+def _item(place: int) -> Callable[[Column], Column]:
+    return lambda values: F.get(values, F.lit(place))
+
+
+def plain_terms(text: str) -> list[str]:
+    """``terms`` of a text known on the driver, such as an example of a topic."""
+    return "".join(c if c.isalpha() or c in "0123456789" else " " for c in text.lower()).split()
+
+
+def reached_topics(scores: Column, policy: Policy) -> Column:
+    """K2: one truth value for each topic: at its threshold, and no other topic scores more."""
+    cuts = dict(policy.topic_model.thresholds)
+    best = F.array_max(scores)
+    at = [F.get(scores, F.lit(i)) for i in range(len(policy.topics))]
+    return F.array(*[(at[i] >= cuts.get(name, policy.topic_threshold)) & (at[i] >= best) for i, (name, _, _) in enumerate(policy.topics)])
+
+
+def near_topic(term_set: Column, name: str, policy: Policy) -> Column:
+    """K2: whether one sentence, as a set of terms that is not empty, is about a denied topic."""
+    if policy.topic_model is None:
+        examples = {n: e for n, _, e in policy.topics}[name]
+        return topic_score(F.array(term_set), examples) >= policy.topic_threshold
+    place = [n for n, _, _ in policy.topics].index(name)
+    found = _let(weighted_scores(term_set, policy.topics, policy.topic_model), lambda s: reached_topics(s, policy))
+    return F.get(found, F.lit(place))
+
+
+def _weighted_topics(sents: Column, policy: Policy) -> Column:
+    names = [n for n, _, _ in policy.topics]
+    reached = F.transform(
+        sentence_sets(sents),
+        lambda s: _let(weighted_scores(s, policy.topics, policy.topic_model), lambda scores: reached_topics(scores, policy)),
+    )
+    return _let(
+        reached,
+        lambda found: F.array_compact(
+            F.array(*[F.when(F.array_contains(F.transform(found, _item(i)), True), F.lit(n)) for i, n in enumerate(names)])
+        ),
+    )
+
+
 def denied_topics(sents: Column, policy: Policy) -> Column:
     """K2: the topics scoring at or above the threshold.
 
@@ -313,6 +404,8 @@ def denied_topics(sents: Column, policy: Policy) -> Column:
     """
     if not policy.topics:
         return F.array().cast("array<string>")
+    if policy.topic_model is not None:
+        return _weighted_topics(sents, policy)
     every = _term_sets(tuple(e for _, _, examples in policy.topics for e in examples))
     union, shortest = F.array_distinct(F.flatten(every)), F.array_min(F.transform(every, F.size))
 

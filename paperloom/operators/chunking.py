@@ -6,6 +6,7 @@ are exploded, so nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -138,6 +139,68 @@ def with_gaps(df: DataFrame, buffer: int, doc: str, text: str, dim: int = DIMENS
     )
 
 
+# Texts a model is given at a time; no more vectors than these are held.
+MODEL_TEXTS = 256
+
+
+def vector_distances(texts: list[str], model: Callable[[list[str]], list], size: int = MODEL_TEXTS) -> np.ndarray:
+    """Cosine distance of each text's vector to the next one's.
+
+    The model sees ``size`` texts at a time, and only the last vector of a
+    slice is carried on. A vector of zeros, or with a value that is not finite,
+    is at distance 1 from any other.
+    """
+    found, last = [], None
+    for at in range(0, len(texts), size):
+        part = texts[at : at + size]
+        vectors = np.asarray(model(part), dtype=np.float64)
+        if vectors.ndim != 2 or len(vectors) != len(part):
+            raise ValueError(f"the model gave {vectors.shape} for {len(part)} texts")
+        rows = vectors if last is None else np.vstack([last, vectors])
+        usable = np.isfinite(rows).all(axis=1)
+        rows = np.where(usable[:, None], rows, 0.0)
+        norms = np.sqrt((rows * rows).sum(axis=1))
+        both = norms[:-1] * norms[1:]
+        dots = (rows[:-1] * rows[1:]).sum(axis=1)
+        found.append(1 - np.divide(dots, both, out=np.zeros(len(both)), where=both > 0))
+        last = vectors[-1]
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+def with_model_gaps(df: DataFrame, buffer: int, doc: str, text: str, make_model: Callable, size: int = MODEL_TEXTS) -> DataFrame:
+    """As ``with_gaps``, by vectors of an injected model.
+
+    A sentence is embedded together with its ``buffer`` neighbours on both
+    sides. The sentences of all documents of a batch go to the model in slices,
+    whatever document they are from, and distances come back to the row they
+    belong to: nothing is shuffled. ``make_model()`` is called once in a task.
+    Documents of under three sentences cannot be cut and are not sent.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def gaps(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = make_model()
+        for groups in batches:
+            per_doc = pc.fill_null(pc.list_value_length(groups), 0).to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(per_doc)), per_doc)
+            distances = vector_distances(pc.list_flatten(groups).to_pylist(), model, size)
+            inside = distances[owner[:-1] == owner[1:]] if len(owner) else distances
+            ends = np.cumsum(np.maximum(per_doc - 1, 0))
+            yield pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(inside))
+
+    others = [c for c in df.columns if c not in (doc, text)]
+    cut = once(df.select(doc, text, *others), _sentences=sentences(text)).filter(F.size("_sentences") > 0)
+
+    def around(_: Column, i: Column) -> Column:
+        first = F.greatest(i - buffer, F.lit(0))
+        return F.array_join(F.slice("_sentences", first + 1, i + buffer - first + 1), " ")
+
+    groups = F.when(F.size("_sentences") >= 3, F.transform("_sentences", around)).otherwise(F.array().cast("array<string>"))
+    return cut.select(doc, *others, "_sentences", gaps(groups).alias("_gaps")).withColumn(
+        "_gaps", F.transform("_gaps", lambda d: F.round(d, 6))
+    )
+
+
 def sentence_distances(df: DataFrame, buffer: int = 1, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """V3: ``(doc, sent, sentence, distance)``; distance to the next sentence."""
     entries = F.transform(
@@ -161,14 +224,18 @@ def chunk_semantic(
     percentile: int = 90,
     doc: str = "doc_id",
     text: str = "text",
+    make_model: Callable | None = None,
 ) -> DataFrame:
     """Cut where the distance to the next sentence is above the percentile.
 
     Documents of fewer than three sentences stay one segment; a long segment is
-    cut at ``max_tokens`` without overlap. A projection as well.
+    cut at ``max_tokens`` without overlap. A projection as well. Distances are
+    those of counted terms, or of an injected model's vectors; ``make_model``
+    is as in ``embed``.
     """
+    gaps = with_gaps(df, buffer, doc, text) if make_model is None else with_model_gaps(df, buffer, doc, text, make_model)
     # once: the limit is not to be found again for every sentence
-    marked = once(with_gaps(df, buffer, doc, text), _limit=_percentile(F.col("_gaps"), percentile / 100))
+    marked = once(gaps, _limit=_percentile(F.col("_gaps"), percentile / 100))
     n = F.size("_sentences")
     breaks = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.get("_gaps", i - 1) > F.col("_limit"))
     starts = F.concat(F.array(F.lit(0)), F.when(n >= 3, breaks).otherwise(F.array().cast("array<int>")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -84,6 +85,54 @@ def model_table(runs: DataFrame, model: str = "model_id", seconds: str = "time_s
     )
 
 
+# Size parameter of the sketches of run times, and the rank error it is good
+# for: 0.0035 with a confidence of 99 %, so this holds with room.
+SKETCH_SIZE = 800
+SKETCH_RANK_ERROR = 0.01
+
+
+def time_sketches(runs: DataFrame, run: str, model: str = "model_id", seconds: str = "time_seconds") -> DataFrame:
+    """G3 over runs: one row for each run and model, to be kept beside those of other runs.
+
+    Has exact counts, sum, least and greatest time, and a mergeable quantile
+    sketch of some kilobytes whatever the number of times. Failed runs (``ok``
+    false) are counted, not timed; a group without a time has a null sketch.
+    """
+    ok = F.coalesce(F.col("ok"), F.lit(True)) if "ok" in runs.columns else F.lit(True)
+    timed = F.when(ok, F.col(seconds).cast("double"))
+    return runs.groupBy(run, model).agg(
+        F.count("*").alias("n_runs"),
+        F.count_if(~ok).alias("n_failed"),
+        F.count(timed).alias("n_timed"),
+        F.sum(timed).alias("sum_seconds"),
+        F.min(timed).alias("min_seconds"),
+        F.max(timed).alias("max_seconds"),
+        F.when(F.count(timed) > 0, F.kll_sketch_agg_double(timed, SKETCH_SIZE)).alias("sketch"),
+    )
+
+
+def model_table_of(sketches: DataFrame, *by: str) -> DataFrame:
+    """Run times by model (or the columns ``by``) from ``time_sketches`` of any number of runs.
+
+    Counts, mean and bounds are exact; median and 95th percentile lie within
+    ``SKETCH_RANK_ERROR`` of their rank. Reads the sketches, not the runs.
+    """
+    quantile = lambda share: F.round(F.kll_sketch_get_quantile_double("_all", F.lit(share)), 6)
+    by = by or ("model_id",)
+    merged = sketches.groupBy(*by).agg(
+        F.sum("n_runs").alias("n_runs"),
+        F.sum("n_failed").alias("n_failed"),
+        F.round(F.sum("sum_seconds") / F.nullif(F.sum("n_timed"), F.lit(0)), 6).alias("avg_seconds"),
+        F.min("min_seconds").alias("min_seconds"),
+        F.max("max_seconds").alias("max_seconds"),
+        F.when(F.count("sketch") > 0, F.kll_merge_agg_double("sketch")).alias("_all"),
+    )
+    known = F.col("_all").isNotNull()
+    return merged.withColumns(
+        {"median_seconds": F.when(known, quantile(0.5)), "p95_seconds": F.when(known, quantile(0.95))}
+    ).drop("_all")
+
+
 def last_per_model(runs: DataFrame, model: str, order_col: str, columns: list[str]) -> DataFrame:
     """Of several runs of one model the last stands."""
     return runs.groupBy(model).agg(F.max_by(F.struct(*columns), order_col).alias("_last")).select(model, "_last.*")
@@ -98,6 +147,68 @@ def ab_policy(evals: DataFrame, key: str = "doc_id", score: str = "accuracy") ->
     return sides.withColumn("change", F.col("with_policy") - F.col("without_policy"))
 
 
+# Digits of one digest make this many draws, of this many values each.
+DRAWS, DRAW_VALUES = 8, 1 << 16
+
+
+def _poisson_cuts() -> list[int]:
+    """From which draw on a Poisson number of mean 1 is at least 1, 2, ..."""
+    cuts, share, below = [], math.exp(-1), 0.0
+    while not cuts or cuts[-1] < DRAW_VALUES:
+        below += share
+        share /= len(cuts) + 1
+        cuts.append(round(below * DRAW_VALUES))
+    return cuts[:-1]
+
+
+def mean_interval(df: DataFrame, value: str, key: str, *by: str, replicates: int = 200, share: float = 0.95, seed: int = 0) -> DataFrame:
+    """The mean of a measure with a bootstrap interval, by the keys ``by``.
+
+    In each replicate a row counts as often as a Poisson number of mean 1 that
+    a digest of seed, ``key`` and replicate gives; so all replicates come from
+    one pass, sums are combined before the shuffle, rows of one key always
+    count together, and a lost task draws the same again. ``replicates`` is a
+    multiple of 8. Gives ``n``, ``mean``, ``low``, ``high`` (the middle
+    ``share`` of the replicates' means) and ``share_not_above_zero`` of them.
+    Null values do not count; a group without any is missing.
+    """
+    if replicates < DRAWS or replicates % DRAWS:
+        raise ValueError(f"replicates is a multiple of {DRAWS}")
+    digest = lambda b: F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("_key"), F.lit("")), b.cast("string")).cast("binary"))
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(replicates // DRAWS - 1)), lambda b: F.struct(b.alias("b"), digest(b).alias("md5")))
+    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_value"), F.col(key).cast("string").alias("_key"))
+    hashed = rows.select(*by, "_value", F.explode(blocks).alias("_b"))
+
+    def draw(j: Column) -> Column:
+        digits = F.substr(F.col("_b.md5"), j * 4 + 1, F.lit(4))
+        return F.struct((F.col("_b.b") * DRAWS + j).alias("r"), F.conv(digits, 16, 10).cast("int").alias("u"))
+
+    drawn = hashed.select(*by, "_value", F.explode(F.transform(F.sequence(F.lit(0), F.lit(DRAWS - 1)), draw)).alias("_d"))
+    times = sum(((F.col("_d.u") >= cut).cast("int") for cut in _poisson_cuts()), F.lit(0))
+    means = (
+        drawn.select(*by, "_value", F.col("_d.r").alias("_r"), times.alias("_times"))
+        .groupBy(*by, "_r")
+        .agg(
+            F.count("*").alias("_n"),
+            F.avg("_value").alias("_plain"),
+            (F.sum(F.col("_value") * F.col("_times")) / F.nullif(F.sum("_times"), F.lit(0))).alias("_mean"),
+        )
+    )
+    tail = (1 - share) / 2
+    return means.groupBy(*by).agg(
+        F.max("_n").alias("n"),
+        F.max(F.round("_plain", 6)).alias("mean"),
+        F.round(F.percentile("_mean", tail), 6).alias("low"),
+        F.round(F.percentile("_mean", 1 - tail), 6).alias("high"),
+        F.round(F.avg((F.round("_mean", 9) <= 0).cast("int")), 6).alias("share_not_above_zero"),
+    )
+
+
+def ab_interval(evals: DataFrame, key: str = "doc_id", score: str = "accuracy", **how) -> DataFrame:
+    """The mean change a policy makes, with its interval; keys with one side only do not count."""
+    return mean_interval(ab_policy(evals, key, score), "change", key, **how)
+
+
 def eval_report(evals: DataFrame, measures: list[str], *keys: str) -> DataFrame:
     """Mean of every measure by the keys, with subtotals (keys null)."""
     return evals.rollup(*keys).agg(

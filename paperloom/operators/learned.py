@@ -1,12 +1,22 @@
-"""Filters learned from labelled texts (K1)."""
+"""Filters learned from labelled texts (K1), topics calibrated on ordinary ones (K2)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.policy import LearnedFilter, learned_score
+from paperloom.functions.policy import (
+    LearnedFilter,
+    Policy,
+    TopicModel,
+    learned_score,
+    plain_terms,
+    sentence_sets,
+    sentence_terms,
+    weighted_scores,
+)
 from paperloom.functions.text import terms
+from paperloom.operators.embedding import idf_value
 
 # Terms a filter holds at most: what is collected, and the size of its Column.
 MAX_TERMS = 1_000
@@ -16,6 +26,9 @@ MIN_TEXTS = 3
 SCALE = 1_000
 # A term is kept if it is this much likelier in the category (about 7 times).
 MIN_WEIGHT = 2_000
+# Share of ordinary sentences that may reach a topic, and the least threshold.
+FALSE_ALARMS = 0.001
+MIN_TOPIC_SCORE = 0.5
 # Precision each strength asks of its threshold.
 PRECISION = (("HIGH", 0.8), ("MEDIUM", 0.9), ("LOW", 0.97))
 
@@ -89,3 +102,42 @@ def score_strengths(df: DataFrame, model: LearnedFilter, text: str = "text") ->
     scored = df.withColumn("score", F.coalesce(learned_score(terms(text), model), F.lit(0)))
     marks = [F.when(F.col("score") >= at, F.lit(name)) for name, at in names]
     return scored.withColumn("blocks", F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>"))
+
+
+def fit_topics(ordinary: DataFrame, policy: Policy, text: str = "text", false_alarms: float = FALSE_ALARMS) -> TopicModel:
+    """K2: weights of the examples' terms and a threshold for each topic, from ordinary texts.
+
+    A term weighs its idf over all sentences, a term of no example as one that
+    never occurs. A topic's threshold is the lowest hundredth, from
+    ``MIN_TOPIC_SCORE`` on, that at most a share ``false_alarms`` of the
+    sentences reaches; without sentences it is the least one. Counts are
+    combined before the shuffle; to the driver come one row for each term of
+    the examples and one for each topic and hundredth, whatever the texts.
+    """
+    vocabulary = sorted({t for _, _, examples in policy.topics for e in examples for t in plain_terms(e)})
+    if not vocabulary:
+        return TopicModel((), 0)
+    sets = ordinary.select(F.explode(sentence_sets(sentence_terms(F.col(text)))).alias("s"))
+    known = sets.select(F.explode(F.concat(F.array(F.lit("")), F.filter("s", lambda t: t.isin(*vocabulary)))).alias("term"))
+    df = {r["term"]: r["df"] for r in known.groupBy("term").agg(F.count("*").alias("df")).collect()}
+    n = df.pop("", 0)  # the empty term stands for the sentence itself
+    square = lambda d: F.round(idf_value(n, F.lit(d).cast("double")) ** 2 * SCALE).cast("bigint")
+    values = ordinary.sparkSession.range(1).select(square(0).alias("0"), *[square(df.get(t, 0)).alias(f"t{i}") for i, t in enumerate(vocabulary)]).first()
+    model = TopicModel(tuple((t, max(1, values[f"t{i}"])) for i, t in enumerate(vocabulary)), max(1, values["0"]))
+
+    scores = sets.select(F.posexplode(weighted_scores(F.col("s"), policy.topics, model)).alias("topic", "score"))
+    counts = (
+        scores.filter(F.col("score") >= MIN_TOPIC_SCORE)
+        .groupBy("topic", F.floor(F.col("score") * 100).cast("int").alias("level"))
+        .agg(F.count("*").alias("n"))
+        .collect()
+    )
+    thresholds = []
+    for i, (name, _, _) in enumerate(policy.topics):
+        level, above = 101, 0
+        at = {r["level"]: r["n"] for r in counts if r["topic"] == i}
+        while level - 1 >= round(MIN_TOPIC_SCORE * 100) and above + at.get(level - 1, 0) <= false_alarms * n:
+            level -= 1
+            above += at.get(level, 0)
+        thresholds.append((name, level / 100))
+    return TopicModel(model.squares, model.unknown, tuple(thresholds))

@@ -16,10 +16,10 @@ from paperloom.functions.policy import (
     mask_mentions,
     mask_pii,
     masked_count,
+    near_topic,
     pii_spans,
     sentence_spans,
     sentence_terms,
-    topic_score,
     word_spans,
 )
 from paperloom.functions.text import terms
@@ -119,16 +119,16 @@ def policy_trace(
             blocks = F.array_contains("_blocked", category)
             add("filter", category, F.when(blocks, "BLOCK").otherwise("NONE"), word_spans(body, words))
 
-    def near(examples: tuple[str, ...]) -> Callable[[Column], Column]:
+    def near(name: str) -> Callable[[Column], Column]:
         def judge(s: Column) -> Column:
             own = F.array_distinct(terms(s["hit"]))
-            return F.when(F.size(own) > 0, topic_score(F.array(own), examples) >= policy.topic_threshold).otherwise(F.lit(False))
+            return F.when(F.size(own) > 0, near_topic(own, name, policy)).otherwise(F.lit(False))
 
         return judge
 
-    for name, _, examples in policy.topics:
+    for name, _, _ in policy.topics:
         denied = F.array_contains("_denied", name)
-        add("topic", name, F.lit("BLOCK"), F.when(denied, F.filter(sentence_spans(body), near(examples))))
+        add("topic", name, F.lit("BLOCK"), F.when(denied, F.filter(sentence_spans(body), near(name))))
     for kind, action in policy.pii:
         add("pii", kind, F.lit(action), pii_spans(body, kind, policy))
     if not found:

@@ -325,3 +325,51 @@ def test_learned_filter_without_evidence_blocks_nothing(spark):
     policy = replace(rules.Policy(), learned={"HATE": model})
     assert {r["action"] for r in screening.apply_policy(docs.filter("doc_id = 1"), policy).collect()} == {"none"}
     assert screening.policy_trace(docs, policy).count() == 0
+
+
+def _calibrated(spark, texts=("An ordinary claim about a car.", "What should be done is said here.", None, "")):
+    policy = rules.Policy()
+    ordinary = spark.createDataFrame([(t,) for t in texts], "text string")
+    return replace(policy, topic_model=learned.fit_topics(ordinary, policy))
+
+
+@pytest.mark.parametrize(
+    "text, topics",
+    [
+        ("What legal action should I take?", ["LegalAdvice"]),
+        ("Hm. What medication should I take?", ["MedicalAdvice"]),
+        ("What legal action should I take? Who is the president of France?", ["LegalAdvice", "Politics"]),
+        ("What should I say?", []),
+        ("", []),
+    ],
+)
+def test_calibrated_topics(spark, value, text, topics):
+    assert value(rules.denied_topics(rules.sentence_terms(F.col("t")), _calibrated(spark)), "t string", text) == topics
+
+
+def test_topic_thresholds_follow_ordinary_sentences(spark):
+    policy = rules.Policy()
+    common = ["Is this symptom serious today"] * 9 + ["nothing of the kind"] * 91
+    rows = spark.createDataFrame([(". ".join(common) + ".",)], "text string")
+    model = learned.fit_topics(rows, policy, false_alarms=0.05)
+    cuts = dict(model.thresholds)
+    assert cuts["MedicalAdvice"] > 0.5 == cuts["Politics"]
+    assert dict(learned.fit_topics(rows, policy, false_alarms=0.2).thresholds)["MedicalAdvice"] == 0.5
+    one = rules.sentence_sets(rules.sentence_terms(F.lit(common[0])))[0]
+    score = spark.range(1).select(rules.weighted_scores(one, policy.topics, model)[1]).first()[0]
+    assert cuts["MedicalAdvice"] == math.floor(score * 100 + 1) / 100
+
+
+def test_calibrated_policy_and_trace_agree(spark):
+    policy = _calibrated(spark)
+    text = "Fine. What legal action should I take? Bye."
+    docs = spark.createDataFrame([(1, text), (2, "What should I say?")], "doc_id long, text string")
+    assert [r["reasons"] for r in screening.apply_policy(docs, policy).orderBy("doc_id").collect()] == [["topic:LegalAdvice"], []]
+    rows = screening.policy_trace(docs, policy).collect()
+    assert [(r["type"], text[r["start"] : r["end"]]) for r in rows] == [("LegalAdvice", "What legal action should I take?")]
+
+
+def test_topics_without_ordinary_texts(spark):
+    policy = rules.Policy()
+    model = learned.fit_topics(spark.createDataFrame([], "text string"), policy)
+    assert {n for _, n in model.squares} == {model.unknown} and set(dict(model.thresholds).values()) == {0.5}

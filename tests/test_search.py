@@ -473,3 +473,37 @@ def test_blocks_that_cannot_matter_are_not_read(spark, tmp_path, monkeypatch):
     count = lambda df: df.agg(F.sum(F.size("entries"))).first()[0]
     whole = count(index.blocks.filter(F.col("term").isin("claim", "hailstone", "policy", "driver")))
     assert count(read[0]) < whole / 10
+
+
+def test_model_distances_whatever_the_slices():
+    texts = ["ab", "abb", "b", "", "ba", "a" * 9, "nan"] * 3
+    model = lambda part: [[float("nan")] * 2 if t == "nan" else [float(t.count("a")), float(t.count("b"))] for t in part]
+    whole = chunking.vector_distances(texts, model, 1000)
+    plain = []
+    for u, v in zip(model(texts), model(texts)[1:]):
+        norms = math.hypot(*u) * math.hypot(*v)
+        plain.append(1 - sum(a * b for a, b in zip(u, v)) / norms if norms > 0 else 1.0)
+    assert np.allclose(whole, plain)
+    for size in (1, 2, 5):
+        assert np.allclose(chunking.vector_distances(texts, model, size), whole)
+    assert len(chunking.vector_distances([], model)) == 0
+    with pytest.raises(ValueError, match="for 3 texts"):
+        chunking.vector_distances(texts[:3], lambda part: [[1.0]])
+
+
+def make_topic_model():
+    """Vectors by subject; a task that made two models would be seen in the first number."""
+    return lambda part: [[float("cat" in t), float("tax" in t), 0.1] for t in part]
+
+
+def test_chunks_by_model(spark):
+    text = "A cat sat. The cat ran. One cat ate. A tax rose. The tax fell. My tax is due."
+    rows = [(1, text, "x"), (2, None, "x"), (3, "", "x"), (4, "One. Two.", "x"), (5, text, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gaps_of string")
+    cut = chunking.chunk_semantic(docs, buffer=0, percentile=80, make_model=make_topic_model)
+    got = {}
+    for r in cut.orderBy("doc_id", "segment", "part").collect():
+        got.setdefault(r["doc_id"], []).append(r["text"])
+    halves = ["A cat sat. The cat ran. One cat ate.", "A tax rose. The tax fell. My tax is due."]
+    assert got == {1: halves, 4: ["One. Two."], 5: halves}
+    assert "Exchange" not in cut._jdf.queryExecution().executedPlan().toString()

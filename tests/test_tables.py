@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from paperloom.operators import evaluation, joins, lookups
@@ -76,3 +77,50 @@ def test_no_join_is_a_cross_join(spark):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = evaluation.cross_models(docs, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Exchange" not in plan
+
+
+def test_interval_draws_are_poisson_of_mean_one(spark):
+    cuts = evaluation._poisson_cuts()
+    assert cuts == [24109, 48219, 60273, 64292, 65296, 65497, 65531, 65535]
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 10).cast("double").alias("v"))
+    got = evaluation.mean_interval(rows, "v", "doc_id").first()
+    assert got["n"] == 4000 and got["mean"] == 4.5 and got["share_not_above_zero"] == 0
+    # the standard error of 4,000 values with a variance of 8.25, times 1.96 on both sides
+    assert got["low"] < 4.5 < got["high"] and abs((got["high"] - got["low"]) / (2 * 1.96 * (8.25 / 4000) ** 0.5) - 1) < 0.2
+    assert got == evaluation.mean_interval(rows.repartition(7), "v", "doc_id").first()
+
+
+def test_interval_of_changes(spark):
+    rows = [(i, side, 0.5 + (0.2 if side else 0.0)) for i in range(40) for side in (False, True)] + [(99, True, 5.0)]
+    evals = spark.createDataFrame(rows, "doc_id long, policy boolean, accuracy double")
+    got = evaluation.ab_interval(evals, replicates=16).first()
+    # the key with one side only has no change
+    assert (got["n"], got["mean"], got["low"], got["high"], got["share_not_above_zero"]) == (40, 0.2, 0.2, 0.2, 0.0)
+
+
+def test_interval_of_nulls_and_groups(spark):
+    rows = spark.createDataFrame([("a", 1, 2.0), ("a", None, 2.0), ("b", 3, None), (None, 4, 7.0)], "g string, k int, v double")
+    got = {r["g"]: (r["n"], r["mean"]) for r in evaluation.mean_interval(rows, "v", "k", "g", replicates=8).collect()}
+    assert got == {"a": (2, 2.0), None: (1, 7.0)}
+    with pytest.raises(ValueError):
+        evaluation.mean_interval(rows, "v", "k", replicates=12)
+
+
+def test_sketches_of_runs_add_up(spark):
+    runs = spark.range(30_000).select(
+        (F.col("id") % 3).alias("run"),
+        F.when(F.col("id") % 5 == 0, "slow").otherwise("fast").alias("model_id"),
+        (F.col("id") / 1000).alias("time_seconds"),
+        (F.col("id") % 7 != 0).alias("ok"),
+    )
+    failed = spark.createDataFrame([(3, "dead", 1.0, False), (3, "slow", 29.5, None)], runs.schema)
+    kept = evaluation.time_sketches(runs, "run").unionByName(evaluation.time_sketches(failed, "run"))
+    got = {r["model_id"]: r for r in evaluation.model_table_of(kept).collect()}
+    exact = {r["model_id"]: r for r in evaluation.model_table(runs.unionByName(failed).withColumn("ordinal", F.lit(0))).collect()}
+    for model in ("slow", "fast"):
+        for same in ("n_runs", "n_failed", "avg_seconds", "min_seconds", "max_seconds"):
+            assert got[model][same] == exact[model][same]
+        for near in ("median_seconds", "p95_seconds"):
+            assert abs(got[model][near] - exact[model][near]) <= 30 * 2 * evaluation.SKETCH_RANK_ERROR
+    assert (got["dead"]["n_runs"], got["dead"]["n_failed"], got["dead"]["median_seconds"]) == (1, 1, None)
+    assert {r["model_id"] for r in evaluation.model_table_of(kept, "run", "model_id").filter("run = 3").collect()} == {"dead", "slow"}
