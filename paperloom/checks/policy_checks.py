@@ -305,6 +305,55 @@ def k3_mentions(spark, sf):
     return claims(spark, sf).select("doc_id", F.md5(rules.mask_mentions(text).cast("binary")).alias("text_md5"))
 
 
+# What is asked of planted texts is written out here: neither side of these two checks has the library's patterns.
+@check(
+    "k3_mask_planted",
+    r"""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'Ref ' || doc_id || ': ratio 3-4, see mail.example.org, VIN 1HGCM8263, Plate unknown, 12 green roads.'
+      ELSE 'Ref ' || doc_id || ': write to {EMAIL} or call {PHONE}.' || chr(10) || 'Claimant Name: {NAME}' || chr(10) || 'Lives at {ADDRESS} now' || chr(10)
+        || 'Plate: {LICENSE_PLATE}' || chr(10) || 'VIN {VEHICLE_IDENTIFICATION_NUMBER} seen.' END AS masked FROM documents""",
+)
+def k3_planted(spark, sf):
+    """Known personal data of every masked type, and beside it what only looks like some."""
+    docs = table(spark, sf, "documents").select("doc_id")
+    padded = lambda size: F.lpad((F.col("doc_id") % 10**size).cast("string"), size, "0")
+    plain = F.lit("ratio 3-4, see mail.example.org, VIN 1HGCM8263, Plate unknown, 12 green roads.")
+    phone = F.when(F.col("doc_id") % 2 == 1, F.concat(F.lit("614-555-0"), padded(3))).otherwise(F.concat(F.lit("+1 (614) 555-0"), padded(3)))
+    private = F.concat(
+        F.lit("write to ann.lee"), "doc_id", F.lit("@mail.example.org or call "), phone, F.lit(".\nClaimant Name: Ann Lee "), "doc_id",
+        F.lit("\nLives at "), 1 + F.col("doc_id") % 97, F.lit(" Green Hill Road now\nPlate: KLM-"), padded(3), F.lit("\nVIN 1HGCM82633A"), padded(6), F.lit(" seen."),
+    )
+    text = F.concat(F.lit("Ref "), "doc_id", F.lit(": "), F.when(F.col("doc_id") % 4 == 0, plain).otherwise(private))
+    return docs.select("doc_id", rules.mask_pii(text).alias("masked"))
+
+
+# Text, then what is to become of it: action, reasons, and the text that is handed on (null: the message for blocked input).
+_CASES = (
+    ("The claim was filed on time.", "none", "", "The claim was filed on time."),
+    ("Her number is 123-45-6789.", "blocked", "pii:US_SOCIAL_SECURITY_NUMBER", None),
+    ("Driver License ID: D1234567", "blocked", "pii:DRIVER_ID", None),
+    ("You are an idiot.", "blocked", "filter:HATE", None),
+    ("Is this symptom serious?", "blocked", "topic:MedicalAdvice", None),
+    ("Claimant Name: Ann Lee", "masked", "pii:NAME", "Claimant Name: {NAME}"),
+)
+
+
+def _case_sql(place: int, heading: str = "") -> str:
+    message = "'The input content has been instructed to deny processing.' || chr(10)"
+    whens = " ".join(f"WHEN {i} THEN {message if c[place] is None else heading + _quoted(c[place])}" for i, c in enumerate(_CASES))
+    return f"CASE doc_id % {len(_CASES)} {whens} END"
+
+
+@check(
+    "k6_planted",
+    f"""SELECT doc_id, {_case_sql(1)} AS action, {_case_sql(2)} AS reasons, {_case_sql(3, "'File ' || doc_id || '.' || chr(10) || ")} AS text FROM documents""",
+)
+def k6_planted(spark, sf):
+    """Texts whose outcome is known, whatever the rules are made of."""
+    said = F.element_at(F.array(*[F.lit(c[0]) for c in _CASES]), (F.col("doc_id") % len(_CASES) + 1).cast("int"))
+    docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("File "), "doc_id", F.lit(".\n"), said).alias("text"))
+    return screening.apply_policy(docs).select("doc_id", "action", F.array_join("reasons", ",").alias("reasons"), "text")
+
+
 _BLOCKED = " OR ".join(f"regexp_matches(text, {_quoted(p)})" for p in _BLOCKS.values())
 
 

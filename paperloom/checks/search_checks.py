@@ -539,6 +539,26 @@ def r3(spark, sf):
     return retrieval.rerank(candidates, 3).select("query_id", "rank", "chunk_id", "score")
 
 
+def _contained_sql(question: str, text: str) -> str:
+    q = f"list_distinct({TERMS_SQL.format(question)})"
+    return f"round(CASE WHEN len({q}) > 0 THEN len(list_filter({q}, lambda t: contains(lower({text}), t))) / len({q}) ELSE 0 END, 6)"
+
+
+@check(
+    "r3_rerank_model",
+    f"""WITH {SCORES_SQL}, {_hits_sql('near', 12)}, scored AS (SELECT query_id, chunk_id, {_contained_sql('question', 'text')} AS score
+      FROM near JOIN chunks USING (chunk_id) JOIN asked USING (query_id))
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id))::INT AS rank, chunk_id, score FROM scored QUALIFY rank <= 3""",
+)
+def r3_model(spark, sf):
+    """Candidates scored in batches by a model made once in a task."""
+    index = document_index(spark, sf)
+    asked = questions(spark, sf)
+    hits = stage(retrieval.retrieve(asked, index, 12), "hits")
+    candidates = retrieval.with_texts(hits, index).drop("rank", "score").join(asked, "query_id")
+    return retrieval.rerank(candidates, 3, make_scorer=retrieval.make_term_scorer).select("query_id", "rank", "chunk_id", "score")
+
+
 CONTEXT_SQL = f"""{HITS_SQL}, contexts AS (SELECT query_id, 'Answer clearly using the citations.' || chr(10) || chr(10) ||
   string_agg('[' || rank || '] ' || text, chr(10) ORDER BY rank) AS prompt, count(*) AS n_citations, string_agg(chunk_id, ',' ORDER BY rank) AS cited
   FROM hits JOIN chunks USING (chunk_id) GROUP BY query_id)"""

@@ -342,6 +342,18 @@ def x7(spark, sf):
     return verdict.select("doc_id", F.col("v.score").alias("score"), F.array_join("v.inaccuracies", "|").alias("inaccuracies"))
 
 
+@check(
+    "x7_parse_numbered",
+    """SELECT doc_id, 0.5::DOUBLE AS score, CASE toxic WHEN 1 THEN 'wrong date|item ' || doc_id || ' is off' ELSE '' END AS inaccuracies FROM labels""",
+)
+def x7_numbered(spark, sf):
+    """Answers that number their points, the score and the heading of the list among them."""
+    points = F.when(F.col("toxic") == 1, F.concat(F.lit("\n1) wrong date\n  12. item "), "doc_id", F.lit(" is off"))).otherwise("")
+    answer = F.concat(F.lit("1. Accuracy score: 0.5\n2. Inaccuracies found:"), points)
+    verdict = table(spark, sf, "labels").select("doc_id", parse_accuracy(answer).alias("v"))
+    return verdict.select("doc_id", F.col("v.score").alias("score"), F.array_join("v.inaccuracies", "|").alias("inaccuracies"))
+
+
 @check(
     "x8_parse_quality",
     """SELECT doc_id, (1 + 3 * quality)::DOUBLE AS clarity, CASE WHEN toxic = 0 THEN 2.5::DOUBLE END AS tone,

@@ -73,7 +73,7 @@ PII_ACTIONS = (
 BLOCKED_INPUT = "The input content has been instructed to deny processing.\n"
 BLOCKED_OUTPUT = "Output is omitted due to sensitive information.\n"
 
-# Words that count towards a filter category.
+# Words that count towards a filter category: a choice of our own.
 LEXICON = {
     "HATE": ("trash", "idiot", "clown", "scum", "worthless", "moron", "pathetic", "loser", "disgusting", "stupid"),
     "SEXUAL": ("porn", "pornography", "nude", "nudes", "erotic"),

@@ -19,7 +19,8 @@ METRICS = {
 }
 MAX_METRIC = 5.0
 SCORE_PATTERN = r"(?i)score[^:=\n]*[:=][ \t]*(-?[0-9]*\.?[0-9]+)"
-BULLET_PATTERN = r"(?m)^[ \t]*[-*][ \t]+([^\n]+)"
+# bullets and numbered lines, but not those that name the score or head the list
+BULLET_PATTERN = r"(?mi)^[ \t]*(?:[-*]|[0-9]{1,3}[.)])[ \t]+(?!(?:accuracy )?score\b[^:=\n]*[:=]|(?:any |specific )?inaccuracies\b[^:\n]*:)([^\n]+)"
 
 
 def first_text(body: Column) -> Column:
@@ -33,7 +34,11 @@ def completion_text(body: Column) -> Column:
 
 
 def parse_accuracy(answer: Column) -> Column:
-    """``struct<score, inaccuracies>``; a score outside 0-1 is null."""
+    """``struct<score, inaccuracies>``; a score outside 0-1 is null.
+
+    Inaccuracies are the bulleted and the numbered lines; a numbered score or
+    heading is none.
+    """
     score = F.nullif(F.regexp_extract(answer, SCORE_PATTERN, 1), F.lit("")).try_cast("double")
     return F.struct(
         F.when(score.between(0.0, 1.0), score).alias("score"),

@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from paperloom.operators.retrieval import _matrix, usual_length
 from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _arrow_schema, finite, question_blocks
 from paperloom.shipping import ship_package
-from paperloom.staging import broadcast_if_small, stage, stage_path
+from paperloom.staging import broadcast_if_small, scratch_path, stage
 
 # Vectors that centers and codebooks are fitted on, at most.
 SAMPLE = 50_000
@@ -134,7 +134,7 @@ class CodedIndex:
         asked = queries.select(query_col, "embedding").filter(finite("embedding") & (F.size("embedding") == self.dim))
         schema = T.StructType([asked.schema[query_col], self.table.schema[self.id_col], T.StructField("score", T.DoubleType())])
         probe = n_probe or max(1, round(PROBED * len(self.book.centers)))
-        out = stage_path(spark, "coded")
+        out = scratch_path(spark, "coded")
         spark.createDataFrame([], schema).write.parquet(f"{out}/found=-1")
         for number, block in enumerate(question_blocks(asked, query_col, max_queries, MAX_QUERY_CELLS)):
             self._block(block, k, min(probe, len(self.book.centers)), rescored, query_col, schema).write.parquet(f"{out}/found={number}")

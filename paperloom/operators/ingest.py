@@ -21,10 +21,12 @@ from paperloom.operators.chunking import chunk_fixed
 from paperloom.operators.embedding import DIMENSION, counted_idf, embed, embed_counts, embed_hash, term_counts, validate_vectors
 from paperloom.staging import stage
 
-# Parts of the chunk and posting tables: so many at least, and rows in one.
-MIN_PARTS = 8
+# Parts of the chunk and posting tables: so many at least and at most, and documents in a file of one.
+MIN_PARTS, MAX_PARTS = 8, 1024
 PART_ROWS = 50_000
+# Postings in a file, and those of one term in a file, about.
 POSTING_FILE_ROWS = 1_000_000
+TERM_FILE_ROWS = 10_000_000
 # Chunks whose postings of a term share a block, on average.
 BLOCK_CHUNKS = 512
 # The usual settings of BM25.
@@ -79,6 +81,12 @@ def part_of(key: str | Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
+def parts_for(n_docs: int) -> tuple[int, int]:
+    """Parts of a table, a bounded number of folders, and files in each, which grow with the documents."""
+    parts = min(max(MIN_PARTS, -(-n_docs // PART_ROWS)), MAX_PARTS)
+    return parts, max(1, -(-n_docs // (parts * PART_ROWS)))
+
+
 def ingest(
     docs: DataFrame,
     path: str,
@@ -95,8 +103,8 @@ def ingest(
     ``dim`` finite numbers, or zero, go to ``rejects`` (E3).
     """
     cut = chunker(docs.select("doc_id", "text", *metadata))
-    parts = max(MIN_PARTS, -(-docs.count() // PART_ROWS))
-    _write_chunks(cut, path, parts)
+    parts, files = parts_for(docs.count())
+    _write_chunks(cut, path, parts, files)
     keep = ["chunk_id", "doc_id", *metadata]
     chunks = docs.sparkSession.read.parquet(f"{path}/chunks")
     term_counts(chunks, keep).write.parquet(f"{path}/counts")
@@ -105,10 +113,11 @@ def ingest(
     return _finish(docs.sparkSession, path, metadata, partition_by, dim, parts, make_model)
 
 
-def _write_chunks(cut: DataFrame, path: str, parts: int) -> None:
-    """A part's chunks lie in order of ids, so that ids prune parts and row groups."""
+def _write_chunks(cut: DataFrame, path: str, parts: int, files: int) -> None:
+    """A file's chunks lie in order of ids, so that ids prune parts and row groups."""
     placed = cut.withColumn("part", part_of("chunk_id", parts))
-    placed.repartition(parts, "part").sortWithinPartitions("part", "chunk_id").write.partitionBy("part").parquet(f"{path}/chunks")
+    keys = ["part"] if files == 1 else ["part", F.pmod(F.hash("chunk_id"), F.lit(files))]
+    placed.repartition(parts * files, *keys).sortWithinPartitions("part", "chunk_id").write.partitionBy("part").parquet(f"{path}/chunks")
 
 
 def _write_model_vectors(chunks: DataFrame, path: str, make_model: MakeModel, dim: int, partition_by: str | None, kept: DataFrame | None = None) -> None:
@@ -124,14 +133,15 @@ def _finish(
 ) -> Index:
     """What follows from the counts: weights, vectors, postings, and the index's own figures."""
     counts = spark.read.parquet(f"{path}/counts")
-    n_chunks, mean = counts.agg(F.count("*"), F.coalesce(F.avg("n"), F.lit(0.0))).first()
+    n_chunks, mean, n_postings = counts.agg(F.count("*"), F.coalesce(F.avg("n"), F.lit(0.0)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
     counted_idf(counts, n_chunks).write.parquet(f"{path}/terms")
     if make_model is None:
         idf = spark.read.parquet(f"{path}/terms")
         vectors = embed_counts(counts, ["chunk_id", "doc_id", *metadata], dim, idf, n_chunks)
         vectors.write.partitionBy(*([partition_by] if partition_by else [])).parquet(f"{path}/vectors")
     # the list of a frequent term is as long as the index: it is cut into blocks, and written by several tasks
-    blocks, files = max(1, n_chunks // BLOCK_CHUNKS), max(1, n_chunks // POSTING_FILE_ROWS)
+    blocks = max(1, n_chunks // BLOCK_CHUNKS)
+    files = max(1, n_postings // (parts * POSTING_FILE_ROWS), n_chunks // TERM_FILE_ROWS)
     block = part_of("chunk_id", blocks)
     listed = counts.select("chunk_id", "n", block.alias("block"), F.pmod(block, F.lit(files)).alias("_file"), F.explode(F.arrays_zip("terms", "tfs")).alias("_t"))
     entry = F.struct("chunk_id", F.col("_t.tfs").alias("tf"), "n")
@@ -217,9 +227,9 @@ def refresh_index(
     made = chunker(to_rebuild(new, diff, key).select("doc_id", "text", *index.metadata))
     kept = index.chunks.drop("part").join(stale, key, "left_anti")
     n_docs = diff.filter("status <> 'removed'").count()
-    parts = max(MIN_PARTS, -(-n_docs // PART_ROWS))
+    parts, files = parts_for(n_docs)
     made = stage(made, "made")
-    _write_chunks(kept.select(*made.columns).unionByName(made), path, parts)
+    _write_chunks(kept.select(*made.columns).unionByName(made), path, parts, files)
     keep = ["chunk_id", "doc_id", *index.metadata]
     counts = term_counts(made, keep)
     index.counts.join(stale, key, "left_anti").select(*counts.columns).unionByName(counts).write.parquet(f"{path}/counts")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -13,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from paperloom.functions.policy import Policy, mask_pii
+from paperloom.functions.policy import Policy, mask_pii, plain_terms
 from paperloom.functions.text import terms
 from paperloom.operators.embedding import MAX_BROADCAST_TERMS, join_term_table
 from paperloom.operators.ingest import Index, bm25_weight, part_of, posted
 from paperloom.operators.screening import apply_policy
 from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _scan, finite, question_blocks, top_k
-from paperloom.staging import broadcast_if_small, fits, stage, stage_path
+from paperloom.staging import broadcast_if_small, fits, scratch_path, stage
 
 # Largest hit table sent to the chunk scan; larger ones are shuffled.
 MAX_BROADCAST_HITS = 500_000
@@ -33,6 +34,8 @@ FIRST_POSTINGS = 50
 # Scores are rounded; a block this far below still counts.
 SLACK = 1e-6
 FUSION_OFFSET = 60
+# Pairs of question and text that a model scores at a time.
+SCORED = 256
 CANDIDATES = 10
 
 
@@ -52,30 +55,25 @@ def retrieve(questions: DataFrame, index: Index, k: int = 3, where: Column | Non
     nearest are hits whatever their score.
     """
     vectors = index.vectors if where is None else index.vectors.filter(where)
+    return _nearest(vectors, questions, index, k)
+
+
+def _nearest(vectors: DataFrame, questions: DataFrame, index: Index, k: int, **of: object) -> DataFrame:
     asked = index.embed_questions(questions)
     if index.make_model is not None:
-        return top_k(vectors, asked, k, "cosine")
-    return top_k(vectors, asked, k, "dot", min_score=0.0)
+        return top_k(vectors, asked, k, "cosine", **of)
+    return top_k(vectors, asked, k, "dot", min_score=0.0, **of)
 
 
 def retrieve_parents(questions: DataFrame, index: Index, k: int = 3) -> DataFrame:
     """The k best parents ``(query_id, rank, parent_id, score)`` of an index
     of hierarchical chunks; a parent scores as its best child.
 
-    Children are fetched until every question has k parents or no more hits,
+    One reading of the vectors: a task keeps its k best parents of a question,
     however many children a parent has.
     """
-    fetched = 3 * k
-    parent = F.substring_index("chunk_id", "#", 2).alias("parent_id")
-    while True:
-        hits = stage(retrieve(questions, index, fetched), "children")
-        found = hits.groupBy("query_id").agg(F.count("*").alias("n"), F.count_distinct(parent).alias("parents"))
-        if found.filter((F.col("n") == fetched) & (F.col("parents") < k)).isEmpty():
-            break
-        fetched *= 4
-    best = hits.groupBy("query_id", parent).agg(F.max("score").alias("score"))
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "parent_id")
-    return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+    vectors = index.vectors.withColumn("parent_id", F.substring_index("chunk_id", "#", 2))
+    return _nearest(vectors, questions, index, k, id_col="parent_id", distinct=True)
 
 
 def retrieve_one(index: Index, question: str, k: int = 3) -> DataFrame:
@@ -165,24 +163,60 @@ def overlap(question: Column, text: Column) -> Column:
     return F.when(F.size(asked) > 0, F.size(F.array_intersect(asked, F.array_distinct(terms(text)))) / F.size(asked)).otherwise(0.0)
 
 
-def rerank(candidates: DataFrame, k: int = 3, scorer: Callable[[str, str], float] | None = None) -> DataFrame:
+def rerank(
+    candidates: DataFrame,
+    k: int = 3,
+    scorer: Callable[[str, str], float] | None = None,
+    make_scorer: Callable[[], Callable[[list[str], list[str]], list[float]]] | None = None,
+) -> DataFrame:
     """Candidates ``(query_id, question, chunk_id, text)`` scored again.
 
-    Scores by term overlap, or by an injected ``scorer(question, text)``.
+    Scores by term overlap, by ``scorer(question, text)``, or by a model:
+    ``make_scorer()`` is called once in a task and what it returns gets up to
+    ``SCORED`` questions with their texts at a time. A pair with a null side is
+    not handed over and scores 0.
     """
-    if scorer is None:
-        score = overlap(F.col("question"), F.col("text"))
-    else:
-
-        @F.pandas_udf(T.DoubleType())
-        def apply(question: pd.Series, text: pd.Series) -> pd.Series:
-            return pd.Series([float(scorer(q, t)) for q, t in zip(question, text)])
-
-        score = apply("question", "text")
+    if make_scorer is None and scorer is not None:
+        make_scorer = partial(_by_pair, scorer)
+    score = overlap(F.col("question"), F.col("text")) if make_scorer is None else _modelled(make_scorer)("question", "text")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "chunk_id")
     return candidates.withColumn("score", F.round(score, 6)).withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
 
 
+def _by_pair(scorer: Callable[[str, str], float]) -> Callable[[list[str], list[str]], list[float]]:
+    return lambda questions, texts: [scorer(q, t) for q, t in zip(questions, texts)]
+
+
+def _modelled(make_scorer: Callable[[], Callable[[list[str], list[str]], list[float]]]) -> Callable[..., Column]:
+    def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        model = make_scorer()
+        for question, text in batches:
+            scores = np.zeros(len(text))
+            known = np.flatnonzero((question.notna() & text.notna()).to_numpy())
+            for start in range(0, len(known), SCORED):
+                at = known[start : start + SCORED]
+                made = model(question.iloc[at].tolist(), text.iloc[at].tolist())
+                if len(made) != len(at):
+                    raise ValueError(f"{len(made)} scores for {len(at)} pairs")
+                scores[at] = made
+            yield pd.Series(scores)
+
+    return F.pandas_udf(apply, T.DoubleType())
+
+
+def make_term_scorer() -> Callable[[list[str], list[str]], list[float]]:
+    """A stand-in for a model: the share of a question's distinct terms that the text contains, be it inside a word."""
+
+    def score(questions: list[str], texts: list[str]) -> list[float]:
+        made = []
+        for question, text in zip(questions, texts):
+            asked, low = set(plain_terms(question)), text.lower()
+            made.append(sum(t in low for t in asked) / len(asked) if asked else 0.0)
+        return made
+
+    return score
+
+
 def retrieve_guarded(questions: DataFrame, index: Index, k: int = 3, policy: Policy | None = None) -> DataFrame:
     """K9: blocked questions find nothing; personal data in hits is masked."""
     screened = apply_policy(questions, policy, "input", "question").filter(F.col("action") != "blocked")
@@ -251,7 +285,7 @@ class Cells:
         """
         asked = queries.select(query_col, "embedding").filter(finite("embedding") & (F.size("embedding") == self.dim))
         schema = T.StructType([asked.schema[query_col], self.table.schema[self.id_col], T.StructField("score", T.DoubleType())])
-        spark, out = self.table.sparkSession, stage_path(self.table.sparkSession, "cells")
+        spark, out = self.table.sparkSession, scratch_path(self.table.sparkSession, "cells")
         spark.createDataFrame([], schema).write.parquet(f"{out}/found=-1")
         for number, block in enumerate(question_blocks(asked, query_col, max_queries, max_cells)):
             self._search_block(block, k, n_probe, query_col, schema, f"{out}/found={number}")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from paperloom.staging import stage_path
+from paperloom.staging import scratch_path
 
 # Questions sent to every task: bounded in number and in matrix cells.
 MAX_QUERIES = 2_000
@@ -109,8 +109,8 @@ def _scatter(buckets: pa.Array, weights: pa.Array, columns: np.ndarray) -> np.nd
 class Best:
     """The k best (question, row id, score) seen so far in one task."""
 
-    def __init__(self, queries: QueryMatrix, k: int, min_score: float | None):
-        self.queries, self.k, self.min_score = queries, k, min_score
+    def __init__(self, queries: QueryMatrix, k: int, min_score: float | None, distinct: bool = False):
+        self.queries, self.k, self.min_score, self.distinct = queries, k, min_score, distinct
         self.q = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=object)
         self.s = np.zeros(0)
@@ -121,6 +121,9 @@ class Best:
         for start in range(0, table.num_rows, self.queries.rows_per_block()):
             part = table.slice(start, self.queries.rows_per_block())
             scores = queries.scores(part)
+            ids = np.array(part.column(id_col).to_pylist(), dtype=object)
+            if self.distinct and len(ids):
+                ids, scores = _best_of_equal(ids, scores)
             n = scores.shape[0]
             keep = np.ones_like(scores, dtype=bool)
             if n > self.k:
@@ -128,7 +131,6 @@ class Best:
             if self.min_score is not None:
                 keep &= scores > self.min_score
             rows, qs = np.nonzero(keep)
-            ids = np.array(part.column(id_col).to_pylist(), dtype=object)
             self.q = np.concatenate([self.q, qs if asked is None else asked[qs]])
             self.ids = np.concatenate([self.ids, ids[rows]])
             self.s = np.concatenate([self.s, scores[rows, qs]])
@@ -138,6 +140,9 @@ class Best:
         # numpy sorts object ids by Python order: code points, as Spark does
         _, id_rank = np.unique(self.ids, return_inverse=True)
         order = np.lexsort((id_rank, -self.s, self.q))
+        if self.distinct:  # of an id's rows the first, which is its best
+            _, firsts = np.unique(np.stack([self.q[order], id_rank[order]]), axis=1, return_index=True)
+            order = order[np.sort(firsts)]
         q = self.q[order]
         starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1] if len(q) else np.zeros(0, dtype=np.int64)
         place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
@@ -150,6 +155,14 @@ class Best:
         return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _best_of_equal(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id once, with the largest score of its rows for every question."""
+    names, code = np.unique(ids, return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    starts = np.searchsorted(code[order], np.arange(len(names)))
+    return names, np.maximum.reduceat(scores[order], starts, axis=0)
+
+
 def finite(vector: str) -> Column:
     whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(whole & (F.size(vector) > 0), F.lit(False))
@@ -169,6 +182,7 @@ def top_k(
     min_score: float | None = None,
     max_queries: int = MAX_QUERIES,
     max_cells: int = MAX_QUERY_CELLS,
+    distinct: bool = False,
 ) -> DataFrame:
     """The k best index rows per question: ``(query, rank, id, score)``.
 
@@ -179,7 +193,9 @@ def top_k(
     meets only vectors of its own length; questions of several lengths are
     searched length by length, of more than ``MAX_LENGTHS`` they are refused.
     Questions within the bounds are broadcast and the index is read in place;
-    more questions than that come in blocks, each a further reading.
+    more questions than that come in blocks, each a further reading. With
+    ``distinct`` rows of equal id are one hit that scores as the best of them;
+    a task then hands on its k best ids, however many rows each has.
     """
     if metric not in ("cosine", "dot", "euclidean"):
         raise ValueError(f"unknown metric {metric}")
@@ -199,16 +215,18 @@ def top_k(
     if vector == ["embedding"] and table.num_rows:
         lengths = _lengths(queries, table if table.num_rows <= max_queries else None)
         if len(lengths) > 1:
-            settings = dict(k=k, metric=metric, id_col=id_col, query_col=query_col, min_score=min_score, max_queries=max_queries, max_cells=max_cells)
+            settings = dict(k=k, metric=metric, id_col=id_col, query_col=query_col, min_score=min_score, max_queries=max_queries, max_cells=max_cells, distinct=distinct)
             found = [top_k(index, queries.filter(F.size("embedding") == n), **settings) for n in lengths]
             return reduce(DataFrame.unionByName, found)
         index = index.filter(F.size("embedding") == lengths[0])
     if table.num_rows == 0:
         best = index.sparkSession.createDataFrame([], schema)
     elif table.num_rows <= max_queries and _cells(table) <= max_cells:
-        best = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema)
+        best = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema, distinct=distinct)
     else:
-        best = _in_blocks(index, queries, k, metric, id_col, query_col, min_score, schema, max_queries, max_cells)
+        best = _in_blocks(index, queries, k, metric, id_col, query_col, min_score, schema, max_queries, max_cells, distinct)
+    if distinct:
+        best = best.groupBy(query_col, id_col).agg((F.min if metric == "euclidean" else F.max)("score").alias("score"))
     order = F.col("score").asc() if metric == "euclidean" else F.col("score").desc()
     ranked = Window.partitionBy(query_col).orderBy(order, F.col(id_col))
     return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(query_col, "rank", id_col, "score")
@@ -244,6 +262,7 @@ def _scan(
     min_score: float | None,
     schema: T.StructType,
     visits: dict[int, np.ndarray] | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Each task's k best rows per question. With ``visits`` a row is scored for
     the questions that visit its ``cell`` only."""
@@ -252,7 +271,7 @@ def _scan(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, lists = shared.value
-        best = Best(queries, k, min_score)
+        best = Best(queries, k, min_score, distinct)
         for batch in batches:
             if lists is None:
                 best.add(batch, id_col)
@@ -280,7 +299,7 @@ def question_blocks(queries: DataFrame, query_col: str, max_queries: int, max_ce
     """Any number of questions in blocks of bounded rows and cells, one at a time on the driver."""
     # Half the bound: dealing by hash leaves blocks of slightly unequal size.
     n = max(1, ceil(queries.count() / max(1, max_queries // 2)))
-    path = stage_path(queries.sparkSession, "questions")
+    path = scratch_path(queries.sparkSession, "questions")
     dealt = queries.withColumn("_block", F.pmod(F.xxhash64(query_col), F.lit(n)).cast("int"))
     dealt.repartition(n, "_block").write.partitionBy("_block").parquet(path)
     written = queries.sparkSession.read.schema(dealt.schema).parquet(path)
@@ -299,14 +318,15 @@ def _in_blocks(
     schema: T.StructType,
     max_queries: int,
     max_cells: int,
+    distinct: bool,
 ) -> DataFrame:
     """Exact search for any number of questions.
 
     Block after block is broadcast and the index read in place, so its vectors
     are never shuffled or copied; what is written is each block's best rows.
     """
-    out = stage_path(index.sparkSession, "blocks")
+    out = scratch_path(index.sparkSession, "blocks")
     for number, table in enumerate(question_blocks(queries, query_col, max_queries, max_cells)):
-        found = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema)
+        found = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema, distinct=distinct)
         found.write.parquet(f"{out}/block={number}")
     return index.sparkSession.read.schema(schema).parquet(out).select(*schema.fieldNames())

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from paperloom.operators.chunking import chunk_fixed
 from paperloom.operators.embedding import DIMENSION, embed, embed_counts, idf_value, term_counts, validate_vectors
-from paperloom.operators.ingest import MIN_PARTS, PART_ROWS, Chunker, Index, MakeModel, part_of, text_hash
+from paperloom.operators.ingest import Chunker, Index, MakeModel, part_of, parts_for, text_hash
 from paperloom.shipping import ship_package
 from paperloom.staging import broadcast_if_small, stage
 
@@ -141,7 +141,7 @@ def load_segments(spark: SparkSession, folder: str, make_model: MakeModel | None
         raise ValueError("an index of model vectors is loaded with its model, and no other is")
     ship_package(spark)
     n, keep = manifest.n_chunks, ["chunk_id", "doc_id", *manifest.metadata]
-    parts = max(MIN_PARTS, -(-n // PART_ROWS))
+    parts, _ = parts_for(n)
     chunks = _live(spark, manifest, "chunks").drop("seq").withColumn("part", part_of("chunk_id", parts))
     counts = _live(spark, manifest, "counts").drop("seq")
     summed = _table(spark, manifest, "frequencies").groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")

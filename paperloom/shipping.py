@@ -7,6 +7,7 @@ gets it here, once.
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 from pathlib import Path
@@ -21,8 +22,8 @@ def ship_package(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent
-    archive = shutil.make_archive(
-        str(Path(tempfile.mkdtemp(prefix="paperloom-")) / package.name), "zip", root_dir=package.parent, base_dir=package.name
-    )
+    folder = tempfile.mkdtemp(prefix="paperloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = shutil.make_archive(str(Path(folder) / package.name), "zip", root_dir=package.parent, base_dir=package.name)
     context.addPyFile(archive)
     _shipped.add(context.applicationId)

@@ -49,8 +49,9 @@ _staged: list[str] = []
 def remove_stages(spark: SparkSession) -> int:
     """Delete the stage tables this process has written; what reads them is no longer of use.
 
-    Runs when the process ends, as far as its session still lives then. Paths
-    asked for by ``stage_path`` belong to the caller and stay.
+    Runs when the process ends, as far as its session still lives then, and
+    takes the folders of ``scratch_path`` with it. Paths asked for by
+    ``stage_path`` belong to the caller and stay.
     """
     removed = 0
     while _staged:
@@ -66,13 +67,19 @@ def _remove_at_exit() -> None:
             remove_stages(session)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
-    path = stage_path(df.sparkSession, name)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path for working tables, removed as stage tables are."""
+    path = stage_path(spark, name)
     if not _staged:
         atexit.unregister(_remove_at_exit)
         atexit.register(_remove_at_exit)  # after the session's own, so that it runs before
     _staged.append(path)
+    return path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once and return the written table."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

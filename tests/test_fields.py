@@ -117,6 +117,8 @@ def test_first_text(value, body, text):
         ("Score: 0.85\n- date is off\n* name", 0.85, ["date is off", "name"]),
         ("The accuracy score (0-1) is: 1", 1.0, []),
         ("score = 1.5", None, []),
+        ("1. Score: 0.7\n2. Inaccuracies:\n1. date is off\n 12) name", 0.7, ["date is off", "name"]),
+        ("Score: 1\n2024.5 is no point\n3.scores are no list\n- the score was misquoted: 5", 1.0, ["the score was misquoted: 5"]),
         ("no verdict", None, []),
     ],
 )

@@ -6,7 +6,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.operators import chunking, embedding, retrieval
+from paperloom.operators import chunking, embedding, retrieval, search
+from paperloom.operators import ingest as ingesting
 from paperloom.operators.answers import answer, answer_extractive, build_context, n_citations
 from paperloom.operators.ingest import diff_ingest, ingest, ingest_report, load_index, refresh_chunks, refresh_index
 from paperloom.operators.invoke import make_stub
@@ -507,3 +508,69 @@ def test_chunks_by_model(spark):
     halves = ["A cat sat. The cat ran. One cat ate.", "A tax rose. The tax fell. My tax is due."]
     assert got == {1: halves, 4: ["One. Two."], 5: halves}
     assert "Exchange" not in cut._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
+def test_rows_of_one_id_are_one_hit(spark, metric, monkeypatch):
+    """Ids with up to 50 rows each, against the best of all scores; blocks of questions and of rows as well."""
+    rng = np.random.default_rng(11)
+    rows = [(f"p{i}", rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(12) for _ in range(50 if i < 3 else 2)]
+    asked = [(q, rng.integers(-3, 4, 4).astype(float).tolist()) for q in range(7)]
+    index = spark.createDataFrame(rows, "chunk_id string, embedding array<double>").repartition(5)
+    queries = spark.createDataFrame(asked, "query_id long, embedding array<double>")
+    every = search.top_k(index, queries, 10_000, metric).collect()
+    best = {}
+    sign = -1 if metric == "euclidean" else 1
+    for r in every:
+        key = r["query_id"], r["chunk_id"]
+        best[key] = max(best.get(key, -np.inf), sign * r["score"])
+    want = [(q, i + 1, p, sign * s + 0.0) for q in range(7) for i, (s, p) in enumerate(sorted(((s, p) for (q2, p), s in best.items() if q2 == q), key=lambda x: (-x[0], x[1]))[:4])]
+    for bounds in ({}, {"max_queries": 3}):
+        got = search.top_k(index, queries, 4, metric, distinct=True, **bounds).orderBy("query_id", "rank").collect()
+        assert [tuple(r) for r in got] == want
+    matrix = search.QueryMatrix(list(range(7)), np.array([v for _, v in asked]), None, metric)
+    monkeypatch.setattr(search, "BLOCK_CELLS", 21)  # three rows a block
+    task = search.Best(matrix, 4, None, distinct=True)
+    task.add(pa.table({"chunk_id": [p for p, _ in rows], "embedding": [v for _, v in rows]}), "chunk_id")
+    assert sorted(zip(task.q.tolist(), task.ids.tolist(), (sign * task.s + 0.0).tolist())) == sorted((q, p, s) for q, _, p, s in want)
+
+
+def test_a_model_scores_in_batches(spark):
+    """One model for all batches of a task; pairs with a null side are not handed over."""
+    made = spark.range(1000).select(
+        (F.col("id") % 4).alias("query_id"), F.when(F.col("id") != 8, "hail").alias("question"), F.col("id").cast("string").alias("chunk_id"),
+        F.when(F.col("id") != 9, F.repeat(F.lit("x"), F.col("id").cast("int"))).alias("text"),
+    )
+
+    def make_scorer():
+        sizes = []
+
+        def score(questions, texts):
+            assert 0 < len(questions) == len(texts) <= 256 and None not in questions and None not in texts
+            sizes.append(len(texts))
+            return [float(len(t)) for t in texts]
+
+        return score
+
+    got = retrieval.rerank(made.coalesce(1), 300, make_scorer=make_scorer).collect()
+    assert {r["chunk_id"]: r["score"] for r in got} == {str(i): 0.0 if i in (8, 9) else float(i) for i in range(1000)}
+    with pytest.raises(Exception, match="1 scores for"):
+        retrieval.rerank(made, 3, make_scorer=lambda: lambda q, t: [0.0]).collect()
+
+
+def test_parts_are_bounded_and_files_grow(spark, tmp_path, monkeypatch):
+    """However many documents, so many folders; the same hits from parts of several files."""
+    assert ingesting.parts_for(0) == (8, 1) and ingesting.parts_for(10**6) == (20, 1)
+    assert ingesting.parts_for(2 * 10**10) == (1024, 391)
+    docs = spark.createDataFrame([(i, f"word{i} common hail{i % 7}") for i in range(60)], "doc_id long, text string")
+    whole = ingest(docs, str(tmp_path / "whole"))
+    for name, value in {"MIN_PARTS": 2, "MAX_PARTS": 3, "PART_ROWS": 5, "POSTING_FILE_ROWS": 10, "TERM_FILE_ROWS": 20, "BLOCK_CHUNKS": 4}.items():
+        monkeypatch.setattr(ingesting, name, value)
+    split = ingest(docs, str(tmp_path / "split"))
+    for name in ("chunks", "blocks"):
+        folders = list((tmp_path / "split" / name).glob("part=*"))
+        assert len(folders) == 3 and sum(len(list(f.glob("*.parquet"))) for f in folders) > 3
+    asked = _ask(spark, "hail3 common", "word12 hail5")
+    for find in (retrieval.retrieve, retrieval.retrieve_lexical):
+        hits = [sorted(map(tuple, retrieval.with_texts(find(asked, i, 5), i).collect())) for i in (whole, split)]
+        assert hits[0] == hits[1] and len(hits[0]) == 10

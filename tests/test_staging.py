@@ -15,6 +15,9 @@ def test_stage_tables_are_removed(spark, monkeypatch):
     own = staging.stage_path(spark, "mine")
     spark.range(1).write.parquet(own)
     assert staging.remove_stages(spark) == 1 and not path.exists() and Path(own).exists()
+    scratch = staging.scratch_path(spark, "work")
+    spark.range(1).write.parquet(f"{scratch}/block=0")
+    assert staging.remove_stages(spark) == 1 and not Path(scratch).exists()
 
 
 def test_bounds_are_in_rows_and_bytes(spark):
