@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import language, merkle, mixing, neighbours, periods, pieces, secrets, sharding, simhash, token_files, urls, vector_copies, warc
 from paperloom.shipping import ship_package
-from paperloom.staging import stage_path
+from paperloom.staging import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +56,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_token_files")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = tokenizer_file("byte_bpe_50k.json")
-    parts = token_files.write_tokens(table(spark, sf_dir, "documents"), stage_path(spark, "tokens"), tokenizer)
+    parts = token_files.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), tokenizer)
     return token_files.digest_tokens(parts, "<u2")
 
 
@@ -378,7 +378,7 @@ FROM digests
 
 def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Pages written, found again by their urls and read back."""
-    archive = warc.write_archive(pages, stage_path(spark, "archive"))
+    archive = warc.write_archive(pages, scratch_path(spark, "archive"))
     captures = warc.find_captures(archive, pages)
     records = warc.resolve_revisits(warc.read_records(archive, captures, payload=False))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

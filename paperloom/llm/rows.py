@@ -44,15 +44,17 @@ def append_columns(
     ``make`` runs once in each task and returns a function from the values of a
     batch to one list or array per new column. ``keep`` names the columns of
     ``df`` that stay (all by default); a new column replaces one of its name.
+    The values themselves go to Python once, also where ``column`` is kept.
     What a task holds is bounded by ``SLICE_ROWS`` and ``SLICE_BYTES``, or by
     one row where that is larger.
     """
     ship_package(df.sparkSession)
     kept = without(df.columns if keep is None else keep, schema.fieldNames())
-    source = df.select(packed(df, kept), F.col(quoted(column)).alias("_value"))
-    whole = T.StructType([T.StructField("_row", source.schema["_row"].dataType), *schema.fields])
+    source = df.select(packed(df, [c for c in kept if c != column]), F.col(quoted(column)).alias("_value"))
+    carried = list(source.schema.fields) if column in kept else [source.schema["_row"]]
+    whole = T.StructType([*carried, *schema.fields])
     types = [_arrow(f.dataType) for f in schema.fields]
-    names = ["_row", *schema.fieldNames()]
+    names = whole.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -60,10 +62,11 @@ def append_columns(
             for part in _slices(batch):
                 made = work(part.column(1))
                 arrays = [a if isinstance(a, pa.Array) else pa.array(a, t) for a, t in zip(made, types, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(carried)], *arrays], names=names)
 
     out = source.mapInArrow(run, whole)
-    return out.select(*unpacked(kept), *[F.col(quoted(c)) for c in schema.fieldNames()])
+    back = [F.col("_value").alias(c) if c == column else unpacked([c])[0] for c in kept]
+    return out.select(*back, *[F.col(quoted(c)) for c in schema.fieldNames()])
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

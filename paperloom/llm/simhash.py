@@ -8,6 +8,10 @@ gives a key of 24 equal bits. Every fingerprint has 64 such keys (16 starts, 4
 dropped segments); rows that share one are candidates, the longer chains prune
 them, and the count of all differing bits decides.
 
+Where too many rows share such a key, their chain is followed further: its
+first eleven segments hold at most two differences, so dropping two of them, at
+most one of the first seven, gives keys of 36 equal bits, 352 of a fingerprint.
+
 Only distinct fingerprints are compared, and compared pairs are joined into
 trees inside the task, so a group of copies never becomes all its pairs.
 """
@@ -15,6 +19,8 @@ trees inside the task, so a group of copies never becomes all its pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +39,8 @@ SHINGLE = 4
 SEED = 42
 DISTANCE = 4
 SEGMENTS, SEGMENT_BITS = 16, 4
-# Rows of one key that are compared with each other; a larger bucket is met by
-# common neighbours instead, at the same result.
+# Rows of one key that are compared with each other; the rows of a larger bucket are met
+# by longer keys, and those of a large bucket of these by common neighbours, at the same result.
 BUCKET = 1024
 # Pairs held before they are joined into trees.
 HELD_PAIRS = 1 << 19
@@ -84,6 +90,29 @@ def chain_keys(value: Column) -> Column:
     return F.array(*keys)
 
 
+# What a long key leaves out of the eleven segments of its chain.
+LONG = 11
+_LEFT_OUT = [(x, y) for x, y in product(range(3, 7), range(7, LONG))] + list(combinations(range(7, LONG), 2))
+
+
+def long_chain_keys(value: Column) -> Column:
+    """The 352 long keys of a fingerprint, an array: start, two dropped segments, the 36 bits that stay."""
+    bits = SEGMENT_BITS * LONG
+    ways = []
+    for start in range(SEGMENTS):
+        for number, dropped in enumerate(_LEFT_OUT):
+            mask = (1 << bits) - 1 - sum(15 << (SEGMENT_BITS * (LONG - 1 - d)) for d in dropped)
+            ways.append((SEGMENT_BITS * start, mask, (start * len(_LEFT_OUT) + number) << bits))
+    literal = F.from_json(F.lit(str([list(w) for w in ways])), "array<array<bigint>>")
+
+    def key(way: Column) -> Column:
+        turn = way[0].cast("int")
+        turned = F.call_function("shiftleft", value, turn).bitwiseOR(F.call_function("shiftrightunsigned", value, (64 - turn) % 64))
+        return F.shiftrightunsigned(turned, 64 - bits).bitwiseAND(way[1]).bitwiseOR(way[2])
+
+    return F.transform(literal, key)
+
+
 def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
@@ -104,11 +133,13 @@ def close(a: np.ndarray, b: np.ndarray, start: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], bucket: int, bits: int, ways: int) -> Iterator[pa.RecordBatch]:
     """Trees of links among rows sorted by key, and the rows of large buckets.
 
-    A row is compared with the ``BUCKET - 1`` rows before it that share its
-    key. ``b`` is null for rows whose bucket holds more than that.
+    A row is compared with the ``bucket - 1`` rows before it that share its
+    key. ``b`` is null for rows whose bucket holds more than that. Of a key,
+    ``bits`` are the fingerprint's; above them stand its start and which of
+    ``ways`` to leave segments out it is.
     """
     keys, prints, index = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for batch in batches:
@@ -123,12 +154,12 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = offset + np.arange(n) - np.repeat(new, sizes)
         found_a, found_b, held = [], [], 0
         rows = np.arange(max(old, 1), n)
-        for back in range(1, BUCKET):
+        for back in range(1, bucket):
             rows = rows[(rows >= back) & (index[rows] >= back)]
             if len(rows) == 0:
                 break
             a, b = prints[rows], prints[rows - back]
-            hit = close(a, b, keys[rows] >> 30)
+            hit = close(a, b, (keys[rows] >> bits) // ways)
             found_a.append(a[hit].view(np.int64))
             found_b.append(b[hit].view(np.int64))
             held += int(hit.sum())
@@ -139,12 +170,12 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = spanning(np.concatenate(found_a), np.concatenate(found_b))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
         late = np.arange(old, n)
-        late = late[index[late] >= BUCKET]
+        late = late[index[late] >= bucket]
         if len(late):
-            early = late[index[late] < 2 * BUCKET] - BUCKET
+            early = late[index[late] < 2 * bucket] - bucket
             crowded = np.unique(np.concatenate([prints[late], prints[early]])).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(crowded), pa.nulls(len(crowded), pa.int64())], names=["a", "b"])
-        keep = max(0, n - BUCKET)
+        keep = max(0, n - bucket)
         keys, prints, index = keys[keep:], prints[keep:], index[keep:]
 
 
@@ -159,22 +190,31 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(near), pa.array(np.full(len(near), value, np.uint64).view(np.int64))], names=["near", "a"])
 
 
+def _met(distinct: DataFrame, keys: Column, bits: int, ways: int) -> tuple[DataFrame, DataFrame]:
+    """Links of the values that share a key with few others, and the values that share one with many."""
+    keyed = distinct.select(F.explode(keys).alias("key"), F.col(distinct.columns[0]).alias("f"))
+    compared = partial(_links, bucket=BUCKET, bits=bits, ways=ways)
+    met = stage(keyed.repartition("key").sortWithinPartitions("key", "f").mapInArrow(compared, "a bigint, b bigint").distinct(), "links")
+    return met.filter("b IS NOT NULL"), met.filter("b IS NULL").select("a").distinct()
+
+
 def link_fingerprints(distinct: DataFrame) -> DataFrame:
     """Links ``(a, b)`` that connect just the fingerprints within 4 bits.
 
     ``distinct`` has one ``bigint`` column of distinct values. Buckets of up to
-    ``BUCKET`` rows are compared as they stream by. For larger ones, fingerprints
-    are joined over their common neighbours: two values lie within 4 bits just if
-    some value lies within 2 bits of both. That makes 2,081 rows of a value but
-    no pairs, so it stays linear in the largest bucket.
+    ``BUCKET`` rows are compared as they stream by. Both values of a pair in a
+    larger one are crowded, so the crowded values alone are compared again by
+    long keys, of which 4,096 times as many differ. What is crowded there too
+    is joined over common neighbours: two values lie within 4 bits just if some
+    value lies within 2 bits of both. That makes 2,081 rows of a value but no
+    pairs, so it stays linear in the largest bucket.
     """
     ship_package(distinct.sparkSession)
-    name = distinct.columns[0]
-    keyed = distinct.select(F.explode(chain_keys(F.col(name))).alias("key"), F.col(name).alias("f"))
-    met = keyed.repartition("key").sortWithinPartitions("key", "f").mapInArrow(_links, "a bigint, b bigint").distinct()
-    met = stage(met, "links")
-    crowded = met.filter("b IS NULL").select("a").distinct()
-    links = met.filter("b IS NOT NULL")
+    links, crowded = _met(distinct, chain_keys(F.col(distinct.columns[0])), 28, 4)
+    if crowded.isEmpty():
+        return links
+    more, crowded = _met(crowded, long_chain_keys(F.col("a")), SEGMENT_BITS * LONG, len(_LEFT_OUT))
+    links = links.unionByName(more)
     if crowded.isEmpty():
         return links
     near = crowded.mapInArrow(_neighbours, "near bigint, a bigint")

@@ -65,6 +65,42 @@ def test_links_connect_as_all_pairs_do(spark, monkeypatch, bucket):
     assert len(found) < 64 * len(values) or bucket == 4
 
 
+def test_long_keys_meet_a_crowd_of_one_short_key(spark, monkeypatch):
+    """Values that share 24 bits and no more are told apart by long keys; no neighbours are made."""
+    rnd = random.Random(8)
+    values = {(0xABCDEF << 40) | rnd.getrandbits(40) for _ in range(300)}
+    for at in list(values)[:40]:
+        for _ in range(3):
+            for bit in rnd.sample(range(64), rnd.randint(1, 4)):
+                at ^= 1 << bit
+            values.add(at)
+    values = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    want = roots(len(values), [(i, j) for i in range(len(values)) for j in range(i) if ((values[i] ^ values[j]) & (2**64 - 1)).bit_count() <= 4])
+    monkeypatch.setattr(simhash, "BUCKET", 24)
+    asked = []
+    monkeypatch.setattr(simhash, "long_chain_keys", lambda value, keys=simhash.long_chain_keys: asked.append(1) or keys(value))
+    monkeypatch.setattr(simhash, "_neighbours", lambda batches: 1 / 0)
+    df = spark.createDataFrame([(v,) for v in values], "f bigint")
+    at = {v: i for i, v in enumerate(values)}
+    assert roots(len(values), [(at[r["a"]], at[r["b"]]) for r in link_fingerprints(df).collect()]) == want and asked
+
+
+def test_long_keys_are_as_defined(spark):
+    """Against the bits of the turned value, segment by segment; close values share one from a strong start."""
+    rnd = random.Random(3)
+    values = [0, -1, 1, -(1 << 63), *(rnd.getrandbits(64) - (1 << 63) for _ in range(6))]
+    rows = spark.createDataFrame([(v,) for v in values], "f bigint").select("f", simhash.long_chain_keys(F.col("f")).alias("k")).collect()
+    for r in rows:
+        digits = format(r["f"] & (2**64 - 1), "016x")
+        want = []
+        for start in range(16):
+            chain = (digits[start:] + digits[:start])[:11]
+            for dropped in simhash._LEFT_OUT:
+                want.append("".join("0" if i in dropped else c for i, c in enumerate(chain)))
+        assert [format(k & ((1 << 44) - 1), "011x") for k in r["k"]] == want
+        assert [k >> 44 for k in r["k"]] == list(range(352))
+
+
 def test_components_agree_with_brute_force(spark):
     rnd = random.Random(1)
     n = 300
