@@ -25,9 +25,10 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     empty table gives an empty one.
     """
     profiles = language.learn_profiles(docs.filter(~language.held_out()))
-    told = language.identify_language(docs.select(packed(docs), "text"), profiles, keep=["_row"])
-    lang = F.coalesce("_row.lang", "lang_pred").alias("lang")
-    return told.filter(F.col("lang_pred") != language.UNKNOWN).select(*[lang if c == "lang" else F.col(f"_row.{quoted(c)}") for c in docs.columns])
+    others = [c for c in docs.columns if c != "text"]
+    told = language.identify_language(docs.select(packed(docs, others), "text"), profiles, keep=["_row", "text"])
+    back = {c: F.col(f"_row.{quoted(c)}") for c in others} | {"text": F.col("text"), "lang": F.coalesce("_row.lang", "lang_pred").alias("lang")}
+    return told.filter(F.col("lang_pred") != language.UNKNOWN).select(*[back[c] for c in docs.columns])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
