@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.operators.joins import join_unique
-from paperloom.staging import stage
+from paperloom.staging import scratch_path, stage
 
 Client = Callable[[str, dict, tuple[str, str] | None], dict]
 
@@ -43,6 +43,8 @@ class ServiceError(Exception):
 IN_FLIGHT = 8
 # Calls made between two commits, about.
 SLICE_CALLS = 100_000
+# A task that ends moves what it wrote to the folder at once, and a job that breaks off leaves that there.
+COMMIT_BY_TASK = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
 
 
 @dataclass(frozen=True)
@@ -198,9 +200,11 @@ def call_once(
     Outcomes are kept in ``folder`` by a digest of all that is sent, so a
     changed text, prompt, setting or model is another call. With ``key`` rows
     that differ in that column have calls of their own. Outcomes are committed
-    in slices of about ``slice_calls`` calls: what a broken run has committed is
-    not called again, and a lost executor repeats its tasks of one slice. A
-    request without payload is not sent. Errors are kept, and tried again by the
+    in slices of about ``slice_calls`` calls: a task calls for a slice and commits
+    it by itself, so one job serves any number of slices, what a broken run has
+    committed is not called again, and a lost executor repeats the slices it was
+    at. With ``parallel`` a job has no more tasks than that, and there are as many
+    jobs as the slices need. A request without payload is not sent. Errors are kept, and tried again by the
     next run.
     """
     spark, path = requests.sparkSession, folder.rstrip("/")
@@ -213,11 +217,19 @@ def call_once(
         finished = spark.read.schema(schema).parquet(path).filter("ok").select("_call")
         asked = asked.join(finished, "_call", "left_anti")
     todo = stage(asked, "calls")
-    slices = max(1, -(-todo.count() // slice_calls))
-    for number in range(slices):
-        part = todo.filter(F.pmod(F.xxhash64("_call"), F.lit(slices)) == number) if slices > 1 else todo
-        made = invoke(part, make_client, "column", parallel=parallel, in_flight=in_flight, retry=retry)
-        made.select("_call", *outcome).write.mode("append").parquet(path)
+    n, tasks = todo.count(), parallel or spark.sparkContext.defaultParallelism
+    slices = max(1, -(-n // slice_calls))
+    # where tasks are limited, a job has so many slices and no more
+    jobs = -(-slices // tasks) if parallel else 1
+    if jobs > 1:
+        dealt = todo.withColumn("_job", F.pmod(F.xxhash64("_call"), F.lit(jobs)).cast("int"))
+        parts = scratch_path(spark, "call-slices")
+        dealt.repartition(jobs, "_job").write.partitionBy("_job").parquet(parts)
+        todo = spark.read.schema(dealt.schema).parquet(parts)
+    for job in range(jobs):
+        part = todo.filter(F.col("_job") == job).drop("_job") if jobs > 1 else todo
+        made = invoke(part, make_client, "column", parallel=tasks if parallel else max(tasks, slices), in_flight=in_flight, retry=retry)
+        made.select("_call", *outcome).write.mode("append").option(*COMMIT_BY_TASK).parquet(path)
     # of several tries the one that succeeded stands
     known = spark.read.schema(schema).parquet(path).groupBy("_call").agg(F.max_by(F.struct(*outcome), F.col("ok")).alias("_o"))
     joined = join_unique(keyed, known, ["_call"])

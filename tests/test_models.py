@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,3 +272,38 @@ def test_documents_of_equal_text_may_share_their_calls(spark, tmp_path):
     docs = spark.createDataFrame([(i, f"text {i % 2}") for i in range(8)], "doc_id long, text string")
     done = process_documents(docs, _counting(log), share=True, in_flight=2)
     assert len({r["summary_text"] for r in done.collect()}) == 2 and len(list(log.iterdir())) == 4
+
+
+def test_slices_do_not_cost_a_job_each(spark, tmp_path):
+    """Two hundred slices are committed by a bounded number of jobs, and a broken job keeps those that ended."""
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), payload_messages(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("payload"))
+    spark.sparkContext.setJobGroup("slices", "slices")
+    try:
+        got = call_once(rows, make_stub, str(tmp_path / "kept"), slice_calls=2)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("slices"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert jobs < 40 and got.filter("ok").count() == 400
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    assert kept.count() == 400 and kept.select(F.input_file_name()).distinct().count() >= 150
+
+    broken, seen = tmp_path / "broken", tmp_path / "seen"
+    broken.touch()
+    seen.mkdir()
+
+    def make():
+        stub = make_stub()
+
+        def client(model_id, payload, policy):
+            if broken.exists() and len(list(seen.iterdir())) >= 100:
+                raise RuntimeError("lost")
+            (seen / str(time.perf_counter_ns())).touch()
+            return stub(model_id, payload, policy)
+
+        return client
+
+    with pytest.raises(Exception, match="lost"):
+        call_once(rows, make, str(tmp_path / "half"), slice_calls=2)
+    assert spark.read.schema("_call string").parquet(str(tmp_path / "half")).count() > 0
+    broken.unlink()
+    assert call_once(rows, make, str(tmp_path / "half"), slice_calls=2).filter("ok").count() == 400
