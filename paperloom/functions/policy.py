@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.text import SENTENCE_PATTERN, WHITESPACE, sentences, strip, terms
+from paperloom.functions.text import SENTENCE_PATTERN, WHITESPACE, terms
 
 # Filter categories with input and output strength.
 FILTERS = (
@@ -133,6 +133,14 @@ LABELLED = (
 MENTION_START, MENTION_END = r"(?<![\p{L}\p{N}_@{])", r"(?![\p{L}\p{N}_@}])"
 # Shorter values are masked where they are labelled only.
 MIN_MENTION = 3
+# The same matches as those of MASKS, told from fewer starts: a run is tried from its
+# beginning, or from where the match before it ended, and other kinds of data by their first character.
+SPAN_STARTS = {
+    "EMAIL": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "PHONE": r"(?=[0-9+(])(\+?[0-9] )?(\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}",
+}
+# Stands between the parts of a text that is cut at matches.
+SPAN_MARK = "\x01"
 # Whole numbers and letters, neighbours included: what MASKS needs two passes for.
 SPAN_PATTERNS = {"VEHICLE_IDENTIFICATION_NUMBER": r"(?<![A-Za-z0-9])[A-HJ-NPR-Z0-9]{17}(?![A-Za-z0-9])"}
 
@@ -254,7 +262,9 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def sentence_terms(text: Column) -> Column:
     """The terms of a text, sentence by sentence."""
-    return F.filter(F.transform(sentences(text), terms), lambda s: F.size(s) > 0)
+    # what is stripped from a sentence holds no term
+    found = F.regexp_extract_all(text, F.lit(SENTENCE_PATTERN), F.lit(0))
+    return F.filter(F.transform(found, terms), lambda s: F.size(s) > 0)
 
 
 def filter_hits(term_list: Column, words: tuple[str, ...]) -> Column:
@@ -540,10 +550,39 @@ def _sums_before(sizes: Column) -> Column:
 def spans(text: Column, pattern: str, label: int | None = None) -> Column:
     """Matches of a pattern as ``array<struct<start, end, hit>>``, in code points, ``end`` exclusive.
 
-    Between matches lies what ``split`` gives, so positions are sums of
-    lengths. A match must not be empty. With ``label`` the group of that
-    number, which begins each match, is left out of it. Null text: null.
+    Matches are marked off in the text, which is cut at the marks, so positions
+    are sums of lengths. A match must not be empty. With ``label`` the group of
+    that number, which begins each match, is left out of it. Null text: null.
     """
+    width = 2 if label is None else 3
+    marks = f"{SPAN_MARK}$0{SPAN_MARK}" if label is None else f"{SPAN_MARK}${label}{SPAN_MARK}$0{SPAN_MARK}"
+    # a gap, the label if there is one, the match, the next gap
+    cut = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(marks)), SPAN_MARK, -1)
+
+    def placed(parts: Column) -> Column:
+        def part(i: Column, which: int) -> Column:
+            return F.get(parts, i * width + which)
+
+        def size(i: Column) -> Column:
+            return F.length(part(i, 0)) + F.length(part(i, width - 1))
+
+        def row(before: Column, i: Column) -> Column:
+            end, hit = before + size(i), part(i, width - 1)
+            if label is not None:
+                hit = F.substr(hit, F.length(part(i, 1)) + 1)
+            return F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit"))
+
+        last = F.floor((F.size(parts) - 1) / width).cast("int") - 1
+        return F.transform(_sums_before(F.transform(F.sequence(F.lit(0), last), size)), row)
+
+    made = F.when(F.contains(text, F.lit(SPAN_MARK)), _spans_apart(text, pattern, label)).otherwise(_let(cut, placed))
+    return F.when(F.regexp_like(text, F.lit(pattern)), made).when(
+        text.isNotNull(), F.array().cast("array<struct<start:int,end:int,hit:string>>")
+    )
+
+
+def _spans_apart(text: Column, pattern: str, label: int | None) -> Column:
+    """``spans`` of a text that holds the mark: matches and what lies between them, each by a search of its own."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     labels = F.regexp_extract_all(text, F.lit(pattern), F.lit(label)) if label is not None else F.transform(hits, lambda _: F.lit(""))
@@ -551,12 +590,7 @@ def spans(text: Column, pattern: str, label: int | None = None) -> Column:
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda gap, hit: F.length(gap) + F.length(hit))
     ends = F.zip_with(_sums_before(steps), steps, lambda before, step: before + step)
     cut = F.zip_with(hits, labels, lambda hit, name: F.substr(hit, F.length(name) + 1))
-    made = F.zip_with(
-        ends, cut, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit"))
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), made).when(
-        text.isNotNull(), F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    )
+    return F.zip_with(ends, cut, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit")))
 
 
 def pii_spans(text: Column, kind: str, policy: Policy) -> Column:
@@ -567,7 +601,8 @@ def pii_spans(text: Column, kind: str, policy: Policy) -> Column:
     if kind in policy.of_type("BLOCK") or kind not in listed:
         return spans(text, policy.found_by(kind))
     pattern, replacement = listed[kind]
-    return spans(text, pattern, 1 if replacement.startswith("$1") else None)
+    found = spans(text, SPAN_STARTS.get(kind, pattern), 1 if replacement.startswith("$1") else None)
+    return F.when(may_mask(text, kind), found).when(text.isNotNull(), F.array().cast("array<struct<start:int,end:int,hit:string>>"))
 
 
 def word_spans(text: Column, words: tuple[str, ...]) -> Column:
@@ -580,10 +615,12 @@ def sentence_spans(text: Column) -> Column:
     """K8: ``sentences`` with their places, blanks around them left out."""
 
     def trimmed(s: Column) -> Column:
-        left = F.length(s["hit"]) - F.length(F.ltrim(s["hit"], F.lit(WHITESPACE)))
-        inner = strip(s["hit"])
-        start = s["start"] + left
-        return F.struct(start.alias("start"), (start + F.length(inner)).alias("end"), inner.alias("hit"))
+        def inside(right: Column) -> Column:
+            inner = F.ltrim(right, F.lit(WHITESPACE))
+            end = s["start"] + F.length(right)
+            return F.struct((end - F.length(inner)).alias("start"), end.alias("end"), inner.alias("hit"))
+
+        return _let(F.rtrim(s["hit"], F.lit(WHITESPACE)), inside)
 
     return F.filter(F.transform(spans(text, SENTENCE_PATTERN), trimmed), lambda s: s["hit"] != "")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.policy import (
     Policy,
+    _let,
     blocked_categories,
     blocked_message,
     blocking_types,
@@ -96,9 +97,15 @@ def policy_trace(
     """
     policy = policy or Policy()
     body = F.col(text)
+    listed = []
+    for category, *_ in policy.filters:
+        model = policy.learned.get(category)
+        listed.append((category, tuple(w for w, _ in model.weights) if model is not None else tuple(policy.lexicon[category])))
+    every = sorted({w.lower() for _, words in listed for w in words})
     seen = once(df.select(key, text), _sents=sentence_terms(body))
     judged = once(
         seen,
+        _hits=F.filter(F.flatten("_sents"), lambda t: t.isin(*every)) if every else F.array().cast("array<string>"),
         _blocked=blocked_categories(F.flatten("_sents"), policy, side),
         _denied=denied_topics(F.col("_sents"), policy),
     )
@@ -112,17 +119,20 @@ def policy_trace(
 
         found.append(F.coalesce(F.transform(places, row), F.array().cast("array<struct<policy:string,type:string,action:string,start:int,end:int>>")))
 
-    for category, *_ in policy.filters:
-        model = policy.learned.get(category)
-        words = tuple(w for w, _ in model.weights) if model is not None else policy.lexicon[category]
+    def stands(words: tuple[str, ...]) -> Column:
+        """Whether one of the words may stand in the text: plain ones are terms of it then."""
+        if not all(w.isascii() and w.isalnum() for w in words):
+            return F.lit(True)
+        return F.exists("_hits", lambda t: t.isin(*[w.lower() for w in words]))
+
+    for category, words in listed:
         if words:
             blocks = F.array_contains("_blocked", category)
-            add("filter", category, F.when(blocks, "BLOCK").otherwise("NONE"), word_spans(body, words))
+            add("filter", category, F.when(blocks, "BLOCK").otherwise("NONE"), F.when(stands(words), word_spans(body, words)))
 
     def near(name: str) -> Callable[[Column], Column]:
         def judge(s: Column) -> Column:
-            own = F.array_distinct(terms(s["hit"]))
-            return F.when(F.size(own) > 0, near_topic(own, name, policy)).otherwise(F.lit(False))
+            return _let(F.array_distinct(terms(s["hit"])), lambda own: F.when(F.size(own) > 0, near_topic(own, name, policy)).otherwise(F.lit(False)))
 
         return judge
 
