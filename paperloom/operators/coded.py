@@ -23,9 +23,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from paperloom.operators.retrieval import _matrix, usual_length
-from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _arrow_schema, finite, question_blocks
+from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _arrow_schema, _ids, finite, question_groups
 from paperloom.shipping import ship_package
-from paperloom.staging import broadcast_if_small, scratch_path, stage
+from paperloom.staging import scratch_path
 
 # Vectors that centers and codebooks are fitted on, at most.
 SAMPLE = 50_000
@@ -34,14 +34,16 @@ ENTRIES = 256
 PART = 4
 # Lists are as many as the square root of the rows, within these bounds.
 MIN_LISTS, MAX_LISTS = 16, 4096
-# Rounds of fitting; vectors in a file of the index.
+# Rounds of fitting; vectors in a file of the index at most, and so many at least where each core has a file.
 ROUNDS = 12
 FILE_ROWS = 1_000_000
+MIN_FILE_ROWS = 2_000
 # Candidates per question and wanted hit that are scored again, and lists looked into.
 RESCORED = 20
 PROBED = 0.25
-# Candidates that are sent to the tasks which read their vectors.
-MAX_CANDIDATES = 1_000_000
+# Candidates of all questions that a task holds, and those scored again at a time.
+MAX_CANDIDATES = 2_000_000
+RESCORE_ROWS = 100_000
 
 
 def _nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -104,7 +106,7 @@ class Codebook:
     def tables(self, questions: np.ndarray) -> np.ndarray:
         """What each entry adds to a question's product: ``parts, entries, questions``."""
         parts, _, width = self.entries.shape
-        return np.einsum("pew,qpw->peq", self.entries, questions.reshape(len(questions), parts, width))
+        return np.matmul(self.entries, questions.reshape(len(questions), parts, width).transpose(1, 2, 0))
 
 
 @dataclass(frozen=True)
@@ -123,101 +125,135 @@ class CodedIndex:
         """About the k nearest by cosine, ``(query, rank, id, score)`` with exact scores.
 
         Each question looks into its ``n_probe`` nearest lists (by default a
-        quarter of them), and its ``rescored * k`` best codes are scored again.
-        Questions are taken in blocks of bounded size; a question whose vector
-        is null, not finite or of another length finds nothing, a zero one has
-        score 0 everywhere. More lists and more rescoring find more of the
-        exact hits; with all of both the result is that of ``top_k``.
+        quarter of them). A task scores its ``rescored * k`` best codes of a
+        question again, with the whole vectors that lie beside them, and hands
+        on the k best of those; so no candidate is a row of its own, and an
+        index of several files has as many scored again for each. Questions are
+        taken in blocks of bounded size, as many in one reading as their
+        candidates admit; a question whose vector is null, not finite or of
+        another length finds nothing, a zero one has score 0 everywhere. More
+        lists and more rescoring find more of the exact hits; with all of both
+        the result is that of ``top_k``.
         """
         spark = self.table.sparkSession
         ship_package(spark)
         asked = queries.select(query_col, "embedding").filter(finite("embedding") & (F.size("embedding") == self.dim))
         schema = T.StructType([asked.schema[query_col], self.table.schema[self.id_col], T.StructField("score", T.DoubleType())])
-        probe = n_probe or max(1, round(PROBED * len(self.book.centers)))
+        probe = min(n_probe or max(1, round(PROBED * len(self.book.centers))), len(self.book.centers))
         out = scratch_path(spark, "coded")
         spark.createDataFrame([], schema).write.parquet(f"{out}/found=-1")
-        for number, block in enumerate(question_blocks(asked, query_col, max_queries, MAX_QUERY_CELLS)):
-            self._block(block, k, min(probe, len(self.book.centers)), rescored, query_col, schema).write.parquet(f"{out}/found={number}")
+        at_once = max(1, MAX_CANDIDATES // (rescored * k))
+        number = 0
+        for group in question_groups(asked, query_col, MAX_QUERY_CELLS):
+            for start in range(0, group.num_rows, at_once):
+                self._scan(group.slice(start, at_once), k, probe, rescored, query_col, schema, max_queries).write.parquet(f"{out}/found={number}")
+                number += 1
         found = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
         ranked = Window.partitionBy(query_col).orderBy(F.col("score").desc(), self.id_col)
         return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(query_col, "rank", self.id_col, "score")
 
-    def _block(self, block: pa.Table, k: int, probe: int, rescored: int, query_col: str, schema: T.StructType) -> DataFrame:
+    def _scan(self, asked: pa.Table, k: int, probe: int, rescored: int, query_col: str, schema: T.StructType, step: int) -> DataFrame:
+        """The k best of each task, for questions whose candidates fit a task."""
         spark, book = self.table.sparkSession, self.book
-        matrix = QueryMatrix.of(block, query_col, "cosine")
-        unit = matrix.vectors.T
-        near = np.argsort(-(unit @ book.centers.T - (book.centers**2).sum(axis=1) / 2), axis=1, kind="stable")[:, :probe]
-        visits = {int(c): np.flatnonzero((near == c).any(axis=1)) for c in np.unique(near)}
-        shared = spark.sparkContext.broadcast((matrix, visits, unit @ book.centers.T, book.tables(unit)))
-        id_col, wanted = self.id_col, rescored * k
-        coded = T.StructType([T.StructField("_q", T.IntegerType()), self.table.schema[id_col], T.StructField("list", T.IntegerType()), T.StructField("score", T.DoubleType())])
+        matrix = QueryMatrix.of(asked, query_col, "cosine")
+        nearness = matrix.vectors.T @ book.centers.T - (book.centers**2).sum(axis=1) / 2
+        visits = np.zeros(nearness.shape, bool)
+        np.put_along_axis(visits, np.argsort(-nearness, axis=1, kind="stable")[:, :probe], True, axis=1)
+        shared = spark.sparkContext.broadcast((matrix, visits, book))
+        id_col, wanted, names = self.id_col, rescored * k, _arrow_schema(schema)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            _, asking, to_centers, tables = shared.value
-            best = _Candidates(wanted)
+            matrix, visits, book = shared.value
+            parts = matrix.slices(step)
+            bests = [_Candidates(wanted, len(part.ids)) for part in parts]
             for batch in batches:
                 lists = batch.column("list").to_numpy(zero_copy_only=False)
                 codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
                 norms = batch.column("norm").to_numpy(zero_copy_only=False)
-                ids = np.array(batch.column(id_col).to_pylist(), dtype=object)
-                for number in np.unique(lists).tolist():
-                    rows, asked = np.flatnonzero(lists == number), asking[number]
-                    for start in range(0, len(rows), max(1, 2_000_000 // max(1, len(asked)))):
-                        some = rows[start : start + max(1, 2_000_000 // max(1, len(asked)))]
-                        scores = np.repeat(to_centers[asked, number][None, :], len(some), axis=0)
-                        for part in range(codes.shape[1]):
-                            scores += tables[part][codes[some, part]][:, asked]
-                        best.add(scores / norms[some][:, None], ids[some], asked, number)
-            if len(best.q):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(best.q.astype(np.int32)), pa.array(best.ids.tolist(), _arrow_schema(schema).field(id_col).type), pa.array(best.lists.astype(np.int32)), pa.array(best.s)],
-                    names=coded.names,
-                )
-
-        probed = self.table.filter(F.col("list").isin(list(visits)))
-        scanned = probed.select(id_col, "list", "codes", "norm").mapInArrow(scan, coded)
-        first = Window.partitionBy("_q").orderBy(F.col("score").desc(), id_col)
-        best = scanned.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= wanted)
-        kept = stage(best.select("_q", id_col, "list").distinct(), "candidates")  # rows of one id come with it
-        lists = [r["list"] for r in kept.select("list").distinct().collect()]  # as many as are probed at most
-        whole = self.table.filter(F.col("list").isin(lists) if lists else F.lit(False)).select(id_col, "list", "embedding")
-        pairs = whole.join(broadcast_if_small(kept, MAX_CANDIDATES), [id_col, "list"]).select("_q", id_col, "embedding")
-        names = _arrow_schema(schema)
-
-        def rescore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            questions = shared.value[0]
-            for batch in batches:
-                of = batch.column("_q").to_numpy(zero_copy_only=False)
-                rows = _matrix(batch.column("embedding"), "cosine") if len(of) else np.zeros((0, 1))
-                scores = np.round((rows * questions.vectors.T[of]).sum(axis=1), 6) + 0.0
-                yield pa.RecordBatch.from_arrays([pa.array(questions.ids[of].tolist(), names.field(0).type), batch.column(id_col), pa.array(scores)], schema=names)
-
-        return pairs.mapInArrow(rescore, schema)
+                ids = _ids(batch, id_col)
+                whole = _matrix(batch.column("embedding"), "cosine") if batch.num_rows else np.zeros((0, 1))
+                for number, (part, best) in enumerate(zip(parts, bests)):
+                    unit, asking = part.vectors.T, visits[number * step : (number + 1) * step]
+                    tables = book.tables(unit)
+                    for where in np.unique(lists).tolist():
+                        rows, asked = np.flatnonzero(lists == where), np.flatnonzero(asking[:, where])
+                        if not len(asked):
+                            continue
+                        all_ask = len(asked) == len(unit)
+                        to_center = unit[asked] @ book.centers[where]
+                        for start in range(0, len(rows), max(1, 2_000_000 // len(asked))):
+                            some = rows[start : start + max(1, 2_000_000 // len(asked))]
+                            scores = np.repeat(to_center[None, :], len(some), axis=0)
+                            for p in range(codes.shape[1]):
+                                added = tables[p][codes[some, p]]
+                                scores += added if all_ask else added[:, asked]
+                            scores /= norms[some][:, None]
+                            best.add(scores, some, asked, ids, whole, unit)
+            for part, best in zip(parts, bests):
+                q, found, exact = best.nearest(k)
+                if len(q):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part.ids[q].tolist(), names.field(0).type), pa.array(found.tolist(), names.field(1).type), pa.array(exact)], schema=names
+                    )
+
+        probed = self.table.filter(F.col("list").isin(np.flatnonzero(visits.any(axis=0)).tolist()))
+        return probed.select(id_col, "list", "codes", "norm", "embedding").mapInArrow(scan, schema)
 
 
 class _Candidates:
-    """The best codes per question seen so far in one task."""
+    """The best codes per question seen so far in one task, with their exact scores."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, questions: int):
         self.n = n
-        self.q, self.lists, self.s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.q, self.s, self.exact = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         self.ids = np.zeros(0, dtype=object)
-
-    def add(self, scores: np.ndarray, ids: np.ndarray, asked: np.ndarray, number: int) -> None:
-        keep = np.ones_like(scores, dtype=bool)
+        # what a code must reach to be among the n best of a question
+        self.least = np.full(questions, -np.inf)
+        self.waiting: list[tuple[np.ndarray, ...]] = []
+        self.n_waiting = 0
+
+    def add(self, scores: np.ndarray, rows: np.ndarray, asked: np.ndarray, ids: np.ndarray, whole: np.ndarray, unit: np.ndarray) -> None:
+        """Codes' scores (``rows, asked``); what may be a candidate is scored with its vector ``whole``."""
+        reach = self.least[asked]
         if len(scores) > self.n:
-            keep = scores >= np.partition(scores, len(scores) - self.n, axis=0)[len(scores) - self.n]
-        rows, qs = np.nonzero(keep)
-        self.q = np.concatenate([self.q, asked[qs]])
-        self.ids = np.concatenate([self.ids, ids[rows]])
-        self.lists = np.concatenate([self.lists, np.full(len(rows), number)])
-        self.s = np.concatenate([self.s, scores[rows, qs]])
-        order = np.lexsort((-self.s, self.q))
-        q = self.q[order]
-        starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1] if len(q) else np.zeros(0, np.int64)
-        place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
+            new = np.flatnonzero(np.isneginf(reach))
+            if len(new):
+                reach[new] = np.partition(scores[:, new], len(scores) - self.n, axis=0)[len(scores) - self.n]
+        at, qs = np.divmod(np.flatnonzero(scores >= reach), scores.shape[1])
+        for start in range(0, len(at), RESCORE_ROWS):
+            a, b = at[start : start + RESCORE_ROWS], qs[start : start + RESCORE_ROWS]
+            exact = np.round(np.einsum("ij,ij->i", whole[rows[a]], unit[asked[b]]), 6) + 0.0
+            self.waiting.append((asked[b], ids[rows[a]], scores[a, b], exact))
+            self.n_waiting += len(a)
+        if self.n_waiting > max(100_000, self.n * len(self.least) // 2):
+            self._cut()
+
+    def _cut(self) -> None:
+        self.q, self.ids, self.s, self.exact = (np.concatenate(c) for c in zip((self.q, self.ids, self.s, self.exact), *self.waiting))
+        self.waiting, self.n_waiting = [], 0
+        order, place = _places(self.q, -self.s)
+        last = order[place == self.n - 1]
+        self.least[self.q[last]] = self.s[last]
         order = order[place < self.n]
-        self.q, self.ids, self.lists, self.s = self.q[order], self.ids[order], self.lists[order], self.s[order]
+        self.q, self.ids, self.s, self.exact = self.q[order], self.ids[order], self.s[order], self.exact[order]
+
+    def nearest(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each question's candidates the k with the best exact scores, and those that tie with the last."""
+        self._cut()
+        order, place = _places(self.q, -self.exact)
+        least = np.full(len(self.least), -np.inf)
+        last = order[place == k - 1]
+        least[self.q[last]] = self.exact[last]
+        kept = np.flatnonzero(self.exact >= least[self.q])
+        return self.q[kept], self.ids[kept], self.exact[kept]
+
+
+def _places(q: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of question and ``s``, and the place of each among its question's."""
+    order = np.lexsort((s, q))
+    ordered = q[order]
+    starts = np.r_[0, np.flatnonzero(np.diff(ordered)) + 1] if len(q) else np.zeros(0, np.int64)
+    return order, np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
 
 
 def build_coded(vectors: DataFrame, path: str, id_col: str = "chunk_id", n_lists: int | None = None, sample: int = SAMPLE, seed: int = 0) -> CodedIndex:
@@ -257,7 +293,8 @@ def build_coded(vectors: DataFrame, path: str, id_col: str = "chunk_id", n_lists
             columns = [pa.array(lists.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.where(norms > 0, norms, 1.0))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)
 
-    files = max(1, -(-n // FILE_ROWS))
+    # a file is read by one task
+    files = max(1, -(-n // FILE_ROWS), min(spark.sparkContext.defaultParallelism, n // MIN_FILE_ROWS))
     spread = usable.mapInArrow(code, schema).repartitionByRange(files, "list", F.xxhash64(id_col)).sortWithinPartitions("list")
     spread.write.parquet(f"{path}/coded")
     said = {"id_col": id_col, "dim": dim, "centers": book.centers.tolist(), "entries": book.entries.tolist()}

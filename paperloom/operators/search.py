@@ -32,6 +32,8 @@ MAX_QUERY_CELLS = 8_000_000
 MAX_LENGTHS = 8
 # Cells of one score or vector block inside a task (doubles).
 BLOCK_CELLS = 2_000_000
+# A score that is this far below another before rounding is below it after, too.
+ROUNDING = 2e-6
 
 
 class QueryMatrix:
@@ -62,20 +64,47 @@ class QueryMatrix:
         part.vectors, part.norms = self.vectors[:, questions], self.norms[questions]
         return part
 
-    def scores(self, table: pa.Table | pa.RecordBatch) -> np.ndarray:
-        """Rounded scores, one row per index row; larger is better."""
-        if self.columns is None:
-            block = _dense(_flat(table, "embedding"), table.num_rows)
-        else:
+    def slices(self, step: int) -> list["QueryMatrix"]:
+        """The questions in pieces of so many, with all columns."""
+        parts = []
+        for start in range(0, max(1, len(self.ids)), step):
+            part = copy(self)
+            at = slice(start, start + step)
+            part.ids, part.vectors, part.norms = self.ids[at], self.vectors[:, at], self.norms[at]
+            parts.append(part)
+        return parts
+
+    def block(self, table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray | None]:
+        """Index rows as a matrix over the columns, and their squared lengths where a metric needs them."""
+        if self.columns is not None:
             block = _scatter(_flat(table, "buckets"), _flat(table, "weights"), self.columns)
+            return block, (block * block).sum(axis=1) if self.metric == "euclidean" else None
+        block = _dense(_flat(table, "embedding"), table.num_rows)
+        return block, None if self.metric == "dot" else (block * block).sum(axis=1)
+
+    def raw(self, block: np.ndarray, squares: np.ndarray | None) -> np.ndarray:
+        """Scores before rounding, of distances their negative squares: one row per index row; larger is better."""
         if self.metric == "euclidean":
-            squares = (block * block).sum(axis=1)[:, None] + (self.norms**2)[None, :] - 2 * block @ self.vectors
-            return -np.round(np.sqrt(np.maximum(squares, 0.0)), 6)
+            return -np.maximum(squares[:, None] + (self.norms**2)[None, :] - 2 * block @ self.vectors, 0.0)
         result = block @ self.vectors
         if self.metric == "cosine" and self.columns is None:
-            norms = np.sqrt((block * block).sum(axis=1))
+            norms = np.sqrt(squares)
             result /= np.where(norms > 0, norms, 1.0)[:, None]
-        return np.round(result, 6)
+        return result
+
+    def rounded(self, raw: np.ndarray) -> np.ndarray:
+        return -np.round(np.sqrt(-raw), 6) if self.metric == "euclidean" else np.round(raw, 6)
+
+    def may_reach(self, least: np.ndarray) -> np.ndarray:
+        """From which raw score on a rounded one may be ``least``."""
+        slack = ROUNDING + 1e-9 * np.abs(least)
+        if self.metric == "euclidean":
+            return -((np.maximum(-least, 0.0) + slack) ** 2)
+        return least - slack
+
+    def scores(self, table: pa.Table | pa.RecordBatch) -> np.ndarray:
+        """Rounded scores, one row per index row; larger is better."""
+        return self.rounded(self.raw(*self.block(table)))
 
     def rows_per_block(self) -> int:
         width = max(len(self.ids), self.vectors.shape[0], 1)
@@ -114,26 +143,37 @@ class Best:
         self.q = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=object)
         self.s = np.zeros(0)
+        # what a row must reach to be among the k best
+        self.least = np.full(len(queries.ids), -np.inf)
 
     def add(self, table: pa.Table | pa.RecordBatch, id_col: str, asked: np.ndarray | None = None) -> None:
         """Score the rows for all questions, or for those ``asked``."""
         queries = self.queries if asked is None else self.queries.only(asked)
         for start in range(0, table.num_rows, self.queries.rows_per_block()):
             part = table.slice(start, self.queries.rows_per_block())
-            scores = queries.scores(part)
-            ids = np.array(part.column(id_col).to_pylist(), dtype=object)
-            if self.distinct and len(ids):
-                ids, scores = _best_of_equal(ids, scores)
-            n = scores.shape[0]
-            keep = np.ones_like(scores, dtype=bool)
-            if n > self.k:
-                keep = scores >= np.partition(scores, n - self.k, axis=0)[n - self.k]
-            if self.min_score is not None:
-                keep &= scores > self.min_score
-            rows, qs = np.nonzero(keep)
+            self.add_block(*queries.block(part), _ids(part, id_col), queries, asked)
+
+    def add_block(self, block: np.ndarray, squares: np.ndarray | None, ids: np.ndarray, queries: QueryMatrix, asked: np.ndarray | None = None) -> None:
+        raw = queries.raw(block, squares)
+        least = self.least if asked is None else self.least[asked]
+        if self.distinct and len(ids):
+            ids, raw = _best_of_equal(ids, raw)
+        n, reach = raw.shape[0], queries.may_reach(least)
+        new = np.flatnonzero(np.isneginf(least))
+        if n > self.k and len(new):  # nothing to beat yet: the k best of this block
+            some = raw if len(new) == raw.shape[1] else raw[:, new]
+            reach[new] = queries.may_reach(queries.rounded(np.partition(some, n - self.k, axis=0)[n - self.k]))
+        # few rows reach that, and only those are rounded
+        rows, qs = np.divmod(np.flatnonzero(raw >= reach), max(1, raw.shape[1]))
+        scores = queries.rounded(raw[rows, qs])
+        keep = scores >= least[qs]
+        if self.min_score is not None:
+            keep &= scores > self.min_score
+        if keep.any():
+            rows, qs = rows[keep], qs[keep]
             self.q = np.concatenate([self.q, qs if asked is None else asked[qs]])
             self.ids = np.concatenate([self.ids, ids[rows]])
-            self.s = np.concatenate([self.s, scores[rows, qs]])
+            self.s = np.concatenate([self.s, scores[keep]])
             self._cut()
 
     def _cut(self) -> None:
@@ -146,6 +186,8 @@ class Best:
         q = self.q[order]
         starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1] if len(q) else np.zeros(0, dtype=np.int64)
         place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
+        last = order[place == self.k - 1]
+        self.least[self.q[last]] = self.s[last]
         order = order[place < self.k]
         self.q, self.ids, self.s = self.q[order], self.ids[order], self.s[order]
 
@@ -155,6 +197,10 @@ class Best:
         return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _ids(table: pa.Table | pa.RecordBatch, id_col: str) -> np.ndarray:
+    return np.array(table.column(id_col).to_pylist(), dtype=object)
+
+
 def _best_of_equal(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each id once, with the largest score of its rows for every question."""
     names, code = np.unique(ids, return_inverse=True)
@@ -263,24 +309,32 @@ def _scan(
     schema: T.StructType,
     visits: dict[int, np.ndarray] | None = None,
     distinct: bool = False,
+    step: int | None = None,
 ) -> DataFrame:
     """Each task's k best rows per question. With ``visits`` a row is scored for
-    the questions that visit its ``cell`` only."""
+    the questions that visit its ``cell`` only; with ``step`` so many questions
+    are worked on at a time."""
     shared = index.sparkSession.sparkContext.broadcast((matrix, visits))
     out = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, lists = shared.value
-        best = Best(queries, k, min_score, distinct)
+        bests = [Best(part, k, min_score, distinct) for part in (queries.slices(step) if step else [queries])]
         for batch in batches:
             if lists is None:
-                best.add(batch, id_col)
+                rows = bests[0].queries.rows_per_block()
+                for start in range(0, batch.num_rows, rows):
+                    part = batch.slice(start, rows)
+                    block, ids = queries.block(part), _ids(part, id_col)
+                    for best in bests:
+                        best.add_block(*block, ids, best.queries)
                 continue
             cells = batch.column("cell").to_numpy(zero_copy_only=False)
             for cell in np.unique(cells):
-                best.add(batch.filter(pa.array(cells == cell)), id_col, lists[int(cell)])
-        if len(best.q):
-            yield best.result(out)
+                bests[0].add(batch.filter(pa.array(cells == cell)), id_col, lists[int(cell)])
+        for best in bests:
+            if len(best.q):
+                yield best.result(out)
 
     return index.mapInArrow(run, schema)
 
@@ -295,16 +349,28 @@ def _bounded(table: pa.Table, max_cells: int) -> Iterator[pa.Table]:
         yield table
 
 
-def question_blocks(queries: DataFrame, query_col: str, max_queries: int, max_cells: int) -> Iterator[pa.Table]:
-    """Any number of questions in blocks of bounded rows and cells, one at a time on the driver."""
-    # Half the bound: dealing by hash leaves blocks of slightly unequal size.
-    n = max(1, ceil(queries.count() / max(1, max_queries // 2)))
+def question_groups(queries: DataFrame, query_col: str, max_cells: int) -> Iterator[pa.Table]:
+    """Any number of questions in groups within ``max_cells`` cells, one at a time on the driver."""
+    if "embedding" in queries.columns:
+        rows, width = queries.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    else:
+        rows = queries.count()
+        width = queries.select(F.explode("buckets").alias("b")).distinct().count()
+    # Half the bound: dealing by hash leaves groups of slightly unequal size.
+    n = max(1, ceil(rows * max(width or 0, 1) / max(1, max_cells // 2)))
     path = scratch_path(queries.sparkSession, "questions")
-    dealt = queries.withColumn("_block", F.pmod(F.xxhash64(query_col), F.lit(n)).cast("int"))
-    dealt.repartition(n, "_block").write.partitionBy("_block").parquet(path)
+    dealt = queries.withColumn("_group", F.pmod(F.xxhash64(query_col), F.lit(n)).cast("int"))
+    dealt.repartition(n, "_group").write.partitionBy("_group").parquet(path)
     written = queries.sparkSession.read.schema(dealt.schema).parquet(path)
-    for block in range(n):
-        yield from _bounded(written.filter(F.col("_block") == block).drop("_block").toArrow(), max_cells)
+    for group in range(n):
+        yield from _bounded(written.filter(F.col("_group") == group).drop("_group").toArrow(), max_cells)
+
+
+def question_blocks(queries: DataFrame, query_col: str, max_queries: int, max_cells: int) -> Iterator[pa.Table]:
+    """The questions of each group in blocks of bounded rows."""
+    for table in question_groups(queries, query_col, max_cells):
+        for start in range(0, table.num_rows, max_queries):
+            yield table.slice(start, max_queries)
 
 
 def _in_blocks(
@@ -322,11 +388,13 @@ def _in_blocks(
 ) -> DataFrame:
     """Exact search for any number of questions.
 
-    Block after block is broadcast and the index read in place, so its vectors
-    are never shuffled or copied; what is written is each block's best rows.
+    Group after group is broadcast, as many questions as ``max_cells`` admits,
+    and the index read in place; a task takes ``max_queries`` of them at a time.
+    So readings follow from the cells, the vectors of the index are never
+    shuffled or copied, and what is written is each group's best rows.
     """
     out = scratch_path(index.sparkSession, "blocks")
-    for number, table in enumerate(question_blocks(queries, query_col, max_queries, max_cells)):
-        found = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema, distinct=distinct)
+    for number, table in enumerate(question_groups(queries, query_col, max_cells)):
+        found = _scan(index, QueryMatrix.of(table, query_col, metric), k, id_col, min_score, schema, distinct=distinct, step=max(1, max_queries))
         found.write.parquet(f"{out}/block={number}")
     return index.sparkSession.read.schema(schema).parquet(out).select(*schema.fieldNames())

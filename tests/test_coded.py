@@ -79,3 +79,18 @@ def test_odd_vectors(spark, tmp_path):
     assert got[:3] == [(1, 1, 1, 1.0), (1, 2, 1, 1.0), (1, 3, 2, 0.0)] and {g[0] for g in got} == {1, 4}
     empty = build_coded(rows.filter("id > 99"), str(tmp_path / "b"), "id")
     assert empty.search(asked, 3).count() == 0 and index.search(asked.filter("1 = 0"), 3).count() == 0
+
+
+def test_one_reading_serves_many_questions(spark, gathered, tmp_path):
+    """No candidate is a row: a search writes its hits only, and a core has a file of the index."""
+    rows, _ = gathered
+    index = build_coded(_table(spark, rows), str(tmp_path / "coded"), "id")
+    assert index.table.select(F.input_file_name()).distinct().count() == min(spark.sparkContext.defaultParallelism, 3)
+    questions = _table(spark, rows[:900]).withColumnRenamed("id", "query_id")
+    spark.sparkContext.setJobGroup("coded", "coded")
+    try:
+        found = index.search(questions, 3, n_probe=8, max_queries=30).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("coded"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert jobs < 15 and {r["id"] for r in found if r["rank"] == 1} == set(range(900))

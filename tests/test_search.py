@@ -574,3 +574,20 @@ def test_parts_are_bounded_and_files_grow(spark, tmp_path, monkeypatch):
     for find in (retrieval.retrieve, retrieval.retrieve_lexical):
         hits = [sorted(map(tuple, retrieval.with_texts(find(asked, i, 5), i).collect())) for i in (whole, split)]
         assert hits[0] == hits[1] and len(hits[0]) == 10
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean", "dot"])
+def test_readings_follow_from_cells_not_from_blocks(spark, metric):
+    """Hundreds of blocks of questions are one reading, with the hits of a single block."""
+    rng = np.random.default_rng(9)
+    rows = spark.createDataFrame([(i, [float(x) for x in rng.integers(-3, 4, 6)]) for i in range(600)], "chunk_id long, embedding array<float>")
+    asked = rows.withColumnRenamed("chunk_id", "query_id")
+    hits = lambda **of: sorted(map(tuple, top_k(rows, asked, 4, metric, **of).collect()))
+    whole = hits()
+    spark.sparkContext.setJobGroup(f"grid-{metric}", "grid")
+    try:
+        assert hits(max_queries=2) == whole
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"grid-{metric}"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert jobs < 15
