@@ -15,7 +15,6 @@ import json
 import random
 import threading
 import time
-from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.operators.joins import join_unique
-from paperloom.staging import scratch_path, stage
+from paperloom.staging import COMMIT_BY_TASK, scratch_path, stage
 
 Client = Callable[[str, dict, tuple[str, str] | None], dict]
 
@@ -43,8 +42,6 @@ class ServiceError(Exception):
 IN_FLIGHT = 8
 # Calls made between two commits, about.
 SLICE_CALLS = 100_000
-# A task that ends moves what it wrote to the folder at once, and a job that breaks off leaves that there.
-COMMIT_BY_TASK = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
 
 
 @dataclass(frozen=True)
@@ -115,7 +112,7 @@ def invoke(
                     return batch.column(name).to_pylist() if name in names else [default] * n
 
                 asked = zip(values("model_id", default_model), values("payload"), values("policy_id"), values("policy_version"))
-                results = list(_in_flight(pool, call, asked, 2 * in_flight))
+                results = _in_flight(pool, call, asked, in_flight)
                 bodies, seconds, oks, codes, messages = zip(*results) if results else ((),) * 5
                 added = [
                     pa.array(bodies, pa.string()),
@@ -129,19 +126,25 @@ def invoke(
     return df.repartition(parallel or df.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
 
 
-def _in_flight(pool: ThreadPoolExecutor, call: Callable[[tuple], tuple], asked: Iterator[tuple], window: int) -> Iterator[tuple]:
-    """Results in the order of the calls; no more than ``window`` of them are handed to the pool ahead."""
-    waiting: deque = deque()
-    try:
-        for args in asked:
-            waiting.append(pool.submit(call, args))
-            if len(waiting) >= window:
-                yield waiting.popleft().result()
-        while waiting:
-            yield waiting.popleft().result()
-    finally:  # after an error no further call is made
-        for later in waiting:
-            later.cancel()
+def _in_flight(pool: ThreadPoolExecutor, call: Callable[[tuple], tuple], asked: Iterator[tuple], at_once: int) -> list[tuple]:
+    """Results in the order of the calls: ``at_once`` threads each take the next call when they are done with one."""
+    taking, numbered, results, failed = threading.Lock(), enumerate(asked), {}, threading.Event()
+
+    def work() -> None:
+        while not failed.is_set():  # after an error no further call is made
+            with taking:
+                number, args = next(numbered, (None, None))
+            if number is None:
+                return
+            try:
+                results[number] = call(args)
+            except BaseException:
+                failed.set()
+                raise
+
+    for done in [pool.submit(work) for _ in range(at_once)]:
+        done.result()
+    return [results[number] for number in range(len(results))]
 
 
 def _call(

@@ -1,4 +1,5 @@
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.payloads import payload_completion, payload_messages
 from paperloom.functions.responses import completion_text, first_text
 from paperloom.operators.evaluation import judge_accuracy, judge_quality, model_table
-from paperloom.operators.invoke import Retry, ServiceError, call_once, invoke, make_stub
+from paperloom.operators.invoke import Retry, ServiceError, _in_flight, call_once, invoke, make_stub
 from paperloom.plans.documents import compare_models, process_documents
 
 
@@ -307,3 +308,29 @@ def test_slices_do_not_cost_a_job_each(spark, tmp_path):
     assert spark.read.schema("_call string").parquet(str(tmp_path / "half")).count() > 0
     broken.unlink()
     assert call_once(rows, make, str(tmp_path / "half"), slice_calls=2).filter("ok").count() == 400
+
+
+def test_a_call_is_no_task_of_the_pool():
+    """As many pieces of work as threads, whatever the calls: handing over each one cost more than a quick call."""
+    handed = []
+
+    class Pool(ThreadPoolExecutor):
+        def submit(self, *args, **named):
+            handed.append(1)
+            return super().submit(*args, **named)
+
+    with Pool(4) as pool:
+        assert list(_in_flight(pool, lambda args: (args[0] * 2,), iter([(n,) for n in range(1000)]), 4)) == [(n * 2,) for n in range(1000)]
+        assert len(handed) <= 8 and list(_in_flight(pool, None, iter([]), 4)) == []
+
+        made = []
+
+        def broken(args):
+            made.append(args)
+            if len(made) == 20:
+                raise ValueError("lost")
+            return args
+
+        with pytest.raises(ValueError, match="lost"):
+            list(_in_flight(pool, broken, iter([(n,) for n in range(1000)]), 4))
+        assert len(made) <= 24
