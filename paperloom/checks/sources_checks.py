@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.checks.base import CLAIMS_SQL, PAIRS_SQL, check, claims, documents, pairs, table
+from paperloom.checks.base import CLAIMS_SQL, PAIRS_SQL, check, claims, documents, pairs, table, write_files
 from paperloom.functions.fields import coverage_rows, extract_claim, labelled, parse_date, parse_money, phone_digits, policy_sections
 from paperloom.functions.prompts import render
 from paperloom.functions.responses import completion_text, first_text, parse_accuracy, parse_quality
@@ -26,7 +26,7 @@ def _text_files(spark: SparkSession, df: DataFrame, column: str) -> str:
 def _named_files(spark: SparkSession, df: DataFrame, key: str, column: str) -> str:
     """Each row as a text file, in a folder named by its key."""
     path = stage_path(spark, "files")
-    df.select(key, F.col(column).alias("value")).repartition(8, key).write.partitionBy(key).text(path)
+    write_files(df.select(key, F.col(column).alias("value")), key, path)
     return path
 
 

@@ -115,3 +115,17 @@ def test_text_expressions(value):
     assert value(terms("t"), "t string", "Ab-C, É1!") == ["ab", "c", "é1"]
     assert value(sentences("t"), "t string", "A b. C?! \n\n... d") == ["A b.", "C?!", "d"]
     assert value(flatten_json("t"), "t string", 'a\nb "c" \\') == '"a b \\"c\\" \\\\"'
+
+
+def test_input_files_are_written_in_place_by_tasks(spark, tmp_path):
+    """A folder a key without a commit that moves each: rows of a key are lines of one file, nulls are empty ones."""
+    from paperloom.checks.base import write_files
+
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, "text 7"), (50, None), (None, "é")]
+    out = tmp_path / "files"
+    write_files(spark.createDataFrame(rows, "doc_id long, value string"), "doc_id", str(out))
+    found = {p.parent.name: p.read_text() for p in out.rglob("*") if p.is_file()}
+    assert len(found) == 42 and not list(out.rglob("*.crc")) and not list(out.rglob("_*SUCCESS"))
+    assert found["doc_id=7"] == "text 7\ntext 7\n" and found["doc_id=50"] == "\n" and found["doc_id=__HIVE_DEFAULT_PARTITION__"] == "é\n"
+    write_files(spark.createDataFrame([(7, "again")], "doc_id long, value string"), "doc_id", str(out))
+    assert len([p for p in (out / "doc_id=7").iterdir()]) == 2
