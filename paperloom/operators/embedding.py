@@ -17,6 +17,10 @@ DIMENSION = 1024
 # Largest term table sent to every task; beyond it only frequent terms are.
 MAX_BROADCAST_TERMS = 1_000_000
 VECTOR_FIELDS = [T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("weights", T.ArrayType(T.FloatType()))]
+# Terms that tasks hold of a larger table: the most frequent ones.
+KNOWN_TERMS = 200_000
+# Rows whose terms are worked on at a time.
+SLICE_ROWS = 2_000
 # A term in more than this share of the chunks is "frequent".
 FREQUENT_SHARE = 0.001
 
@@ -105,7 +109,7 @@ def term_counts(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame
     schema = T.StructType([*read.schema.fields[:-1], *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column("_terms")
             lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             encoded = pc.list_flatten(lists).dictionary_encode()
@@ -140,18 +144,30 @@ def term_vectors(counts: DataFrame, keep: list[str], vocabulary: Vocabulary) ->
     schema = T.StructType([*read.schema.fields[:-2], *VECTOR_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets, buckets, sums = shared.value.sums(batch.column("terms"), batch.column("tfs"))
-            counts = np.diff(offsets)
-            row = np.repeat(np.arange(len(counts)), counts)
-            sums = sums / np.sqrt(np.bincount(row, sums * sums, len(counts)))[row]
-            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets.astype(np.int32), sums.astype(np.float32))]
-            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], schema.names)
-            yield out.filter(pa.array(counts > 0))
+        for batch in _slices(batches):
+            sums = shared.value.sums(batch.column("terms"), batch.column("tfs"))
+            yield _unit(batch, keep, *sums, schema.names)
 
     return read.mapInArrow(run, schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of bounded rows, as what is made of a row's terms is larger than they are."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
+def _unit(batch: pa.RecordBatch, keep: list[str], offsets: np.ndarray, buckets: np.ndarray, sums: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """The rows that have entries, with these scaled to unit length."""
+    counts = np.diff(offsets)
+    row = np.repeat(np.arange(len(counts)), counts)
+    sums = sums / np.sqrt(np.bincount(row, sums * sums, len(counts)))[row]
+    made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets.astype(np.int32), sums.astype(np.float32))]
+    out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], names)
+    return out.filter(pa.array(counts > 0))
+
+
 def embed_hash(
     df: DataFrame,
     keep: list[str],
@@ -180,31 +196,87 @@ def embed_counts(counts: DataFrame, keep: list[str], dim: int = DIMENSION, idf:
     vocabulary = bounded_vocabulary(weighted)
     if vocabulary is not None:
         return term_vectors(counts, keep, vocabulary)
-    return embed_by_join(counts, keep, weighted, n_chunks)
+    return embed_by_join(counts, keep, weighted)
 
 
-def embed_by_join(counts: DataFrame, keep: list[str], weighted: DataFrame, n_chunks: int) -> DataFrame:
-    """E2 with a term table of any size: counts join it and come back by row.
+def embed_by_join(counts: DataFrame, keep: list[str], weighted: DataFrame) -> DataFrame:
+    """E2 with a term table of any size: tasks hold the terms of most chunks, the others' counts join.
 
-    One shuffle brings the terms of a row together; both aggregations run on
-    it. A vector has at most ``dim`` entries, so its list is bounded.
+    One shuffle brings a row's sums and what its other terms add together, as
+    lists of at most ``dim`` entries and a row for each other term. A term that
+    the tasks do not hold is in few chunks, so no key is hot.
     """
-    found = counts.select(F.struct(*keep).alias("_key"), F.explode(F.arrays_zip("terms", "tfs")).alias("_t"))
-    occurrences = found.select("_key", F.col("_t.terms").alias("term"), F.col("_t.tfs").alias("tf"))
-    joined = join_term_table(occurrences, weighted, n_chunks).select("_key", "bucket", (F.col("weight") * F.col("tf")).alias("weight"))
-    entry = F.struct("bucket", "weight")
-    return (
-        joined.repartition("_key")
-        .groupBy("_key", "bucket")
-        .agg(F.sum("weight").alias("weight"))
-        .groupBy("_key")
-        .agg(F.array_sort(F.collect_list(entry)).alias("_v"), F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
-        .select(
-            "_key.*",
-            F.col("_v.bucket").cast("array<int>").alias("buckets"),
-            F.transform(F.col("_v.weight"), lambda w: (w / F.col("_norm")).cast("float")).alias("weights"),
-        )
-    )
+    cut = _common_df(weighted)
+    vocabulary = Vocabulary(weighted.filter(F.col("df") >= cut).select("term", F.col("bucket").cast("long"), F.col("weight").cast("double")).toArrow())
+    known = _known_sums(counts, keep, vocabulary)
+    others = _other_terms(counts, keep, vocabulary).join(weighted.filter(F.col("df") < cut), "term")
+    single = others.select("_key", F.array(F.col("bucket").cast("long")).alias("buckets"), F.array(F.col("weight") * F.col("tf")).alias("sums"))
+    lists = known.unionByName(single).repartition("_key").groupBy("_key").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("buckets", "sums")))
+    read = lists.select("_key.*", "buckets", "sums")
+    schema = T.StructType([*read.schema.fields[:-2], *VECTOR_FIELDS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            found = batch.column("buckets")
+            row = np.repeat(np.arange(len(found)), pc.list_value_length(found).to_numpy(zero_copy_only=False))
+            flat = [pc.list_flatten(batch.column(c)).to_numpy(zero_copy_only=False) for c in ("buckets", "sums")]
+            yield _unit(batch, keep, *_summed(row, *flat, len(found)), schema.names)
+
+    return read.mapInArrow(run, schema)
+
+
+def _common_df(table: DataFrame) -> int:
+    """From which frequency on the tasks hold a term: the least power of two with no more than ``KNOWN_TERMS`` terms."""
+    doublings = F.floor(F.log2(F.greatest(F.col("df"), F.lit(1)))).cast("int").alias("d")
+    sizes = {r["d"]: r["n"] for r in table.groupBy(doublings).agg(F.count("*").alias("n")).collect()}
+    held = 0
+    for d in sorted(sizes, reverse=True):
+        held += sizes[d]
+        if held > KNOWN_TERMS:
+            return 2 ** (d + 1)
+    return 0
+
+
+def _summed(row: np.ndarray, buckets: np.ndarray, weights: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row the summed weight of each bucket: ``(offsets, buckets, sums)``."""
+    order = np.lexsort((buckets, row))
+    row, buckets, weights = row[order], buckets[order], weights[order]
+    starts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (buckets[1:] != buckets[:-1])]) if len(row) else np.zeros(0, dtype=np.int64)
+    sums = np.add.reduceat(weights, starts) if len(starts) else np.zeros(0)
+    return np.searchsorted(row[starts], np.arange(n + 1)).astype(np.int32), buckets[starts], sums
+
+
+def _known_sums(counts: DataFrame, keep: list[str], vocabulary: Vocabulary) -> DataFrame:
+    """``(_key, buckets, sums)`` of the terms that the vocabulary has."""
+    shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
+    read = counts.select(*keep, "terms", "tfs")
+    schema = T.StructType([*read.schema.fields[:-2], T.StructField("buckets", T.ArrayType(T.LongType())), T.StructField("sums", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            offsets, buckets, sums = shared.value.sums(batch.column("terms"), batch.column("tfs"))
+            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets, sums)]
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], schema.names)
+            yield out.filter(pa.array(np.diff(offsets) > 0))
+
+    return read.mapInArrow(run, schema).select(F.struct(*keep).alias("_key"), "buckets", "sums")
+
+
+def _other_terms(counts: DataFrame, keep: list[str], vocabulary: Vocabulary) -> DataFrame:
+    """``(_key, term, tf)`` of the terms that the vocabulary lacks."""
+    shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
+    read = counts.select(*keep, "terms", "tfs")
+    schema = T.StructType([*read.schema.fields[:-2], T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            found = pc.list_flatten(batch.column("terms"))
+            other = pc.invert(pc.is_in(found, value_set=shared.value.terms))
+            row = pc.list_parent_indices(batch.column("terms")).filter(other)
+            made = [found.filter(other), pc.list_flatten(batch.column("tfs")).filter(other)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in keep), *made], schema.names)
+
+    return read.mapInArrow(run, schema).select(F.struct(*keep).alias("_key"), "term", "tf")
 
 
 def to_dense(buckets: Column, weights: Column, dim: int = DIMENSION) -> Column:
@@ -219,13 +291,13 @@ def embed(df: DataFrame, make_model: Callable[[], Callable[[list[str]], list[lis
     """Add ``embedding`` by an injected model, built once per task.
 
     ``make_model()`` returns a callable from a list of texts to a list of
-    vectors; it is called inside the task, batch by batch.
+    vectors; it is called inside the task, for ``SLICE_ROWS`` texts at most.
     """
     schema = T.StructType(df.schema.fields + [T.StructField("embedding", T.ArrayType(T.FloatType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = make_model()
-        for batch in batches:
+        for batch in _slices(batches):
             vectors = model(batch.column(text).to_pylist())
             column = pa.array(vectors, pa.list_(pa.field("element", pa.float32(), nullable=False)))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "embedding"])

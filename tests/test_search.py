@@ -591,3 +591,53 @@ def test_readings_follow_from_cells_not_from_blocks(spark, metric):
     finally:
         spark.sparkContext._jsc.clearJobGroup()
     assert jobs < 15
+
+
+@pytest.mark.parametrize("held", [0, 3, 1000])
+def test_vectors_beyond_the_term_bound_are_the_same(spark, monkeypatch, held):
+    """Whether tasks hold none, some or all of the terms, and whatever the rows of an id."""
+    rows = [(i // 2, "en" if i % 3 else None, f"common {'often ' * (i % 4)}w{i} w{i // 5}") for i in range(40)] + [(99, "en", None), (None, None, "often w3")]
+    counts = embedding.term_counts(spark.createDataFrame(rows, "i long, lang string, text string").dropDuplicates(["i"]), ["i", "lang"])
+    idf = embedding.counted_idf(counts, 22)
+    key = lambda df: {(r["i"], r["lang"]): dict(zip(r["buckets"], r["weights"])) for r in df.collect()}
+    whole = key(embedding.embed_counts(counts, ["i", "lang"], 1024, idf, 22))
+    monkeypatch.setattr(embedding, "MAX_BROADCAST_TERMS", 2)
+    monkeypatch.setattr(embedding, "KNOWN_TERMS", held)
+    made = embedding.embed_counts(counts, ["i", "lang"], 1024, idf, 22)
+    got = key(made)
+    assert got.keys() == whole.keys() and len(got) == 21
+    assert all(got[k].keys() == whole[k].keys() and all(math.isclose(got[k][b], w, rel_tol=1e-6) for b, w in whole[k].items()) for k in whole)
+
+
+def test_block_lists_come_without_a_row_for_each_posting(spark, tmp_path):
+    """Postings are gathered in the task that reads the counts, so that lists are shuffled."""
+    rows = [(i, f"claim policy w{i}") for i in range(400)]
+    index = ingest(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "index"))
+    lists = ingesting.block_lists(index.counts, index.n_blocks, index.mean_terms)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    often = lists.filter("term = 'claim'")
+    assert often.count() == index.blocks.filter("term = 'claim'").count() < 100
+    listed = {(r["term"], c, t, n) for r in lists.collect() for c, t, n in zip(r["chunk_id"], r["tf"], r["n"])}
+    assert listed == {(t, f"{i}#0", 1, 3) for i in range(400) for t in ("claim", "policy", f"w{i}")}
+    assert {(r["term"], r["chunk_id"], r["tf"], r["n"]) for r in index.postings.collect()} == listed
+
+
+@pytest.mark.parametrize("direct", [0, 10**9])
+def test_lexical_hits_from_the_terms_of_chunks(spark, tmp_path, monkeypatch, direct):
+    """Many postings are not shuffled, whether blocks are left out or not; ids that repeat or are null are one hit as before."""
+    often = "claim policy driver road night".split()
+    rows = [(i // 2 if i < 40 else i, " ".join(often[: 1 + i % 5] * (1 + i % 3)) + f" w{i % 30}") for i in range(500)] + [(None, "claim w3"), (None, "policy w4")]
+    index = ingest(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "index"))
+    once = index.counts.groupBy("chunk_id").count().filter("count > 1")
+    assert once.count() == 21
+    asked = _ask(spark, "claim hailstone policy driver", "w7 claim night", "claim policy", "nothing known", "")
+    listed = lambda: sorted((r["query_id"], r["rank"], r["score"]) for r in retrieval.retrieve_lexical(asked.filter("query_id <> 1"), index, 3, direct=direct).collect())
+    ids = lambda: sorted(r["chunk_id"] for r in retrieval.retrieve_lexical(asked.filter("query_id = 1"), index, 3, direct=direct).collect())
+    want, named = listed(), ids()
+    monkeypatch.setattr(retrieval, "SCAN_POSTINGS", 0)
+    monkeypatch.setattr(retrieval, "SCAN_SHARE", 0.0)
+    plans, original = [], retrieval.top_k
+    monkeypatch.setattr(retrieval, "top_k", lambda chunks, *a, **b: plans.append(chunks) or original(chunks, *a, **b))
+    assert listed() == want and ids() == named
+    assert "counts" in str(plans[0].inputFiles()) and "blocks" not in str(plans[0].inputFiles())
