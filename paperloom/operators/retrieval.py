@@ -29,6 +29,9 @@ CELL_ROWS = 100_000
 MAX_CELL_TASKS = 10_000
 # Postings of the asked terms that are read without looking which of them can matter.
 DIRECT_POSTINGS = 20_000_000
+# From so many postings, and such a share of all words, the terms of the chunks are read in their place.
+SCAN_POSTINGS = 1_000_000
+SCAN_SHARE = 0.125
 # Postings of a question's rarest terms, for each hit wanted, that tell what others must beat.
 FIRST_POSTINGS = 50
 # Scores are rounded; a block this far below still counts.
@@ -87,7 +90,9 @@ def retrieve_lexical(questions: DataFrame, index: Index, k: int, direct: int = D
 
     Reads the postings of those terms, in the parts that hold one; no text.
     Beyond ``direct`` postings only blocks are read that can hold one of a
-    question's k best, see ``_needed_blocks``; the hits are the same.
+    question's k best, see ``_needed_blocks``. Where the postings to read are
+    many and a good share of all, the terms of the chunks (of those blocks) are
+    read instead: they need no shuffle. The hits are the same.
     """
     asked = questions.select("query_id", F.explode(F.array_distinct(terms("question"))).alias("term"))
     vocabulary = stage(
@@ -97,19 +102,28 @@ def retrieve_lexical(questions: DataFrame, index: Index, k: int, direct: int = D
     )
     known = vocabulary.groupBy("part").agg(F.sum("df").alias("df")).collect()
     here = F.col("part").isin([r["part"] for r in known]) if known else F.lit(False)
-    postings = index.postings
-    if index.blocks is not None and sum(r["df"] for r in known) > direct:
-        postings = posted(_needed_blocks(index.blocks.filter(here), asked.join(vocabulary, "term"), index, k))
-    postings = postings.filter(here).drop("part")
+    postings, chunks, to_read = index.postings, index.counts, sum(r["df"] for r in known)
     wanted = vocabulary.select("term", "df", "bucket")
-    if fits(wanted, MAX_BROADCAST_TERMS):
-        found = postings.join(F.broadcast(wanted), "term")
+    held = fits(wanted, MAX_BROADCAST_TERMS)
+    if index.blocks is not None and to_read > direct:
+        needed = _needed_blocks(index.blocks.filter(here), asked.join(vocabulary, "term"), index, k)
+        postings = posted(needed)
+        if held and _many(to_read, index):
+            found = needed.join(F.broadcast(wanted.select("term")), "term", "left_semi")
+            sizes = stage(found.groupBy("block").agg(F.sum(F.size("entries")).alias("n")), "needed-sizes")
+            to_read = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+            if index.n_blocks:
+                own = chunks.withColumn("block", part_of("chunk_id", index.n_blocks))
+                chunks = own.join(broadcast_if_small(sizes.select("block"), MAX_BROADCAST_TERMS), "block", "left_semi")
+    if held and _many(to_read, index):
+        chunk_vectors = _term_weights(chunks, index, wanted)
     else:
-        found = join_term_table(postings, wanted, index.n_chunks)
-    weight = bm25_weight(F.col("tf"), F.col("n"), index.mean_terms)
-    # a chunk has as many entries at most as it has terms
-    gathered = found.select("chunk_id", F.struct("bucket", weight.alias("weight")).alias("_v")).groupBy("chunk_id").agg(F.collect_list("_v").alias("_v"))
-    chunk_vectors = gathered.select("chunk_id", F.col("_v.bucket").alias("buckets"), F.col("_v.weight").alias("weights"))
+        postings = postings.filter(here).drop("part")
+        found = postings.join(F.broadcast(wanted), "term") if held else join_term_table(postings, wanted, index.n_chunks)
+        weight = bm25_weight(F.col("tf"), F.col("n"), index.mean_terms)
+        # a chunk has as many entries at most as it has terms
+        gathered = found.select("chunk_id", F.struct("bucket", weight.alias("weight")).alias("_v")).groupBy("chunk_id").agg(F.collect_list("_v").alias("_v"))
+        chunk_vectors = gathered.select("chunk_id", F.col("_v.bucket").alias("buckets"), F.col("_v.weight").alias("weights"))
     question_vectors = (
         asked.join(vocabulary, "term")
         .groupBy("query_id")
@@ -119,6 +133,47 @@ def retrieve_lexical(questions: DataFrame, index: Index, k: int, direct: int = D
     return top_k(chunk_vectors, question_vectors, k, "dot", min_score=0.0)
 
 
+def _many(postings: int, index: Index) -> bool:
+    """Whether to shuffle so many postings costs more than to read the terms of all chunks."""
+    return postings > SCAN_POSTINGS and postings > SCAN_SHARE * index.n_chunks * index.mean_terms
+
+
+def _term_weights(counts: DataFrame, index: Index, wanted: DataFrame) -> DataFrame:
+    """``(chunk_id, buckets, weights)`` of chunks with a wanted term, made where their counts are read.
+
+    Only rows of an id that several chunks have are brought together.
+    """
+    table = wanted.select("term", "bucket").toArrow().combine_chunks()
+    shared = counts.sparkSession.sparkContext.broadcast((table.column("term").combine_chunks(), table.column("bucket").to_numpy()))
+    mean = index.mean_terms
+    schema = T.StructType(
+        [counts.schema["chunk_id"], T.StructField("buckets", T.ArrayType(T.LongType())), T.StructField("weights", T.ArrayType(T.DoubleType()))]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, buckets = shared.value
+        for batch in batches:
+            lists = batch.column("terms")
+            found = pc.index_in(pc.list_flatten(lists), value_set=names)
+            here = found.is_valid()
+            row = pc.list_parent_indices(lists).filter(here).to_numpy(zero_copy_only=False)
+            tf = pc.list_flatten(batch.column("tfs")).filter(here).to_numpy(zero_copy_only=False)
+            weights = bm25_weight(tf, batch.column("n").to_numpy(zero_copy_only=False)[row], mean)
+            offsets = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets[found.drop_null().to_numpy(zero_copy_only=False)], weights)]
+            yield pa.RecordBatch.from_arrays([batch.column("chunk_id"), *made], schema.names).filter(pa.array(np.diff(offsets) > 0))
+
+    weighed = lambda rows: rows.select("chunk_id", "n", "terms", "tfs").mapInArrow(run, schema)
+    ids = index.counts.groupBy("chunk_id").agg(F.count("*").alias("_n"))
+    several = stage(ids.filter("_n > 1").select(F.col("chunk_id").alias("_id")), "several")
+    if several.isEmpty():
+        return weighed(counts)
+    several, same = broadcast_if_small(several, MAX_BROADCAST_HITS), F.col("chunk_id").eqNullSafe(F.col("_id"))
+    together = weighed(index.counts.join(several, same, "left_semi")).groupBy("chunk_id")
+    together = together.agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("buckets", "weights")))
+    return weighed(counts.join(several, same, "left_anti")).unionByName(together)
+
+
 def _needed_blocks(blocks: DataFrame, asked: DataFrame, index: Index, k: int) -> DataFrame:
     """The blocks that can hold one of the k best chunks of a question; ``asked`` has ``query_id, term, df, idf``.
 
@@ -126,6 +181,8 @@ def _needed_blocks(blocks: DataFrame, asked: DataFrame, index: Index, k: int) ->
     scores; the k-th of them is less than the k-th score. A block of chunks
     cannot beat that if the largest weights its postings have for all of the
     question's terms, added up, do not. Only those weights are read to tell.
+    Where the terms and blocks that are left are too many for the tasks to
+    hold, all terms of these blocks are read: the postings are never shuffled.
     """
     rarest = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, 0)
     asked = stage(asked.select("query_id", "term", "df", "idf").withColumn("_upto", F.sum("df").over(rarest)), "asked")
@@ -138,7 +195,11 @@ def _needed_blocks(blocks: DataFrame, asked: DataFrame, index: Index, k: int) ->
     asked_terms = broadcast_if_small(asked.select("query_id", "term", "idf"), MAX_BROADCAST_TERMS)
     bounds = blocks.select("term", "block", "top").join(asked_terms, "term").groupBy("query_id", "block").agg(F.sum(F.col("idf") * F.col("top")).alias("_bound"))
     open_pairs = bounds.join(broadcast_if_small(reached, MAX_BROADCAST_TERMS), "query_id", "left").filter(F.col("_bound") >= F.coalesce("_least", F.lit(0.0)) - SLACK)
-    needed = stage(open_pairs.select("query_id", "block").join(asked.select("query_id", "term"), "query_id").select("term", "block").distinct(), "needed")
+    open_pairs = stage(open_pairs.select("query_id", "block"), "open")
+    sizes = open_pairs.groupBy("query_id").agg(F.count("*").alias("_n")).join(asked.select("query_id"), "query_id")
+    if sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0] > MAX_BROADCAST_TERMS:
+        return blocks.join(broadcast_if_small(stage(open_pairs.select("block").distinct(), "needed"), MAX_BROADCAST_TERMS), "block", "left_semi").select(*blocks.columns)
+    needed = stage(open_pairs.join(asked.select("query_id", "term"), "query_id").select("term", "block").distinct(), "needed")
     return blocks.join(broadcast_if_small(needed, MAX_BROADCAST_TERMS), ["term", "block"], "left_semi")
 
 
