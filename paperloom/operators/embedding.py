@@ -210,7 +210,7 @@ def embed_by_join(counts: DataFrame, keep: list[str], weighted: DataFrame) -> Da
     vocabulary = Vocabulary(weighted.filter(F.col("df") >= cut).select("term", F.col("bucket").cast("long"), F.col("weight").cast("double")).toArrow())
     known = _known_sums(counts, keep, vocabulary)
     others = _other_terms(counts, keep, vocabulary).join(weighted.filter(F.col("df") < cut), "term")
-    single = others.select("_key", F.array(F.col("bucket").cast("long")).alias("buckets"), F.array(F.col("weight") * F.col("tf")).alias("sums"))
+    single = others.select("_key", F.array(F.col("bucket").cast("int")).alias("buckets"), F.array(F.col("weight") * F.col("tf")).alias("sums"))
     lists = known.unionByName(single).repartition("_key").groupBy("_key").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("buckets", "sums")))
     read = lists.select("_key.*", "buckets", "sums")
     schema = T.StructType([*read.schema.fields[:-2], *VECTOR_FIELDS])
@@ -250,12 +250,12 @@ def _known_sums(counts: DataFrame, keep: list[str], vocabulary: Vocabulary) -> D
     """``(_key, buckets, sums)`` of the terms that the vocabulary has."""
     shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
     read = counts.select(*keep, "terms", "tfs")
-    schema = T.StructType([*read.schema.fields[:-2], T.StructField("buckets", T.ArrayType(T.LongType())), T.StructField("sums", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*read.schema.fields[:-2], T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("sums", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             offsets, buckets, sums = shared.value.sums(batch.column("terms"), batch.column("tfs"))
-            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets, sums)]
+            made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (buckets.astype(np.int32), sums)]
             out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], schema.names)
             yield out.filter(pa.array(np.diff(offsets) > 0))
 

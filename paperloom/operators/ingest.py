@@ -1,7 +1,7 @@
 """Building, loading and refreshing an index.
 
 An index is a folder of tables: ``chunks`` (texts, in parts by a hash of the
-chunk id), ``counts`` (the terms of each chunk and how often, those of a part together), ``blocks``
+chunk id), ``counts`` (the terms of each chunk and how often, those of a part together in ``block_order``), ``blocks``
 (postings of a term for some of the chunks and the largest weight among them; in
 parts by a hash of the term), ``terms`` (idf) and ``vectors``; with an embedding model ``rejects`` lists the vectors that broke
 the contract. Metadata columns are kept on chunks, counts and vectors, and
@@ -33,6 +33,7 @@ POSTING_FILE_ROWS = 1_000_000
 TERM_FILE_ROWS = 10_000_000
 # Chunks whose postings of a term share a block, on average.
 BLOCK_CHUNKS = 512
+BLOCK_RANGE = 1 << 24
 # The usual settings of BM25.
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -57,7 +58,7 @@ class Index:
     partition_by: str | None
     make_model: MakeModel | None = None
     blocks: DataFrame | None = None  # ``postings`` as they are stored
-    n_blocks: int = 0  # a chunk's block is that part of so many; 0 if not known
+    n_blocks: int = 0  # 0 if not known
 
     @property
     def rejects(self) -> DataFrame:
@@ -86,6 +87,17 @@ def part_of(key: str | Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
+def block_order(key: str) -> Column:
+    """A number under ``BLOCK_RANGE`` that orders the chunks of a part by their blocks, however many these are."""
+    return F.shiftrightunsigned(F.xxhash64(key), 40)
+
+
+def block_of(key: str, parts: int, n_blocks: int) -> Column:
+    """A chunk's block of ``n_blocks``, a multiple of the parts: each part has its own."""
+    within = F.floor(block_order(key) * F.lit(n_blocks // parts) / F.lit(BLOCK_RANGE))
+    return (part_of(key, parts) + F.lit(parts) * within).cast("int")
+
+
 def parts_for(n_docs: int) -> tuple[int, int]:
     """Parts of a table, a bounded number of folders, and files in each, which grow with the documents."""
     parts = min(max(MIN_PARTS, -(-n_docs // PART_ROWS)), MAX_PARTS)
@@ -112,7 +124,8 @@ def ingest(
     _write_chunks(cut, path, parts, files)
     keep = ["chunk_id", "doc_id", *metadata]
     chunks = docs.sparkSession.read.parquet(f"{path}/chunks")
-    term_counts(chunks, keep).write.parquet(f"{path}/counts")
+    ordered = chunks.select(*keep, "text").sortWithinPartitions(block_order("chunk_id"))
+    term_counts(ordered, keep).write.parquet(f"{path}/counts")
     if make_model is not None:
         _write_model_vectors(chunks.select(*keep, "text"), path, make_model, dim, partition_by)
     return _finish(docs.sparkSession, path, metadata, partition_by, dim, parts, make_model)
@@ -152,7 +165,7 @@ def _finish(
     # the list of a frequent term is as long as the index: it is cut into blocks, and written by several tasks
     files = max(1, n_postings // (parts * POSTING_FILE_ROWS), n_chunks // TERM_FILE_ROWS)
     n_blocks = parts * max(1, n_chunks // (parts * BLOCK_CHUNKS))
-    listed = block_lists(counts, n_blocks, float(mean) or 1.0)
+    listed = block_lists(counts, parts, n_blocks, float(mean) or 1.0)
     spread = listed.withColumn("part", part_of("term", parts)).repartition(4 * parts * files, "part", F.pmod("block", F.lit(files)))
     entries = F.arrays_zip("chunk_id", "tf", "n").alias("entries")
     made = spread.sortWithinPartitions("part", "term", "block").select("term", "block", "top", entries, "part")
@@ -164,16 +177,15 @@ def _finish(
     return load_index(spark, path, make_model)
 
 
-def block_lists(counts: DataFrame, blocks: int, mean_terms: float) -> DataFrame:
+def block_lists(counts: DataFrame, parts: int, n_blocks: int, mean_terms: float) -> DataFrame:
     """``(term, block, top, chunk_id, tf, n)``: the postings of a term for the chunks of a block as
     lists, and their largest weight.
 
     Lists are made in the task that reads the counts, so what is shuffled after
-    is lists and no postings. The chunks of a block lie in one part where
-    ``blocks`` is a multiple of the parts; one that is read in pieces has a list
-    for each.
+    is lists and no postings. Counts lie in ``block_order``; a block that is read
+    in pieces has a list for each.
     """
-    placed = counts.select(part_of("chunk_id", blocks).alias("block"), "chunk_id", "n", "terms", "tfs").sortWithinPartitions("block")
+    placed = counts.select(block_of("chunk_id", parts, n_blocks).alias("block"), "chunk_id", "n", "terms", "tfs")
     chunk_id = placed.schema["chunk_id"].dataType
     schema = T.StructType(
         [
@@ -287,7 +299,9 @@ def refresh_index(
     keep = ["chunk_id", "doc_id", *index.metadata]
     counts = term_counts(made, keep)
     counts = index.counts.join(stale, key, "left_anti").select(*counts.columns).unionByName(counts)
-    counts.repartition(parts * files, *_file_keys(parts, files)).write.parquet(f"{path}/counts")
+    # in quarters of a part, which tasks can sort in memory
+    quarter = block_of("chunk_id", parts, 4 * parts)
+    counts.repartition(4 * parts * files, quarter, *_file_keys(parts, files)).sortWithinPartitions(block_order("chunk_id")).write.parquet(f"{path}/counts")
     if index.make_model is not None:
         still = index.vectors.join(stale, key, "left_anti")
         _write_model_vectors(made.select(*keep, "text"), path, index.make_model, index.dim, index.partition_by, still)

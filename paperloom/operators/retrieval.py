@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from paperloom.functions.policy import Policy, mask_pii, plain_terms
 from paperloom.functions.text import terms
 from paperloom.operators.embedding import MAX_BROADCAST_TERMS, join_term_table
-from paperloom.operators.ingest import Index, bm25_weight, part_of, posted
+from paperloom.operators.ingest import Index, block_of, bm25_weight, part_of, posted
 from paperloom.operators.screening import apply_policy
 from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _scan, finite, question_blocks, top_k
 from paperloom.staging import broadcast_if_small, fits, scratch_path, stage
@@ -113,7 +113,7 @@ def retrieve_lexical(questions: DataFrame, index: Index, k: int, direct: int = D
             sizes = stage(found.groupBy("block").agg(F.sum(F.size("entries")).alias("n")), "needed-sizes")
             to_read = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
             if index.n_blocks:
-                own = chunks.withColumn("block", part_of("chunk_id", index.n_blocks))
+                own = chunks.withColumn("block", block_of("chunk_id", index.parts, index.n_blocks))
                 chunks = own.join(broadcast_if_small(sizes.select("block"), MAX_BROADCAST_TERMS), "block", "left_semi")
     if held and _many(to_read, index):
         chunk_vectors = _term_weights(chunks, index, wanted)

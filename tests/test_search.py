@@ -613,7 +613,7 @@ def test_block_lists_come_without_a_row_for_each_posting(spark, tmp_path):
     """Postings are gathered in the task that reads the counts, so that lists are shuffled."""
     rows = [(i, f"claim policy w{i}") for i in range(400)]
     index = ingest(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "index"))
-    lists = ingesting.block_lists(index.counts, index.n_blocks, index.mean_terms)
+    lists = ingesting.block_lists(index.counts, index.parts, index.n_blocks, index.mean_terms)
     plan = lists._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Generate" not in plan
     often = lists.filter("term = 'claim'")
