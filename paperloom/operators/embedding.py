@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ DIMENSION = 1024
 # Largest term table sent to every task; beyond it only frequent terms are.
 MAX_BROADCAST_TERMS = 1_000_000
 VECTOR_FIELDS = [T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("weights", T.ArrayType(T.FloatType()))]
+# Terms that tasks hold by their hashes, 12 bytes each.
+MAX_HELD_TERMS = 8_000_000
 # Terms that tasks hold of a larger table: the most frequent ones.
 KNOWN_TERMS = 200_000
 # Rows whose terms are worked on at a time.
@@ -97,6 +100,64 @@ def bounded_vocabulary(table: DataFrame) -> Vocabulary | None:
     return Vocabulary(found) if found.num_rows <= MAX_BROADCAST_TERMS else None
 
 
+class HeldTerms:
+    """Weights of terms by 64 bits of their MD5, for many more terms than a ``Vocabulary`` has.
+
+    A term that is not held weighs ``other``. Two of ten million terms have the
+    same 64 bits with a chance of three in a million.
+    """
+
+    def __init__(self, table: pa.Table, dim: int, other: float):
+        keys = table.column("key").to_numpy().astype(np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.dim = keys[order], dim
+        # weights follow from frequencies, of which there are few; the last is for terms that are not held
+        values, rank = np.unique(table.column("weight").to_numpy(), return_inverse=True)
+        self.values, self.rank = np.r_[values, other], rank[order].astype(np.uint32)
+
+    def weights(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), self.values[-1])
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.values[np.where(self.keys[at] == keys, self.rank[at], len(self.values) - 1)]
+
+    def sums(self, lists: pa.Array, times: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``Vocabulary.sums``; each term of a batch is looked up once."""
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        coded = pc.list_flatten(lists).dictionary_encode()
+        keys, buckets = _digests(coded.dictionary, self.dim)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(lists), dtype=np.int64), lengths)
+        often = pc.list_flatten(times).to_numpy(zero_copy_only=False)
+        return _summed(row, buckets[codes], self.weights(keys)[codes] * often, len(lists))
+
+
+def _digests(names: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each term the last 64 bits of its MD5, and the bucket that ``term_bucket`` makes of the first 32."""
+    whole = b"".join([md5(t, usedforsecurity=False).digest() for t in names.cast(pa.binary()).to_pylist()])
+    halves = np.frombuffer(whole, ">u8").astype(np.uint64).reshape(-1, 2)
+    return halves[:, 1], ((halves[:, 0] >> np.uint64(32)) % np.uint64(dim)).astype(np.int64)
+
+
+def held_terms(table: DataFrame, dim: int) -> HeldTerms | None:
+    """``(term, df, weight)`` of all terms of some rows for the tasks, or None beyond the bound.
+
+    What is in one row only is not held: these terms, the most, all weigh the same.
+    """
+    several = table.filter(F.col("df") > 1)
+    if several.count() > MAX_HELD_TERMS:
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.array(_digests(batch.column("term"), dim)[0].view(np.int64))
+            yield pa.RecordBatch.from_arrays([keys, batch.column("weight")], ["key", "weight"])
+
+    single = table.filter(F.col("df") == 1).select(F.col("weight").cast("double")).first()
+    hashed = several.select("term", F.col("weight").cast("double").alias("weight")).mapInArrow(run, "key bigint, weight double")
+    return HeldTerms(hashed.toArrow(), dim, single[0] if single else 0.0)
+
+
 def term_counts(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and ``terms, tfs, n``: the distinct terms of each text, how often
     each occurs, and how many occurrences there are.
@@ -134,7 +195,7 @@ def counted_idf(counts: DataFrame, n_chunks: int) -> DataFrame:
     return found.select("term", "df", idf_value(n_chunks, F.col("df")).alias("idf"))
 
 
-def term_vectors(counts: DataFrame, keep: list[str], vocabulary: Vocabulary) -> DataFrame:
+def term_vectors(counts: DataFrame, keep: list[str], vocabulary: Vocabulary | HeldTerms) -> DataFrame:
     """Unit vectors ``buckets, weights`` of term counts; rows without known terms are dropped.
 
     Rows are worked on where they are: nothing is shuffled.
@@ -180,20 +241,23 @@ def embed_hash(
     return embed_counts(term_counts(df, keep, text), keep, dim, idf, n_chunks)
 
 
-def embed_counts(counts: DataFrame, keep: list[str], dim: int = DIMENSION, idf: DataFrame | None = None, n_chunks: int = 0) -> DataFrame:
+def embed_counts(
+    counts: DataFrame, keep: list[str], dim: int = DIMENSION, idf: DataFrame | None = None, n_chunks: int = 0, own: bool = False
+) -> DataFrame:
     """E2 from term counts.
 
     The weight of a bucket is the summed idf of the term occurrences in it,
     scaled to unit length and stored as 32-bit float. Terms the idf table lacks
     are dropped, rows left without terms too. While the table is within bounds
     the tasks hold it and nothing is shuffled; ``idf=None`` counts plain
-    occurrences.
+    occurrences. ``own`` says that the table was counted from these very rows:
+    then tasks need only the terms that several rows have.
     """
     if idf is None:
-        own = counts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-        idf, n_chunks = own.withColumn("idf", F.lit(1.0)), n_chunks or max(1, counts.count())
+        found = counts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+        idf, n_chunks = found.withColumn("idf", F.lit(1.0)), n_chunks or max(1, counts.count())
     weighted = idf.select("term", "df", F.col("idf").alias("weight"), term_bucket(F.col("term"), dim).cast("long").alias("bucket"))
-    vocabulary = bounded_vocabulary(weighted)
+    vocabulary = held_terms(weighted, dim) if own else bounded_vocabulary(weighted)
     if vocabulary is not None:
         return term_vectors(counts, keep, vocabulary)
     return embed_by_join(counts, keep, weighted)
@@ -239,11 +303,14 @@ def _common_df(table: DataFrame) -> int:
 
 def _summed(row: np.ndarray, buckets: np.ndarray, weights: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per row the summed weight of each bucket: ``(offsets, buckets, sums)``."""
-    order = np.lexsort((buckets, row))
-    row, buckets, weights = row[order], buckets[order], weights[order]
-    starts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (buckets[1:] != buckets[:-1])]) if len(row) else np.zeros(0, dtype=np.int64)
+    width = int(buckets.max()) + 1 if len(buckets) else 1
+    key = row * width + buckets
+    order = np.argsort(key, kind="stable")
+    key, weights = key[order], weights[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
     sums = np.add.reduceat(weights, starts) if len(starts) else np.zeros(0)
-    return np.searchsorted(row[starts], np.arange(n + 1)).astype(np.int32), buckets[starts], sums
+    rows, found = np.divmod(key[starts], width)
+    return np.searchsorted(rows, np.arange(n + 1)).astype(np.int32), found, sums
 
 
 def _known_sums(counts: DataFrame, keep: list[str], vocabulary: Vocabulary) -> DataFrame:
