@@ -97,7 +97,7 @@ def retrieve_lexical(questions: DataFrame, index: Index, k: int, direct: int = D
     asked = questions.select("query_id", F.explode(F.array_distinct(terms("question"))).alias("term"))
     vocabulary = stage(
         index.terms.join(asked.select("term").distinct(), "term", "left_semi")
-        .withColumns({"bucket": F.monotonically_increasing_id(), "part": part_of("term", index.parts)}),
+        .withColumns({"bucket": F.monotonically_increasing_id(), "part": part_of("term", index.term_parts or index.parts)}),
         "vocabulary",
     )
     known = vocabulary.groupBy("part").agg(F.sum("df").alias("df")).collect()

@@ -641,3 +641,58 @@ def test_lexical_hits_from_the_terms_of_chunks(spark, tmp_path, monkeypatch, dir
     monkeypatch.setattr(retrieval, "top_k", lambda chunks, *a, **b: plans.append(chunks) or original(chunks, *a, **b))
     assert listed() == want and ids() == named
     assert "counts" in str(plans[0].inputFiles()) and "blocks" not in str(plans[0].inputFiles())
+
+
+def test_an_index_is_built_with_one_shuffle_of_what_grows(spark, tmp_path, monkeypatch):
+    """Posting lists and vectors of any number of terms are written by the tasks that read the counts, and nothing is sorted first."""
+    plans = []
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    original = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: plans.append((path, self._df, spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))) or original(self, path, *a, **b))
+    monkeypatch.setattr(embedding, "MAX_BROADCAST_TERMS", 3)
+    rows = [(i, f"often {'common ' * (i % 3)}w{i} v{i // 3}") for i in range(90)] + [(99, None), (100, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = ingest(docs, str(tmp_path / "index"))
+    plan = {path.rsplit("/", 1)[1]: df._jdf.queryExecution().executedPlan().toString() for path, df, _ in plans}
+    assert all("Exchange" not in plan[n] and "Sort" not in plan[n] for n in ("blocks", "vectors"))
+    writers = {path.rsplit("/", 1)[1]: int(n) for path, _, n in plans}
+    assert writers["blocks"] > index.term_parts == 8 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == str(writers["counts"])
+    # the same vectors as by a table of all terms
+    monkeypatch.setattr(embedding, "MAX_BROADCAST_TERMS", 10**6)
+    keep = ["chunk_id", "doc_id"]
+    whole = {r["chunk_id"]: dict(zip(r["buckets"], r["weights"])) for r in embedding.embed_counts(index.counts, keep, 1024, index.terms, index.n_chunks).collect()}
+    got = {r["chunk_id"]: dict(zip(r["buckets"], r["weights"])) for r in index.vectors.collect()}
+    assert got.keys() == whole.keys() and len(got) == 90
+    assert all(got[k].keys() == whole[k].keys() and all(math.isclose(got[k][b], w, rel_tol=1e-6) for b, w in whole[k].items()) for k in whole)
+    # beyond the bound terms are joined, to the same vectors
+    monkeypatch.setattr(embedding, "MAX_HELD_TERMS", 2)
+    monkeypatch.setattr(embedding, "KNOWN_TERMS", 4)
+    joined = {r["chunk_id"]: dict(zip(r["buckets"], r["weights"])) for r in embedding.embed_counts(index.counts, keep, 1024, index.terms, index.n_chunks, own=True).collect()}
+    assert joined.keys() == whole.keys() and all(math.isclose(joined[k][b], w, rel_tol=1e-6) for k in whole for b, w in whole[k].items())
+
+
+@pytest.mark.parametrize("dim", [7, 1024])
+def test_held_terms_have_the_buckets_of_the_table(spark, dim):
+    import pyarrow as pa
+
+    names = ["a", "naïve", "слово", "中文", "x" * 300]
+    table = spark.createDataFrame([(t,) for t in names], "term string")
+    want = {r["term"]: r["b"] for r in table.select("term", embedding.term_bucket(F.col("term"), dim).alias("b")).collect()}
+    keys, buckets = embedding._digests(pa.array(names), dim)
+    assert dict(zip(names, buckets.tolist())) == want and len(set(keys.tolist())) == len(names)
+    held = embedding.HeldTerms(pa.table({"key": pa.array(keys[:2].astype("int64")), "weight": [2.0, 3.0]}), dim, 5.0)
+    assert held.weights(keys).tolist() == [2.0, 3.0, 5.0, 5.0, 5.0]
+
+
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_lists_of_few_postings_a_file_are_brought_together(spark, tmp_path, monkeypatch, small):
+    """Many small files are not made; more folders of chunks than of terms are asked as well."""
+    monkeypatch.setattr(ingesting, "SMALL_FILES", small)
+    monkeypatch.setattr(ingesting, "TERM_PARTS", 3)
+    index = ingest(spark.createDataFrame([(i, f"common w{i} hail{i % 7}") for i in range(70)], "doc_id long, text string"), str(tmp_path / "i"))
+    assert (index.parts, index.term_parts) == (8, 3) and {r["part"] for r in index.blocks.select("part").distinct().collect()} == {0, 1, 2}
+    assert {(r["term"], r["chunk_id"]) for r in index.postings.collect()} == {(t, f"{i}#0") for i in range(70) for t in ("common", f"w{i}", f"hail{i % 7}")}
+    hits = retrieval.retrieve_lexical(_ask(spark, "w12 hail5", "hail0"), index, 11).collect()
+    assert {h["chunk_id"] for h in hits if h["query_id"] == 0} == {f"{i}#0" for i in range(70) if i % 7 == 5 or i == 12}
+    assert len([h for h in hits if h["query_id"] == 1]) == 10
