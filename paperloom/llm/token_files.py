@@ -41,8 +41,8 @@ NO_ID = -(1 << 63)
 # Ids and offsets read at once where a file cannot be mapped.
 READ = 1 << 22
 
-# A blank after white space that is not the last before something else.
-_INSIDE_RUN = re.compile(r"\s (?!\S)")
+# A blank after white space that is not the last before something else; the search goes from blank to blank.
+_INSIDE_RUN = re.compile(r" (?!\S)(?<=\s )")
 
 # The signs that stand for bytes in a byte-level vocabulary: printable ones of
 # Latin-1 for themselves, the others in order from 256 on.
@@ -75,10 +75,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content and not (added_as_text and t.special)]
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content and not (added_as_text and t.special)]
         if added_as_text:
             self.library.encode_special_tokens = True
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.library.no_truncation()
         self.library.no_padding()
         self.code = "H" if id_type(self.library.get_vocab_size()) == "<u2" else "I"
@@ -139,7 +138,7 @@ class WordEncoder:
         made: list = [None] * len(texts)
         whole, cut, missing = [], [], set()
         for i, text in enumerate(texts):
-            if _INSIDE_RUN.search(text) or (self.added and self.added.search(text)):
+            if _INSIDE_RUN.search(text) or any(a in text for a in self.added):
                 whole.append(i)
                 continue
             first, *words = text.split(" ")

@@ -90,3 +90,17 @@ def test_tokenizers_with_another_rule_get_whole_texts(tmp_path):
         whole = Tokenizer.from_file(path)
         got = [np.frombuffer(b, "<u2").tolist() for b in WordEncoder(path, added_as_text=False).encode(texts)]
         assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_runs_of_white_space_are_found_as_by_their_definition():
+    """A blank after white space that no other sign follows, whatever the texts; added tokens are found as they are."""
+    import itertools
+    import re
+
+    from paperloom.llm import token_files
+
+    stated = re.compile(r"\s (?!\S)")
+    for n in range(7):
+        for signs in itertools.product(" \n a", repeat=n):
+            text = "".join(signs)
+            assert bool(token_files._INSIDE_RUN.search(text)) == bool(stated.search(text)), repr(text)
