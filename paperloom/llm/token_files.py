@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,9 @@ from paperloom.shipping import ship_package
 # Encoded words a task remembers, twice at most, and the longest that it does.
 MEMO = 400_000
 MEMO_CHARS = 48
-# Texts encoded at once.
-BLOCK = 64
+# Bytes of the texts whose words are brought together, and the texts or words handed to the library at once.
+BLOCK = 8 << 20
+HANDED = 64
 # A null document id in the file of ids.
 NO_ID = -(1 << 63)
 # Ids and offsets read at once where a file cannot be mapped.
@@ -81,6 +83,7 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.code = "H" if id_type(self.library.get_vocab_size()) == "<u2" else "I"
+        self.merges = self.library.model
         stated = json.loads(self.library.to_str())
         rule = stated["pre_tokenizer"] or {}
         self.cuts = stated["normalizer"] is None and (rule.get("type"), rule.get("add_prefix_space"), rule.get("use_regex", True)) == ("ByteLevel", False, True)
@@ -90,71 +93,87 @@ class WordEncoder:
         self.tails: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        code = self.code
-        return [array(code, e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        code, made = self.code, []
+        for start in range(0, len(texts), HANDED):
+            made += [array(code, e.ids).tobytes() for e in self.library.encode_batch_fast(texts[start : start + HANDED], add_special_tokens=False)]
+        return made
 
     def _letters(self, word: str) -> bytes:
         """Ids of a blank and letters, which the tokenizer never cuts: straight from its merges."""
         # printable signs of ASCII stand for themselves
         spelled = _BLANK + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(BYTE_SIGNS)
-        merged = self.library.model.tokenize(spelled)
-        return array(self.code, [t.id for t in merged]).tobytes()
+        return array(self.code, [t.id for t in self.merges.tokenize(spelled)]).tobytes()
 
-    def _words(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not remembered, each with its blank.
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each with its blank.
 
         A word is cut once more where its first letters end, as the tokenizer
         does, so that one with a full stop helps one without.
         """
-        cut = {w: m.groups() for w in words if (m := _LETTERS_END.fullmatch(w))}
-        heads = {h for h, _ in cut.values()} | (words - cut.keys())
-        now = {h: b for h in heads if (b := self.memo.get(h) or self.older.get(h)) is not None}
-        tails = {t: b for _, t in cut.values() if (b := self.tails.get(t)) is not None}
-        new_heads = [h for h in heads if h not in now]
+        heads, cut = list(words), {}
+        for i, word in enumerate(words):
+            if not word.isalpha() and (m := _LETTERS_END.fullmatch(word)):
+                heads[i], cut[i] = m.groups()
+        found = list(map(self.memo.get, heads))
+        new = {h: self.older.get(h) for h, f in zip(heads, found) if f is None}
         if self.direct:
-            now.update({h: self._letters(h) for h in new_heads if h.isalpha()})
-            new_heads = [h for h in new_heads if h not in now]
-        new_tails = list({t for _, t in cut.values() if t not in tails})
-        made = self._encode([" " + h for h in new_heads] + new_tails)
-        now.update(zip(new_heads, made))
-        tails.update(zip(new_tails, made[len(new_heads) :]))
-        now.update({w: now[h] + tails[t] for w, (h, t) in cut.items()})
-        self._remember(now, tails)
-        return now
+            new.update([(h, self._letters(h)) for h, f in new.items() if f is None and h.isalpha()])
+        others = [h for h, f in new.items() if f is None]
+        tails = {t: self.tails.get(t) for t in cut.values()}
+        new_tails = [t for t, f in tails.items() if f is None]
+        made = self._encode([" " + h for h in others] + new_tails)
+        new.update(zip(others, made))
+        tails.update(zip(new_tails, made[len(others) :]))
+        if new:
+            found = [new[h] if f is None else f for h, f in zip(heads, found)]
+        for i, t in cut.items():
+            found[i] += tails[t]
+        self._remember(new, {t: tails[t] for t in new_tails})
+        return found
 
     def _remember(self, words: dict[str, bytes], tails: dict[str, bytes]) -> None:
-        if len(self.memo) > MEMO:  # words that come again move on from the older half
+        if len(self.memo) + len(words) > MEMO:  # words that come again move on from the older half
             self.older, self.memo = self.memo, {}
-        if len(self.tails) > MEMO:
+        if len(self.tails) + len(tails) > MEMO:
             self.tails = {}
-        self.memo.update({w: b for w, b in words.items() if len(w) <= MEMO_CHARS})
-        self.tails.update({t: b for t, b in tails.items() if len(t) <= MEMO_CHARS})
+        self.memo.update([x for x in words.items() if len(x[0]) <= MEMO_CHARS])
+        self.tails.update([x for x in tails.items() if len(x[0]) <= MEMO_CHARS])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as bytes."""
+        """Ids of each text, as bytes.
+
+        Equal words of the texts are brought together as Arrow dictionaries, so
+        that each is looked up or encoded once.
+        """
         if not self.cuts:
             return self._encode(texts)
-        known = self.memo.get
-        made: list = [None] * len(texts)
-        whole, cut, missing = [], [], set()
-        for i, text in enumerate(texts):
+        firsts, rests = [], []
+        for text in texts:
             if _INSIDE_RUN.search(text) or any(a in text for a in self.added):
-                whole.append(i)
-                continue
-            first, *words = text.split(" ")
-            found = list(map(known, words))
-            if None in found:
-                missing.update([w for w, f in zip(words, found) if f is None])
-            cut.append((i, words, found))
-        others = self._encode([texts[i].split(" ", 1)[0] for i, _, _ in cut] + [texts[i] for i in whole])
-        now = self._words(missing)
-        for (i, words, found), first in zip(cut, others):
-            if None in found:
-                found = [now[w] if f is None else f for w, f in zip(words, found)]
-            made[i] = b"".join([first, *found])
-        for i, ids in zip(whole, others[len(cut) :]):
-            made[i] = ids
-        return made
+                first, rest = text, None
+            else:
+                first, blank, rest = text.partition(" ")
+                rest = rest if blank else None
+            firsts.append(first)
+            rests.append(rest)
+        split = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        laid = pa.array(self._words(words), pa.large_binary()).take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(laid).to_numpy())])
+        cuts = ends[np.concatenate([[0], np.cumsum(split.value_lengths().fill_null(0).to_numpy())])].tolist()
+        ids = memoryview(laid.buffers()[2] or b"")
+        return [b"".join([first, ids[a:b]]) for first, a, b in zip(self._encode(firsts), cuts, cuts[1:])]
+
+
+def blocks(texts: pa.Array, size: int) -> Iterator[list[str]]:
+    """All texts in their order, at most ``size`` bytes of them at once, but one at least."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    start = before = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield texts.slice(start, end - start).to_pylist()
+        start, before = end, int(ends[end - 1])
 
 
 def id_type(vocabulary: int) -> str:
@@ -204,8 +223,8 @@ def write_tokens(
             out[2].write(batch.column(0).fill_null(NO_ID).to_numpy().astype("<i8").tobytes())
             end = array(encoder.code, [end_id]).tobytes()
             lengths = []
-            for start in range(0, batch.num_rows, BLOCK):
-                for ids in encoder.encode(batch.column(1).slice(start, BLOCK).to_pylist()):
+            for texts in blocks(batch.column(1), BLOCK):
+                for ids in encoder.encode(texts):
                     out[0].write(ids + end)
                     lengths.append(len(ids) // len(end) + 1)
             out[1].write(np.array(lengths, "<u8").tobytes())

@@ -104,3 +104,35 @@ def test_runs_of_white_space_are_found_as_by_their_definition():
         for signs in itertools.product(" \n a", repeat=n):
             text = "".join(signs)
             assert bool(token_files._INSIDE_RUN.search(text)) == bool(stated.search(text)), repr(text)
+
+
+def test_equal_words_of_texts_are_looked_up_once():
+    """However often a word stands in the texts encoded at once, it is looked up and encoded once."""
+    asked = []
+
+    class Counted(dict):
+        def get(self, word, *other):
+            asked.append(word)
+            return super().get(word, *other)
+
+    own, whole = WordEncoder(PATH, added_as_text=False), Tokenizer.from_file(PATH)
+    own.memo = Counted()
+    texts = ["the cat, the dog; the cat. naïve 12", "a dog", "dog", "", " the", "the ", "a  cat the the", "a   cat", "x" * 60 + " " + "y" * 60 + "!"] * 50
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        asked.clear()
+        assert [np.frombuffer(b, "<u2").tolist() for b in own.encode(texts)] == want
+        # cat, the dog; cat. naïve 12 dog cat, the blank alone and the long word
+        assert len(asked) <= 10, asked
+
+
+def test_blocks_hold_all_texts_in_order():
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    for size in (1, 10, 1 << 20):
+        for n in (0, 1, 50):
+            texts = ["é" * rnd.randint(0, 9) for _ in range(n)]
+            got = list(token_files.blocks(pa.array(["cut off", *texts], pa.string()).slice(1), size))
+            assert [t for b in got for t in b] == texts and all(b for b in got)
+            assert all(len(b) == 1 or sum(len(t.encode()) for t in b) <= size for b in got)
