@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -139,10 +140,15 @@ SPAN_STARTS = {
     "EMAIL": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "PHONE": r"(?=[0-9+(])(\+?[0-9] )?(\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}",
 }
+# Every match holds the first sign, and none the second: a search begins behind the last
+# of these that stands before the first sign.
+SPAN_SKIPS = {"EMAIL": ("@", " ")}
 # Stands between the parts of a text that is cut at matches.
 SPAN_MARK = "\x01"
 # Whole numbers and letters, neighbours included: what MASKS needs two passes for.
-SPAN_PATTERNS = {"VEHICLE_IDENTIFICATION_NUMBER": r"(?<![A-Za-z0-9])[A-HJ-NPR-Z0-9]{17}(?![A-Za-z0-9])"}
+SPAN_PATTERNS = {"VEHICLE_IDENTIFICATION_NUMBER": r"(?=[A-HJ-NPR-Z0-9])(?<![A-Za-z0-9])[A-HJ-NPR-Z0-9]{17}(?![A-Za-z0-9])"}
+# A sentence and the marks and newlines before it, so that places are sums of lengths.
+PIECE_PATTERN = r"\G[.!?\n]*+" + SENTENCE_PATTERN
 
 
 @dataclass(frozen=True)
@@ -556,8 +562,8 @@ def spans(text: Column, pattern: str, label: int | None = None) -> Column:
     """
     width = 2 if label is None else 3
     marks = f"{SPAN_MARK}$0{SPAN_MARK}" if label is None else f"{SPAN_MARK}${label}{SPAN_MARK}$0{SPAN_MARK}"
-    # a gap, the label if there is one, the match, the next gap
-    cut = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(marks)), SPAN_MARK, -1)
+    marked = F.regexp_replace(text, F.lit(pattern), F.lit(marks))
+    nothing = F.array().cast("array<struct<start:int,end:int,hit:string>>")
 
     def placed(parts: Column) -> Column:
         def part(i: Column, which: int) -> Column:
@@ -575,10 +581,12 @@ def spans(text: Column, pattern: str, label: int | None = None) -> Column:
         last = F.floor((F.size(parts) - 1) / width).cast("int") - 1
         return F.transform(_sums_before(F.transform(F.sequence(F.lit(0), last), size)), row)
 
-    made = F.when(F.contains(text, F.lit(SPAN_MARK)), _spans_apart(text, pattern, label)).otherwise(_let(cut, placed))
-    return F.when(F.regexp_like(text, F.lit(pattern)), made).when(
-        text.isNotNull(), F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    )
+    def cut(marked: Column) -> Column:
+        # a gap, the label if there is one, the match, the next gap
+        return F.when(F.contains(marked, F.lit(SPAN_MARK)), _let(F.split(marked, SPAN_MARK, -1), placed)).otherwise(nothing)
+
+    made = F.when(F.contains(text, F.lit(SPAN_MARK)), _spans_apart(text, pattern, label)).otherwise(_let(marked, cut))
+    return F.when(text.isNotNull(), made)
 
 
 def _spans_apart(text: Column, pattern: str, label: int | None) -> Column:
@@ -593,6 +601,12 @@ def _spans_apart(text: Column, pattern: str, label: int | None) -> Column:
     return F.zip_with(ends, cut, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit")))
 
 
+def _spans_behind(text: Column, skipped: Column, pattern: str, label: int | None) -> Column:
+    """``spans`` of what follows the first characters, places counted from the beginning."""
+    found = spans(F.substr(text, skipped + 1), pattern, label)
+    return F.transform(found, lambda s: F.struct((s["start"] + skipped).alias("start"), (s["end"] + skipped).alias("end"), s["hit"].alias("hit")))
+
+
 def pii_spans(text: Column, kind: str, policy: Policy) -> Column:
     """K8: where data of a type stands, without the label before it."""
     if kind in SPAN_PATTERNS:
@@ -601,28 +615,65 @@ def pii_spans(text: Column, kind: str, policy: Policy) -> Column:
     if kind in policy.of_type("BLOCK") or kind not in listed:
         return spans(text, policy.found_by(kind))
     pattern, replacement = listed[kind]
-    found = spans(text, SPAN_STARTS.get(kind, pattern), 1 if replacement.startswith("$1") else None)
+    pattern, label = SPAN_STARTS.get(kind, pattern), 1 if replacement.startswith("$1") else None
+    if kind in SPAN_SKIPS:
+        sign, never = SPAN_SKIPS[kind]
+        ahead = F.substring_index(text, sign, 1)
+        found = _let(F.length(ahead) - F.length(F.substring_index(ahead, never, -1)), lambda n: _spans_behind(text, n, pattern, label))
+    else:
+        found = spans(text, pattern, label)
     return F.when(may_mask(text, kind), found).when(text.isNotNull(), F.array().cast("array<struct<start:int,end:int,hit:string>>"))
 
 
 def word_spans(text: Column, words: tuple[str, ...]) -> Column:
     """K8: where one of the words stands as a whole term, in either case of A-Z."""
     either = "|".join(sorted(words, key=lambda w: (-len(w), w)))
-    return spans(text, rf"(?i)(?<![\p{{L}}0-9])(?:{either})(?![\p{{L}}0-9])")
+    # most characters begin no word, which is told before what stands in front of them is looked at
+    plain = all(w[:1].isascii() and w[:1].isalnum() for w in words)
+    start = f"(?=[{''.join(sorted({w[0] for w in words}))}])" if plain else ""
+    return spans(text, rf"(?i){start}(?<![\p{{L}}0-9])(?:{either})(?![\p{{L}}0-9])")
 
 
-def sentence_spans(text: Column) -> Column:
-    """K8: ``sentences`` with their places, blanks around them left out."""
+def sentence_pieces(text: Column) -> Column:
+    """The text up to the end of its last sentence, cut after each sentence."""
+    return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), F.lit(0))
 
-    def trimmed(s: Column) -> Column:
+
+def may_be_near(sents: Column, policy: Policy) -> Column:
+    """K2: the numbers of the sentences, as lists of terms, that may be about a denied topic.
+
+    What a set of terms shares with an example is at most all of the set, so to
+    reach the threshold it needs so many terms of the examples at least.
+    """
+    if policy.topic_model is not None:
+        listed, least = [], 0
+    else:
+        examples = [set(plain_terms(e)) for _, _, examples in policy.topics for e in examples]
+        listed = sorted(set().union(*examples))
+        least = ceil(max(0.0, policy.topic_threshold) ** 2 * min(map(len, examples), default=0) - 1e-9)
+
+    def near(s: Column) -> Column:
+        shared = F.size(_among(s, tuple(listed))) >= least if least > 0 else F.lit(True)
+        return (F.size(s) > 0) & shared
+
+    return F.array_compact(F.transform(sents, lambda s, i: F.when(near(s), i)))
+
+
+def piece_places(pieces: Column, numbers: Column) -> Column:
+    """K8: where the sentences of the numbered pieces stand, blanks around them left out: ``array<struct<start, end>>``."""
+
+    def place(piece: Column, before: Column) -> Column:
         def inside(right: Column) -> Column:
-            inner = F.ltrim(right, F.lit(WHITESPACE))
-            end = s["start"] + F.length(right)
-            return F.struct((end - F.length(inner)).alias("start"), end.alias("end"), inner.alias("hit"))
+            end = before + F.length(right)
+            return F.struct((end - F.length(F.ltrim(right, F.lit(".!?" + WHITESPACE)))).alias("start"), end.alias("end"))
+
+        return _let(F.rtrim(piece, F.lit(WHITESPACE)), inside)
 
-        return _let(F.rtrim(s["hit"], F.lit(WHITESPACE)), inside)
+    def placed(sums: Column) -> Column:
+        return F.transform(numbers, lambda i: place(F.get(pieces, i), F.get(sums, i)))
 
-    return F.filter(F.transform(spans(text, SENTENCE_PATTERN), trimmed), lambda s: s["hit"] != "")
+    nothing = F.array().cast("array<struct<start:int,end:int>>")
+    return F.when(F.size(numbers) > 0, _let(_sums_before(F.transform(pieces, F.length)), placed)).otherwise(nothing)
 
 
 def blocked_message(side: str, policy: Policy | None = None) -> Column:

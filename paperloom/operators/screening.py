@@ -17,9 +17,11 @@ from paperloom.functions.policy import (
     mask_mentions,
     mask_pii,
     masked_count,
+    may_be_near,
     near_topic,
+    piece_places,
     pii_spans,
-    sentence_spans,
+    sentence_pieces,
     sentence_terms,
     word_spans,
 )
@@ -102,13 +104,18 @@ def policy_trace(
         model = policy.learned.get(category)
         listed.append((category, tuple(w for w, _ in model.weights) if model is not None else tuple(policy.lexicon[category])))
     every = sorted({w.lower() for _, words in listed for w in words})
-    seen = once(df.select(key, text), _sents=sentence_terms(body))
-    judged = once(
-        seen,
-        _hits=F.filter(F.flatten("_sents"), lambda t: t.isin(*every)) if every else F.array().cast("array<string>"),
-        _blocked=blocked_categories(F.flatten("_sents"), policy, side),
-        _denied=denied_topics(F.col("_sents"), policy),
-    )
+
+    def read(pieces: Column, sents: Column) -> Column:
+        hits = F.filter(F.flatten(sents), lambda t: t.isin(*every)) if every else F.array().cast("array<string>")
+        close = may_be_near(sents, policy) if policy.topics else F.array().cast("array<int>")
+        # terms of the few sentences that may be near a topic, and where these stand
+        def zipped(numbers: Column) -> Column:
+            return F.zip_with(numbers, piece_places(pieces, numbers), lambda i, p: F.struct(F.array_distinct(F.get(sents, i)).alias("own"), p.alias("place")))
+
+        return F.struct(hits.alias("hits"), _let(close, zipped).alias("close"))
+
+    seen = once(df.select(key, text), _read=_let(sentence_pieces(body), lambda pieces: _let(F.transform(pieces, terms), lambda sents: read(pieces, sents))))
+    judged = once(seen, _hits=F.col("_read.hits"), _blocked=blocked_categories(F.col("_read.hits"), policy, side))
     found = []
 
     def add(kind: str, name: str, action: Column, places: Column) -> None:
@@ -131,14 +138,10 @@ def policy_trace(
             add("filter", category, F.when(blocks, "BLOCK").otherwise("NONE"), F.when(stands(words), word_spans(body, words)))
 
     def near(name: str) -> Callable[[Column], Column]:
-        def judge(s: Column) -> Column:
-            return _let(F.array_distinct(terms(s["hit"])), lambda own: F.when(F.size(own) > 0, near_topic(own, name, policy)).otherwise(F.lit(False)))
-
-        return judge
+        return lambda s: near_topic(s["own"], name, policy)
 
     for name, _, _ in policy.topics:
-        denied = F.array_contains("_denied", name)
-        add("topic", name, F.lit("BLOCK"), F.when(denied, F.filter(sentence_spans(body), near(name))))
+        add("topic", name, F.lit("BLOCK"), F.transform(F.filter("_read.close", near(name)), lambda s: s["place"]))
     for kind, action in policy.pii:
         add("pii", kind, F.lit(action), pii_spans(body, kind, policy))
     if not found:

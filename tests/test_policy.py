@@ -406,3 +406,26 @@ def test_a_long_word_is_no_square_of_work(spark):
     plain = {t: p for t, p, _ in rules.MASKS}["EMAIL"]
     seconds(rules.pii_spans(F.col("text"), "PHONE", rules.Policy()))
     assert seconds(rules.pii_spans(F.col("text"), "EMAIL", rules.Policy())) < seconds(rules.spans(F.col("text"), plain)) / 2
+
+
+def test_trace_judges_close_sentences_only(spark):
+    """Places of sentences between runs of marks and newlines; what shares too few terms with an example is not compared with it."""
+    text = "..\n Is it?\n\n.\t Is this POLICY contract enforceable?!  \n\nWho is the president of France. 😀 Is this symptom serious" + "?\n" * 3_000
+    docs = spark.createDataFrame([(1, text), (2, "\n.!?"), (3, "a b c. policy"), (4, None)], "doc_id long, text string")
+    traced = screening.policy_trace(docs)
+    got = sorted((r["doc_id"], r["type"], text[r["start"] : r["end"]]) for r in traced.collect())
+    assert got == [
+        (1, "LegalAdvice", "Is this POLICY contract enforceable?!"),
+        (1, "MedicalAdvice", "😀 Is this symptom serious?"),
+        (1, "Politics", "Who is the president of France."),
+    ]
+    close = docs.select("doc_id", rules.may_be_near(F.transform(rules.sentence_pieces("text"), terms), rules.Policy()).alias("n"))
+    assert {r["doc_id"]: r["n"] for r in close.collect()} == {1: [1, 3, 4], 2: [], 3: [], 4: None}
+
+
+def test_email_places_behind_what_cannot_match(spark):
+    texts = ["a b.c@d.org,x@y.de @ z@q.com", "x@y.de", "é \U0001f600 \x01 a@b.org", "a@ b@c.org", "@ @", "nothing"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    for r in docs.select("t", rules.pii_spans(F.col("t"), "EMAIL", rules.Policy()).alias("s")).collect():
+        wanted = re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r["t"])
+        assert [tuple(x) for x in r["s"]] == [(*m.span(), m.group()) for m in wanted]
