@@ -3,9 +3,8 @@
 A coarse quantiser deals vectors to lists; what is left of a vector after its
 list's center is cut into sub-vectors, and each is written as the number of the
 nearest entry of that part's codebook: one byte for several numbers. A question
-looks into the lists nearest to it only, adds up table entries instead of
-multiplying vectors, and the best candidates are scored again with their whole
-vectors. Centers and codebooks are fitted on a bounded sample; every vector is
+looks into the lists nearest to it only, is multiplied with what the codes stand
+for, and the best candidates are scored again with their whole vectors. Centers and codebooks are fitted on a bounded sample; every vector is
 coded.
 """
 
@@ -17,13 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from paperloom.operators.retrieval import _matrix, usual_length
-from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _arrow_schema, _ids, finite, question_groups
+from paperloom.operators.search import MAX_QUERIES, MAX_QUERY_CELLS, QueryMatrix, _arrow_schema, finite, question_groups
 from paperloom.shipping import ship_package
 from paperloom.staging import scratch_path
 
@@ -41,9 +41,12 @@ MIN_FILE_ROWS = 2_000
 # Candidates per question and wanted hit that are scored again, and lists looked into.
 RESCORED = 20
 PROBED = 0.25
-# Candidates of all questions that a task holds, and those scored again at a time.
-MAX_CANDIDATES = 2_000_000
-RESCORE_ROWS = 100_000
+# Cells of the vectors that a task works on at a time, of a block of scores, and of the table of questions and lists.
+HELD_CELLS = 8_000_000
+SCORE_CELLS = 4_000_000
+VISIT_CELLS = 64_000_000
+# Of so many rows for each candidate, or fewer, all are multiplied with the question.
+DENSE_SHARE = 16
 
 
 def _nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -103,6 +106,10 @@ class Codebook:
         codes = [_nearest(rest[:, p * width : (p + 1) * width], book) for p, book in enumerate(self.entries)]
         return lists, np.stack(codes, axis=1).astype(np.uint8)
 
+    def decode(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The vectors that lists and codes stand for."""
+        return self.centers[lists] + np.concatenate([self.entries[p][codes[:, p]] for p in range(codes.shape[1])], axis=1)
+
     def tables(self, questions: np.ndarray) -> np.ndarray:
         """What each entry adds to a question's product: ``parts, entries, questions``."""
         parts, _, width = self.entries.shape
@@ -125,12 +132,12 @@ class CodedIndex:
         """About the k nearest by cosine, ``(query, rank, id, score)`` with exact scores.
 
         Each question looks into its ``n_probe`` nearest lists (by default a
-        quarter of them). A task scores its ``rescored * k`` best codes of a
+        quarter of them). A task scores the ``rescored * k`` best codes of a
         question again, with the whole vectors that lie beside them, and hands
         on the k best of those; so no candidate is a row of its own, and an
-        index of several files has as many scored again for each. Questions are
-        taken in blocks of bounded size, as many in one reading as their
-        candidates admit; a question whose vector is null, not finite or of
+        index of several files, or of large ones, has as many scored again for each
+        ``HELD_CELLS`` of vectors. Questions are taken in blocks of bounded size, as many in one reading as their
+        matrix admits; a question whose vector is null, not finite or of
         another length finds nothing, a zero one has score 0 everywhere. More
         lists and more rescoring find more of the exact hits; with all of both
         the result is that of ``top_k``.
@@ -142,7 +149,7 @@ class CodedIndex:
         probe = min(n_probe or max(1, round(PROBED * len(self.book.centers))), len(self.book.centers))
         out = scratch_path(spark, "coded")
         spark.createDataFrame([], schema).write.parquet(f"{out}/found=-1")
-        at_once = max(1, MAX_CANDIDATES // (rescored * k))
+        at_once = max(1, VISIT_CELLS // len(self.book.centers))
         number = 0
         for group in question_groups(asked, query_col, MAX_QUERY_CELLS):
             for start in range(0, group.num_rows, at_once):
@@ -153,104 +160,109 @@ class CodedIndex:
         return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(query_col, "rank", self.id_col, "score")
 
     def _scan(self, asked: pa.Table, k: int, probe: int, rescored: int, query_col: str, schema: T.StructType, step: int) -> DataFrame:
-        """The k best of each task, for questions whose candidates fit a task."""
+        """The k best of each piece of the index that a task holds at a time, for questions of a bounded matrix."""
         spark, book = self.table.sparkSession, self.book
         matrix = QueryMatrix.of(asked, query_col, "cosine")
-        nearness = matrix.vectors.T @ book.centers.T - (book.centers**2).sum(axis=1) / 2
-        visits = np.zeros(nearness.shape, bool)
-        np.put_along_axis(visits, np.argsort(-nearness, axis=1, kind="stable")[:, :probe], True, axis=1)
+        visits = None if probe == len(book.centers) else _visits(matrix.vectors.T, book.centers, probe)
         shared = spark.sparkContext.broadcast((matrix, visits, book))
         id_col, wanted, names = self.id_col, rescored * k, _arrow_schema(schema)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matrix, visits, book = shared.value
-            parts = matrix.slices(step)
-            bests = [_Candidates(wanted, len(part.ids)) for part in parts]
-            for batch in batches:
-                lists = batch.column("list").to_numpy(zero_copy_only=False)
-                codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                norms = batch.column("norm").to_numpy(zero_copy_only=False)
-                ids = _ids(batch, id_col)
-                whole = _matrix(batch.column("embedding"), "cosine") if batch.num_rows else np.zeros((0, 1))
-                for number, (part, best) in enumerate(zip(parts, bests)):
-                    unit, asking = part.vectors.T, visits[number * step : (number + 1) * step]
-                    tables = book.tables(unit)
-                    for where in np.unique(lists).tolist():
-                        rows, asked = np.flatnonzero(lists == where), np.flatnonzero(asking[:, where])
-                        if not len(asked):
-                            continue
-                        all_ask = len(asked) == len(unit)
-                        to_center = unit[asked] @ book.centers[where]
-                        for start in range(0, len(rows), max(1, 2_000_000 // len(asked))):
-                            some = rows[start : start + max(1, 2_000_000 // len(asked))]
-                            scores = np.repeat(to_center[None, :], len(some), axis=0)
-                            for p in range(codes.shape[1]):
-                                added = tables[p][codes[some, p]]
-                                scores += added if all_ask else added[:, asked]
-                            scores /= norms[some][:, None]
-                            best.add(scores, some, asked, ids, whole, unit)
-            for part, best in zip(parts, bests):
-                q, found, exact = best.nearest(k)
-                if len(q):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(part.ids[q].tolist(), names.field(0).type), pa.array(found.tolist(), names.field(1).type), pa.array(exact)], schema=names
-                    )
-
-        probed = self.table.filter(F.col("list").isin(np.flatnonzero(visits.any(axis=0)).tolist()))
+            units = np.ascontiguousarray(matrix.vectors.T)
+            for table in _held(batches, max(1, HELD_CELLS // max(1, units.shape[1]))):
+                held = _Held(table, id_col, book)
+                block = max(1, min(step, SCORE_CELLS // table.num_rows))
+                for start in range(0, len(units), block):
+                    some = slice(start, start + block)
+                    q, rows, exact = held.best(units[some], None if visits is None else visits[some], wanted, k)
+                    if len(q):
+                        asking = pa.array(matrix.ids[start + q].tolist(), names.field(0).type)
+                        found = pc.cast(table.column(id_col).take(pa.array(rows)).combine_chunks(), names.field(1).type)
+                        yield pa.RecordBatch.from_arrays([asking, found, pa.array(exact)], schema=names)
+
+        probed = self.table
+        if visits is not None:
+            probed = probed.filter(F.col("list").isin(np.flatnonzero(visits.any(axis=0)).tolist()))
         return probed.select(id_col, "list", "codes", "norm", "embedding").mapInArrow(scan, schema)
 
 
-class _Candidates:
-    """The best codes per question seen so far in one task, with their exact scores."""
-
-    def __init__(self, n: int, questions: int):
-        self.n = n
-        self.q, self.s, self.exact = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
-        self.ids = np.zeros(0, dtype=object)
-        # what a code must reach to be among the n best of a question
-        self.least = np.full(questions, -np.inf)
-        self.waiting: list[tuple[np.ndarray, ...]] = []
-        self.n_waiting = 0
-
-    def add(self, scores: np.ndarray, rows: np.ndarray, asked: np.ndarray, ids: np.ndarray, whole: np.ndarray, unit: np.ndarray) -> None:
-        """Codes' scores (``rows, asked``); what may be a candidate is scored with its vector ``whole``."""
-        reach = self.least[asked]
-        if len(scores) > self.n:
-            new = np.flatnonzero(np.isneginf(reach))
-            if len(new):
-                reach[new] = np.partition(scores[:, new], len(scores) - self.n, axis=0)[len(scores) - self.n]
-        at, qs = np.divmod(np.flatnonzero(scores >= reach), scores.shape[1])
-        for start in range(0, len(at), RESCORE_ROWS):
-            a, b = at[start : start + RESCORE_ROWS], qs[start : start + RESCORE_ROWS]
-            exact = np.round(np.einsum("ij,ij->i", whole[rows[a]], unit[asked[b]]), 6) + 0.0
-            self.waiting.append((asked[b], ids[rows[a]], scores[a, b], exact))
-            self.n_waiting += len(a)
-        if self.n_waiting > max(100_000, self.n * len(self.least) // 2):
-            self._cut()
-
-    def _cut(self) -> None:
-        self.q, self.ids, self.s, self.exact = (np.concatenate(c) for c in zip((self.q, self.ids, self.s, self.exact), *self.waiting))
-        self.waiting, self.n_waiting = [], 0
-        order, place = _places(self.q, -self.s)
-        last = order[place == self.n - 1]
-        self.least[self.q[last]] = self.s[last]
-        order = order[place < self.n]
-        self.q, self.ids, self.s, self.exact = self.q[order], self.ids[order], self.s[order], self.exact[order]
-
-    def nearest(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each question's candidates the k with the best exact scores, and those that tie with the last."""
-        self._cut()
-        order, place = _places(self.q, -self.exact)
-        least = np.full(len(self.least), -np.inf)
-        last = order[place == k - 1]
-        least[self.q[last]] = self.exact[last]
-        kept = np.flatnonzero(self.exact >= least[self.q])
-        return self.q[kept], self.ids[kept], self.exact[kept]
-
-
-def _places(q: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in order of question and ``s``, and the place of each among its question's."""
-    order = np.lexsort((s, q))
+def _visits(units: np.ndarray, centers: np.ndarray, probe: int) -> np.ndarray:
+    """Which lists each question looks into: the nearest ones, told for a bounded number of questions at a time."""
+    visits = np.zeros((len(units), len(centers)), bool)
+    half, step = (centers**2).sum(axis=1) / 2, max(1, SCORE_CELLS // len(centers))
+    for start in range(0, len(units), step):
+        farness = half - units[start : start + step] @ centers.T
+        np.put_along_axis(visits[start : start + step], np.argpartition(farness, probe - 1, axis=1)[:, :probe], True, axis=1)
+    return visits
+
+
+def _held(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Batches together, until they have so many rows."""
+    waiting, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(waiting)
+            waiting, n = [], 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+class _Held:
+    """Rows of the index that a task works on: what their codes stand for, as long as their scores ask, and whole vectors."""
+
+    def __init__(self, table: pa.Table, id_col: str, book: Codebook):
+        table = table.combine_chunks()
+        lists = table.column("list").to_numpy()
+        codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        self.coded = (book.decode(lists, codes) / table.column("norm").to_numpy()[:, None]).astype(np.float32)
+        self.whole = _matrix(table.column("embedding").combine_chunks(), "cosine")
+        self.places = pc.rank(table.column(id_col), sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy(zero_copy_only=False)
+        # rows of one list lie together
+        ends = np.flatnonzero(np.diff(lists)) + 1
+        self.runs = [(int(lists[a]), slice(a, b)) for a, b in zip(np.r_[0, ends].tolist(), np.r_[ends, len(lists)].tolist())]
+
+    def best(self, units: np.ndarray, visits: np.ndarray | None, wanted: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Question, row and exact score of the k best of each question's ``wanted`` best codes; equal scores by id."""
+        n, asking = len(self.coded), units.astype(np.float32)
+        if visits is None:
+            scores = asking @ self.coded.T
+        else:
+            scores = np.full((len(units), n), -np.inf, np.float32)
+            for where, run in self.runs:
+                visitors = np.flatnonzero(visits[:, where])
+                if len(visitors):
+                    scores[visitors, run] = asking[visitors] @ self.coded[run].T
+        if n > wanted:
+            rows = np.argpartition(scores, n - wanted, axis=1)[:, n - wanted :]
+        else:
+            rows = np.broadcast_to(np.arange(n), scores.shape)
+        if n <= DENSE_SHARE * wanted:  # all products are sooner made than few are gathered
+            exact = np.take_along_axis(units @ self.whole.T, rows, axis=1)
+        else:
+            exact = np.empty(rows.shape)
+            step = max(1, SCORE_CELLS // (rows.shape[1] * units.shape[1]))
+            for at in range(0, len(units), step):
+                some = slice(at, at + step)
+                exact[some] = np.matmul(self.whole[rows[some]], units[some, :, None])[:, :, 0]
+        exact = np.round(exact, 6) + 0.0
+        if visits is not None:
+            exact[np.isneginf(np.take_along_axis(scores, rows, axis=1))] = -np.inf
+        last = max(0, rows.shape[1] - k)
+        least = np.partition(exact, last, axis=1)[:, last]
+        q, at = np.nonzero((exact >= least[:, None]) & (exact > -np.inf))
+        found, score = rows[q, at], exact[q, at]
+        order, place = _places(q, -score, self.places[found])
+        order = order[place < k]
+        return q[order], found[order], score[order]
+
+
+def _places(q: np.ndarray, *by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of question and ``by``, and the place of each among its question's."""
+    order = np.lexsort((*by[::-1], q))
     ordered = q[order]
     starts = np.r_[0, np.flatnonzero(np.diff(ordered)) + 1] if len(q) else np.zeros(0, np.int64)
     return order, np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
@@ -288,7 +300,7 @@ def build_coded(vectors: DataFrame, path: str, id_col: str = "chunk_id", n_lists
             made = shared.value
             lists, codes = made.code(_matrix(batch.column("embedding"), "cosine"))
             # the coded vector's own length: scores are products with vectors of length one
-            back = made.centers[lists] + np.concatenate([made.entries[p][codes[:, p]] for p in range(codes.shape[1])], axis=1)
+            back = made.decode(lists, codes)
             norms = np.sqrt((back * back).sum(axis=1))
             columns = [pa.array(lists.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.where(norms > 0, norms, 1.0))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)

@@ -94,3 +94,44 @@ def test_one_reading_serves_many_questions(spark, gathered, tmp_path):
     finally:
         spark.sparkContext._jsc.clearJobGroup()
     assert jobs < 15 and {r["id"] for r in found if r["rank"] == 1} == set(range(900))
+
+
+def test_best_of_held_rows():
+    """Few candidates and many, some lists or all: the k best of the best codes, equal scores by id."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(400, 8))
+    rows[200:203] = rows[200]
+    rows /= np.sqrt((rows * rows).sum(axis=1))[:, None]
+    book = Codebook.fit(rows, 16)
+    lists, codes = book.code(rows)
+    by_list = np.argsort(lists, kind="stable")
+    ids = [f"{900 - i:04d}" for i in range(400)]
+    columns = [pa.array([ids[i] for i in by_list]), pa.array(lists[by_list].astype(np.int32)), pa.array([codes[i].tobytes() for i in by_list]), pa.array(np.ones(400)), pa.array(rows[by_list].tolist())]
+    held = coded._Held(pa.table(columns, names=["id", "list", "codes", "norm", "embedding"]), "id", book)
+    approximate, exact = rows @ book.decode(lists, codes)[by_list].T, np.round(rows @ rows[by_list].T, 6) + 0.0
+    some = coded._visits(rows, book.centers, 4)
+    assert some.sum(axis=1).tolist() == [4] * 400
+    for visits in (None, some):
+        seen = np.ones((400, 400), bool) if visits is None else visits[:, lists[by_list]]
+        for wanted in (12, 100, 400):
+            q, found, score = held.best(rows, visits, wanted, 3)
+            for at in range(0, 400, 7):
+                best = [r for r in np.argsort(-np.where(seen[at], approximate[at], -np.inf), kind="stable")[:wanted] if seen[at, r]]
+                best.sort(key=lambda r: (-exact[at, r], ids[by_list[r]]))
+                assert (found[q == at].tolist(), score[q == at].tolist()) == (best[:3], exact[at, best[:3]].tolist())
+
+
+def test_candidates_of_all_rows_take_few_readings(spark, gathered, tmp_path):
+    """However many candidates a question has, the index is not read once for a few questions."""
+    rows, _ = gathered
+    index = build_coded(_table(spark, rows), str(tmp_path / "coded"), "id")
+    questions = _table(spark, rows[:900]).withColumnRenamed("id", "query_id")
+    spark.sparkContext.setJobGroup("candidates", "candidates")
+    try:
+        found = index.search(questions, 3, n_probe=77, rescored=20_000).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("candidates"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert jobs < 12 and {r["id"] for r in found if r["rank"] == 1} == set(range(900))
