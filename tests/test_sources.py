@@ -129,3 +129,17 @@ def test_input_files_are_written_in_place_by_tasks(spark, tmp_path):
     assert found["doc_id=7"] == "text 7\ntext 7\n" and found["doc_id=50"] == "\n" and found["doc_id=__HIVE_DEFAULT_PARTITION__"] == "é\n"
     write_files(spark.createDataFrame([(7, "again")], "doc_id long, value string"), "doc_id", str(out))
     assert len([p for p in (out / "doc_id=7").iterdir()]) == 2
+
+
+def test_input_files_lie_together(spark, tmp_path):
+    """So many files in a folder, named by their keys; what is written later lies beside them."""
+    from paperloom.checks.base import write_files
+
+    rows = [(i, f"text {i}") for i in range(-20, 20)] + [(7, "text 7"), (50, None)]
+    for _ in range(2):
+        write_files(spark.createDataFrame(rows, "doc_id long, value string"), "doc_id", str(tmp_path / "files"), together=4)
+    files = [p for p in (tmp_path / "files").rglob("*") if p.is_file()]
+    assert len(files) == 82 and all(len(list(d.iterdir())) <= 4 for d in {p.parent for p in files})
+    assert sorted(p.read_text() for p in files if p.name.startswith("doc_id=7-")) == ["text 7\ntext 7\n"] * 2
+    assert {p.read_text() for p in files if p.name.startswith("doc_id=50-")} == {"\n"}
+    assert len([p for p in files if p.name.startswith("doc_id=-20-")]) == 2

@@ -91,3 +91,20 @@ def test_answering_a_stream_equals_the_batch(spark, tmp_path, n):
     got = spark.read.parquet(str(tmp_path / "out")).select("query_id", "answer").collect()
     want = answer(asked, index, make_stub, n).select("query_id", "answer").collect()
     assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_many_small_files_take_few_tasks(spark, tmp_path):
+    """Neither what arrived nor its contents take a task for a few files each."""
+    src, out = tmp_path / "src", tmp_path / "out"
+    src.mkdir()
+    for i in range(600):
+        (src / f"{i}.txt").write_text(f"text {i}")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    tracker = spark.sparkContext.statusTracker()
+    query = jobs.ingest_new_files(spark, str(src), str(out), str(tmp_path / "progress"))
+    query.awaitTermination()
+    stages = [s for j in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(j).stageIds]
+    sizes = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert sizes and max(sizes) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(str(out)).filter("error IS NULL").count() == 600
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
