@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from paperloom.functions.policy import _let
+
 # Metrics of both quality prompts, with the names models give them.
 METRICS = {
     "clarity": "clarity",
@@ -58,7 +60,8 @@ def parse_quality(answer: Column) -> Column:
     def entry(e: Column) -> Column:
         value = e["value"]
         score = F.coalesce(value.try_cast("double"), F.get_json_object(value, "$.score").try_cast("double"))
-        why = F.coalesce(F.get_json_object(value, "$.justification"), F.get_json_object(value, "$.why"))
+        # a bare number is not parsed once more
+        why = F.when(F.contains(value, F.lit("{")), F.coalesce(F.get_json_object(value, "$.justification"), F.get_json_object(value, "$.why")))
         name = F.element_at(names, F.replace(F.lower(F.trim(e["key"])), F.lit(" "), F.lit("_")))
         return F.struct(name.alias("key"), F.struct(score.alias("score"), why.alias("why")).alias("value"))
 
@@ -66,6 +69,10 @@ def parse_quality(answer: Column) -> Column:
         F.transform(F.map_entries(raw), entry),
         lambda e: e["key"].isNotNull() & e["value"]["score"].between(0.0, MAX_METRIC),
     )
-    # two spellings of one metric: the first one stands
-    firsts = F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["key"]), e["key"]) == i + 1)
-    return F.map_from_entries(firsts)
+
+    def firsts(found: Column, keys: Column) -> Column:
+        # two spellings of one metric: the first one stands
+        return F.map_from_entries(F.filter(found, lambda e, i: F.array_position(keys, e["key"]) == i + 1))
+
+    # inside a function of elements the answer would be read anew for each
+    return _let(entries, lambda found: _let(F.transform(found, lambda e: e["key"]), lambda keys: firsts(found, keys)))

@@ -151,3 +151,11 @@ def test_quality_scores_stay_in_range(value):
     assert got["completeness"] == 1.0 and got["conciseness"] == 1.0 and got["clarity"] == 1.0
     best = value(evaluation.quality_scores(F.lit("x" * 1000), F.lit("Short."), F.lit(7), 7))
     assert best["completeness"] == 5.0 and best["clarity"] == 5.0
+
+
+def test_a_quality_answer_is_read_once(spark):
+    """However many metrics it names; a text under a metric has its reasons, a number none."""
+    rows = spark.createDataFrame([('{"Tone": " {\\"score\\": 3, \\"why\\": \\"x\\"}", "clarity": 4, "professional tone": 1, "overall": {"score": 2, "justification": "y"}}',), (None,)], "a string")
+    read = rows.select(responses.parse_quality(F.col("a")).alias("q"))
+    assert [r["q"] and {k: tuple(v) for k, v in r["q"].items()} for r in read.collect()] == [{"tone": (3.0, "x"), "clarity": (4.0, None), "overall": (2.0, "y")}, None]
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
